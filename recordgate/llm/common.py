@@ -52,6 +52,13 @@ def semi_join_by_size(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return df.join(keys, key, "left_semi")
 
 
+def anti_join_by_size(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is not in ``keys`` (null keys stay); broadcast as above."""
+    if keys.count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    return df.join(keys, key, "left_anti").select(df.columns)
+
+
 # --- Arrow chunks -------------------------------------------------------------------------------
 
 

@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recordgate.llm.archives import op2_archives
 from recordgate.llm.bpe import op6_byte_bpe
 from recordgate.llm.decontaminate import op9_decontaminate
+from recordgate.llm.html_extract import op7_html_extract
 from recordgate.llm.jaccard_join import op8_jaccard_join
+from recordgate.llm.mtree import op3_top_k
+from recordgate.llm.pii import op1_pii
 from recordgate.llm.substring_bytes import op10_suffix_dedup
 from recordgate.llm.substring_words import op5_substring_dedup
+from recordgate.llm.toxicity import op4_toxicity
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = r"[^\x20\x09-\x0D]+"
@@ -23,6 +28,19 @@ def _shingles(table: str, key: str) -> str:
 
 
 ORACLES = {
+    "op2_archives": """
+      with p as (select page_id, sha1(coalesce(html, '')) payload_digest, cast(strlen(coalesce(html, '')) as bigint) payload_bytes from pages where page_id is not null),
+      a as (select payload_digest, max(page_id) answer from p where payload_bytes >= 1000 group by payload_digest)
+      select page_id, payload_bytes, payload_digest, case when answer > page_id then 'revisit' else 'response' end record_type,
+        case when answer > page_id then answer end refers_to
+      from p left join a using (payload_digest)""",
+    "op3_top_k": """
+      with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) v from embeddings
+        where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+      s as (select q.vec_id query_id, c.vec_id, cast(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) as bigint) score
+        from v q, v c where q.vec_id % 20 = 0 and c.vec_id <> q.vec_id)
+      select query_id, cast(rank as int) "rank", vec_id, score
+      from (select *, row_number() over (partition by query_id order by score desc, vec_id) rank from s) where rank <= 20""",
     "op5_substring_dedup": rf"""
       with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') w from documents),
       win as (select doc_id, i, array_to_string(w[i:i+49], ' ') g from (select doc_id, w, unnest(range(1, len(w) - 48)) i from d where len(w) >= 50)),
@@ -56,8 +74,14 @@ def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "pipeline": _pipeline,
+        "op1_pii": op1_pii,
+        "op2_archives": op2_archives,
+        "op3_top_k": op3_top_k,
+        "op4_toxicity": op4_toxicity,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_byte_bpe": op6_byte_bpe,
+        "op7_html_extract": op7_html_extract,
         "op8_jaccard_join": op8_jaccard_join,
         "op9_decontaminate": op9_decontaminate,
         "op10_suffix_dedup": op10_suffix_dedup,
