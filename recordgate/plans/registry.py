@@ -1,15 +1,217 @@
-"""Registered queries and their oracles."""
+"""Registered record-validation queries and their SQL over the relational tables, which never parses JSON."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from recordgate.functions import text
+from recordgate.operators import flatten, job_events, policy, validate
+from recordgate.sources import messages as src
+from recordgate.sources.messages import GENDER_FIELD
+
+BUNDLE = {
+    "version": "7",
+    "dataset2ControlArea": {"D.Base.A": "AREA_A", "D.Base.B": "AREA_B", "D.Reg": "AREA_R"},
+    "controlAreaRules": {
+        area: {"BASE.Name": ["Rule1001", "Rule1999"], "BASE.Balance": ["1002"], "BASE.Segment": ["Rule1003", "Rule1006"], "BASE.Note": ["Rule1004"], "ADDR.City": ["Rule1005"], GENDER_FIELD: ["Rule1007"]}
+        for area in ("AREA_A", "AREA_B")
+    },
+    "errorMessages": {
+        "Rule1001": {"errorDescription": "name is missing", "classification": "ERROR"},
+        "Rule1002": {"errorDescription": "balance is negative"},
+        "Rule1004": {"errorDescription": "note is missing", "classification": " inform "},
+        "Rule1005": {"errorDescription": "more than one city"},
+        "Rule1007": {"errorDescription": "unknown gender"},
+    },
+    "datasetExclusion": {"AREA_B": ["registrationAddress"]},
+    "filterFlag": {"AREA_B": True, "AREA_R": False},
+}
+PREDICATES = {
+    "Rule1001": "m['BASE.Name'] is null",
+    "Rule1002": "coalesce(try_cast(m['BASE.Balance'] as double) < 0, false)",
+    "Rule1003": "coalesce(m['BASE.Segment'] = 'FURNITURE', false)",
+    "Rule1004": "m['BASE.Note'] is null",
+    "Rule1005": "coalesce(m['ADDR.City'] like '%;%', false)",
+    "Rule1006": "case when m['BASE.Segment'] = 'MACHINERY' then null else false end",
+    "Rule1007": f"coalesce(m['{GENDER_FIELD}'] not in ('M', 'F'), true)",
+}
+
+
+def load_policy(spark: SparkSession) -> policy.Policy:
+    import json
+
+    doc = spark.range(1).select(F.from_json(F.lit(json.dumps(BUNDLE)), policy.BUNDLE_SCHEMA).alias("b")).select("b.*")
+    return policy.from_bundle(doc)
+
+
+def _decoded(spark, sf):
+    return flatten.decode(src.derived_messages(spark, sf))
+
+
+def _long_map(spark, sf):
+    return flatten.mappings(flatten.walk(_decoded(spark, sf)))
+
+
+def _resolved(spark, sf):
+    return validate.resolved(_decoded(spark, sf), load_policy(spark))
+
+
+def _evaluated(spark, sf, arrow: bool = False):
+    good = _resolved(spark, sf).filter("reason is null")
+    predicates = dict(PREDICATES)
+    python = {}
+    if arrow:
+        del predicates["Rule1005"]
+        python = {"Rule1005": lambda m: ";" in (m.get("ADDR.City") or "")}
+    return validate.evaluate(good, load_policy(spark), predicates, python)
+
+
+def _control(spark, sf):
+    return src.decode_control(src.control_events(spark, sf))
+
+
+def _config(spark, sf):
+    e = src.read_table(spark, sf, "events").select(F.col("user_id").alias("job"), F.col("event_id").alias("run"), F.col("event_type"), F.floor("value").cast("long").alias("v"))
+    pairs = F.array(F.struct(F.lit("mode").alias("key"), F.col("event_type").alias("value")), F.struct(F.lit("db.password").alias("key"), F.col("v").cast("string").alias("value")))
+    return e.select("job", "run", F.explode(pairs).alias("p")).select("job", "run", "p.key", "p.value")
+
+
+def _handler_asof(spark, sf):
+    records = src.derived_messages(spark, sf).select("seq")
+    return policy.as_of(records, policy.handler_changes(_control(spark, sf)), "handler", "flink")
+
+
+def _policy_asof(spark, sf):
+    records = src.derived_messages(spark, sf).select("seq")
+    changes = policy.accepted_versions(_control(spark, sf)).filter("cache = 'politics'").select("seq", "version")
+    return policy.as_of(records, changes, "version", -1).select("seq", F.col("version").alias("policy_version"))
+
+
+def _cef(spark, sf):
+    e = src.read_table(spark, sf, "events")
+    return job_events.cef_lines(e.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("event_time"), "event_type", F.col("event_type").alias("status"), F.concat(F.lit("u="), F.col("user_id").cast("string")).alias("user")))
+
+
+def _masked(spark, sf):
+    return src.derived_messages(spark, sf).filter("seq % 17 <> 8 and seq % 31 <> 15").select("seq", F.regexp_extract(text.mask_json(F.col("payload"), ["fullname", "balance"]), r'"fullName":("[^"]*"|null),"segment":"[^"]*","balance":"?([^,"]*)', 0).alias("masked"))
+
+
+def _replies(spark, sf):
+    good = _resolved(spark, sf).filter("reason is null")
+    answers = validate.short_answers(good, _evaluated(spark, sf), F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    data = F.from_json("answer", "struct<data:struct<dfw_query_id:string,PROCESS_STATUS:string,details:struct<ALL_RESULT:string>>>")
+    return answers.select("event_id", data.alias("j")).select("event_id", F.col("j.data.dfw_query_id").alias("query_id"), F.col("j.data.PROCESS_STATUS").alias("process_status"), F.col("j.data.details.ALL_RESULT").alias("all_result"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {
+        "event_id_hex": lambda s, d: _decoded(s, d).select("seq", "event_id"),
+        "json_blocks": lambda s, d: flatten.blocks(_decoded(s, d)).select("seq", "pos", "block", "dataset_code"),
+        "first_dataset_code": lambda s, d: flatten.first_dataset_code(flatten.blocks(_decoded(s, d))),
+        "normalized_map": lambda s, d: flatten.normalized(_long_map(s, d)),
+        "flat_profile": lambda s, d: flatten.flat_profile(_long_map(s, d)),
+        "multi_value_join": lambda s, d: flatten.normalized(_long_map(s, d)).filter("field = 'DOC.Number'").select("seq", "value"),
+        "reject_reasons": lambda s, d: _resolved(s, d).select("seq", "reason"),
+        "control_area_lookup": lambda s, d: _resolved(s, d).filter("control_area is not null").select("seq", "control_area"),
+        "field_rules": lambda s, d: _evaluated(s, d).groupBy("scope", "field", "rule_name").agg(F.count("*").alias("n")),
+        "rule_eval": lambda s, d: _evaluated(s, d).select("seq", "scope", text.rule_key(F.col("rule_name")).alias("rule"), "status", "raised"),
+        "rule_eval_arrow": lambda s, d: _evaluated(s, d, arrow=True).select("seq", "scope", text.rule_key(F.col("rule_name")).alias("rule"), "status", "raised"),
+        "error_texts": lambda s, d: _evaluated(s, d).filter("error_text is not null").select("seq", "scope", "field", "error_text"),
+        "field_status": lambda s, d: validate.field_status(_evaluated(s, d)).select("seq", "scope", "field", "status"),
+        "record_status": lambda s, d: validate.record_status(_evaluated(s, d)).select("seq", "all_result"),
+        "process_status": lambda s, d: validate.record_status(_evaluated(s, d)).select("seq", "process_status"),
+        "detail_bucket": lambda s, d: validate.detail_buckets(_evaluated(s, d)),
+        "replies": _replies,
+        "mask_json": _masked,
+        "version_acceptance": lambda s, d: policy.accepted_versions(_control(s, d)),
+        "handler_changes": lambda s, d: policy.handler_changes(_control(s, d)),
+        "handler_asof": _handler_asof,
+        "policy_asof": _policy_asof,
+        "control_rejects": lambda s, d: policy.control_rejects(_control(s, d)),
+        "config_hash": lambda s, d: job_events.config_hashes(_config(s, d)),
+        "config_change": lambda s, d: job_events.config_changes(job_events.config_hashes(_config(s, d))),
+        "cef_lines": _cef,
+    }
+
+
+# --- SQL ----------------------------------------------------------------------------------------
+
+_BASE = """
+  c as (select c_custkey k, c_custkey seq, c.*, n_name, r_name from customer c join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey),
+  ok as (select * from c where k % 31 <> 15 and k % 17 <> 8),
+  good as (select *, case when k % 2 = 0 then 'A' else 'B' end area from ok where k % 19 <> 9 and k % 23 <> 11),
+  top as (select o_custkey, o_orderkey, row_number() over (partition by o_custkey order by o_orderkey) r from orders)"""
+
+_VALUES = f"""{_BASE},
+  lng as (
+    select seq, 'BASE.Name' field, case when k % 11 <> 5 then c_name end "value", 0 p from ok
+    union all select seq, 'BASE,Segment', c_mktsegment, 0 from ok where k % 13 <> 6
+    union all select seq, 'BASE.Balance', cast(cast(c_acctbal as double) as varchar), 0 from ok
+    union all select seq, 'BASE.Note', case when k % 7 <> 3 then 'x' end, 0 from ok
+    union all select seq, '{GENDER_FIELD}', case k % 3 when 0 then 'MALE' when 1 then 'female' else 'other' end, 0 from ok
+    union all select seq, 'DOC.Number', cast(o_orderkey as varchar), r from ok join top on o_custkey = k and r <= 3 where k % 29 <> 14
+    union all select seq, 'ADDR.City', n_name, 0 from ok union all select seq, 'ADDR.City', r_name, 1 from ok)"""
+
+_RULES = f"""{_BASE},
+  rule as (
+    select seq, '' scope, 'BASE.Name' field, 'Rule1001' rule_name, k % 11 = 5 hit, false raised, 'name is missing' txt from good
+    union all select seq, '', 'BASE.Name', 'Rule1999', false, false, null from good
+    union all select seq, '', 'BASE.Balance', '1002', c_acctbal < 0, false, 'balance is negative' from good
+    union all select seq, '', 'BASE.Segment', 'Rule1003', area = 'B' and c_mktsegment = 'FURNITURE' and k % 13 <> 6, false, 'No error text for rule Rule1003' from good where area = 'B' or k % 13 <> 6
+    union all select seq, '', 'BASE.Segment', 'Rule1006', false, area = 'B' and c_mktsegment = 'MACHINERY' and k % 13 <> 6, null from good where area = 'B' or k % 13 <> 6
+    union all select seq, '', 'BASE.Note', 'Rule1004', k % 7 = 3, false, 'note is missing' from good
+    union all select seq, '', 'ADDR.City', 'Rule1005', true, false, 'more than one city' from good where area = 'A'
+    union all select seq, 'registrationAddress', 'ADDR.City', 'Rule1005', false, false, null from good where area = 'B'
+    union all select seq, '', '{GENDER_FIELD}', 'Rule1007', k % 3 = 2, false, 'unknown gender' from good),
+  res as (select seq, scope, field, rule_name, case when not hit then 'SUCCESS' when rule_name = 'Rule1004' then 'WARNING' else 'ERROR' end status, raised, case when hit then txt end error_text,
+    replace(rule_name, 'Rule', '') rule_, case when not hit then 0 when rule_name = 'Rule1004' then 1 else 2 end rank_ from rule),
+  rec as (select seq, case max(rank_) when 2 then 'ERROR' when 1 then 'WARNING' else 'SUCCESS' end all_result, case when bool_or(raised) then 'RULE_EXCEPTION' else 'OK' end process_status from res group by seq)"""
+
+_CONTROL = """
+  ev as (select event_id seq, case event_type when 'click' then 'compiled_rules' when 'view' then 'politics' when 'purchase' then 'handler' when 'signup' then 'other_cache' else '' end cache,
+      case when event_id % 53 = 0 then -1 else event_id % 97 end version, case when event_type = 'purchase' then case event_id % 4 when 1 then 'dotnet' when 3 then 'other' else 'flink' end end handler,
+      event_id % 71 = 0 broken from events),
+  ctl as (select *, not broken and version >= 0 and cache <> '' valid from ev),
+  acc as (select * from (select seq, cache, version, max(version) over (partition by cache order by seq rows between unbounded preceding and 1 preceding) b from ctl where valid and cache in ('compiled_rules', 'politics')) where b is null or version > b),
+  hc as (select seq, handler from (select seq, handler, lag(handler, 1, 'flink') over (order by seq) b from ctl where valid and cache = 'handler' and handler in ('flink', 'dotnet')) where handler <> b)"""
+
+_CONFIG = """
+  h as (select user_id job, event_id run, sha256('db.password=***' || chr(10) || 'mode=' || event_type) hash from events)"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    fold = "string_agg(\"value\", ';' order by p)"
+    return {
+        "event_id_hex": f"with {_BASE} select seq, lpad(upper(to_hex(k)), 16, '0') || repeat('0', 32) event_id from c",
+        "json_blocks": f"""with {_BASE}, b as (select seq, k, 0 o, 'baseInfo' block, case when k % 23 = 11 then 'D.Unknown' when k % 2 = 0 then 'D.Base.A' else 'D.Base.B' end ds from ok
+            union all select seq, k, 1, 'documents', null from ok where k % 29 <> 14 union all select seq, k, 2, 'homeAddress', 'D.Home' from ok union all select seq, k, 3, 'registrationAddress', 'D.Reg' from ok)
+            select seq, cast(row_number() over (partition by seq order by o) - 1 as int) pos, block, case when k % 19 <> 9 then ds end dataset_code from b""",
+        "first_dataset_code": f"with {_BASE} select seq, case when k % 23 = 11 then 'D.Unknown' when k % 2 = 0 then 'D.Base.A' else 'D.Base.B' end dataset_code from ok where k % 19 <> 9",
+        "normalized_map": f'with {_VALUES} select seq, field, {fold} "value" from lng group by seq, field',
+        "flat_profile": f'with {_VALUES} select seq, field, min_by("value", p) "value" from lng group by seq, field',
+        "multi_value_join": f"with {_VALUES} select seq, {fold} \"value\" from lng where field = 'DOC.Number' group by seq",
+        "reject_reasons": f"with {_BASE} select seq, case when k % 31 = 15 then 'EMPTY_PAYLOAD' when k % 17 = 8 then 'BAD_JSON' when k % 19 = 9 then 'NO_DATASET_CODE' when k % 23 = 11 then 'NO_CONTROL_AREA' end reason from c",
+        "control_area_lookup": f"with {_BASE} select seq, 'AREA_' || area control_area from good",
+        "field_rules": f"with {_RULES} select scope, field, rule_name, count(*) n from res group by all",
+        "rule_eval": f"with {_RULES} select seq, scope, rule_ as rule, status, raised from res",
+        "rule_eval_arrow": f"with {_RULES} select seq, scope, rule_ as rule, status, raised from res",
+        "error_texts": f"with {_RULES} select seq, scope, field, error_text from res where error_text is not null",
+        "field_status": f"with {_RULES} select seq, scope, field, case max(rank_) when 2 then 'ERROR' when 1 then 'WARNING' else 'SUCCESS' end status from res group by seq, scope, field",
+        "record_status": f"with {_RULES} select seq, all_result from rec",
+        "process_status": f"with {_RULES} select seq, process_status from rec",
+        "detail_bucket": f"with {_RULES}, f as (select seq, scope, field, string_agg(rule_ || '=' || status, ',' order by rule_) rules from res group by seq, scope, field) select seq, scope, string_agg(field || ': ' || rules, '; ' order by field) bucket from f group by seq, scope",
+        "replies": f"with {_RULES} select lpad(upper(to_hex(seq)), 16, '0') || repeat('0', 32) event_id, 'q' || seq query_id, process_status, all_result from rec",
+        "mask_json": f"""with {_BASE} select seq, '"fullName":"***","segment":"' || c_mktsegment || '","balance":"***' masked from ok""",
+        "version_acceptance": f"with {_CONTROL} select seq, cache, version from acc",
+        "handler_changes": f"with {_CONTROL} select seq, handler from hc",
+        "handler_asof": f"with {_CONTROL} select c_custkey seq, coalesce((select max_by(handler, hc.seq) from hc where hc.seq <= c_custkey), 'flink') handler from customer",
+        "policy_asof": f"with {_CONTROL} select c_custkey seq, coalesce((select max_by(version, acc.seq) from acc where cache = 'politics' and acc.seq <= c_custkey), -1) policy_version from customer",
+        "control_rejects": f"""with {_CONTROL}, r as (select seq, case when not valid then 'INVALID_EVENT' when cache = 'handler' and handler = 'other' then 'UNKNOWN_HANDLER' when cache = 'other_cache' then 'UNKNOWN_CACHE' end reason from ctl)
+            select seq, reason from r where reason is not null""",
+        "config_hash": f"with {_CONFIG} select job, run, hash from h",
+        "config_change": f"with {_CONFIG} select job, run, hash from (select *, lag(hash) over (partition by job order by run) b from h) where b is not null and b <> hash",
+        "cef_lines": """select event_id, 'CEF:0|MKD|recordgate|1|' || event_type || '|' || upper(event_type[1]) || event_type[2:] || '|1|externalId=' || event_id || ' rt=' || strftime(ts, '%Y-%m-%d %H:%M:%S') || ' outcome=' || case when event_type = 'error' then 'failure' else 'success' end || ' suser=u\\=' || user_id line from events""",
+    }
