@@ -12,6 +12,7 @@ from recordgate.functions.text import nullif_blank, rule_key, strip
 from recordgate.operators import flatten
 from recordgate.operators.policy import Policy
 from recordgate.sources.messages import GENDER_FIELD
+from recordgate.sources.staging import staged
 
 # Code tables of the two mapped fields.
 GENDER_CODES = {"MALE": "M", "FEMALE": "F"}
@@ -63,16 +64,16 @@ def resolved(decoded: DataFrame, policy: Policy) -> DataFrame:
     return found.withColumn("reason", reason).drop("has_rules")
 
 
-def scope_values(messages: DataFrame, policy: Policy, max_depth: int = 5) -> DataFrame:
-    """seq, control_area, scope ('' or an excluded block), field, value, flag: the folded maps of every scope.
+def scope_values(messages: DataFrame, policy: Policy, max_depth: int = 5) -> tuple[DataFrame, DataFrame]:
+    """seq, control_area, scope ('' or an excluded block), field, value, flag: the folded maps of every scope; and the names that main scopes lost.
 
     The main scope loses every name that an excluded block maps at its top level, even where another
     block shares it. An excluded block is judged by the message's rules; its own area gives the flag.
     """
-    long = flatten.mappings(flatten.walk(messages, max_depth))
+    long = staged(flatten.mappings(flatten.walk(messages, max_depth)))
     keys = messages.select("seq", "control_area", "dataset_code")
     excluded = flatten.blocks(messages).join(keys.select("seq", "control_area"), "seq").join(F.broadcast(policy.exclusion), ["control_area", "block"])
-    excluded = excluded.select("seq", F.col("pos").alias("block_pos"), "block", "dataset_code")
+    excluded = staged(excluded.select("seq", F.col("pos").alias("block_pos"), "block", "dataset_code"))
     placed = long.withColumn("block_pos", F.get("path", F.lit(0))).join(excluded.select("seq", "block_pos", "block"), ["seq", "block_pos"], "left")
     taken = placed.filter("block is not null and size(path) = 1").select("seq", "field").distinct()
     main = flatten.normalized(placed.join(taken, ["seq", "field"], "left_anti")).withColumn("scope", F.lit("")).join(keys.select("seq", "control_area"), "seq")
@@ -93,7 +94,8 @@ def evaluate(messages: DataFrame, policy: Policy, predicates: dict[str, str], py
     defect, null counts as raised and not as a defect. ``python_rules``: rule name to a function of a
     pandas series of such maps. The named rules of a missing body succeed.
     """
-    values, taken = scope_values(messages, policy)
+    values, taken = scope_values(staged(messages), policy)
+    values, taken = staged(values), staged(taken)
     maps = values.groupBy("seq", "scope", "control_area", "flag").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "value")))).alias("m"))
     dotted = F.map_keys("m")
     # flag: every policy field is present, a comma name under its dotted form
@@ -113,11 +115,11 @@ def evaluate(messages: DataFrame, policy: Policy, predicates: dict[str, str], py
     outcome = F.lit(False)
     for name, predicate in predicates.items():
         outcome = F.when(F.col("body") == name, F.expr(predicate)).otherwise(outcome)
-    judged = rows.withColumn("outcome", outcome)
+    judged = staged(rows).withColumn("outcome", outcome)
     for name, rule in (python_rules or {}).items():
         judged = judged.withColumn("outcome", F.when(F.col("body") == name, _arrow(rule)(F.col("m"))).otherwise(F.col("outcome")))
     judged = judged.select("seq", "scope", "field", "rule_name", F.coalesce("outcome", F.lit(False)).alias("triggered"), F.col("outcome").isNull().alias("raised"))
-    return _with_errors(judged, policy)
+    return staged(_with_errors(judged, policy))
 
 
 def _bodies(policy: Policy, names: list[str]) -> DataFrame:

@@ -1,0 +1,21 @@
+"""Intermediate tables in the shared folder: they cut long plans and survive lost executors."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame
+
+_own: dict[str, str] = {}
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written below ``spark.checkpoint.dir`` (where unset, as in tests, below a temporary folder) and read back."""
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = _own.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="spark-staging-"))
+    path = f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
