@@ -362,7 +362,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = features.filter("n_shingles > 0").groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("rep"))
     classes = materialise(classes)
     reps = classes.filter("n_shingles >= 4").select(F.col("rep").alias("doc_id"))
-    keyed = materialise(semi_join_by_size(features.select("doc_id", "keys", "parts"), reps, "doc_id"))
+    keyed = semi_join_by_size(features.select("doc_id", "keys", "parts"), reps, "doc_id")
     n_keys = keyed.agg(F.coalesce(F.sum(F.octet_length("keys")), F.lit(0))).first()[0] // 8
     bits = count_min.cell_bits(n_keys)
     shared = count_min.merge(keyed.select("doc_id", "keys").mapInArrow(_sketch_keys(bits), count_min.SCHEMA), bits)
