@@ -15,7 +15,7 @@ from recordgate.llm.common import groups, mix
 SEGMENT_BITS = 20
 MOST_CELL_BITS = 28
 SKETCH_ROWS = 2
-SCHEMA = "segment long, cells binary, counts binary"
+SCHEMA = "segment long, cells binary, n int"
 
 
 def cell_bits(keys_expected: int) -> int:
@@ -27,22 +27,24 @@ def _cells(keys: np.ndarray, bits: int) -> list[np.ndarray]:
 
 
 def sketch(keys: np.ndarray, bits: int) -> pa.RecordBatch:
-    """The sketch of one batch, in segments of cells: cell numbers and counts (2 stands for more)."""
+    """The sketch of one batch, in segments: steps between its cells in order, a cell met again being a step of 0."""
     rows = []
     for r, cell in enumerate(_cells(keys, bits)):
-        cell, count = np.unique(cell, return_counts=True)
+        cell = np.sort(cell)
+        # a third occurrence says no more than a second
+        cell = cell[np.append(np.ones(min(2, len(cell)), bool), cell[2:] != cell[:-2])]
         segment = cell >> SEGMENT_BITS
         for lo, hi in groups(segment):
-            low = (cell[lo:hi] & ((1 << SEGMENT_BITS) - 1)).astype(np.int32)
-            rows.append(((r << (bits - SEGMENT_BITS)) + int(segment[lo]), low.tobytes(), np.minimum(count[lo:hi], 2).astype(np.uint8).tobytes()))
-    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.binary()), pa.array([x[2] for x in rows], pa.binary())], ["segment", "cells", "counts"])
+            steps = np.diff(cell[lo:hi] & ((1 << SEGMENT_BITS) - 1), prepend=0)
+            rows.append(((r << (bits - SEGMENT_BITS)) + int(segment[lo]), steps.astype(np.uint16 if steps.max() < 1 << 16 else np.uint32).tobytes(), hi - lo))
+    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.binary()), pa.array([x[2] for x in rows], pa.int32())], ["segment", "cells", "n"])
 
 
 def _merge(t: pa.Table) -> pa.Table:
     total = np.zeros(1 << SEGMENT_BITS, np.uint8)
-    for cells, counts in zip(t.column("cells").to_pylist(), t.column("counts").to_pylist(), strict=True):
-        at = np.frombuffer(cells, np.int32)
-        total[at] = np.minimum(total[at] + np.frombuffer(counts, np.uint8), 2)
+    for cells, n in zip(t.column("cells").to_pylist(), t.column("n").to_pylist(), strict=True):
+        at, count = np.unique(np.cumsum(np.frombuffer(cells, np.uint16 if len(cells) == 2 * n else np.uint32).astype(np.int64)), return_counts=True)
+        total[at] = np.minimum(total[at] + count, 2)
     return pa.table({"segment": t.column("segment")[:1], "repeated": pa.array([np.packbits(total >= 2).tobytes()], pa.binary())})
 
 

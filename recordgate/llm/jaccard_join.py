@@ -367,7 +367,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     bits = count_min.cell_bits(n_keys)
     shared = count_min.merge(keyed.select("doc_id", "keys").mapInArrow(_sketch_keys(bits), count_min.SCHEMA), bits)
     rows = materialise(keyed.mapInArrow(_repeated_keys(bits, shared), "key long, rep long, size_class int, need int"))
-    rows = _with_enough(_with_enough(rows))
+    rows = _with_enough(rows)
     cells = rows.join(_held_elsewhere(rows), "key").filter("rep <> dst").select(F.col("rep").alias("src"), "dst").distinct()
     coarse = connected_components(cells)
     inside = coarse.select(F.col("node").alias("doc_id"), F.col("component").cast("string").alias("region"))
