@@ -24,13 +24,15 @@ from recordgate.llm import count_min
 from recordgate.llm.common import groups, materialise, mix, semi_join_by_size, shingle_sets, table, text_chunks
 from recordgate.llm.components import connected_components
 
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 #: Radius of the join as a fraction: links have 100 * intersection >= 80 * union.
 PERCENT = 80
 RADIUS = 1 - PERCENT / 100
 #: Documents of a region that one task joins in memory.
 LEAF = 4096
 PIVOTS = 8
+#: Shingles that a comparison gathers at once.
+WORK = 300_000
 
 
 def _hash(values: np.ndarray, salt: int) -> np.ndarray:
@@ -172,7 +174,16 @@ class _Sets:
         self.start = np.cumsum(self.size) - self.size
 
     def common(self, one: np.ndarray, members: np.ndarray) -> np.ndarray:
-        """Sizes of the intersections of the set ``one`` with each member."""
+        """Sizes of the intersections of the set ``one`` with each member, some members at a time."""
+        stop = np.cumsum(self.size[members])
+        if len(members) > 1 and stop[-1] > WORK:
+            cut = min(max(1, int(np.searchsorted(stop, WORK, "right"))), len(members) - 1)
+            parts = []
+            while len(members):
+                parts.append(self.common(one, members[:cut]))
+                members = members[cut:]
+                cut = max(1, int(np.searchsorted(np.cumsum(self.size[members]), WORK, "right")))
+            return np.concatenate(parts)
         count = self.size[members]
         at = np.arange(count.sum()) + np.repeat(self.start[members] - (np.cumsum(count) - count), count)
         v = self.value[at]
