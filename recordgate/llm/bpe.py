@@ -1,10 +1,11 @@
 """Byte-level BPE encoding and decoding by a global shuffle of distinct words.
 
 Blocks of documents are cut into pre-tokens; each block keeps its documents as positions into its
-own word list, so a word crosses the network once per block and not once per occurrence. The word
-lists are shuffled by word; the partition that holds all rows of a word encodes it once. The ids go
-back to their block, which puts each document together by position. Decoding joins the token-byte
-table (of fixed size: one row per rank) to the ids.
+own word list, so a word crosses the network once per block and not once per occurrence. A block
+deals its words by hash into packets, which are shuffled; the partition that gets all packets of a
+word encodes it once. The ids go back to their block, which puts each document together by
+position. Decoding joins the token-byte table (of fixed size: one row per rank) to the ids. Packets
+and positions travel compressed.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+import zlib
 from collections import defaultdict
 from functools import lru_cache
 
@@ -38,12 +40,14 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 @lru_cache(maxsize=2)
-def token_bytes(path: str) -> list[bytes]:
+def token_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The token-byte table: all bytes, and start and length of each token."""
     ranks = load_ranks(path)
-    out = [b""] * (max(ranks.values()) + 1)
+    tokens = [b""] * (max(ranks.values()) + 1)
     for token, i in ranks.items():
-        out[i] = token
-    return out
+        tokens[i] = token
+    size = np.array([len(t) for t in tokens], np.int64)
+    return np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(size) - size, size
 
 
 def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -98,7 +102,47 @@ def _encode_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : end[i]]] for i in range(n) if alive[i]]
 
 
-def _blocks(pattern: str, block_bytes: int):
+# --- packets ------------------------------------------------------------------------------------
+
+
+def _shrink(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _grow(packed: bytes) -> bytes:
+    return pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), "zstd", asbytes=True)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Unsigned 32-bit integers by byte plane, so that small values cost little."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _integers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
+
+
+def _pack_lists(sizes: list[int], payload: bytes) -> bytes:
+    """Length-prefixed lists: their number, their sizes, then ``payload``."""
+    return _shrink(len(sizes).to_bytes(4, "little") + _planes(np.array(sizes, np.uint32)) + payload)
+
+
+def _unpack_lists(packed: bytes) -> tuple[np.ndarray, bytes]:
+    data = _grow(packed)
+    n = int.from_bytes(data[:4], "little")
+    return _integers(data[4 : 4 + 4 * n]).astype(np.int64), data[4 + 4 * n :]
+
+
+def _gather(values: np.ndarray, start: np.ndarray, size: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The lists ``which`` (each at ``start``, of ``size``) one after the other."""
+    count = size[which]
+    stop = np.cumsum(count)
+    if not len(stop):
+        return values[:0]
+    return values[np.arange(stop[-1]) + np.repeat(start[which] - (stop - count), count)]
+
+
+def _blocks(pattern: str, block_bytes: int, targets: int):
     def cut(batches):
         slow, seq, part = regex.compile(pattern), 0, TaskContext.get().partitionId()
         for batch in batches:
@@ -116,15 +160,29 @@ def _blocks(pattern: str, block_bytes: int):
                     lengths.append(len(row))
                     size += len(text)
                     hi += 1
+                words = [w.encode() for w in vocabulary]
+                vocabulary.clear()
+                code = np.concatenate(codes)
+                # frequent words get small numbers
+                order = np.argsort(-np.bincount(code, minlength=len(words)), kind="stable")
+                rank = np.empty(len(words), np.uint32)
+                rank[order] = np.arange(len(words), dtype=np.uint32)
+                words = [words[i] for i in order]
+                dealt = np.fromiter((zlib.crc32(w) % targets for w in words), np.uint32, len(words))
+                packets = []
+                for t in range(targets):
+                    mine = [words[i] for i in np.flatnonzero(dealt == t)]
+                    packets.append(_pack_lists([len(w) for w in mine], b"".join(mine)) if mine else b"")
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([(part << 32) + seq], pa.int64()),
                         pa.array([ids.slice(lo, hi - lo).to_pylist()], pa.list_(pa.int64())),
                         pa.array([lengths], pa.list_(pa.int32())),
-                        pa.array([np.concatenate(codes).tobytes()], pa.binary()),
-                        pa.array([list(vocabulary)], pa.list_(pa.string())),
+                        pa.array([_shrink(_planes(rank[code]))], pa.binary()),
+                        pa.array([_shrink(_planes(dealt))], pa.binary()),
+                        pa.array([packets], pa.list_(pa.binary())),
                     ],
-                    ["block", "ids", "lengths", "codes", "words"],
+                    ["block", "ids", "lengths", "codes", "dealt", "packets"],
                 )
                 seq += 1
                 lo = hi
@@ -137,37 +195,48 @@ def _encode(path: str):
         ranks, memo = load_ranks(path), {}
         for batch in batches:
             out = []
-            for word in batch.column(2).to_pylist():
-                if (got := memo.get(word)) is None:
-                    if len(memo) >= 400_000:  # forgetting costs a second encoding, never a wrong one
-                        memo.clear()
-                    got = memo[word] = np.array(encode_word(word.encode(), ranks), "<u4").tobytes()
-                out.append(got)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["block", "pos", "token_ids"])
+            for packet in batch.column(2).to_pylist():
+                size, data = _unpack_lists(packet)
+                stop, counts, ids = np.cumsum(size).tolist(), [], []
+                at = 0
+                for end in stop:
+                    word, at = data[at:end], end
+                    if (got := memo.get(word)) is None:
+                        if len(memo) >= 400_000:  # forgetting costs a second encoding, never a wrong one
+                            memo.clear()
+                        got = memo[word] = encode_word(word, ranks)
+                    counts.append(len(got))
+                    ids += got
+                out.append(_pack_lists(counts, _planes(np.array(ids, np.uint32))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["block", "target", "token_ids"])
 
     return run
 
 
 def _reassemble(path: str):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        pieces = token_bytes(path)
-        at = right.column("pos").to_numpy()
-        encoded = right.column("token_ids").to_pylist()
-        ids_of: list = [b""] * len(encoded)
-        bytes_of: list = [b""] * len(encoded)
-        for i, x in zip(at.tolist(), encoded, strict=True):
-            ids_of[i] = x
-            bytes_of[i] = b"".join([pieces[t] for t in np.frombuffer(x, "<u4").tolist()])
+        data, data_start, data_size = token_bytes(path)
+        packets = dict(zip(right.column("target").to_pylist(), right.column("token_ids").to_pylist(), strict=True))
         docs, ids, decoded = [], [], []
         for block in range(left.num_rows):
-            codes = np.frombuffer(left.column("codes")[block].as_py(), np.int32)
+            dealt = _integers(_grow(left.column("dealt")[block].as_py()))
+            size, start, flat, total = np.zeros(len(dealt), np.int64), np.zeros(len(dealt), np.int64), [np.zeros(0, np.uint32)], 0
+            for target, packet in packets.items():
+                counts, planes = _unpack_lists(packet)
+                mine = np.flatnonzero(dealt == target)
+                size[mine] = counts
+                start[mine] = total + np.cumsum(counts) - counts
+                total += int(counts.sum())
+                flat.append(_integers(planes))
+            tokens = np.concatenate(flat)
+            codes = _integers(_grow(left.column("codes")[block].as_py()))
             stop = 0
             for doc, n in zip(left.column("ids")[block].as_py(), left.column("lengths")[block].as_py(), strict=True):
-                row = codes[stop : stop + n].tolist()
+                mine = _gather(tokens, start, size, codes[stop : stop + n])
                 stop += n
                 docs.append(doc)
-                ids.append(b"".join([ids_of[c] for c in row]))
-                decoded.append(b"".join([bytes_of[c] for c in row]))
+                ids.append(mine.astype("<u4").tobytes())
+                decoded.append(_gather(data, data_start, data_size, mine).tobytes())
         return pa.table({"doc_id": pa.array(docs, pa.int64()), "token_ids": pa.array(ids, pa.binary()), "decoded": pa.array(decoded, pa.binary())})
 
     return run
@@ -184,12 +253,13 @@ def bpe_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     path = ranks_path or public_path(DEFAULT_RANKS)
     pattern = pattern or public_tokenizers.PATTERN
+    targets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    blocks = materialise(source.mapInArrow(_blocks(pattern, block_bytes), "block long, ids array<long>, lengths array<int>, codes binary, words array<string>"))
-    listed = blocks.select("block", F.posexplode("words").alias("pos", "word"))
-    encoded = listed.repartition("word").mapInArrow(_encode(path), "block long, pos int, token_ids binary")
+    blocks = materialise(source.mapInArrow(_blocks(pattern, block_bytes, targets), "block long, ids array<long>, lengths array<int>, codes binary, dealt binary, packets array<binary>"))
+    packets = blocks.select("block", F.posexplode("packets").alias("target", "words")).filter("octet_length(words) > 0")
+    encoded = packets.repartitionById(targets, "target").mapInArrow(_encode(path), "block long, target int, token_ids binary")
     return (
-        blocks.select("block", "ids", "lengths", "codes")
+        blocks.select("block", "ids", "lengths", "codes", "dealt")
         .groupBy("block")
         .cogroup(encoded.groupBy("block"))
         .applyInArrow(_reassemble(path), "doc_id long, token_ids binary, decoded binary")
