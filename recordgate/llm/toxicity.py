@@ -93,26 +93,34 @@ def features(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(index, 1), np.concatenate(weight, 1)
 
 
-def project(symbols: np.ndarray, tables: np.ndarray) -> np.ndarray:
-    """Normalised kernel sums of each word against each row of ``tables`` (rows of 2**20 feature weights)."""
+def project(symbols: np.ndarray, tables: np.ndarray, number: np.ndarray | None = None) -> np.ndarray:
+    """Normalised kernel sums of each word against each row of ``tables``, whose columns are features, or ``number`` of features."""
     out = np.empty((len(symbols), len(tables)), np.float32)
     for lo in range(0, len(symbols), 4096):
         index, weight = features(symbols[lo : lo + 4096])
         norm = np.sqrt((weight**2).sum(1)) + 1e-9
+        if number is not None:
+            index = number[index]
         for k, t in enumerate(tables):
             out[lo : lo + 4096, k] = (t[index] * weight).sum(1) / norm
     return out
 
 
-def kernel_rows(symbols: np.ndarray) -> np.ndarray:
-    """Feature tables of (few) words, normalised."""
+def kernel_rows(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Feature tables of (few) words, normalised: (number of each feature, the features numbered, rows of weights by number).
+
+    Only features of these words have numbers; number 0 stands for all others and weighs nothing.
+    """
     index, weight = features(symbols)
     norm = np.sqrt((weight**2).sum(1)) + 1e-9
-    out = np.zeros((len(symbols), 1 << 20), np.float32)
+    numbered = np.unique(index[(weight > 0) & (index > 0)])
+    number = np.zeros(1 << 20, np.int32)
+    number[numbered] = np.arange(1, len(numbered) + 1)
+    out = np.zeros((len(symbols), len(numbered) + 1), np.float32)
     for i in range(len(symbols)):
-        np.add.at(out[i], index[i], weight[i] / norm[i])
+        np.add.at(out[i], number[index[i]], weight[i] / norm[i])
     out[:, 0] = 0
-    return out
+    return number, numbered, out
 
 
 @dataclass
@@ -176,14 +184,14 @@ def train(texts: list[str], labels: list[int]) -> Model:
     top = np.argsort(-lift, kind="stable")[: LANDMARKS[0]]
     plain = np.flatnonzero(clean > 0)
     marks = np.unique(np.concatenate([top, rng.permutation(plain)[: LANDMARKS[1]]]))
-    rows = kernel_rows(symbols[marks])
-    gram = project(symbols[marks], rows)
+    number, numbered, rows = kernel_rows(symbols[marks])
+    gram = project(symbols[marks], rows, number)
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     good = values > 1e-4
     half = vectors[:, good] / np.sqrt(values[good])  # Nyström: k(x, L) K_LL^(-1/2)
 
     def nystrom(which: np.ndarray) -> np.ndarray:
-        x = project(symbols[which], rows) @ half
+        x = project(symbols[which], rows, number) @ half
         return np.concatenate([x, np.full((len(x), 1), 0.5)], 1)
 
     positive = np.flatnonzero((toxic >= 3) & (toxic >= 0.8 * (toxic + clean)))
@@ -196,7 +204,8 @@ def train(texts: list[str], labels: list[int]) -> Model:
         sign = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
         cost = np.where(sign > 0, np.minimum(20.0, toxic[which] + 1), 2.0)
         w = _svm(nystrom(which), sign, cost)
-        table_ = ((half @ w[:-1]).astype(np.float32)[:, None] * rows).sum(0)
+        table_ = np.zeros(1 << 20, np.float32)
+        table_[numbered] = ((half @ w[:-1]).astype(np.float32)[:, None] * rows).sum(0)[1:]
         margin = project(symbols, table_[None])[:, 0] + 0.5 * w[-1]
         # witnesses: the greatest word of each document, if it is particular to its label
         order = np.lexsort((margin[pairs[:, 1]], pairs[:, 0]))
