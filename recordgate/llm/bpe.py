@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordgate.llm.common import materialise, public_path, table
+from recordgate.llm.common import materialise_by, public_path, table
 
 DEFAULT_RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Letters of the Latin blocks, where Python's ``re`` and the Unicode classes of the pattern agree.
@@ -255,7 +255,8 @@ def bpe_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pattern = pattern or public_tokenizers.PATTERN
     targets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    blocks = materialise(source.mapInArrow(_blocks(pattern, block_bytes, targets), "block long, ids array<long>, lengths array<int>, codes binary, dealt binary, packets array<binary>"))
+    cut = source.mapInArrow(_blocks(pattern, block_bytes, targets), "block long, ids array<long>, lengths array<int>, codes binary, dealt binary, packets array<binary>")
+    blocks = materialise_by(cut, "block", targets)
     packets = blocks.select("block", F.posexplode("packets").alias("target", "words")).filter("octet_length(words) > 0")
     encoded = packets.repartitionById(targets, "target").mapInArrow(_encode(path), "block long, target int, token_ids binary")
     return (
