@@ -10,6 +10,7 @@ they stand. Evidence needs two different contexts, so copies of one passage prov
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,23 +59,26 @@ def _valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
-def _matches(text: Column, pattern: str) -> Column:
-    """Array of (value, start): the matches, and their starts from the lengths of what lies between."""
+def _matches(text: Column, pattern: str, keep: Callable[[Column], Column]) -> Column:
+    """Array of (value, start): the matches that ``keep`` accepts, with starts from the lengths of what lies between.
+
+    Texts between and matches are zipped before the fold, so each is made once and not once per match.
+    """
     between = F.split(text, pattern, -1)
-    zero = F.struct(F.length(between[0]).alias("at"), F.lit(1).alias("i"), F.array().cast("array<struct<value:string,start:int>>").alias("out"))
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    steps = F.zip_with(between, matches, lambda b, m: F.struct(F.length(b).alias("skip"), m.alias("value")))
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<value:string,start:int>>").alias("out"))
 
-    def step(acc: Column, m: Column) -> Column:
-        return F.struct(
-            (acc["at"] + F.length(m) + F.length(F.get(between, acc["i"]))).alias("at"),
-            (acc["i"] + 1).alias("i"),
-            F.concat(acc["out"], F.array(F.struct(m.alias("value"), acc["at"].alias("start")))).alias("out"),
-        )
+    def step(acc: Column, s: Column) -> Column:
+        start = acc["at"] + s["skip"]
+        found = F.concat(acc["out"], F.array(F.struct(s["value"].alias("value"), start.alias("start"))))
+        return F.struct((start + F.coalesce(F.length(s["value"]), F.lit(0))).alias("at"), F.when(s["value"].isNotNull() & keep(s["value"]), found).otherwise(acc["out"]).alias("out"))
 
-    return F.aggregate(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), zero, step, lambda acc: acc["out"])
+    return F.aggregate(steps, zero, step, lambda acc: acc["out"])
 
 
 def _spans(text: Column, kind: str, pattern: str, rank: int) -> Column:
-    kept = F.filter(_matches(text, pattern), lambda m: _valid(kind, m["value"]))
+    kept = _matches(text, pattern, lambda m: _valid(kind, m))
     return F.transform(kept, lambda m: F.struct(F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), m["start"].alias("start"), (m["start"] + F.length(m["value"])).alias("stop"), m["value"].alias("value")))
 
 
@@ -140,7 +144,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         kind = F.when(F.element_at("terms", F.lower(m["value"])) <= REMOVE, "term").otherwise("general")
         return F.struct(F.lit(5).alias("rank"), kind.alias("kind"), m["start"].alias("start"), (m["start"] + F.length(m["value"])).alias("stop"), m["value"].alias("value"))
 
-    hits = F.filter(_matches(F.col("text"), TERM), lambda m: F.map_contains_key("terms", F.lower(m["value"])))
+    hits = _matches(F.col("text"), TERM, lambda m: F.map_contains_key("terms", F.lower(m)))
     extra = F.when(F.col("terms").isNotNull(), F.transform(hits, to_span)).otherwise(F.array().cast(f"array<{SPAN}>"))
     marked = marked.select("doc_id", "text", "row", "base", F.concat("base", extra).alias("spans"))
     return marked.withColumn("sanitised", _sanitised(F.col("text"), F.col("spans")))
