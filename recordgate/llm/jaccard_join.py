@@ -10,7 +10,8 @@
    pivot and, by the triangle inequality, to every pivot within twice the radius of that distance;
    regions join recursively. Documents within the radius of a pivot are linked to it, and regions
    whose members are connected already are not split further. Components too large for a task
-   are split by the same rule in Spark rounds; a region that no pivot splits is compared in blocks.
+   are split by the same rule in Spark rounds, slice by slice; of a region that no pivot splits, what
+   lies outside its largest connected part is compared with all its members, in blocks.
 """
 
 from __future__ import annotations
@@ -31,6 +32,12 @@ RADIUS = 1 - PERCENT / 100
 #: Documents of a region that one task joins in memory.
 LEAF = 4096
 PIVOTS = 8
+#: Bytes of shingles of such a region: a few long texts fill a task as well.
+LEAF_BYTES = 48 << 20
+#: A child region with this share of its parent is no split.
+STUCK = 0.9
+#: Documents and bytes of a slice of a larger region.
+SLICE, SLICE_BYTES = 2048, 12 << 20
 #: Shingles that a comparison gathers at once.
 WORK = 300_000
 
@@ -240,12 +247,10 @@ def metric_components(packed: list[bytes], pivots: int = PIVOTS, leaf: int = 24)
             continue
         nearest = far.min(0)
         inside = far <= nearest + 2 * RADIUS + 1e-9
-        for k in range(len(chosen)):
-            region = members[inside[k]]
-            if len(region) < 0.9 * len(members):
-                stack.append((region, depth + 1))
-            else:
-                _rest_against_all(sets, union, region)
+        if inside.sum(1).max() < STUCK * len(members):
+            stack += [(members[near], depth + 1) for near in inside]
+        else:
+            _rest_against_all(sets, union, members)
     return union.label
 
 
@@ -262,11 +267,44 @@ def _rest_against_all(sets: _Sets, union: _Union, members: np.ndarray) -> None:
     """A region that pivots do not split: its members outside the largest part against all others."""
     labels, count = np.unique(union.label[members], return_counts=True)
     largest = labels[count.argmax()]
-    for i in members[union.label[members] != largest]:
-        near = members[(union.label[members] != union.label[i]) & (100 * np.minimum(sets.size[members], sets.size[i]) >= PERCENT * np.maximum(sets.size[members], sets.size[i]))]
-        if len(near):
-            _, linked = sets.compare(i, near)
-            union.join(i, near[linked])
+    _some_against_all(sets, union, members[union.label[members] != largest], members)
+
+
+def _some_against_all(sets: _Sets, union: _Union, some: np.ndarray, members: np.ndarray) -> None:
+    held = None
+    for i in some:
+        near = (union.label[members] != union.label[i]) & (100 * np.minimum(sets.size[members], sets.size[i]) >= PERCENT * np.maximum(sets.size[members], sets.size[i]))
+        if near.any():
+            held = held or _Postings(sets, members)
+            both = held.common(sets.of(i))
+            union.join(i, members[near & (100 * both >= PERCENT * (sets.size[i] + sets.size[members] - both))])
+
+
+class _Postings:
+    """Members of a region by shingle, for many comparisons with all of them."""
+
+    def __init__(self, sets: _Sets, members: np.ndarray):
+        count = sets.size[members]
+        at = np.arange(count.sum()) + np.repeat(sets.start[members] - (np.cumsum(count) - count), count)
+        order = np.argsort(sets.value[at], kind="stable")
+        self.value = sets.value[at][order]
+        self.who = np.repeat(np.arange(len(members), dtype=np.int32), count)[order]
+        self.n = len(members)
+
+    def common(self, one: np.ndarray) -> np.ndarray:
+        """Size of the intersection of the set ``one`` with each member."""
+        lo = np.searchsorted(self.value, one, "left")
+        count = np.searchsorted(self.value, one, "right") - lo
+        stop = np.cumsum(count)
+        total, first = np.zeros(self.n, np.int64), 0
+        while first < len(one):
+            done = stop[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(stop, done + WORK, "right")))
+            c = count[first:last]
+            at = np.arange(c.sum()) + np.repeat(lo[first:last] - (np.cumsum(c) - c), c)
+            total += np.bincount(self.who[at], minlength=self.n)
+            first = last
+        return total
 
 
 EDGES = "src long, dst long"
@@ -285,78 +323,116 @@ def _leaf(t: pa.Table) -> pa.Table:
 # --- regions beyond one task --------------------------------------------------------------------
 
 
-def _assign(batches):
-    """Links to the pivots of a region, and the regions a member goes to."""
-    for b in batches:
-        src, dst, region, rep, packed = [], [], [], [], []
-        for home, r, shingles, pivots in zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in ("region", "rep", "shingles", "pivots")), strict=True):
-            sets = _Sets([p["shingles"] for p in pivots])
-            mine = np.frombuffer(shingles, np.uint64)
-            both = sets.common(mine, np.arange(len(pivots)))
-            union = len(mine) + sets.size - both
-            for k in np.flatnonzero(100 * both >= PERCENT * union):
-                src.append(r)
-                dst.append(pivots[k]["rep"])
-            far = 1 - both / union
-            for k in np.flatnonzero(far <= far.min() + 2 * RADIUS + 1e-9):
-                region.append(f"{home}/{pivots[k]['rep']}")
-                rep.append(r)
-                packed.append(shingles)
-        n, m = len(src), len(rep)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([None] * n + region, pa.string()), pa.array(src + rep, pa.int64()), pa.array(dst + [None] * m, pa.int64()), pa.array([None] * n + packed, pa.binary())],
-            ["region", "rep", "dst", "shingles"],
-        )
-
-
-def _block_pairs(t: pa.Table) -> pa.Table:
-    """One pair of blocks of a region that no pivot splits: every pair of its members."""
-    packed, rep = t.column("shingles").to_pylist(), t.column("rep").to_numpy()
-    sets, union = _Sets(packed), _Union(len(packed))
-    _all_pairs(sets, union, np.arange(len(packed)))
-    linked = union.label != np.arange(len(packed))
-    return pa.table({"src": pa.array(rep[linked], pa.int64()), "dst": pa.array(rep[union.label[linked]], pa.int64())})
+def _assign(members: pa.Table, pivots: pa.Table) -> pa.Table:
+    """Links of one slice of a region to its pivots, and the regions that its members go to."""
+    src, dst, region, rep = [], [], [], []
+    if members.num_rows and pivots.num_rows:
+        home, of_pivot = members.column("region")[0].as_py(), pivots.column("rep").to_pylist()
+        ids = members.column("rep").to_numpy()
+        sets = _Sets(members.column("shingles").to_pylist())
+        far, everyone = np.empty((len(of_pivot), len(ids))), np.arange(len(ids))
+        for k, packed in enumerate(pivots.column("shingles").to_pylist()):
+            one = np.frombuffer(packed, np.uint64)
+            both = sets.common(one, everyone)
+            union = len(one) + sets.size - both
+            far[k] = 1 - both / union
+            linked = ids[100 * both >= PERCENT * union]
+            src.append(linked)
+            dst.append(np.full(len(linked), of_pivot[k]))
+        for k, near in enumerate(far <= far.min(0) + 2 * RADIUS + 1e-9):
+            region += [f"{home}/{of_pivot[k]}"] * int(near.sum())
+            rep.append(ids[near])
+    src, dst, rep = (np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (src, dst, rep))
+    n, m = len(src), len(rep)
+    home = members.column("region")[0].as_py() if members.num_rows else None
+    return pa.table(
+        {"parent": pa.array([home] * (n + m), pa.string()), "region": pa.array([None] * n + region, pa.string()), "rep": pa.array(np.concatenate([src, rep])), "dst": pa.array([*dst.tolist(), *[None] * m], pa.int64())}
+    )
+
+
+def _rest_with_slice(rest: pa.Table, members: pa.Table) -> pa.Table:
+    """Links between some members of a region and one slice of it, but for those that are connected already."""
+    n = rest.num_rows
+    rep = np.concatenate([rest.column("rep").to_numpy(), members.column("rep").to_numpy()])
+    label = np.concatenate([rest.column("component").to_numpy(), members.column("component").to_numpy()])
+    sets, union = _Sets(rest.column("shingles").to_pylist() + members.column("shingles").to_pylist()), _Union(len(rep))
+    _, first, which = np.unique(label, return_index=True, return_inverse=True)
+    union.label = first[which]
+    known = union.label.copy()
+    _some_against_all(sets, union, np.arange(n), np.arange(n, len(rep)))
+    # one link for each part that was joined to another
+    new = np.unique(known[union.label != known])
+    return pa.table({"src": pa.array(rep[new], pa.int64()), "dst": pa.array(rep[union.label[new]], pa.int64())})
+
+
+def _n_slices(count: str, n_bytes: str):
+    return F.greatest(F.ceil(F.col(count) / SLICE), F.ceil(F.col(n_bytes) / SLICE_BYTES), F.lit(1)).cast("int")
+
+
+def _each(n):
+    return F.explode(F.sequence(F.lit(0), n - 1))
+
+
+def _dealt(n):
+    return F.pmod(F.xxhash64("rep", F.lit(7)), n).cast("int")
+
+
+def _grouped(rows: DataFrame, keys: list[str], columns: list[str]):
+    """Groups of ``rows`` under attributes of their own, so that two sides with one source can meet."""
+    return rows.select(*[F.col(c).alias(c) for c in [*keys, *columns]]).groupBy(*keys)
+
+
+def _union_all(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for x in frames[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+def _unsplit(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links of regions that no pivot splits: what lies outside a region's largest part, in blocks, against all its slices."""
+    known = materialise(members.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep")))
+    of_part = known.groupBy("region", "component").agg(F.count("*").alias("n"), F.sum(F.octet_length("shingles")).alias("b"))
+    shape = of_part.groupBy("region").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.sum("n").alias("count"), F.sum("b").alias("n_bytes"), F.max(F.struct("n", "component", "b")).alias("most"))
+    shape = shape.select("region", "largest", _n_slices("count", "n_bytes").alias("n_slices"), (F.col("count") - F.col("most.n")).alias("rest"), (F.col("n_bytes") - F.col("most.b")).alias("rest_bytes"))
+    shape = shape.filter("rest > 0").select("region", "largest", "n_slices", _n_slices("rest", "rest_bytes").alias("n_blocks"))
+    known = known.join(shape, "region").select("region", "rep", "component", "shingles", "largest", "n_slices", "n_blocks")
+    rest = known.filter("component <> largest").withColumn("block", _dealt(F.col("n_blocks"))).withColumn("slice", _each(F.col("n_slices")))
+    every = known.withColumn("slice", _dealt(F.col("n_slices"))).withColumn("block", _each(F.col("n_blocks")))
+    at, columns = ["region", "slice", "block"], ["rep", "component", "shingles"]
+    return materialise(_grouped(rest, at, columns).cogroup(_grouped(every, at, columns)).applyInArrow(_rest_with_slice, EDGES))
 
 
 def _split(members: DataFrame, leaf: int, rounds: int = 6) -> tuple[DataFrame, list[DataFrame]]:
-    """Regions of at most ``leaf`` members, and the links found on the way. Runs only if some region is larger."""
+    """Regions that a task can hold, and the links found on the way. Rounds run only while some region is larger."""
     links: list[DataFrame] = []
     small: list[DataFrame] = []
-    before = None
     for depth in range(rounds + 1):
-        sizes = members.groupBy("region").count()
-        large = materialise(sizes.filter(F.col("count") > leaf))
-        n_large = large.agg(F.count("*"), F.max("count")).first()
-        if not n_large[0]:
+        sizes = members.groupBy("region").agg(F.count("*").alias("count"), F.sum(F.octet_length("shingles")).alias("n_bytes"))
+        large = materialise(sizes.filter((F.col("count") > leaf) | ((F.col("count") > 1) & (F.col("n_bytes") > LEAF_BYTES))).withColumn("n_slices", _n_slices("count", "n_bytes")))
+        if not large.count():
             small.append(members)
             break
         small.append(members.join(large, "region", "left_anti"))
         mine = members.join(large, "region")
-        if depth == rounds or (before is not None and n_large[1] >= 0.9 * before):
-            # blocks of half a leaf; each pair of blocks is one group, so a task holds at most a leaf
-            blocks = mine.withColumn("n_blocks", F.ceil(F.col("count") * 3 / leaf).cast("int")).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n_blocks")).cast("int"))
-            pairs = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-            pairs = pairs.select("region", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "rep", "shingles")
-            links.append(materialise(pairs.groupBy("region", "p", "q").applyInArrow(_block_pairs, EDGES)))
-            break
-        before = n_large[1]
         share = F.pmod(F.xxhash64("rep", F.lit(depth)), F.col("count")) < 2 * PIVOTS
         least = mine.groupBy("region").agg(F.min("rep").alias("rep")).withColumn("least", F.lit(True))
-        chosen = mine.join(least, ["region", "rep"], "left").filter(share | F.col("least").isNotNull())
-        pivots = chosen.groupBy("region").agg(F.collect_list(F.struct("rep", "shingles")).alias("pivots"))
-        assigned = materialise(mine.select("region", "rep", "shingles").join(pivots, "region").mapInArrow(_assign, "region string, rep long, dst long, shingles binary"))
+        pivots = mine.join(least, ["region", "rep"], "left").filter(share | F.col("least").isNotNull()).withColumn("slice", _each(F.col("n_slices")))
+        at, columns = ["region", "slice"], ["rep", "shingles"]
+        sliced = _grouped(mine.withColumn("slice", _dealt(F.col("n_slices"))), at, columns)
+        assigned = materialise(sliced.cogroup(_grouped(pivots, at, columns)).applyInArrow(_assign, "parent string, region string, rep long, dst long"))
         links.append(assigned.filter("region is null and rep <> dst").select(F.col("rep").alias("src"), "dst"))
-        found = links[0]
-        for x in links[1:]:
-            found = found.unionByName(x)
-        labels = connected_components(found).withColumnRenamed("node", "rep")
-        labelled = assigned.filter("region is not null").select("region", "rep", "shingles").join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        labels = connected_components(_union_all(links)).withColumnRenamed("node", "rep")
+        children = assigned.filter("region is not null").select("parent", "region", "rep")
+        widest = children.groupBy("parent", "region").agg(F.count("*").alias("n")).groupBy(F.col("parent").alias("region")).agg(F.max("n").alias("widest"))
+        judged = materialise(large.join(widest, "region").select("region", (F.lit(depth == rounds) | (F.col("widest") >= STUCK * F.col("count"))).alias("stuck")))
+        links.append(_unsplit(members.join(judged.filter("stuck").select("region"), "region", "left_semi"), labels))
+        going = children.join(judged.filter("not stuck").select(F.col("region").alias("parent")), "parent", "left_semi")
+        labelled = going.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         apart = labelled.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("region")
-        members = materialise(labelled.join(apart, "region", "left_semi").select("region", "rep", "shingles"))
-    out = small[0]
-    for x in small[1:]:
-        out = out.unionByName(x)
-    return out, links
+        kept = labelled.join(apart, "region", "left_semi").select("parent", "region", "rep").distinct()
+        members = materialise(kept.join(members.select(F.col("region").alias("parent"), "rep", "shingles"), ["parent", "rep"]).select("region", "rep", "shingles"))
+    return _union_all(small), links
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leaf: int = LEAF) -> DataFrame:
@@ -386,9 +462,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     members = materialise(texts.join(inside, "doc_id").select("region", "doc_id", "text").mapInArrow(_sets, "region string, rep long, shingles binary"))
     regions, links = _split(members, leaf)
     edges = regions.groupBy("region").applyInArrow(_leaf, EDGES)
-    for x in links:
-        edges = edges.unionByName(x)
-    labels = connected_components(edges)
+    labels = connected_components(_union_all([edges, *links]))
     of_class = classes.join(labels, F.col("rep") == F.col("node"), "left").select("s1", "s2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     judged = features.select("doc_id", "n_shingles", "s1", "s2").join(of_class, ["s1", "s2", "n_shingles"], "left")
     out = judged.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
