@@ -26,6 +26,8 @@ from recordgate.llm.common import groups, materialise, mix, semi_join_by_size, s
 from recordgate.llm.components import connected_components
 
 CHUNK = 1 << 20
+#: Bytes of keys that a task works on at once.
+KEY_CHUNK = 2 << 20
 #: Radius of the join as a fraction: links have 100 * intersection >= 80 * union.
 PERCENT = 80
 RADIUS = 1 - PERCENT / 100
@@ -33,7 +35,7 @@ RADIUS = 1 - PERCENT / 100
 LEAF = 4096
 PIVOTS = 8
 #: Bytes of shingles of such a region: a few long texts fill a task as well.
-LEAF_BYTES = 48 << 20
+LEAF_BYTES = 24 << 20
 #: A child region with this share of its parent is no split.
 STUCK = 0.9
 #: Documents and bytes of a slice of a larger region.
@@ -104,30 +106,26 @@ FEATURE_NAMES = ["doc_id", "n_shingles", "s1", "s2", "keys", "parts"]
 
 
 def _features(batches):
-    for b in batches:
-        ids_all, n_all, s1, s2, keys = [], [], [], [], []
-        for ids, buf, offsets in text_chunks([b], "doc_id", "text", CHUNK):
-            owner, value = shingle_sets(buf, offsets)
-            first = np.searchsorted(owner, np.arange(len(ids) + 1))
-            n = np.diff(first)
-            for out, salt in ((s1, 0x243F6A8885A308D3), (s2, 0x13198A2E03707344)):
-                total = np.zeros(len(value) + 1, np.uint64)
-                np.cumsum(_hash(value, salt), out=total[1:])
-                out.append((total[first[1:]] - total[first[:-1]]).view(np.int64))
-            ids_all.append(ids)
-            n_all.append(n)
-            keys += piece_keys(owner, value, n)
-        if ids_all:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(ids_all), pa.int64()), pa.array(np.concatenate(n_all), pa.int64()), pa.array(np.concatenate(s1)), pa.array(np.concatenate(s2)), pa.array([np.concatenate([x[2] for x in k]).tobytes() if k else b"" for k in keys], pa.binary()), pa.array([[y for c, need, x in k for y in (c, need, len(x))] for k in keys], pa.list_(pa.int32()))],
-                FEATURE_NAMES,
-            )
+    for ids, buf, offsets in text_chunks(batches, "doc_id", "text", CHUNK):
+        owner, value = shingle_sets(buf, offsets)
+        first = np.searchsorted(owner, np.arange(len(ids) + 1))
+        n = np.diff(first)
+        sums = []
+        for salt in (0x243F6A8885A308D3, 0x13198A2E03707344):
+            total = np.zeros(len(value) + 1, np.uint64)
+            np.cumsum(_hash(value, salt), out=total[1:])
+            sums.append((total[first[1:]] - total[first[:-1]]).view(np.int64))
+        keys = piece_keys(owner, value, n)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), *map(pa.array, sums), pa.array([np.concatenate([x[2] for x in k]).tobytes() if k else b"" for k in keys], pa.binary()), pa.array([[y for c, need, x in k for y in (c, need, len(x))] for k in keys], pa.list_(pa.int32()))],
+            FEATURE_NAMES,
+        )
 
 
 def _sketch_keys(bits: int):
     def run(batches):
-        for b in batches:
-            yield count_min.sketch(np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint64), bits)
+        for _, buf, _ in text_chunks(batches, "doc_id", "keys", KEY_CHUNK):
+            yield count_min.sketch(buf.view(np.uint64), bits)
 
     return run
 
@@ -137,16 +135,19 @@ def _repeated_keys(bits: int, shared):
 
     def run(batches):
         for b in batches:
-            parts = b.column(2).to_pylist()
-            keys = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint64)
-            triples = np.array([x for p in parts for x in p], np.int64).reshape(-1, 3)
-            rep = np.repeat(b.column(0).to_numpy(), [len(p) // 3 for p in parts])
-            which = np.repeat(np.arange(len(triples)), triples[:, 2])
-            keep = count_min.repeated(shared.value, keys, bits)
-            enough = np.bincount(which[keep], minlength=len(triples)) >= triples[:, 1]
-            keep &= enough[which]
-            which = which[keep]
-            yield pa.RecordBatch.from_arrays([pa.array(keys[keep].view(np.int64)), pa.array(rep[which], pa.int64()), pa.array(triples[which, 0], pa.int32()), pa.array(triples[which, 1], pa.int32())], ["key", "rep", "size_class", "need"])
+            at, column = 0, b.column(b.schema.get_field_index("parts"))
+            for ids, buf, _ in text_chunks([b], "doc_id", "keys", KEY_CHUNK):
+                parts = column.slice(at, len(ids)).to_pylist()
+                at += len(ids)
+                keys = buf.view(np.uint64)
+                triples = np.array([x for p in parts for x in p], np.int64).reshape(-1, 3)
+                rep = np.repeat(ids, [len(p) // 3 for p in parts])
+                which = np.repeat(np.arange(len(triples)), triples[:, 2])
+                keep = count_min.repeated(shared.value, keys, bits)
+                enough = np.bincount(which[keep], minlength=len(triples)) >= triples[:, 1]
+                keep &= enough[which]
+                which = which[keep]
+                yield pa.RecordBatch.from_arrays([pa.array(keys[keep].view(np.int64)), pa.array(rep[which], pa.int64()), pa.array(triples[which, 0], pa.int32()), pa.array(triples[which, 1], pa.int32())], ["key", "rep", "size_class", "need"])
 
     return run
 
