@@ -8,14 +8,25 @@ from pyspark.sql import functions as F
 from recordgate.functions.text import event_id, null_like_json, nullif_blank, strip
 
 NODE = "array<struct<path:array<int>,name:string,json:string,type:string>>"
+#: Levels of objects and arrays (``data`` is the first) that a message may have; deeper ones are refused whole.
+MAX_DEPTH = 8
 
 
-def decode(messages: DataFrame) -> DataFrame:
+def too_deep(json: Column, max_depth: int = MAX_DEPTH) -> Column:
+    """Whether a JSON object nests more than ``max_depth`` objects and arrays, as ``walk`` counts them: each pass takes the innermost brackets."""
+    strings = r'"[^"\\]*+(?:\\[\s\S][^"\\]*+)*+"|' + r"'[^'\\]*+(?:\\[\s\S][^'\\]*+)*+'"
+    left = F.regexp_replace(F.regexp_replace(json, strings, ""), r"[^\[\]{}]++", "")
+    for _ in range(max_depth):
+        left = F.regexp_replace(left, r"\{\}|\[\]", "")
+    return F.from_json(json, "map<string,string>").isNotNull() & (left != "")
+
+
+def decode(messages: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     """event_id, seq, query_id, data (compact JSON of the data object), reason of refusal."""
     text = null_like_json(F.col("payload"))
     env = F.from_json(text, "map<string,string>")
     out = messages.select("seq", event_id(F.col("msg_id"), F.col("jms_id")).alias("event_id"), F.col("payload"), env.alias("env"))
-    reason = F.when(nullif_blank(F.col("payload")).isNull(), "EMPTY_PAYLOAD").when(F.col("env").isNull(), "BAD_JSON")
+    reason = F.when(nullif_blank(F.col("payload")).isNull(), "EMPTY_PAYLOAD").when(F.col("env").isNull(), "BAD_JSON").when(too_deep(F.col("env")["data"], max_depth), "TOO_DEEP")
     return out.select("seq", "event_id", F.coalesce(nullif_blank(F.col("env")["dfw_query_id"]), "event_id").alias("query_id"), F.col("env")["data"].alias("data"), reason.alias("reason"))
 
 
@@ -29,7 +40,7 @@ def _children(json: Column, kind: Column, path: Column) -> Column:
     return F.transform(found, lambda c, i: F.struct(F.concat(path, F.array(i)).alias("path"), c["name"].alias("name"), c["json"].alias("json"), c["type"].alias("type"))).cast(NODE)
 
 
-def walk(decoded: DataFrame, max_depth: int = 5) -> DataFrame:
+def walk(decoded: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     """Every object of ``data``: seq, path (pre-order when sorted), name, json, depth; ``too_deep`` marks what is left.
 
     One lineage: each level emits the node itself, closed, and its children, open.
@@ -46,10 +57,14 @@ def walk(decoded: DataFrame, max_depth: int = 5) -> DataFrame:
 
 
 def mappings(objects: DataFrame) -> DataFrame:
-    """Long table of mapped values: seq, block, path, pos, field (logical name, as given), value (text or null)."""
+    """Long table of mapped values: seq, block, path, pos, field (logical name, as given), value (text or null).
+
+    Objects marked too_deep are an error: ``decode`` has refused such messages unless it was given another depth than ``walk``.
+    """
     m = F.from_json("json", "map<string,string>")
     keep = [c for c in objects.columns if c not in ("json", "name", "type", "too_deep")]
-    rows = objects.filter(F.col("type").startswith("OBJECT")).select(*keep, m.alias("m")).select(*keep, "m", F.posexplode(F.map_entries("m")).alias("pos", "e"))
+    whole = F.when(F.col("too_deep"), F.raise_error(F.concat(F.lit("message too deep for this walk: seq "), F.col("seq").cast("string"))).cast("boolean")).otherwise(F.col("type").startswith("OBJECT"))
+    rows = objects.filter(whole).select(*keep, m.alias("m")).select(*keep, "m", F.posexplode(F.map_entries("m")).alias("pos", "e"))
     named = rows.filter(F.col("e.key").startswith("mapping.") & ~F.lower(strip(F.coalesce("e.value", F.lit("")))).isin("", "none"))
     return named.select(*keep, "pos", F.col("e.value").alias("field"), F.try_element_at("m", F.substring(F.col("e.key"), F.lit(9), F.length("e.key"))).alias("value"))
 

@@ -64,11 +64,12 @@ def resolved(decoded: DataFrame, policy: Policy) -> DataFrame:
     return found.withColumn("reason", reason).drop("has_rules")
 
 
-def scope_values(messages: DataFrame, policy: Policy, max_depth: int = 5) -> tuple[DataFrame, DataFrame]:
+def scope_values(messages: DataFrame, policy: Policy, max_depth: int = flatten.MAX_DEPTH) -> tuple[DataFrame, DataFrame]:
     """seq, control_area, scope ('' or an excluded block), field, value, flag: the folded maps of every scope; and the names that main scopes lost.
 
     The main scope loses every name that an excluded block maps at its top level, even where another
     block shares it. An excluded block is judged by the message's rules; its own area gives the flag.
+    ``max_depth`` is the one that ``decode`` was given; messages that are TOO_DEEP have no scope.
     """
     long = staged(flatten.mappings(flatten.walk(messages, max_depth)))
     keys = messages.select("seq", "control_area", "dataset_code")

@@ -42,6 +42,31 @@ def test_too_deep_is_marked(spark):
     assert flatten.walk(flatten.decode(message(spark, doc)), 2).filter("too_deep").count() == 1
 
 
+def nested(levels, name="BASE.Note", leaf=None):
+    """A message whose mapped value lies in an object at path length ``levels``."""
+    inner = {"x": leaf, "mapping.x": name}
+    for i in range(levels - 1):
+        inner = [inner] if i % 2 else {"c": inner}
+    return {"dfw_query_id": "q", "data": {"baseInfo": {"dataset_code": "D.Base.A", "n": "x", "mapping.n": "BASE.Name"}, "b": inner}}
+
+
+def test_depth_is_whole_or_refused(spark):
+    tricky = nested(7, leaf="ok")
+    tricky["data"]["baseInfo"]["n"] = '[{"[{[{[{[{[{\\'
+    source = message(spark, nested(6), nested(7), nested(8), nested(9), tricky)
+    rules, now = registry.load_policy(spark), F.lit("2024-01-01 00:00:00").cast("timestamp")
+    decoded = flatten.decode(source)
+    by_walk = {r.seq for r in flatten.walk(decoded.withColumn("reason", F.lit(None).cast("string"))).filter("too_deep").collect()}
+    assert {r.seq: r.reason for r in validate.resolved(decoded, rules).collect()} == {i: "TOO_DEEP" if i in by_walk else None for i in range(5)}
+    assert by_walk == {2, 3}
+    long = flatten.normalized(flatten.mappings(flatten.walk(decoded)))
+    assert sorted(r.seq for r in long.filter("field = 'BASE.Note'").collect()) == [0, 1, 4]
+    answers, rejects = gate.process(source, rules, registry.PREDICATES, now)
+    got = {r.seq: json.loads(r.answer)["data"]["details"]["fields"] for r in answers.collect()}
+    assert {i: f["BASE.Note"] for i, f in got.items()} == {0: "WARNING", 1: "WARNING", 4: "SUCCESS"}
+    assert {r.seq: r.reason for r in rejects.collect()} == {2: "TOO_DEEP", 3: "TOO_DEEP"}
+
+
 def test_versions_and_handlers(spark):
     rows = [(1, '{"cacheName":" politics ","version":4}'), (2, '{"cacheName":"politics","version":3}'), (3, '{"cacheName":"politics","version":5}'), (4, "{"), (5, '{"cacheName":"handler","handler":"DotNet","version":0}'), (6, '{"cacheName":"handler","handler":"x","version":0}')]
     events = src.decode_control(spark.createDataFrame(rows, "seq long, value string"))
