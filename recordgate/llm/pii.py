@@ -85,9 +85,8 @@ def _spans(text: Column, kind: str, pattern: str, rank: int) -> Column:
 def base_spans(text: Column) -> Column:
     """Array of SPAN, by kind, then start."""
     none = F.array().cast(f"array<{SPAN}>")
-    needs = {"email": text.contains("@"), "phone": text.contains("+")}
-    digit = text.rlike("[0-9]{2}|[0-9][.]")
-    return F.concat(*[F.when(needs.get(kind, digit), _spans(text, kind, pattern, rank)).otherwise(none) for kind, pattern, rank in KINDS])
+    needs = {"email": text.contains("@"), "ip": text.rlike("[0-9][.]"), "card": text.rlike(r"[0-9][\x20-]?[0-9]"), "phone": text.contains("+")}
+    return F.concat(*[F.when(needs[kind], _spans(text, kind, pattern, rank)).otherwise(none) for kind, pattern, rank in KINDS])
 
 
 def joined(spans: Column) -> Column:

@@ -114,6 +114,16 @@ def test_pii(spark):
     assert got[-1].sanitised == ""
 
 
+@pytest.mark.parametrize("sep", [" ", "-"])
+def test_pii_card_with_every_digit_separated(spark, sep):
+    card = sep.join("4" + "1" * 15)
+    rows = [(1, f"pay with {card} today"), (2, "at 1.2.3.4"), (3, "one 1 only")]
+    got = {r.doc_id: r for r in pii.sanitise(docs(spark, rows)).collect()}
+    assert [(s.kind, s.start, s.stop) for s in got[1].base] == [("card", 9, 9 + len(card))]
+    assert got[1].sanitised == "pay with [CARD] today"
+    assert (got[2].sanitised, got[3].sanitised) == ("at [IP]", "one 1 only")
+
+
 def test_toxicity_learns_and_tolerates_insertions():
     rng = random.Random(1)
     words = ["alpha", "river", "stone", "under", "light", "paper", "green", "table", "house", "cloud"]
