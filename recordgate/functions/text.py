@@ -40,8 +40,8 @@ def mask_config(key: Column, value: Column) -> Column:
 
 
 def mask_json(payload: Column, keys: list[str]) -> Column:
-    """Scalars of the given keys (any case, any depth) in compact JSON become the mask."""
-    return F.regexp_replace(payload, rf'(?i)"({"|".join(keys)})":("(?:[^"\\]|\\.)*"|[-0-9.eE+]+|true|false)', rf'"$1":"{MASK}"')
+    """Scalars of the given keys (any case, any depth) in compact JSON become the mask, and so does a string that the text's end cuts off."""
+    return F.regexp_replace(payload, rf'(?i)"({"|".join(keys)})":("(?:[^"\\]++|\\.)*+(?:"|\\?\z)|[-0-9.eE+]+|true|false)', rf'"$1":"{MASK}"')
 
 
 def mask_map(m: Column, keys: list[str]) -> Column:

@@ -99,6 +99,11 @@ def _masked(spark, sf):
     return src.derived_messages(spark, sf).filter("seq % 17 <> 8 and seq % 31 <> 15").select("seq", F.regexp_extract(text.mask_json(F.col("payload"), ["fullname", "balance"]), r'"fullName":("[^"]*"|null),"segment":"[^"]*","balance":"?([^,"]*)', 0).alias("masked"))
 
 
+def _masked_whole(spark, sf):
+    """The whole masked payload of every message, cut-off and blank ones too."""
+    return src.derived_messages(spark, sf).select("seq", text.mask_json(F.col("payload"), ["fullname", "balance"]).alias("masked"))
+
+
 def _replies(spark, sf):
     good = _resolved(spark, sf).filter("reason is null")
     answers = validate.short_answers(good, _evaluated(spark, sf), F.lit("2024-01-01 00:00:00").cast("timestamp"))
@@ -126,6 +131,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "detail_bucket": lambda s, d: validate.detail_buckets(_evaluated(s, d)),
         "replies": _replies,
         "mask_json": _masked,
+        "mask_json_whole": _masked_whole,
         "version_acceptance": lambda s, d: policy.accepted_versions(_control(s, d)),
         "handler_changes": lambda s, d: policy.handler_changes(_control(s, d)),
         "handler_asof": _handler_asof,
@@ -155,6 +161,18 @@ _VALUES = f"""{_BASE},
     union all select seq, 'DOC.Number', cast(o_orderkey as varchar), r from ok join top on o_custkey = k and r <= 3 where k % 29 <> 14
     union all select seq, 'ADDR.City', n_name, 0 from ok union all select seq, 'ADDR.City', r_name, 1 from ok)"""
 
+_MASKED = f"""{_BASE},
+  card as (select o_custkey, string_agg('{{"elemId":"ID","number":"' || o_orderkey || '","primary":true,"mapping.number":"DOC.Number"}}', ',' order by r) cards from top where r <= 3 group by o_custkey),
+  part as (select seq, k, '{{"dfw_query_id":"q' || k || '","data":{{"baseInfo":{{' || case when k % 19 = 9 then '' else '"dataset_code":"' || case when k % 23 = 11 then 'D.Unknown' when k % 2 = 0 then 'D.Base.A' else 'D.Base.B' end || '",' end || '"fullName":' before,
+      case when k % 11 = 5 then '"none"' else '"' || c_name || '"' end secret1, ',"segment":"' || c_mktsegment || '","balance":' between_, cast(cast(c_acctbal as decimal(12, 2)) as varchar) secret2,
+      ',"note":' || case when k % 7 = 3 then '"  "' else '"x"' end || ',"gender":' || case k % 3 when 0 then '"MALE"' when 1 then '"female"' else '"other"' end
+        || ',"mapping.fullName":"BASE.Name","mapping.segment":' || case when k % 13 = 6 then 'null' else '"BASE,Segment"' end || ',"mapping.balance":"BASE.Balance","mapping.note":"BASE.Note","mapping.gender":"{GENDER_FIELD}"}}'
+        || case when k % 29 = 14 then '' else ',"documents":{{"clientIdCard":[' || coalesce(cards, '') || ']}}' end
+        || ',"homeAddress":{{' || case when k % 19 = 9 then '' else '"dataset_code":"D.Home",' end || '"city":"' || n_name || '","mapping.city":"ADDR.City"}}'
+        || ',"registrationAddress":{{' || case when k % 19 = 9 then '' else '"dataset_code":"D.Reg",' end || '"city":"' || r_name || '","mapping.city":"ADDR.City"}}}}}}' after_
+    from c left join card on o_custkey = k),
+  cut as (select *, length(before || secret1 || between_ || secret2) shown, length(before || secret1 || between_ || secret2 || after_) // 2 half from part)"""
+
 _RULES = f"""{_BASE},
   rule as (
     select seq, '' scope, 'BASE.Name' field, 'Rule1001' rule_name, k % 11 = 5 hit, false raised, 'name is missing' txt from good
@@ -205,6 +223,8 @@ def oracle_sql() -> dict[str, str]:
         "detail_bucket": f"with {_RULES}, f as (select seq, scope, field, string_agg(rule_ || '=' || status, ',' order by rule_) rules from res group by seq, scope, field) select seq, scope, string_agg(field || ': ' || rules, '; ' order by field) bucket from f group by seq, scope",
         "replies": f"with {_RULES} select lpad(upper(to_hex(seq)), 16, '0') || repeat('0', 32) event_id, 'q' || seq query_id, process_status, all_result from rec",
         "mask_json": f"""with {_BASE} select seq, '"fullName":"***","segment":"' || c_mktsegment || '","balance":"***' masked from ok""",
+        "mask_json_whole": f"""with {_MASKED} select seq, case when k % 31 = 15 then ' ' || chr(9) || ' ' else before || '"***"' || between_ || '"***"'
+            || case when k % 17 <> 8 then after_ when half >= shown then substr(after_, 1, half - shown) end end masked from cut""",
         "version_acceptance": f"with {_CONTROL} select seq, cache, version from acc",
         "handler_changes": f"with {_CONTROL} select seq, handler from hc",
         "handler_asof": f"with {_CONTROL} select c_custkey seq, coalesce((select max_by(handler, hc.seq) from hc where hc.seq <= c_custkey), 'flink') handler from customer",

@@ -2,8 +2,10 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
+from recordgate.functions import text
 from recordgate.operators import flatten, policy, validate
 from recordgate.plans import registry
 from recordgate.sources import messages as src
@@ -67,6 +69,25 @@ def test_depth_is_whole_or_refused(spark):
     assert {r.seq: r.reason for r in rejects.collect()} == {2: "TOO_DEEP", 3: "TOO_DEEP"}
 
 
+def test_mask_reaches_broken_payloads(spark):
+    payloads = ['{"a":{"INN":"12","b":1},"inn":-3.5,"x":"inn"}', '{"inn":"12","x":[{"inn":"345', '{"inn":"12\\\\', '{"inn":"1\\"2","x":1', " ", None]
+    source = spark.createDataFrame(list(enumerate(payloads)), "seq long, payload string")
+    got = {r.seq: r.masked for r in source.select("seq", text.mask_json(F.col("payload"), ["inn"]).alias("masked")).collect()}
+    assert got == {0: '{"a":{"INN":"***","b":1},"inn":"***","x":"inn"}', 1: '{"inn":"***","x":[{"inn":"***"', 2: '{"inn":"***"', 3: '{"inn":"***","x":1', 4: " ", 5: None}
+
+
+def test_whole_masked_payloads_equal_sql(spark):
+    duckdb = pytest.importorskip("duckdb")
+    sf = "/root/testdata/sf0.001"
+    db = duckdb.connect()
+    for name in ("customer", "nation", "region", "orders"):
+        db.sql(f"create view {name} as select * from '{sf}/{name}.parquet'")
+    want = dict(db.sql(registry.oracle_sql()["mask_json_whole"]).fetchall())
+    got = {r.seq: r.masked for r in registry.queries()["mask_json_whole"](spark, sf).collect()}
+    assert got == want and len(got) == db.sql("select count(*) from customer").fetchall()[0][0]
+    assert {8, 15} <= got.keys()
+
+
 def test_versions_and_handlers(spark):
     rows = [(1, '{"cacheName":" politics ","version":4}'), (2, '{"cacheName":"politics","version":3}'), (3, '{"cacheName":"politics","version":5}'), (4, "{"), (5, '{"cacheName":"handler","handler":"DotNet","version":0}'), (6, '{"cacheName":"handler","handler":"x","version":0}')]
     events = src.decode_control(spark.createDataFrame(rows, "seq long, value string"))
