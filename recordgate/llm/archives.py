@@ -125,7 +125,7 @@ def _with_version_blocks(version: int, per_file: int):
             lo = 0
             while lo < b.num_rows:
                 if n % per_file == 0:
-                    yield pa.RecordBatch.from_arrays([pa.array([block], b.column(0).type)], ["value"])
+                    yield pa.RecordBatch.from_arrays([pa.array([block], b.column(0).type)], schema=b.schema)
                 take = min(b.num_rows - lo, per_file - n % per_file)
                 yield b.slice(lo, take)
                 lo, n = lo + take, n + take
@@ -133,15 +133,20 @@ def _with_version_blocks(version: int, per_file: int):
     return run
 
 
+def _page_line(page_id: Column) -> Column:
+    """The head's line with the page_id; none where that is null."""
+    return F.coalesce(F.concat(F.lit("\r\nX-Page-Id: "), page_id.cast("string")), F.lit(""))
+
+
 def _http(payload: Column, page_id: Column) -> Column:
-    return F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nX-Page-Id: "), page_id.cast("string"), F.lit("\r\nContent-Length: "), F.octet_length(payload).cast("string"), F.lit("\r\n\r\n"), payload)
+    return F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8"), _page_line(page_id), F.lit("\r\nContent-Length: "), F.octet_length(payload).cast("string"), F.lit("\r\n\r\n"), payload)
 
 
 def write_arc(pages: DataFrame, path: str, version: int, per_file: int = RECORDS_PER_FILE) -> None:
     """Write page_id, url, html as ARC files of the given version. Null html: an empty payload."""
     block = _http(F.coalesce("html", F.lit("")), F.col("page_id"))
     url = F.regexp_replace(F.coalesce("url", F.lit("about:blank")), r"[\s\x00-\x1f]", "%20")
-    shared = [url, F.lit("192.0.2.1"), F.date_format(F.timestamp_seconds(F.lit(1704067200) + F.pmod("page_id", F.lit(31_536_000))), "yyyyMMddHHmmss"), F.lit("text/html")]
+    shared = [url, F.lit("192.0.2.1"), F.date_format(F.timestamp_seconds(F.lit(1704067200) + F.coalesce(F.pmod("page_id", F.lit(31_536_000)), F.lit(0))), "yyyyMMddHHmmss"), F.lit("text/html")]
     extra = [F.lit("200"), F.lit("-"), F.lit("-"), F.lit("0"), F.lit("recordgate.arc")] if version == 2 else []
     lines = pages.withColumn("block", block).select(F.concat(F.concat_ws(" ", *shared, *extra, F.octet_length("block").cast("string")), F.lit("\n"), F.col("block")).alias("value"))
     lines.mapInArrow(_with_version_blocks(version, per_file), "value string").write.option("maxRecordsPerFile", per_file + 1).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
@@ -153,7 +158,7 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def assign_types(records: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
-    """record_type and refers_to: of equal payloads of at least ``least`` bytes the largest page_id answers, others revisit it."""
+    """record_type and refers_to: of equal payloads of at least ``least`` bytes the largest page_id answers, others revisit it; without a page_id, a response."""
     sized = records.filter(F.col("payload_bytes") >= least)
     answers = sized.groupBy("payload_digest").agg(F.max("page_id").alias("answer"))
     known = records.join(answers, "payload_digest", "left")
@@ -161,9 +166,10 @@ def assign_types(records: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
     return known.select(*records.columns, F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("answer")).alias("refers_to"))
 
 
-def record_id(page_id: Column) -> Column:
-    """A name-based identifier, the same at every conversion."""
-    h = F.sha1(F.concat(F.lit("recordgate:"), page_id.cast("string")))
+def record_id(page_id: Column, nameless: Column | None = None) -> Column:
+    """A name-based identifier, the same at every conversion; ``nameless`` is the name where page_id is null."""
+    name = page_id.cast("string") if nameless is None else F.coalesce(page_id.cast("string"), nameless)
+    h = F.sha1(F.concat(F.lit("recordgate:"), name))
     part = lambda a, n: F.substring(h, a, n)
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", part(1, 8), part(9, 4), F.concat(F.lit("5"), part(14, 3)), F.concat(F.lit("8"), part(18, 3)), part(21, 12)), F.lit(">"))
 
@@ -171,7 +177,7 @@ def record_id(page_id: Column) -> Column:
 def write_warc(records: DataFrame, path: str, per_file: int = RECORDS_PER_FILE) -> None:
     """Write rows of ``assign_types`` as WARC 1.1 files. Revisits keep the HTTP head and no payload."""
     payload = F.col("payload").cast("string")
-    head = F.concat(F.lit("HTTP/1.1 "), F.col("status").cast("string"), F.lit(" OK\r\nContent-Type: "), F.col("mime"), F.lit("\r\nX-Page-Id: "), F.col("page_id").cast("string"), F.lit("\r\nContent-Length: "), F.col("payload_bytes").cast("string"), F.lit("\r\n\r\n"))
+    head = F.concat(F.lit("HTTP/1.1 "), F.col("status").cast("string"), F.lit(" OK\r\nContent-Type: "), F.col("mime"), _page_line(F.col("page_id")), F.lit("\r\nContent-Length: "), F.col("payload_bytes").cast("string"), F.lit("\r\n\r\n"))
     block = F.when(F.col("record_type") == "revisit", head).otherwise(F.concat(head, payload))
     date = F.date_format(F.to_timestamp("date", "yyyyMMddHHmmss"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     end = F.lit("\r\n")
@@ -179,7 +185,7 @@ def write_warc(records: DataFrame, path: str, per_file: int = RECORDS_PER_FILE)
     named = F.concat(
         F.lit("WARC/1.1\r\n"),
         field("WARC-Type", F.col("record_type")),
-        field("WARC-Record-ID", record_id(F.col("page_id"))),
+        field("WARC-Record-ID", record_id(F.col("page_id"), F.concat("url", F.lit(" "), "payload_digest"))),
         field("WARC-Date", date),
         field("WARC-Target-URI", F.col("url")),
         field("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
@@ -223,14 +229,14 @@ def base32_digest(hex_digest: str) -> str:
 def convert_pages(pages: DataFrame) -> DataFrame:
     """``pages`` written as ARC files of both versions, converted to WARC files, and read back.
 
-    Null html is an empty payload. Rows without a page_id cannot be referred to and are left out.
+    Null html is an empty payload. Rows without a page_id cannot be referred to and become responses.
     Repeated rows give repeated records. An empty table gives an empty result.
     """
     spark = pages.sparkSession
     base = shared_dir(spark)
-    source = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).filter("page_id is not null")
+    source = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     for version in (1, 2):
-        write_arc(source.filter(F.pmod("page_id", F.lit(2)) == version - 1), f"{base}/arc/v{version}", version)
+        write_arc(source.filter(F.coalesce(F.pmod("page_id", F.lit(2)), F.lit(0)) == version - 1), f"{base}/arc/v{version}", version)
     write_warc(assign_types(read_arc(spark, f"{base}/arc")), f"{base}/warc")
     return read_warc(spark, f"{base}/warc")
 

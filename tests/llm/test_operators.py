@@ -162,6 +162,14 @@ def test_archives(spark):
     assert got == {i: (len(b), hashlib.sha1(b).hexdigest(), "revisit" if i == 2 else "response", 3 if i == 2 else None) for i, b in data.items()}
 
 
+def test_archives_keep_rows_without_page_id(spark):
+    rows = [(None, "u", "é" * 600), (2, "u", "é" * 600), (3, "u", "é" * 600), (None, "v", "é" * 600), (None, None, None)]
+    got = archives.convert_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    want = [(None, "u", 1200, "response", None), (None, "v", 1200, "response", None), (None, "about:blank", 0, "response", None), (2, "u", 1200, "revisit", 3), (3, "u", 1200, "response", None)]
+    assert sorted(map(str, [(r.page_id, r.url, r.payload_bytes, r.record_type, r.refers_to) for r in got])) == sorted(map(str, want))
+    assert len({r.record_id for r in got}) == 5 and all(r.record_id for r in got)
+
+
 def test_html():
     page = '<html><head><title>T</title></head><body><nav><a href="/">Home</a></nav><div class="cookie-notice">We use cookies on this site for the good of all.</div><article><h1>Head &amp; more</h1><p>The first of\n the lines is here for you to read and it is long enough.<p>Short.</article><div id="comments"><p>I liked it.</p></div><footer>c</footer>'
     assert html_extract.main_text(page) == "Head & more\nThe first of the lines is here for you to read and it is long enough.\nShort."
