@@ -147,31 +147,43 @@ def words(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def word_hashes(buf: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word: its 8-byte blocks, each mixed with its place, summed and mixed with the length.
+
+    No polynomial: words cannot be built to collide by algebra (as Thue-Morse words do modulo 2**64).
+    """
     if not len(starts):
         return np.zeros(0, np.uint64)
+    wide = np.lib.stride_tricks.as_strided(np.concatenate([buf, np.zeros(8, np.uint8)]).view(np.uint8), (len(buf) + 1, 8), (1, 1))
     lengths = stops - starts
-    total = int(lengths.sum())
-    first = np.cumsum(lengths) - lengths
-    within = np.arange(total) - np.repeat(first, lengths)
-    at = within + np.repeat(starts, lengths)
-    value = BYTE[buf[at]] * powers(int(ODD), int(lengths.max()))[within]
+    blocks = (lengths + 7) >> 3
+    first = np.cumsum(blocks) - blocks
+    step = np.arange(int(blocks.sum())) - np.repeat(first, blocks)
+    at = np.repeat(starts, blocks) + 8 * step
+    block = np.ascontiguousarray(wide[at]).view("<u8")[:, 0]
+    left = np.minimum(np.repeat(stops, blocks) - at, 8).astype(np.uint64)
+    block &= np.uint64(MASK64) >> ((np.uint64(8) - left) << np.uint64(3))
+    value = mix(block ^ mix(step.astype(np.uint64) + ODD))
     return mix(np.add.reduceat(value, first) ^ (lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
 
 
+def _then(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of a run from the hashes of its two parts, in order."""
+    return mix(a * ODD + b)
+
+
 def rolling(h: np.ndarray, k: int) -> np.ndarray:
-    """Hash of each run of ``k`` neighbours of ``h`` (a polynomial modulo 2**64, then mixed)."""
+    """Hash of each run of ``k`` neighbours of ``h``, put together from runs of 1, 2, 4, ... (mixed at each step)."""
     n = len(h) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    if k <= 8:
-        out = np.zeros(n, np.uint64)
-        for j, p in enumerate(powers(int(ODD), k)):
-            out += h[j : j + n] * p
-        return mix(out)
-    base = int(ODD)
-    total = np.zeros(len(h) + 1, np.uint64)
-    np.cumsum(h * powers(base, len(h)), out=total[1:])
-    return mix((total[k:] - total[:-k]) * powers(pow(base, -1, 1 << 64), n))
+    out, taken, size, run = None, 0, 1, h
+    while True:
+        if k & size:
+            part = run[taken : taken + n]
+            out, taken = (part if out is None else _then(out, part)), taken + size
+        if taken == k:
+            return mix(out ^ np.uint64(k))
+        run, size = _then(run[:-size], run[size:]), 2 * size
 
 
 def sliding_min(a: np.ndarray, w: int) -> np.ndarray:
@@ -216,7 +228,7 @@ def shingle_sets(buf: np.ndarray, offsets: np.ndarray, k: int = 5):
         extra = []
         for d, b in zip(short, begin, strict=True):
             c = int(counts[d])
-            extra.append((h[b : b + c] * powers(int(ODD), c)).sum(dtype=np.uint64))
+            extra.append(int(rolling(h[b : b + c], c)[0]))
         owner = np.concatenate([owner, short])
         value = np.concatenate([value, mix(np.array(extra, np.uint64) ^ np.uint64(0xA0761D6478BD642F))])
     order = np.lexsort((value, owner))

@@ -10,8 +10,9 @@
    pivot and, by the triangle inequality, to every pivot within twice the radius of that distance;
    regions join recursively. Documents within the radius of a pivot are linked to it, and regions
    whose members are connected already are not split further. Components too large for a task
-   are split by the same rule in Spark rounds, slice by slice; of a region that no pivot splits, what
-   lies outside its largest connected part is compared with all its members, in blocks.
+   are split by the same rule in Spark rounds, slice by slice; a split must
+   cost fewer pairs than it saves, else what lies outside the region's largest connected part is
+   compared, in blocks, with all members that share one of its rarest shingles.
 """
 
 from __future__ import annotations
@@ -36,10 +37,13 @@ LEAF = 4096
 PIVOTS = 8
 #: Bytes of shingles of such a region: a few long texts fill a task as well.
 LEAF_BYTES = 24 << 20
-#: A child region with this share of its parent is no split.
-STUCK = 0.9
+#: A split must pay: no child with this share of its parent, children of at most this multiple of it in all, and at
+#: most this share of its pairs (so all levels together never compare more pairs than the region has).
+STUCK, SPREAD, PAIRS = 0.9, 1.5, 0.75
 #: Documents and bytes of a slice of a larger region.
 SLICE, SLICE_BYTES = 2048, 12 << 20
+#: Members beyond which one set is compared with a region by counting its shingles there.
+MANY = 64
 #: Shingles that a comparison gathers at once.
 WORK = 300_000
 
@@ -180,6 +184,7 @@ class _Sets:
         self.size = np.array([len(p) // 8 for p in packed], np.int64)
         self.value = np.frombuffer(b"".join(packed), np.uint64)
         self.start = np.cumsum(self.size) - self.size
+        self.compared = 0
 
     def common(self, one: np.ndarray, members: np.ndarray) -> np.ndarray:
         """Sizes of the intersections of the set ``one`` with each member, some members at a time."""
@@ -205,6 +210,7 @@ class _Sets:
 
     def compare(self, i: int, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distance of each member to set ``i``, and whether it is linked."""
+        self.compared += len(members)
         both = self.common(self.of(i), members)
         union = self.size[i] + self.size[members] - both
         return 1 - both / union, 100 * both >= PERCENT * union
@@ -223,8 +229,18 @@ class _Union:
         return len(np.unique(self.label[members])) < 2
 
 
-def metric_components(packed: list[bytes], pivots: int = PIVOTS, leaf: int = 24) -> np.ndarray:
+def pays(children: np.ndarray, parent: int) -> bool:
+    """Whether child regions of these sizes are less work than their parent."""
+    return children.max() < STUCK * parent and children.sum() <= SPREAD * parent and (children.astype(float) ** 2).sum() <= PAIRS * float(parent) ** 2
+
+
+def metric_components(packed: list[bytes], pivots: int = PIVOTS, leaf: int = 128) -> np.ndarray:
     """Label of each set: the least index it is linked with, directly or through others."""
+    return join_region(packed, pivots, leaf)[0]
+
+
+def join_region(packed: list[bytes], pivots: int = PIVOTS, leaf: int = 128) -> tuple[np.ndarray, int]:
+    """As ``metric_components``, and the number of distances computed."""
     sets, union = _Sets(packed), _Union(len(packed))
     stack = [(np.arange(len(packed)), 0)]
     while stack:
@@ -248,11 +264,11 @@ def metric_components(packed: list[bytes], pivots: int = PIVOTS, leaf: int = 24)
             continue
         nearest = far.min(0)
         inside = far <= nearest + 2 * RADIUS + 1e-9
-        if inside.sum(1).max() < STUCK * len(members):
+        if pays(inside.sum(1), len(members)):
             stack += [(members[near], depth + 1) for near in inside]
         else:
             _rest_against_all(sets, union, members)
-    return union.label
+    return union.label, sets.compared
 
 
 def _all_pairs(sets: _Sets, union: _Union, members: np.ndarray) -> None:
@@ -272,17 +288,69 @@ def _rest_against_all(sets: _Sets, union: _Union, members: np.ndarray) -> None:
 
 
 def _some_against_all(sets: _Sets, union: _Union, some: np.ndarray, members: np.ndarray) -> None:
-    held = None
+    """Links between ``some`` and ``members`` that join parts.
+
+    Linked sets share a shingle among the first ``n - ceil(0.8 n) + 1`` of each in any common
+    order; in the order of rarity among ``members`` few others do. Only those are compared.
+    """
+    if not len(some) or not len(members):
+        return
+    held, counted = _Prefixes(sets, members), None
+    done = np.zeros(len(sets.size), bool)
     for i in some:
-        near = (union.label[members] != union.label[i]) & (100 * np.minimum(sets.size[members], sets.size[i]) >= PERCENT * np.maximum(sets.size[members], sets.size[i]))
-        if near.any():
-            held = held or _Postings(sets, members)
-            both = held.common(sets.of(i))
-            union.join(i, members[near & (100 * both >= PERCENT * (sets.size[i] + sets.size[members] - both))])
+        at = held.near(sets.of(i))
+        # of two that are both in ``some``, the first meets the second
+        at = at[~done[members[at]] & (union.label[members[at]] != union.label[i])]
+        done[i] = True
+        other = members[at]
+        fit = 100 * np.minimum(sets.size[other], sets.size[i]) >= PERCENT * np.maximum(sets.size[other], sets.size[i])
+        at, other = at[fit], other[fit]
+        if len(other) > MANY:  # its rarest shingles are frequent ones: count all its shingles in one pass
+            counted = counted or _Postings(sets, members)
+            both = counted.common(sets.of(i))[at]
+            sets.compared += len(other)
+            union.join(i, other[100 * both >= PERCENT * (sets.size[i] + sets.size[other] - both)])
+        elif len(other):
+            _, linked = sets.compare(i, other)
+            union.join(i, other[linked])
+
+
+def _prefix_sizes(n: np.ndarray) -> np.ndarray:
+    return n - -(-n * PERCENT // 100) + 1
+
+
+class _Prefixes:
+    """Members of a region by the rarest shingles of each."""
+
+    def __init__(self, sets: _Sets, members: np.ndarray):
+        count = sets.size[members]
+        at = np.arange(count.sum()) + np.repeat(sets.start[members] - (np.cumsum(count) - count), count)
+        value = sets.value[at]
+        self.known, back, often = np.unique(value, return_inverse=True, return_counts=True)
+        # the place of each shingle in the common order: the rarest first, ties by hash
+        self.place = np.empty(len(often), np.int64)
+        self.place[np.argsort(often, kind="stable")] = np.arange(len(often))
+        who = np.repeat(np.arange(len(members)), count)
+        place = self.place[back]
+        order = np.lexsort((place, who))
+        step = np.arange(len(order)) - np.repeat(np.cumsum(count) - count, count)
+        first = step < np.repeat(_prefix_sizes(count), count)
+        who, place = who[order][first], place[order][first]
+        by = np.argsort(place, kind="stable")
+        self.place_of, self.who = place[by], who[by]
+
+    def near(self, one: np.ndarray) -> np.ndarray:
+        """Indices of the members whose rarest shingles meet those of the set ``one``."""
+        at = np.minimum(np.searchsorted(self.known, one), len(self.known) - 1)
+        # shingles that no member has come before all others
+        place = np.sort(np.where(self.known[at] == one, self.place[at], -1))[: int(_prefix_sizes(np.array([len(one)]))[0])]
+        place = place[place >= 0]
+        lo, hi = np.searchsorted(self.place_of, place, "left"), np.searchsorted(self.place_of, place, "right")
+        return np.unique(np.concatenate([self.who[a:b] for a, b in zip(lo, hi, strict=True)])) if len(place) else np.zeros(0, np.int64)
 
 
 class _Postings:
-    """Members of a region by shingle, for many comparisons with all of them."""
+    """Members of a region by shingle, for comparisons with very many of them."""
 
     def __init__(self, sets: _Sets, members: np.ndarray):
         count = sets.size[members]
@@ -425,8 +493,10 @@ def _split(members: DataFrame, leaf: int, rounds: int = 6) -> tuple[DataFrame, l
         links.append(assigned.filter("region is null and rep <> dst").select(F.col("rep").alias("src"), "dst"))
         labels = connected_components(_union_all(links)).withColumnRenamed("node", "rep")
         children = assigned.filter("region is not null").select("parent", "region", "rep")
-        widest = children.groupBy("parent", "region").agg(F.count("*").alias("n")).groupBy(F.col("parent").alias("region")).agg(F.max("n").alias("widest"))
-        judged = materialise(large.join(widest, "region").select("region", (F.lit(depth == rounds) | (F.col("widest") >= STUCK * F.col("count"))).alias("stuck")))
+        shares = children.groupBy("parent", "region").agg(F.count("*").cast("double").alias("n")).groupBy(F.col("parent").alias("region"))
+        widest = shares.agg(F.max("n").alias("widest"), F.sum("n").alias("spread"), F.sum(F.col("n") * F.col("n")).alias("pairs"))
+        no_gain = (F.col("widest") >= STUCK * F.col("count")) | (F.col("spread") > SPREAD * F.col("count")) | (F.col("pairs") > PAIRS * F.col("count") * F.col("count"))
+        judged = materialise(large.join(widest, "region").select("region", (F.lit(depth == rounds) | no_gain).alias("stuck")))
         links.append(_unsplit(members.join(judged.filter("stuck").select("region"), "region", "left_semi"), labels))
         going = children.join(judged.filter("not stuck").select(F.col("region").alias("parent")), "parent", "left_semi")
         labelled = going.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))

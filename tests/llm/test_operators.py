@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from recordgate.llm import archives, bpe, decontaminate, html_extract, jaccard_join, mtree, pii, substring_bytes, substring_words, toxicity
+from recordgate.llm import archives, bpe, common, decontaminate, html_extract, jaccard_join, mtree, pii, substring_bytes, substring_words, toxicity
 from recordgate.llm.common import public_path
 
 DOC = "doc_id long, text string, extra string"
@@ -89,6 +89,65 @@ def test_jaccard_components(spark, leaf):
     assert got == {i: (len(s), root(i)) for i, s in sets.items()}
 
 
+def _near_equidistant(n, share, size=200, seed=4):
+    """``n`` unlinked sets, each pair of similarity about ``share``."""
+    rng = np.random.default_rng(seed)
+    base, keep = rng.integers(1, 2**62, size, dtype=np.uint64), int(size * 2 * share / (1 + share))
+    return [np.sort(np.concatenate([base[:keep], rng.integers(1, 2**62, size - keep, dtype=np.uint64)])).tobytes() for _ in range(n)]
+
+
+@pytest.mark.parametrize("share", [0.4, 0.55, 0.7])
+@pytest.mark.parametrize("n", [20, 46, 90, 300, 1000])
+def test_metric_join_never_compares_more_than_all_pairs(n, share):
+    label, compared = jaccard_join.join_region(_near_equidistant(n, share))
+    assert (label == np.arange(n)).all()
+    assert compared <= n * (n - 1) // 2 + 2 * jaccard_join.PIVOTS * n
+    label, compared = jaccard_join.join_region(_near_equidistant(n, share), leaf=8)
+    assert (label == np.arange(n)).all()
+    assert compared <= n * (n - 1) // 2 + 2 * jaccard_join.PIVOTS * n
+
+
+@pytest.mark.parametrize("leaf", [2, 8, 128])
+def test_metric_join_equals_brute_force(leaf):
+    rng = np.random.default_rng(8)
+    sets = []
+    for _ in range(8):
+        base = rng.integers(1, 2**62, 60, dtype=np.uint64)
+        for _ in range(40):
+            own = np.concatenate([base[rng.random(60) < rng.choice([0.8, 0.93, 1.0])], rng.integers(1, 2**62, int(rng.integers(0, 12)), dtype=np.uint64)])
+            sets.append(np.unique(own))
+    label = jaccard_join.metric_components([s.tobytes() for s in sets], leaf=leaf)
+    parent = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((parent[i], parent[j]))
+                parent = [a if x == b else x for x in parent]
+    assert label.tolist() == parent
+
+
+def _thue_morse(n=10):
+    word = "a"
+    for _ in range(n):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_thue_morse_words_are_unlike(spark):
+    """Two words that collide under any polynomial hash modulo 2**64."""
+    one, other = _thue_morse()
+    tail = " ".join(f"t{i}" for i in range(59))
+    rows = [(1, f"{one} {tail}"), (2, f"{other} {tail}"), (3, " ".join([one] * 8)), (4, " ".join([other] * 8))]
+    got = {r.doc_id: r.n_removed for r in substring_words.remove_repeated_windows(docs(spark, rows)).collect()}
+    assert got == {1: 0, 2: 59, 3: 0, 4: 0}
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(docs(spark, rows)).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4}
+    words = np.frombuffer(f"{one} {other}".encode(), np.uint8)
+    starts, stops, _ = common.words(words, np.array([0, len(words)]))
+    assert len(set(common.word_hashes(words, starts, stops).tolist())) == 2
+
+
 def test_contamination(spark):
     items = spark.createDataFrame([(1, "A b c d e f g"), (2, None), (3, "x y")], "item_id long, text string")
     got = decontaminate.contaminated(docs(spark, [*EDGE, (9, "zz a B c d e f g zz"), (10, "a b c d e q f g")]), items).collect()
