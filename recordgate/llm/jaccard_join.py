@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recordgate.llm import count_min
@@ -64,7 +64,8 @@ def piece_keys(owner: np.ndarray, value: np.ndarray, sizes: np.ndarray) -> list[
     With sizes a and b, linked sets differ in at most (a + b) / 9 shingles, so at most that many
     pieces differ: all nonempty pieces but that number (``need``) have an equal piece elsewhere, or
     the set is linked with nothing. A set that fills no more pieces than that (small ones, by
-    chance) also gives each of its shingles as a key, of which one must be found.
+    chance) also gives each of its shingles as a key; a linked set that shares no piece with it does
+    too, and they share at least 0.8 of them.
     """
     out: list[list[tuple[int, int, np.ndarray]]] = [[] for _ in sizes]
     slots, of, classes, differs = [], [], [], []
@@ -101,7 +102,7 @@ def piece_keys(owner: np.ndarray, value: np.ndarray, sizes: np.ndarray) -> list[
         out[of[e]].append((classes[e], max(1, hi - lo - differs[e]), key[lo:hi]))
         if hi - lo <= differs[e]:
             mine = value[first[of[e]] : first[of[e] + 1]]
-            out[of[e]].append((-classes[e], 1, _hash(mine, 0x61C8864680B583EB + classes[e])))
+            out[of[e]].append((-classes[e], -(-len(mine) * PERCENT // 100), _hash(mine, 0x61C8864680B583EB + classes[e])))
     return out
 
 
@@ -166,6 +167,18 @@ def _with_enough(rows: DataFrame) -> DataFrame:
     return materialise(rows.join(met.select("rep", "size_class"), ["rep", "size_class"], "left_semi"))
 
 
+def _rarest(rows: DataFrame) -> DataFrame:
+    """Rows without the ``need - 1`` most frequent keys of each set.
+
+    Two linked sets share ``need`` keys, so one of these is left to both. What frequent passages
+    have in common with everything no longer connects what is otherwise apart.
+    """
+    often = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    of_set = Window.partitionBy("rep", "size_class")
+    ranked = rows.join(often, "key").withColumn("rank", F.row_number().over(of_set.orderBy("n", "key"))).withColumn("total", F.count("*").over(of_set))
+    return materialise(ranked.filter("rank <= total - need + 1").select("key", "rep"))
+
+
 def _sets(batches):
     for b in batches:
         at, regions = 0, b.column(b.schema.get_field_index("region"))
@@ -525,7 +538,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     bits = count_min.cell_bits(n_keys)
     shared = count_min.merge(keyed.select("doc_id", "keys").mapInArrow(_sketch_keys(bits), count_min.SCHEMA), bits)
     rows = materialise(keyed.mapInArrow(_repeated_keys(bits, shared), "key long, rep long, size_class int, need int"))
-    rows = _with_enough(rows)
+    rows = _rarest(_with_enough(rows))
     cells = rows.join(_held_elsewhere(rows), "key").filter("rep <> dst").select(F.col("rep").alias("src"), "dst").distinct()
     coarse = connected_components(cells)
     inside = coarse.select(F.col("node").alias("doc_id"), F.col("component").cast("string").alias("region"))
