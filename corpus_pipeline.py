@@ -1,40 +1,66 @@
 """Corpus pipeline: toxicity, near-duplicate groups, contamination, sanitisation, byte-level BPE.
 
-Each stage reads what its predecessor has written. Filtering stages collect the keys of what they
-reject, write them, and keep all else.
+Each stage reads what its predecessor has written. The filtering stages keep every row but those
+they reject. A row is known by its doc_id; a row whose doc_id is null or held by several rows by a
+hash of doc_id and text as well, so each is judged by its own text, and rows equal in both are one
+document. Nulls in any column, empty texts and empty tables pass through; columns beyond those of
+documents are kept, whatever their names.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from recordgate.llm import toxicity
 from recordgate.llm.bpe import bpe_digests
-from recordgate.llm.common import anti_join_by_size, materialise, shared_dir, table
+from recordgate.llm.common import anti_join_by_size, left_join_by_size, materialise, shared_dir, table
 from recordgate.llm.decontaminate import contaminated
 from recordgate.llm.jaccard_join import jaccard_components
 from recordgate.llm.pii import sanitise
 
 
+def _own_name() -> str:
+    """A column name that no table has."""
+    return f"_own_{uuid.uuid4().hex}"
+
+
+def _with_key(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a long key of its documents: doc_id where one row has it, else a hash beyond the ids in use."""
+    key, many = _own_name(), _own_name()
+    repeated = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias(many)).filter(F.col(many) > 1).select("doc_id")
+    marked = left_join_by_size(docs, materialise(repeated).withColumn(many, F.lit(True)), "doc_id")
+    beyond = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+    own = F.col("doc_id").isNull() | F.col(many).isNotNull()
+    return marked.select(*docs.columns, F.when(own, beyond).otherwise(F.col("doc_id")).alias(key)), key
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below 0.5 by a model fitted on the labels."""
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    keyed = docs.select("*", F.xxhash64("text").alias("_text_key"))
-    rejected = toxicity.score(keyed, model, id_col="_text_key").filter("score >= 0.5").select(F.col("doc_id").alias("_text_key")).distinct()
-    return anti_join_by_size(keyed, materialise(rejected), "_text_key").select(docs.columns)
+    """Documents scored below 0.5 by a model fitted on the labels. Without labels of both kinds all stay."""
+    model, column = toxicity.fit(docs, table(spark, sf_dir, "labels")), _own_name()
+    scored = toxicity.with_score(docs, model, score_col=column)
+    return scored.filter(F.col(column) < 0.5).select(docs.columns) if model.learned else docs
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The least document of each group of near duplicates."""
-    others = jaccard_components(docs).filter("doc_id <> component_id").select("doc_id").distinct()
-    return anti_join_by_size(docs, materialise(others), "doc_id")
+    """The document of the least key of each group of near duplicates; of rows of one key that stay, one."""
+    keyed, key = _with_key(docs)
+    others = jaccard_components(keyed, id_col=key).filter("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct()
+    kept = anti_join_by_size(keyed, materialise(others), key)
+    alone, alike = kept.filter(F.col(key) < 1 << 62), kept.filter(F.col(key) >= 1 << 62)
+    place = _own_name()
+    first = alike.withColumn(place, F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(*docs.columns)))).filter(F.col(place) == 1)
+    return alone.unionByName(first.drop(place)).select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    leaked = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return anti_join_by_size(docs, materialise(leaked), "doc_id")
+    keyed, key = _with_key(docs)
+    leaked = contaminated(keyed, table(spark, sf_dir, "benchmark"), id_col=key).select(F.col("doc_id").alias(key)).distinct()
+    return anti_join_by_size(keyed, materialise(leaked), key).select(docs.columns)
 
 
 def sanitise_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

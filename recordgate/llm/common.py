@@ -16,18 +16,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_own_dirs: dict[str, str] = {}
+_staged: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new path below ``spark.checkpoint.dir``; where that is unset (tests), below a temporary folder."""
+    """A new path below ``spark.checkpoint.dir``.
+
+    Where that is unset: below a temporary folder if driver and executors are one local process,
+    else below the session's warehouse, which a cluster shares too.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        app = spark.sparkContext.applicationId
-        if app not in _own_dirs:
-            _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        base = _own_dirs[app]
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    if not base and re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        base = "file://" + tempfile.gettempdir()
+    elif not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{base.rstrip('/')}/staged-{uuid.uuid4().hex}"
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_staged(spark: SparkSession) -> int:
+    """Removes all intermediate tables of this application (results that read them must be written before); their number."""
+    paths = _staged.pop(spark.sparkContext.applicationId, [])
+    for t in spark.catalog.listTables():
+        if t.name.startswith("staged_"):
+            spark.sql(f"drop table if exists {t.name}")
+    jvm = spark.sparkContext._jvm
+    for x in paths:
+        at = jvm.org.apache.hadoop.fs.Path(x)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    return len(paths)
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -69,6 +87,13 @@ def anti_join_by_size(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return df.join(keys, key, "left_anti").select(df.columns)
 
 
+def left_join_by_size(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """All rows of ``df`` with what ``other`` has for its ``key`` (one row each); broadcast as above."""
+    if other.count() <= BROADCAST_KEYS:
+        other = F.broadcast(other)
+    return df.join(other, key, "left")
+
+
 # --- Arrow chunks -------------------------------------------------------------------------------
 
 

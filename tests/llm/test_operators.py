@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -183,19 +184,69 @@ def test_pii_card_with_every_digit_separated(spark, sep):
     assert (got[2].sanitised, got[3].sanitised) == ("at [IP]", "one 1 only")
 
 
+def _labelled(n, seed=1, share=8, insults=("gromblax", "pitifulon", "zwurqe", "мерзкун")):
+    rng = random.Random(seed)
+    parts = ["al", "pha", "ri", "ver", "sto", "ne", "un", "der", "li", "ght", "pa", "per", "gre", "en", "ta", "ble", "hou", "se", "clo", "ud", "сло", "во"]
+    word = lambda: "".join(rng.choice(parts) for _ in range(rng.randint(1, 4)))
+    texts, labels = [], []
+    for i in range(n):
+        w = [word() for _ in range(rng.randint(5, 80))]
+        labels.append(int(i % share == 0))
+        for _ in range(rng.randint(1, 3) if labels[-1] else 0):
+            w.insert(rng.randrange(len(w)), rng.choice(insults))
+        texts.append(" ".join(x + ("." if rng.random() < 0.1 else "") for x in w))
+    return texts, labels
+
+
+def _scores(model, texts):
+    return model.scores(model.describe(*toxicity._join(texts)))
+
+
 def test_toxicity_learns_and_tolerates_insertions():
-    rng = random.Random(1)
-    words = ["alpha", "river", "stone", "under", "light", "paper", "green", "table", "house", "cloud"]
-    texts = [" ".join(rng.choice(words) for _ in range(30)) for _ in range(120)]
-    labels = [i % 2 for i in range(120)]
-    texts = [t + (" gromblax pitifulon" if y else "") for t, y in zip(texts, labels, strict=True)]
-    model = toxicity.train(texts, labels)
-
-    def score(t):
-        b = np.frombuffer(t.encode(), np.uint8)
-        return float(model.scores(model.describe(b, np.array([0, len(b)])))[0])
-
-    assert score("river grom-blax stone pitif.ulon") > 0.5 > score("river stone light") and 0 <= score("") < 0.5
+    model = toxicity.train(*_labelled(600))
+    texts, labels = _labelled(200, seed=2)
+    right = (_scores(model, texts) >= 0.5) == np.array(labels, bool)
+    assert right[np.array(labels) == 1].mean() > 0.9 and right[np.array(labels) == 0].mean() > 0.97
+    plain = "river paper green table house cloud under light. "
+    gapped = [plain + x for x in ("grom-blax here", "pit.ifu.lon it is", "a gromxblax", "PITIFULLON", "м-е-р-з-к-у-н")]
+    assert (_scores(model, gapped) > 0.5).all(), _scores(model, gapped)
+    none = _scores(model, ["", " ", plain, "x" * 100_000, "paper " * 20_000])
+    assert ((none >= 0) & (none < 0.5)).all()
+
+
+def test_toxicity_without_both_labels():
+    for texts, labels in (([], []), (["a b", "c"], [0, 0]), (["a b"], [1]), (["", " "], [0, 1])):
+        s = _scores(toxicity.train(texts, labels), ["a b", ""])
+        assert ((s >= 0) & (s <= 1)).all()
+
+
+def test_toxicity_fit_and_score(spark):
+    """Copies and size move held-out figures little; nulls, repeats, clashing columns and empty tables are no trouble."""
+    schema = "doc_id long, text string, extra string, score string, row int"
+    texts, y = _labelled(1500, seed=5)
+    rows = [(i, t, "x", "y", 1) for i, t in enumerate(texts)]
+    marks = spark.createDataFrame([*[(i, k, "x") for i, k in enumerate(y)], (None, 1, "x"), (3, None, "x")], "doc_id long, toxic int, text string")
+    edge = [(None, "paper", None, None, None), (-1, None, None, None, None), (-2, "", "x", "y", 1), rows[0], rows[0]]
+
+    def caught(rows, marks, most=toxicity.SAMPLE_ROWS):
+        docs_ = spark.createDataFrame(rows, schema)
+        model = toxicity.fit(docs_, marks, rows=most)
+        got = toxicity.with_score(docs_, model, score_col="own").collect()
+        assert len(got) == len(rows)
+        held = [(r.own >= 0.5, y[r.doc_id]) for r in got if r.doc_id is not None and r.doc_id >= 0 and zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+        return [np.mean([a == bool(b) for a, b in held if b == k]) for k in (0, 1)]
+
+    plain = caught(rows + edge, marks)
+    assert plain[0] > 0.97 and plain[1] > 0.9
+    four = caught(rows * 4 + [(i, t + f" number{c} of it", "x", "y", 1) for c in range(2) for i, t in enumerate(texts)], marks)
+    assert abs(four[0] - plain[0]) <= 0.03 and abs(four[1] - plain[1]) <= 0.03
+    part = caught(rows, marks, most=300)
+    assert plain[0] >= part[0] - 0.01 and plain[1] >= part[1] - 0.01
+    empty = toxicity.fit(spark.createDataFrame([], schema), marks)
+    assert not empty.learned and 0 <= toxicity.score(spark.createDataFrame(edge, schema), empty).first().score <= 1
+    assert toxicity.score(spark.createDataFrame([], schema), empty).count() == 0
+    one = toxicity.fit(spark.createDataFrame(rows, schema), marks.filter("toxic = 0"))
+    assert not one.learned
 
 
 def test_top_k(spark):
