@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordgate.llm.common import materialise_by, public_path, table
+from recordgate.llm.common import materialise_by, public_path, table, tidy
 
 DEFAULT_RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Letters of the Latin blocks, where Python's ``re`` and the Unicode classes of the pattern agree.
@@ -143,6 +143,11 @@ def _gather(values: np.ndarray, start: np.ndarray, size: np.ndarray, which: np.n
 
 
 def _blocks(pattern: str, block_bytes: int, targets: int):
+    import public_tokenizers
+
+    # the fast pattern equals the public one on plain Latin texts, and no other
+    common = pattern == public_tokenizers.PATTERN
+
     def cut(batches):
         slow, seq, part = regex.compile(pattern), 0, TaskContext.get().partitionId()
         for batch in batches:
@@ -154,7 +159,7 @@ def _blocks(pattern: str, block_bytes: int, targets: int):
                 look = vocabulary.__getitem__
                 while hi < batch.num_rows and size < block_bytes:
                     text = texts[hi].as_py() or ""
-                    plain = _PLAIN.fullmatch(text)
+                    plain = common and _PLAIN.fullmatch(text)
                     row = np.fromiter(map(look, _FAST.findall(text) if plain else (m[0] for m in slow.finditer(text))), np.int32)
                     codes.append(row)
                     lengths.append(len(row))
@@ -202,7 +207,7 @@ def _encode(path: str):
                 for end in stop:
                     word, at = data[at:end], end
                     if (got := memo.get(word)) is None:
-                        if len(memo) >= 400_000:  # forgetting costs a second encoding, never a wrong one
+                        if len(memo) >= 200_000:  # forgetting costs a second encoding, never a wrong one
                             memo.clear()
                         got = memo[word] = encode_word(word, ranks)
                     counts.append(len(got))
@@ -242,7 +247,7 @@ def _reassemble(path: str):
     return run
 
 
-def bpe_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None, pattern: str | None = None, block_bytes: int = 16 << 20) -> DataFrame:
+def bpe_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None, pattern: str | None = None, block_bytes: int = 8 << 20) -> DataFrame:
     """doc_id, token_ids (little-endian unsigned 32-bit integers, see ``ids_array``) and decoded (bytes).
 
     A null or empty text gives no ids and no bytes. Rows with the same id stay separate rows. An
@@ -255,10 +260,10 @@ def bpe_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pattern = pattern or public_tokenizers.PATTERN
     targets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    cut = source.mapInArrow(_blocks(pattern, block_bytes, targets), "block long, ids array<long>, lengths array<int>, codes binary, dealt binary, packets array<binary>")
+    cut = source.mapInArrow(tidy(_blocks(pattern, block_bytes, targets)), "block long, ids array<long>, lengths array<int>, codes binary, dealt binary, packets array<binary>")
     blocks = materialise_by(cut, "block", targets)
     packets = blocks.select("block", F.posexplode("packets").alias("target", "words")).filter("octet_length(words) > 0")
-    encoded = packets.repartitionById(targets, "target").mapInArrow(_encode(path), "block long, target int, token_ids binary")
+    encoded = packets.repartitionById(targets, "target").mapInArrow(tidy(_encode(path)), "block long, target int, token_ids binary")
     return (
         blocks.select("block", "ids", "lengths", "codes", "dealt")
         .groupBy("block")

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordgate.llm.common import mix, shingle_sets, table, text_chunks
+from recordgate.llm.common import mix, shingle_sets, table, text_chunks, tidy
 
 CHUNK = 2 << 20
 #: Shingles of test items in one block (16 MB of hashes and owners).
@@ -102,7 +102,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         values = [np.frombuffer(r["shingles"], np.uint64) for r in block]
         sizes = np.array([len(v) for v in values], np.int64)
         shared = spark.sparkContext.broadcast((np.array([r["item_id"] for r in block], np.int64), sizes, np.repeat(np.arange(len(block)), sizes), np.concatenate(values)))
-        return source.mapInArrow(_search(shared, percent, 100), "doc_id long, item_id long, n_item long, n_shared long")
+        return source.mapInArrow(tidy(_search(shared, percent, 100)), "doc_id long, item_id long, n_item long, n_shared long")
 
     for r in sets.toLocalIterator():
         if block and size + r["n_item"] > BLOCK_SHINGLES:

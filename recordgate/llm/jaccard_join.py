@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recordgate.llm import count_min
-from recordgate.llm.common import groups, materialise, mix, semi_join_by_size, shingle_sets, table, text_chunks
+from recordgate.llm.common import give_back, groups, materialise, mix, semi_join_by_size, shingle_sets, table, text_chunks, tidy
 from recordgate.llm.components import connected_components
 
 CHUNK = 1 << 20
@@ -399,6 +399,8 @@ def _leaf(t: pa.Table) -> pa.Table:
     label = metric_components([packed[i] for i in order])
     rep = rep[order]
     linked = label != np.arange(len(label))
+    if t.nbytes > LEAF_BYTES // 8:
+        give_back()
     return pa.table({"src": pa.array(rep[linked], pa.int64()), "dst": pa.array(rep[label[linked]], pa.int64())})
 
 
@@ -529,21 +531,21 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     known = source.filter("doc_id is not null")
-    features = materialise(known.mapInArrow(_features, FEATURES))
+    features = materialise(known.mapInArrow(tidy(_features), FEATURES))
     classes = features.filter("n_shingles > 0").groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("rep"))
     classes = materialise(classes)
     reps = classes.filter("n_shingles >= 4").select(F.col("rep").alias("doc_id"))
     keyed = semi_join_by_size(features.select("doc_id", "keys", "parts"), reps, "doc_id")
     n_keys = keyed.agg(F.coalesce(F.sum(F.octet_length("keys")), F.lit(0))).first()[0] // 8
     bits = count_min.cell_bits(n_keys)
-    shared = count_min.merge(keyed.select("doc_id", "keys").mapInArrow(_sketch_keys(bits), count_min.SCHEMA), bits)
-    rows = materialise(keyed.mapInArrow(_repeated_keys(bits, shared), "key long, rep long, size_class int, need int"))
+    shared = count_min.merge(keyed.select("doc_id", "keys").mapInArrow(tidy(_sketch_keys(bits)), count_min.SCHEMA), bits)
+    rows = materialise(keyed.mapInArrow(tidy(_repeated_keys(bits, shared)), "key long, rep long, size_class int, need int"))
     rows = _rarest(_with_enough(rows))
     cells = rows.join(_held_elsewhere(rows), "key").filter("rep <> dst").select(F.col("rep").alias("src"), "dst").distinct()
     coarse = connected_components(cells)
     inside = coarse.select(F.col("node").alias("doc_id"), F.col("component").cast("string").alias("region"))
     texts = semi_join_by_size(known, inside.select("doc_id"), "doc_id")
-    members = materialise(texts.join(inside, "doc_id").select("region", "doc_id", "text").mapInArrow(_sets, "region string, rep long, shingles binary"))
+    members = materialise(texts.join(inside, "doc_id").select("region", "doc_id", "text").mapInArrow(tidy(_sets), "region string, rep long, shingles binary"))
     regions, links = _split(members, leaf)
     edges = regions.groupBy("region").applyInArrow(_leaf, EDGES)
     labels = connected_components(_union_all([edges, *links]))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from recordgate.llm.common import LOWER, mix, shingle_sets, table, text_chunks, word_hashes, words
+from recordgate.llm.common import LOWER, give_back, mix, shingle_sets, table, text_chunks, tidy, word_hashes, words
 
 CHUNK = 1 << 20
 #: Bounds of the training sample: documents, bytes of text, and bytes of one text (longer ones are scored, not learned from).
@@ -417,6 +417,7 @@ def _learn_fold(t: pa.Table) -> pa.Table:
         described = model.describe(*_join([texts[i] for i in mine])) if len(mine) else np.zeros((0, 4))
         none = [None] * len(mine)
         data = [y[mine].tolist(), described.tolist(), none, none, none, none]
+    give_back()
     return pa.table([pa.array(x, k) for x, k in zip(data, kinds, strict=True)], names)
 
 
@@ -488,7 +489,7 @@ def with_score(docs: DataFrame, model: Model, text_col: str = "text", score_col:
     names = [f"c{i}" for i in range(len(docs.columns))]
     source = docs.toDF(*names).withColumn("_text", F.col(names[docs.columns.index(text_col)]).cast("string"))
     schema = StructType([*source.schema.fields[:-1], StructField("_score", DoubleType())])
-    return source.mapInArrow(_score(shared), schema).toDF(*docs.columns, score_col)
+    return source.mapInArrow(tidy(_score(shared)), schema).toDF(*docs.columns, score_col)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
