@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordgate.llm.common import materialise_by, public_path, table, tidy
+from recordgate.llm.common import materialise_by, public_path, small_batches, table, tidy
 
 DEFAULT_RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Letters of the Latin blocks, where Python's ``re`` and the Unicode classes of the pattern agree.
@@ -256,6 +256,7 @@ def bpe_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     import public_tokenizers
 
+    small_batches(docs.sparkSession)
     path = ranks_path or public_path(DEFAULT_RANKS)
     pattern = pattern or public_tokenizers.PATTERN
     targets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))

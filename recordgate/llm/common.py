@@ -89,6 +89,13 @@ def anti_join_by_size(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return df.join(keys, key, "left_anti").select(df.columns)
 
 
+def join_by_size(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """Inner join with ``other`` (one row for each ``key``); broadcast as above, so a frequent key stays where its rows are."""
+    if other.count() <= BROADCAST_KEYS:
+        other = F.broadcast(other)
+    return df.join(other, key)
+
+
 def left_join_by_size(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """All rows of ``df`` with what ``other`` has for its ``key`` (one row each); broadcast as above."""
     if other.count() <= BROADCAST_KEYS:
@@ -99,6 +106,13 @@ def left_join_by_size(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
 # --- memory of Python workers ---
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Arrow batches of at most ``rows`` rows from here on in this session: those of documents hold some megabytes, in the JVM and in Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def give_back() -> None:
     """Returns freed memory of this Python worker to the machine: idle workers stay with their executor for a minute."""
     pa.default_memory_pool().release_unused()
@@ -213,7 +227,7 @@ def word_hashes(buf: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.nd
     return mix(np.add.reduceat(value, first) ^ (lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
 
 
-def _then(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def then(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Hash of a run from the hashes of its two parts, in order."""
     return mix(a * ODD + b)
 
@@ -227,10 +241,10 @@ def rolling(h: np.ndarray, k: int) -> np.ndarray:
     while True:
         if k & size:
             part = run[taken : taken + n]
-            out, taken = (part if out is None else _then(out, part)), taken + size
+            out, taken = (part if out is None else then(out, part)), taken + size
         if taken == k:
             return mix(out ^ np.uint64(k))
-        run, size = _then(run[:-size], run[size:]), 2 * size
+        run, size = then(run[:-size], run[size:]), 2 * size
 
 
 def sliding_min(a: np.ndarray, w: int) -> np.ndarray:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordgate.llm.common import mix, shingle_sets, table, text_chunks, tidy
+from recordgate.llm.common import mix, shingle_sets, small_batches, table, text_chunks, tidy
 
 CHUNK = 2 << 20
 #: Shingles of test items in one block (16 MB of hashes and owners).
@@ -93,6 +93,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     rows give one pair; empty tables give no pair. Other columns are not read.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     wanted = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).filter("item_id is not null").distinct()
     sets = wanted.mapInArrow(_item_sets, "item_id long, n_item long, shingles binary")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id is not null")

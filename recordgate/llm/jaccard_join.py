@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recordgate.llm import count_min
-from recordgate.llm.common import give_back, groups, materialise, mix, semi_join_by_size, shingle_sets, table, text_chunks, tidy
+from recordgate.llm.common import give_back, groups, materialise, mix, semi_join_by_size, shingle_sets, small_batches, table, text_chunks, tidy
 from recordgate.llm.components import connected_components
 
 CHUNK = 1 << 20
@@ -529,6 +529,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     null. Repeated rows are one document. Rows that share an id but not a text are judged by row.
     Empty tables give empty results; other columns are not read.
     """
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     known = source.filter("doc_id is not null")
     features = materialise(known.mapInArrow(tidy(_features), FEATURES))
@@ -540,6 +541,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     bits = count_min.cell_bits(n_keys)
     shared = count_min.merge(keyed.select("doc_id", "keys").mapInArrow(tidy(_sketch_keys(bits)), count_min.SCHEMA), bits)
     rows = materialise(keyed.mapInArrow(tidy(_repeated_keys(bits, shared)), "key long, rep long, size_class int, need int"))
+    shared.unpersist()
     rows = _rarest(_with_enough(rows))
     cells = rows.join(_held_elsewhere(rows), "key").filter("rep <> dst").select(F.col("rep").alias("src"), "dst").distinct()
     coarse = connected_components(cells)

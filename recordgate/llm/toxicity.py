@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from recordgate.llm.common import LOWER, give_back, mix, shingle_sets, table, text_chunks, tidy, word_hashes, words
+from recordgate.llm.common import LOWER, give_back, mix, shingle_sets, small_batches, table, text_chunks, tidy, word_hashes, words
 
 CHUNK = 1 << 20
 #: Bounds of the training sample: documents, bytes of text, and bytes of one text (longer ones are scored, not learned from).
@@ -450,6 +450,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, n_bytes: in
     Without labelled documents, or with one label only, every document gets the share of toxic ones
     as its score. Repeated rows and copies count once. Other columns are not read.
     """
+    small_batches(docs.sparkSession)
     sample = training_sample(docs, labels, rows, n_bytes)
     parts = sample.withColumn("part", F.explode(F.array(*[F.lit(k) for k in range(FOLDS + 1)])))
     model, described, y = Model(np.zeros(1 << BITS, np.float32), np.ones(1 << BITS, np.float32), -1.0), [], []
