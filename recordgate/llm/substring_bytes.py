@@ -3,16 +3,17 @@
 Every 100-byte string names an anchor, the least 32-byte gram inside it; neighbouring strings that
 share an anchor form one context (the bytes they span). Contexts meet by anchor:
 
-1. Contexts that are equal as a whole are settled by their hashes (anchor and context, 128 bits):
-   all but the first occurrence go. Each batch settles its own first, so a hot passage leaves a
+1. Contexts that are equal as a whole are settled by their hashes (anchor and context, 128 bits,
+   mixed and no polynomial): all but the first occurrence go. Each batch settles its own first, so a hot passage leaves a
    batch once.
 2. Anchors with different contexts (the edges of shared passages) fetch the contexts' bytes. There
    the suffixes that start a 100-byte string are sorted by mergesort; a comparison finds the common
    extension by binary search over prefix polynomial hashes. Neighbours of common extension 100 are
    equal, and their bytes are compared before anything goes.
 
-Anchors with more than ``HOT`` contexts send the hashes of their strings, settled per batch first,
-to as many buckets as there are strings, so no group is held by one task.
+Anchors with more than ``HOT`` contexts send the 128-bit hashes of their strings, settled per batch
+first, to as many buckets as there are strings, so no group is held by one task. Both ways give the
+same result.
 """
 
 from __future__ import annotations
@@ -23,12 +24,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordgate.llm import spans
-from recordgate.llm.common import BYTE, ODD, anchors, groups, materialise, mix, powers, rolling, semi_join_by_size, table, text_chunks
+from recordgate.llm.common import BYTE, anchors, groups, materialise, mix, powers, rolling, semi_join_by_size, table, text_chunks, then
 
 CHUNK = 1 << 20
 LENGTH, GRAM = 100, 32
 HOT = 4096
-_BASE2 = 0xD1B54A32D192ED03
 _BASE3 = 0x2545F4914F6CDD1D | 1
 
 
@@ -62,9 +62,11 @@ def _contexts(buf: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(valid)) - 1
     lo, hi, owner, at = valid[first], valid[last], owner[first], at[first]
-    total, inverse = _prefix(values, _BASE2)
     span = hi - lo + length
-    whole = mix(((total[lo + span] - total[lo]) * inverse[lo]) ^ (span.astype(np.uint64) * ODD))
+    double = then(grams[:-gram], grams[gram:])
+    whole = span.astype(np.uint64)
+    for step in range(0, 2 * length - gram, 2 * gram):  # runs that cover the longest context
+        whole = then(whole, double[lo + np.minimum(step, span - 2 * gram)])
     return owner, lo - offsets[owner], hi - offsets[owner], grams[at], whole, at - lo
 
 
@@ -80,8 +82,7 @@ def _probe(length: int, gram: int, buckets: int):
             rows = []
             if parts:
                 anchor, whole, doc, key, lo, shape = (np.concatenate(x) for x in zip(*parts, strict=True))
-                same = mix(whole ^ anchor)
-                gone = _later(same, doc, lo)
+                gone = _later((whole, anchor), doc, lo)
                 rows += spans.range_rows(doc[gone], key[gone], lo[gone].astype(np.int64), lo[gone] + (shape[gone] & 255).astype(np.int64) + length, buckets)
                 keep = np.flatnonzero(~gone)
                 bucket = (mix(anchor[keep]) % np.uint64(buckets)).astype(np.int64)
@@ -134,7 +135,7 @@ def _settle(length: int, buckets: int, hot: int):
     return run
 
 
-def _fetch(length: int, buckets: int):
+def _fetch(length: int, gram: int, buckets: int):
     """Bytes of the requested contexts (kind 4), or the strings' hashes for hot anchors (kind 5), by bucket."""
 
     def run(batches):
@@ -150,10 +151,11 @@ def _fetch(length: int, buckets: int):
                     if w["kind"] == 2:
                         got += [(int(a), ids[i], keys[i], int(s), int(x), raw[s : s + (x & 255) + length]) for a, s, x in zip(anchor, lo, shape, strict=True)]
                     else:
-                        total, inverse = _prefix(BYTE[np.frombuffer(raw, np.uint8)], _BASE3)
+                        grams = rolling(BYTE[np.frombuffer(raw, np.uint8)], gram)
+                        double = then(grams[:-gram], grams[gram:])
                         for s, x in zip(lo.tolist(), shape.tolist(), strict=True):
                             at = np.arange(s, s + (x & 255) + 1)
-                            hot.append((mix((total[at + length] - total[at]) * inverse[at]), np.full(len(at), ids[i]), np.full(len(at), keys[i]), at))
+                            hot.append((double[at], double[at + length - 2 * gram], np.full(len(at), ids[i]), np.full(len(at), keys[i]), at))
             rows = []
             if got:
                 bucket = mix(np.array([g[0] for g in got], np.uint64) ^ np.uint64(0x27D4EB2F165667C5)) % np.uint64(buckets)
@@ -162,25 +164,28 @@ def _fetch(length: int, buckets: int):
                     part = [got[j] for j in order[s:e]]
                     rows.append(spans.row(int(bucket[order[s]]), 4, 0, 0, np.array([g[0] for g in part], np.uint64), np.array([g[1:3] for g in part], np.int64), np.array([g[3:5] for g in part], np.int32), np.frombuffer(b"".join(g[5] for g in part), np.uint8)))
             if hot:
-                value, doc, key, at = (np.concatenate(x) for x in zip(*hot, strict=True))
-                gone = _later(value, doc, at)
+                value, other, doc, key, at = (np.concatenate(x) for x in zip(*hot, strict=True))
+                gone = _later((value, other), doc, at)
                 rows += spans.range_rows(doc[gone], key[gone], at[gone], at[gone] + length, buckets)
                 i = np.flatnonzero(~gone)
                 bucket = (mix(value[i]) % np.uint64(buckets)).astype(np.int64)
                 i = i[np.argsort(bucket, kind="stable")]
                 for s, e in groups(np.sort(bucket)):
                     j = i[s:e]
-                    rows.append(spans.row(int(mix(value[j[:1]])[0] % np.uint64(buckets)), 5, 0, 0, value[j], np.stack([doc[j], key[j]], 1), at[j].astype(np.int32)))
+                    rows.append(spans.row(int(mix(value[j[:1]])[0] % np.uint64(buckets)), 5, 0, 0, value[j], np.stack([doc[j], key[j]], 1), at[j].astype(np.int32), other[j]))
             yield spans.batch(rows)
 
     return run
 
 
-def _later(value: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Whether an equal value stands in a smaller document or earlier in the same one."""
-    order = np.lexsort((at, doc, value))
+def _later(values: tuple[np.ndarray, ...], doc: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether equal values stand in a smaller document or earlier in the same one."""
+    order = np.lexsort((at, doc, *values))
     gone = np.zeros(len(order), bool)
-    gone[order] = _after_first(value[order[1:]] == value[order[:-1]], doc[order], at[order])
+    equal = np.ones(max(len(order) - 1, 0), bool)
+    for v in values:
+        equal &= v[order[1:]] == v[order[:-1]]
+    gone[order] = _after_first(equal, doc[order], at[order])
     return gone
 
 
@@ -296,7 +301,7 @@ def _compare(length: int, buckets: int):
         part = t.filter(pa.array(kind == 5))
         if part.num_rows:
             value, who, at = spans.unpack(part.column("a"), np.uint64), spans.unpack(part.column("b"), np.int64).reshape(-1, 2), spans.unpack(part.column("c"), np.int32).astype(np.int64)
-            gone = _later(value, who[:, 0], at)
+            gone = _later((value, spans.unpack(part.column("d"), np.uint64)), who[:, 0], at)
             rows += spans.range_rows(who[gone, 0], who[gone, 1], at[gone], at[gone] + length, buckets)
         return pa.concat_tables([t.filter(pa.array(kind == 0)).cast(spans.ARROW), pa.Table.from_batches([spans.batch(rows)])])
 
@@ -324,7 +329,7 @@ def _cut(batches):
 def remove_repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (binary: the bytes left), one row per row of ``docs``.
 
-    A byte goes if a string of ``length`` bytes (at most 250) that covers it also starts earlier: in
+    A byte goes if a string of ``length`` bytes (at least twice ``gram``, at most 250) that covers it also starts earlier: in
     a document of a smaller id, or before it in the same one. Null text: empty. Null id: the row
     takes no part and is returned unchanged. Rows that repeat an id and its text are cut alike. An
     empty table gives an empty result; other columns are not read.
@@ -337,7 +342,7 @@ def remove_repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: s
     settled = materialise(part.mapInArrow(_probe(length, gram, buckets), spans.SCHEMA).groupBy("bucket").applyInArrow(_settle(length, buckets, hot), spans.SCHEMA))
     asked = settled.filter("kind in (2, 3)").groupBy("doc_id", "row_key").agg(F.collect_list(F.struct("kind", "a", "b", "c")).alias("wanted"))
     some = semi_join_by_size(part, settled.filter("kind in (2, 3)").select("doc_id").distinct(), "doc_id")
-    fetched = some.join(asked, ["doc_id", "row_key"]).mapInArrow(_fetch(length, buckets), spans.SCHEMA)
+    fetched = some.join(asked, ["doc_id", "row_key"]).mapInArrow(_fetch(length, gram, buckets), spans.SCHEMA)
     compared = fetched.groupBy("bucket").applyInArrow(_compare(length, buckets), spans.SCHEMA)
     found = settled.filter("kind = 0").unionByName(compared.filter("kind = 0"))
     return spans.with_ranges(source, found).mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")

@@ -3,8 +3,8 @@
 Every window of 50 words names an anchor: the least 16-word run inside it, the same in every copy
 of the window. Pass one adds the anchors of each partition to a count-min sketch; merged, the
 sketches overestimate how often a window occurs, never under. Pass two keeps the windows estimated
-at two or more, groups them exactly by their hash, and removes each whose least document is a
-smaller one. Nothing is lost: a window that repeats has an anchor that repeats.
+at two or more, groups them by two 64-bit hashes of their words, mixed in different orders (128 bits,
+no polynomial), and removes each whose least document is a smaller one. Nothing is lost: a window that repeats has an anchor that repeats.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordgate.llm import count_min, spans
-from recordgate.llm.common import WORD, anchors, groups, mix, rolling, table, text_chunks, word_hashes, words
+from recordgate.llm.common import WORD, anchors, groups, mix, rolling, table, text_chunks, then, word_hashes, words
 
 CHUNK = 2 << 20
 
@@ -57,32 +57,40 @@ def _probe(window: int, gram: int, bits: int, buckets: int, sketch):
                     start, anchor = start[keep], anchor[keep]
                     owner = doc[start]
                     first_word = np.searchsorted(doc, np.arange(len(ids)))
-                    parts.append((rolling(h, window)[start], ids[owner], row_keys[at_row : at_row + len(ids)][owner], start - first_word[owner], (mix(anchor) % np.uint64(buckets)).astype(np.int64)))
+                    parts.append((rolling(h, window)[start], _second(grams, start, window, gram), ids[owner], row_keys[at_row : at_row + len(ids)][owner], start - first_word[owner], (mix(anchor) % np.uint64(buckets)).astype(np.int64)))
                 at_row += len(ids)
             rows = []
             if parts:
-                value, owner, key, start, bucket = (np.concatenate(x) for x in zip(*parts, strict=True))
-                _, gone = _least(value, owner)
+                value, other, owner, key, start, bucket = (np.concatenate(x) for x in zip(*parts, strict=True))
+                gone = _later(value, other, owner)
                 rows += spans.range_rows(owner[gone], key[gone], start[gone], start[gone] + window, buckets)
-                value, owner, key, start, bucket = (x[~gone] for x in (value, owner, key, start, bucket))
+                value, other, owner, key, start, bucket = (x[~gone] for x in (value, other, owner, key, start, bucket))
                 order = np.lexsort((start, owner, bucket))
                 for lo, hi in groups(bucket[order]):
                     i = order[lo:hi]
-                    rows.append(spans.row(int(bucket[i[0]]), 1, 0, 0, value[i], owner[i], key[i], start[i].astype(np.int32)))
+                    rows.append(spans.row(int(bucket[i[0]]), 1, 0, 0, value[i], owner[i], key[i], start[i].astype(np.int32), other[i]))
             yield spans.batch(rows)
 
     return run
 
 
-def _least(value: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Least owner of each value, and whether a row has a smaller one than its own."""
-    order = np.lexsort((owner, value))
-    v, o = value[order], owner[order]
+def _second(grams: np.ndarray, start: np.ndarray, window: int, gram: int) -> np.ndarray:
+    """A second hash of windows, from the hashes of runs that cover each."""
+    out = np.zeros(len(start), np.uint64)
+    for at in [*range(0, window - gram, gram), window - gram]:
+        out = then(out, grams[start + at])
+    return out
+
+
+def _later(value: np.ndarray, other: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Whether a row's values have a smaller owner than its own."""
+    order = np.lexsort((owner, other, value))
+    v, w, o = value[order], other[order], owner[order]
     new = np.ones(len(v), bool)
-    new[1:] = v[1:] != v[:-1]
+    new[1:] = (v[1:] != v[:-1]) | (w[1:] != w[:-1])
     least = np.empty(len(v), o.dtype)
     least[order] = o[np.flatnonzero(new)][np.cumsum(new) - 1] if len(v) else o
-    return least, owner > least
+    return owner > least
 
 
 def _resolve(window: int, buckets: int):
@@ -91,7 +99,7 @@ def _resolve(window: int, buckets: int):
         known, open_ = t.filter(pa.array(kind == 0)), t.filter(pa.array(kind == 1))
         value, owner, key = unpack_probe(open_)
         start = spans.unpack(open_.column("d"), np.int32).astype(np.int64)
-        _, gone = _least(value, owner)
+        gone = _later(value, spans.unpack(open_.column("e"), np.uint64), owner)
         rows = spans.range_rows(owner[gone], key[gone], start[gone], start[gone] + window, buckets)
         return pa.concat_tables([known.cast(spans.ARROW), pa.Table.from_batches([spans.batch(rows)])])
 
