@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordgate.llm.common import materialise, table
+from recordgate.llm.common import join_by_size, materialise, semi_join_by_size, table
 
 # Fixed patterns of the base kinds, with possessive quantifiers where giving back cannot help; the
 # look-behinds skip starts inside a run whose first start has failed.
@@ -119,8 +119,8 @@ def disclosing_terms(found: DataFrame, documents: DataFrame) -> tuple[DataFrame,
     possible = materialise(possible.select("entity", "term", "n_ct"))
     candidates = materialise(possible.select("term").distinct())
     everywhere = documents.select("doc_id", F.explode(_terms(F.col("text"))).alias("term"))
-    places = materialise(everywhere.join(candidates, "term", "left_semi").select("doc_id", "term"))
-    n_t = places.groupBy("term").agg(F.count("*").alias("n_t"))
+    places = materialise(semi_join_by_size(everywhere, candidates, "term").select("doc_id", "term"))
+    n_t = places.groupBy("term").agg(F.count_distinct("doc_id").alias("n_t"))
     left = possible.join(n_t, "term").withColumn("left", -F.log(F.least(F.col("n_ct") / F.col("n_t"), F.lit(1.0))))
     flagged = left.groupBy("term").agg(F.min("left").alias("left")).filter(F.col("left") <= GENERALISE)
     return flagged, places
@@ -130,13 +130,13 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """doc_id, text, row (all columns given), base and spans (arrays of SPAN), sanitised: one row per row of ``docs``.
 
     Null text: empty, without spans. Null id: base spans only, and no part in the counts. Repeated
-    rows count once each. An empty table gives an empty result. Other columns are not read.
+    rows count as one document. An empty table gives an empty result. Other columns are not read.
     In ``sanitised``, spans become [KIND]; terms below the lower threshold vanish.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.struct("*").alias("row"))
     found = materialise(source.filter("doc_id is not null").select("doc_id", "text", base_spans(F.col("text")).alias("base")).filter("size(base) > 0"))
     flagged, places = disclosing_terms(found, source.filter("doc_id is not null").select("doc_id", "text"))
-    per_doc = places.join(flagged, "term").groupBy("doc_id").agg(F.map_from_entries(F.collect_set(F.struct("term", "left"))).alias("terms"))
+    per_doc = join_by_size(places, materialise(flagged), "term").groupBy("doc_id").agg(F.map_from_entries(F.collect_set(F.struct("term", "left"))).alias("terms"))
     marked = source.select("doc_id", "text", "row", base_spans(F.col("text")).alias("base")).join(per_doc, "doc_id", "left")
 
     def to_span(m: Column) -> Column:
