@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 #: Keys whose scalars are masked in JSON, name parts that mask a configuration value.
 SECRET_PARTS = ("password", "secret", "token", "keytab", "jaas", "credential")
 MASK = "***"
+SECRET_KEYS = ("birthdate", "clientSnils", "snils", "inn", "number", "series", "departmentCode")
+INLINE_KEYS = ("birthdate", "clientSnils", "snils", "number", "series", "departmentCode")
+SECRET_NAME_PARTS = ("snils", "birthdate", "passport", "number")
+#: Code pages of message bodies beside UTF-8, UTF-16 and Latin-1, by the id that messages carry.
+CODE_PAGES = {1251: "windows-1251", 1252: "windows-1252", 866: "IBM866", 850: "IBM850"}
 
 
 def strip(x: Column) -> Column:
@@ -25,8 +30,9 @@ def null_like(x: Column) -> Column:
 
 
 def null_like_json(payload: Column) -> Column:
-    """Compact JSON with null-like object values set to null; array elements stay."""
-    return F.regexp_replace(payload, r'(?i):"\s*(?:none\s*)?"(?=[,}])', ":null")
+    """JSON, compact or spaced, with null-like object values set to null; array elements stay."""
+    blank = r"(?:\s|\\[tnrf])*+"
+    return F.regexp_replace(payload, rf'(?i):\s*+"{blank}(?:none{blank})?"(?=\s*+[,}}])', ":null")
 
 
 def event_id(binary_id: Column, text_id: Column) -> Column:
@@ -39,14 +45,67 @@ def mask_config(key: Column, value: Column) -> Column:
     return F.when(F.lower(key).rlike("|".join(SECRET_PARTS)), F.lit(MASK)).otherwise(value)
 
 
-def mask_json(payload: Column, keys: list[str]) -> Column:
-    """Scalars of the given keys (any case, any depth) in compact JSON become the mask, and so does a string that the text's end cuts off."""
-    return F.regexp_replace(payload, rf'(?i)"({"|".join(keys)})":("(?:[^"\\]++|\\.)*+(?:"|\\?\z)|[-0-9.eE+]+|true|false)', rf'"$1":"{MASK}"')
+_STRING = r'"(?:[^"\\]++|\\.)*+(?:"|\\?\z)'
 
 
-def mask_map(m: Column, keys: list[str]) -> Column:
-    wanted = [k.lower() for k in keys]
-    return F.transform_values(m, lambda k, v: F.when(F.lower(k).isin(wanted), F.lit(MASK)).otherwise(v))
+def _nest(levels: int) -> str:
+    """Pattern of an object or array that nests ``levels`` more; it may be cut off by the text's end."""
+    inner = "" if not levels else f"|{_nest(levels - 1)}"
+    return rf'[\[{{](?:[^\[\]{{}}"]++|{_STRING}{inner})*+(?:[\]}}]|\z)'
+
+
+def mask_json(payload: Column, keys: list[str] | tuple[str, ...] = SECRET_KEYS) -> Column:
+    """Whatever stands under the given keys (any case, any depth, compact or spaced JSON) becomes the mask: scalars, objects
+    and arrays (nine levels), and strings, objects and arrays that the text's end cuts off."""
+    value = rf"(?:{_STRING}|[-0-9.eE+]+|true|false|null|{_nest(8)})"
+    return F.regexp_replace(payload, rf'(?i)"({"|".join(keys)})"\s*+:\s*+{value}', rf'"$1":"{MASK}"')
+
+
+def mask_inline(text: Column, keys: list[str] | tuple[str, ...] = INLINE_KEYS) -> Column:
+    """The texts of the given keys (as spelled) in what is no JSON."""
+    for key in keys:
+        text = F.regexp_replace(text, rf'("{key}"\s*:\s*")[^"]*(")', f"$1{MASK}$2")
+    return text
+
+
+def mask_map(m: Column, keys: list[str] | tuple[str, ...] = SECRET_KEYS, parts: tuple[str, ...] = SECRET_NAME_PARTS) -> Column:
+    """Values of the given keys (any case) and of keys that contain one of ``parts`` become the mask."""
+    return F.transform_values(m, lambda k, v: F.when(F.lower(k).isin([x.lower() for x in keys]) | F.lower(k).rlike("|".join(parts)), F.lit(MASK)).otherwise(v))
+
+
+def mask_url(url: Column) -> Column:
+    """Store passwords among a broker address's parameters become the mask."""
+    return F.regexp_replace(url, "(?i)((?:trustStore|keyStore)Password=)[^&]*", f"$1{MASK}")
+
+
+def preview(text: Column, most: int) -> Column:
+    """At most ``most`` characters, then '...'."""
+    return F.when(F.length(text) > most, F.concat(F.left(text, F.lit(most)), F.lit("..."))).otherwise(text)
+
+
+def quoted(x: Column) -> Column:
+    """A JSON string (null: null)."""
+    text = F.to_json(F.array(x))
+    return F.when(x.isNotNull(), F.substring(text, F.lit(2), F.length(text) - 2))
+
+
+def json_or_text(x: Column) -> Column:
+    """JSON as it is, other text as a JSON string, nothing as null."""
+    return F.when(x.isNull(), F.lit("null")).when(F.try_parse_json(x).isNotNull(), x).otherwise(quoted(x))
+
+
+def iso_utc(ts: Column) -> Column:
+    """Instant as UTC text with milliseconds, whatever the session's zone."""
+    return F.date_format(F.to_utc_timestamp(ts, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+
+
+def local_name(key: Column) -> Column:
+    """The field that a ``mapping.`` key names."""
+    return strip(F.when(key.startswith("mapping."), F.substring(key, F.lit(9), F.length(key))).otherwise(key))
+
+
+def versioned_name(name: Column, version: Column) -> Column:
+    return F.concat_ws("_", name, version.cast("string"))
 
 
 def rule_key(rule: Column) -> Column:
@@ -55,18 +114,82 @@ def rule_key(rule: Column) -> Column:
 
 
 def version_of(name: Column) -> Column:
-    """The number after the last underscore of a versioned name."""
-    return F.try_to_number(F.nullif(F.regexp_extract(name, r"_(\d+)$", 1), F.lit("")), F.lit("999999999999")).cast("long")
+    """The number after the last underscore of a versioned name; null where there is none."""
+    return F.regexp_extract(name, r"_(\d+)$", 1).try_cast("long")
+
+
+def decode_body(body: Column, code_page: Column, supported: bool = True) -> Column:
+    """Body bytes by code page id; ids of no page, 0 and less are UTF-8.
+
+    Pages beyond UTF and Latin-1 need ``spark.sql.legacy.javaCharsets``; with ``supported`` false such
+    bodies are null, for a reject, and never broken text.
+    """
+    out = F.when(code_page == 1200, F.decode(body, "UTF-16")).when(code_page == 819, F.decode(body, "ISO-8859-1"))
+    for page, name in CODE_PAGES.items():
+        out = out.when(code_page == page, F.decode(body, name) if supported else F.lit(None))
+    return out.otherwise(F.decode(body, "UTF-8"))
 
 
-def decode_body(body: Column, code_page: Column) -> Column:
-    """Body bytes by code page id; unknown ids are UTF-8. Pages beyond Latin need ``spark.sql.legacy.javaCharsets``."""
-    return F.when(code_page == 1200, F.decode(body, "UTF-16BE")).when(code_page == 819, F.decode(body, "ISO-8859-1")).otherwise(F.decode(body, "UTF-8"))
+def message_body(text: Column, body: Column) -> Column:
+    """Text as it is, bytes as UTF-8; null for a body of any other kind."""
+    return F.coalesce(text, F.decode(body, "UTF-8"))
+
+
+def positive_or_null(ms: Column) -> Column:
+    """Milliseconds since 1970; 0 and less are unknown."""
+    return F.when(ms > 0, ms)
+
+
+def _escaped(x: Column, *pairs: tuple[str, str]) -> Column:
+    for old, new in pairs:
+        x = F.replace(x, F.lit(old), F.lit(new))
+    return x
 
 
 def cef_header(x: Column) -> Column:
-    return F.replace(F.replace(x, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+    return _escaped(x, ("\\", "\\\\"), ("|", "\\|"), ("\n", " "), ("\r", " "))
 
 
 def cef_value(x: Column) -> Column:
-    return F.replace(F.replace(F.replace(x, F.lit("\\"), F.lit("\\\\")), F.lit("="), F.lit("\\=")), F.lit("\n"), F.lit("\\n"))
+    return _escaped(x, ("\\", "\\\\"), ("=", "\\="), ("\n", "\\n"), ("\r", "\\r"))
+
+
+# --- addresses ----------------------------------------------------------------------------------
+
+
+def _first(x: Column) -> Column:
+    return F.split_part(x, F.lit(","), F.lit(1))
+
+
+def url_scheme(url: Column) -> Column:
+    return F.nullif(F.regexp_extract(_first(url), r"^\s*([A-Za-z][A-Za-z0-9+.-]*):", 1), F.lit(""))
+
+
+def url_host(url: Column) -> Column:
+    return F.nullif(F.regexp_extract(_first(url), r"^[^:]+://(?:[^@/?#]*@)?(\[[^\]]+\]|[^:/?#\s]+)", 1), F.lit(""))
+
+
+def url_port(url: Column) -> Column:
+    return F.regexp_extract(_first(url), r"^[^:]+://(?:[^@/?#]*@)?(?:\[[^\]]+\]|[^:/?#\s]+):(\d+)", 1).try_cast("int")
+
+
+def server_host(servers: Column) -> Column:
+    """Host of the first of comma-separated ``host:port``, ``[v6]:port`` or ``host``."""
+    first = strip(_first(servers))
+    six, plain = F.regexp_extract(first, r"^\[([^\]]+)\]", 1), F.regexp_extract(first, r"^(.+):[^:]*$", 1)
+    return nullif_blank(F.when(six != "", six).when(plain != "", plain).otherwise(first))
+
+
+def server_port(servers: Column) -> Column:
+    first = strip(_first(servers))
+    six, plain = F.regexp_extract(first, r"^\[[^\]]+\]:(.+)$", 1), F.regexp_extract(first, r"^.+:([^:]*)$", 1)
+    return F.when(first.rlike(r"^\[[^\]]+\]"), six).otherwise(plain).try_cast("int")
+
+
+def first_text(*candidates: Column) -> Column:
+    """The first that is neither blank nor '<empty>'."""
+    return F.coalesce(*[F.when(nullif_blank(c).isNotNull() & (c != "<empty>"), c) for c in candidates])
+
+
+def first_positive(*candidates: Column) -> Column:
+    return F.coalesce(*[F.when(c > 0, c) for c in candidates])

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordgate.functions.text import event_id, null_like_json, nullif_blank, strip
+from recordgate.functions.text import event_id, null_like_json, nullif_blank, quoted, strip
 
-NODE = "array<struct<path:array<int>,name:string,json:string,type:string>>"
+#: Fields of the envelope that answers repeat, beside the query id.
+ENVELOPE = ("dfw_hostname", "dfw_user_login", "dfw_dataset_code", "dfw_readed_from_mq_dttm")
 #: Levels of objects and arrays (``data`` is the first) that a message may have; deeper ones are refused whole.
 MAX_DEPTH = 8
 
@@ -18,42 +19,50 @@ def too_deep(json: Column, max_depth: int = MAX_DEPTH) -> Column:
     left = F.regexp_replace(F.regexp_replace(json, strings, ""), r"[^\[\]{}]++", "")
     for _ in range(max_depth):
         left = F.regexp_replace(left, r"\{\}|\[\]", "")
-    return F.from_json(json, "map<string,string>").isNotNull() & (left != "")
+    return F.when(left != "", F.from_json(json, "map<string,string>").isNotNull()).otherwise(False)
 
 
-def decode(messages: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """event_id, seq, query_id, data (compact JSON of the data object), reason of refusal."""
+def decode(messages: DataFrame, max_depth: int = MAX_DEPTH, keep: tuple[str, ...] = ()) -> DataFrame:
+    """event_id, seq, query_id, data (JSON of the data object), envelope (fields repeated in answers), reason of refusal, and the columns of ``keep``."""
     text = null_like_json(F.col("payload"))
-    env = F.from_json(text, "map<string,string>")
-    out = messages.select("seq", event_id(F.col("msg_id"), F.col("jms_id")).alias("event_id"), F.col("payload"), env.alias("env"))
+    known = messages.select("seq", event_id(F.col("msg_id"), F.col("jms_id")).alias("event_id"), "payload", text.alias("text"), *[F.col(c).alias(f"keep_{c}") for c in keep])
+    # the optimizer does not copy an exploded column into each of its uses, so every text is parsed once
+    known = known.select("*", F.explode(F.array(F.from_json("text", "map<string,string>"))).alias("env"))
+    fields = F.from_json("text", ", ".join(f"{c} variant" for c in ENVELOPE))
+    known = known.select("*", F.explode(F.array(F.when(F.col("text").rlike("|".join(ENVELOPE)), fields))).alias("fields"))
+    envelope = F.struct(*[F.when(F.is_variant_null(F.col("fields")[c]), None).otherwise(F.to_json(F.col("fields")[c])).alias(c) for c in ENVELOPE])
     reason = F.when(nullif_blank(F.col("payload")).isNull(), "EMPTY_PAYLOAD").when(F.col("env").isNull(), "BAD_JSON").when(too_deep(F.col("env")["data"], max_depth), "TOO_DEEP")
-    return out.select("seq", "event_id", F.coalesce(nullif_blank(F.col("env")["dfw_query_id"]), "event_id").alias("query_id"), F.col("env")["data"].alias("data"), reason.alias("reason"))
+    query_id = F.coalesce(nullif_blank(F.col("env")["dfw_query_id"]), "event_id")
+    out = F.struct(query_id.alias("query_id"), F.col("env")["data"].alias("data"), envelope.alias("envelope"), reason.alias("reason"))
+    return known.select("seq", "event_id", *[f"keep_{c}" for c in keep], F.explode(F.array(out)).alias("o")).select("seq", "event_id", "o.*", *[F.col(f"keep_{c}").alias(c) for c in keep])
 
 
-def _children(json: Column, kind: Column, path: Column) -> Column:
-    """Object fields or array items of a node in document order, with their types."""
-    m, types = F.from_json(json, "map<string,string>"), F.from_json(json, "map<string,variant>")
-    fields = F.zip_with(F.map_entries(m), F.map_values(types), lambda e, t: F.struct(e["key"].alias("name"), e["value"].alias("json"), F.schema_of_variant(t).alias("type")))
-    a, a_types = F.from_json(json, "array<string>"), F.from_json(json, "array<variant>")
-    items = F.zip_with(a, a_types, lambda e, t: F.struct(F.lit("").alias("name"), e.alias("json"), F.schema_of_variant(t).alias("type")))
-    found = F.when(kind.startswith("OBJECT"), fields).when(kind.startswith("ARRAY"), items)
-    return F.transform(found, lambda c, i: F.struct(F.concat(path, F.array(i)).alias("path"), c["name"].alias("name"), c["json"].alias("json"), c["type"].alias("type"))).cast(NODE)
+_NODE = "named_struct('path', {path}, 'name', {name}, 'json', {json}, 'type', {type}, 'm', case when {type} = 'OBJECT' then from_json({json}, 'map<string,string>') end)"
+
+#: Object and array children of an open node ``n`` in document order, each with its place among all fields or items. Types are
+#: asked for only where some text could be an object or array. As text, for one call in place of a hundred.
+_CHILDREN = """
+  transform(filter(transform(
+      case when n.type = 'OBJECT' and exists(map_values(n.m), v -> coalesce(startswith(v, '{') or startswith(v, '['), false))
+             then zip_with(map_entries(n.m), map_values(from_json(n.json, 'map<string,variant>')), (e, t) -> named_struct('name', e.key, 'json', e.value, 'type', schema_of_variant(t)))
+           when n.type = 'ARRAY'
+             then zip_with(from_json(n.json, 'array<string>'), from_json(n.json, 'array<variant>'), (e, t) -> named_struct('name', '', 'json', e, 'type', schema_of_variant(t))) end,
+      (c, i) -> named_struct('path', concat(n.path, array(i)), 'name', c.name, 'json', c.json, 'type', case when startswith(c.type, 'OBJECT') then 'OBJECT' when startswith(c.type, 'ARRAY') then 'ARRAY' end)),
+    c -> c.type is not null), c -> named_struct('n', """ + _NODE.format(path="c.path", name="c.name", json="c.json", type="c.type") + """, 'open', true))"""
 
 
 def walk(decoded: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """Every object of ``data``: seq, path (pre-order when sorted), name, json, depth; ``too_deep`` marks what is left.
+    """Every object and array of ``data``: seq, path (pre-order when sorted), name, json, type, m (fields of objects), depth; ``too_deep`` marks what is not opened.
 
-    One lineage: each level emits the node itself, closed, and its children, open.
+    One lineage: each level emits the node itself, closed, and its children, open. A node is parsed once, when it is emitted.
     """
-    rows = decoded.filter("reason is null and data is not null").select("*", F.array().cast("array<int>").alias("path"), F.lit("").alias("name"), F.col("data").alias("json"), F.lit("OBJECT").alias("type"), F.lit(True).alias("open"))
     keep = [c for c in decoded.columns if c != "data"]
+    root = _NODE.format(path="cast(array() as array<int>)", name="''", json="data", type="'OBJECT'")
+    rows = decoded.filter("reason is null and data is not null").selectExpr(*[f"`{c}`" for c in keep], f"{root} as n", "true as open")
+    me = "array(named_struct('n', n, 'open', false))"
     for _ in range(max_depth):
-        nested = F.filter(_children(F.col("json"), F.col("type"), F.col("path")), lambda c: c["type"].startswith("OBJECT") | c["type"].startswith("ARRAY"))
-        me = F.struct(F.struct("path", "name", "json", "type").alias("node"), F.lit(False).alias("open"))
-        below = F.transform(nested, lambda c: F.struct(c.alias("node"), F.lit(True).alias("open")))
-        emitted = F.when(F.col("open"), F.concat(F.array(me), F.coalesce(below, F.array().cast(f"array<struct<node:{NODE[6:-1]},open:boolean>>")))).otherwise(F.array(me))
-        rows = rows.select(*keep, F.explode(emitted).alias("r")).select(*keep, "r.node.*", "r.open")
-    return rows.select(*keep, "path", "name", "json", "type", F.size("path").alias("depth"), F.col("open").alias("too_deep"))
+        rows = rows.selectExpr(*[f"`{c}`" for c in keep], f"inline(case when open then concat({me}, coalesce({_CHILDREN}, array())) else {me} end)")
+    return rows.selectExpr(*[f"`{c}`" for c in keep], "n.*", "size(n.path) as depth", "open as too_deep")
 
 
 def mappings(objects: DataFrame) -> DataFrame:
@@ -61,10 +70,9 @@ def mappings(objects: DataFrame) -> DataFrame:
 
     Objects marked too_deep are an error: ``decode`` has refused such messages unless it was given another depth than ``walk``.
     """
-    m = F.from_json("json", "map<string,string>")
-    keep = [c for c in objects.columns if c not in ("json", "name", "type", "too_deep")]
+    keep = [c for c in objects.columns if c not in ("json", "name", "type", "too_deep", "m")]
     whole = F.when(F.col("too_deep"), F.raise_error(F.concat(F.lit("message too deep for this walk: seq "), F.col("seq").cast("string"))).cast("boolean")).otherwise(F.col("type").startswith("OBJECT"))
-    rows = objects.filter(whole).select(*keep, m.alias("m")).select(*keep, "m", F.posexplode(F.map_entries("m")).alias("pos", "e"))
+    rows = objects.filter(whole).select(*keep, "m", F.posexplode(F.map_entries("m")).alias("pos", "e"))
     named = rows.filter(F.col("e.key").startswith("mapping.") & ~F.lower(strip(F.coalesce("e.value", F.lit("")))).isin("", "none"))
     return named.select(*keep, "pos", F.col("e.value").alias("field"), F.try_element_at("m", F.substring(F.col("e.key"), F.lit(9), F.length("e.key"))).alias("value"))
 
@@ -88,6 +96,38 @@ def flat_profile(long: DataFrame) -> DataFrame:
     return named.groupBy("seq", "field").agg(F.min_by(F.struct(F.col("value").alias("v")), F.struct("path", "pos")).alias("first")).select("seq", "field", F.col("first.v").alias("value"))
 
 
+def profile_values(decoded: DataFrame) -> DataFrame:
+    """seq, field, json: the flat profile with JSON types kept.
+
+    Sections are the top-level objects of ``data`` and the object items of ``documents.clientIdCard``, in
+    document order; a valid mapping is a scalar, neither blank nor 'none' nor 'null'; the first one of a
+    name wins, even when its value is null or missing. Empty text and 'none' are null.
+    """
+    objects = walk(decoded.select("seq", "data", "reason"))
+    kept = objects.filter("type = 'OBJECT' and size(path) in (1, 3) or type = 'ARRAY' and size(path) = 2 and name = 'clientIdCard'")
+    # an item counts where its array is clientIdCard of documents
+    owner = objects.filter("size(path) = 1 and name = 'documents' and type = 'OBJECT'").select("seq", F.col("path").alias("p1"))
+    cards = kept.filter("type = 'ARRAY'").join(owner, "seq").filter("path[0] = p1[0]").select("seq", F.col("path").alias("p2"))
+    items = kept.filter("size(path) = 3").join(cards, "seq", "left_semi").join(cards, "seq").filter("slice(path, 1, 2) = p2").drop("p2")
+    sections = kept.filter("size(path) = 1").unionByName(items).select("seq", "path", "json", "m")
+    typed = F.from_json("json", "map<string,variant>")
+    rows = sections.select("seq", "path", F.explode(F.array(typed)).alias("v")).select("seq", "path", "v", F.posexplode(F.map_keys("v")).alias("pos", "key"))
+    name = F.try_variant_get(F.col("v")[F.col("key")], "$", "string")
+    scalar = ~F.substring(F.schema_of_variant(F.col("v")[F.col("key")]), 1, 5).isin("OBJEC", "ARRAY")
+    source = strip(F.substring("key", F.lit(9), F.length("key")))
+    valid = rows.filter(F.startswith("key", F.lit("mapping.")) & (source != "") & scalar & ~F.lower(strip(F.coalesce(name, F.lit("")))).isin("", "none", "null"))
+    value = F.try_element_at("v", source)
+    json = F.when(value.isNull() | F.is_variant_null(value) | (F.lower(F.to_json(value)).isin('""', '"none"')), "null").otherwise(F.to_json(value))
+    return valid.select("seq", "path", "pos", strip(name).alias("field"), json.alias("json")).groupBy("seq", "field").agg(F.min_by("json", F.struct("path", "pos")).alias("json"), F.min(F.struct("path", "pos")).alias("at"))
+
+
+def profile_lines(decoded: DataFrame) -> DataFrame:
+    """seq, line: one flat JSON object for each message with a profile, fields in document order."""
+    in_order = F.array_sort(F.collect_list(F.struct("at", "field", "json")))
+    pair = lambda x: F.concat(quoted(x["field"]), F.lit(":"), x["json"])
+    return profile_values(decoded).groupBy("seq").agg(F.concat(F.lit("{"), F.array_join(F.transform(in_order, pair), ","), F.lit("}")).alias("line"))
+
+
 def blocks(decoded: DataFrame) -> DataFrame:
     """Top-level object blocks in document order: seq, pos, block, json, dataset_code."""
     m, v = F.from_json("data", "map<string,string>"), F.from_json("data", "map<string,variant>")

@@ -8,15 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from recordgate.functions.text import nullif_blank
+from recordgate.functions.text import nullif_blank, version_of
 
 BUNDLE_SCHEMA = "version string, dataset2ControlArea map<string,string>, controlAreaRules map<string,map<string,array<string>>>, errorMessages map<string,map<string,string>>, datasetExclusion map<string,array<string>>, filterFlag map<string,boolean>"
+#: Parts of a published policy, in the order of the fields of ``Policy``.
+PARTS = ("area", "rules", "errors", "exclusion", "flags")
+#: Cache payloads by shape: text to text, text lists by name, rules by field and area, error infos, flags.
+CACHE_SHAPES = {"text": "map<string,string>", "lists": "map<string,array<string>>", "rules": "map<string,map<string,array<string>>>", "errors": "map<string,map<string,string>>", "flags": "map<string,boolean>"}
+#: Rows of a policy up to which its tables are broadcast (some 100 MB); a larger one is joined by shuffle.
+BROADCAST_ROWS = 500_000
 
 
 @dataclass
 class Policy:
     """One version: area (dataset_code, control_area), rules (control_area, field, rule_name), errors
-    (rule_name, error_description, classification), exclusion (control_area, block), flags (control_area, filter_flag)."""
+    (rule_name, error_description, classification), exclusion (control_area, block, pos), flags (control_area, filter_flag)."""
 
     version: str
     area: DataFrame
@@ -24,6 +30,13 @@ class Policy:
     errors: DataFrame
     exclusion: DataFrame
     flags: DataFrame
+    n_rows: int | None = None
+
+    def small(self, part: DataFrame) -> DataFrame:
+        """``part`` of this policy (no longer than its tables together), marked for broadcast if its size allows."""
+        if self.n_rows is None:
+            self.n_rows = int(self.sizes().agg(F.sum("n")).first()[0])
+        return F.broadcast(part) if self.n_rows <= BROADCAST_ROWS else part
 
     def sizes(self) -> DataFrame:
         out = None
@@ -47,7 +60,7 @@ def from_bundle(doc: DataFrame) -> Policy:
         area,
         by_area.select("control_area", "field", F.explode("r").alias("rule_name")),
         doc.select(F.explode("errorMessages").alias("rule_name", "m")).select("rule_name", F.col("m")["errorDescription"].alias("error_description"), F.col("m")["classification"].alias("classification")),
-        doc.select(F.explode("datasetExclusion").alias("control_area", "b")).select("control_area", F.explode("b").alias("block")),
+        doc.select(F.explode("datasetExclusion").alias("control_area", "b")).select("control_area", F.posexplode("b").alias("pos", "block")),
         doc.select(F.explode("filterFlag").alias("control_area", "filter_flag")),
     )
 
@@ -64,19 +77,81 @@ def complete_versions(pointers: DataFrame, parts: int = 5) -> DataFrame:
     return pointers.groupBy("version").agg(F.count_distinct("part").alias("n")).filter(F.col("n") == parts).select("version")
 
 
+def publish(tables: dict[str, DataFrame], version: int, root: str) -> None:
+    """Writes the parts of a policy under their version, then one pointer row each; a version without all pointers is never read."""
+    for part, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{root}/{part}/version={version}")
+    for part, df in tables.items():
+        df.sparkSession.createDataFrame([(part, version)], "part string, version long").coalesce(1).write.mode("append").parquet(f"{root}/pointers")
+
+
+def newest(spark: SparkSession, root: str, parts: tuple[str, ...] = PARTS) -> Policy | None:
+    """The newest complete policy below ``root``; None before the first one."""
+    complete = complete_versions(spark.read.parquet(f"{root}/pointers").filter(F.col("part").isin(*parts)).distinct(), len(parts))
+    version = complete.agg(F.max("version")).first()[0]
+    return None if version is None else Policy(str(version), *[spark.read.parquet(f"{root}/{part}/version={version}") for part in parts])
+
+
+def decode_cache(payloads: DataFrame, shape: str) -> DataFrame:
+    """cache, and the typed map of each payload (cache, payload JSON); a null or unreadable payload, key or value fails with the cache's name."""
+    m = F.from_json("payload", CACHE_SHAPES[shape])
+    bad = m.isNull() | F.exists(F.map_values(m), lambda v: v.isNull())
+    return payloads.select("cache", F.when(bad, F.raise_error(F.concat(F.lit("unreadable payload of cache "), F.coalesce("cache", F.lit("?")))).cast(CACHE_SHAPES[shape])).otherwise(m).alias("entries"))
+
+
+def rule_payloads(rules: DataFrame) -> DataFrame:
+    """rule_name, predicate, n_bytes: base64 bodies decoded, in order of name; blank names and bodies are left out, undecodable ones null."""
+    body = F.try_to_binary("body", F.lit("base64"))
+    kept = rules.filter(nullif_blank(F.col("rule_name")).isNotNull() & nullif_blank(F.col("body")).isNotNull())
+    return kept.select("rule_name", F.decode(body, "UTF-8").alias("predicate"), F.octet_length(body).cast("long").alias("n_bytes"))
+
+
+def payload_stats(rules: DataFrame) -> DataFrame:
+    """n_rules, n_bytes of the decoded rules."""
+    return rule_payloads(rules).agg(F.count("predicate").alias("n_rules"), F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("n_bytes"))
+
+
+def consistent_version(names: DataFrame) -> DataFrame:
+    """version: the one version that all versioned table names (name) carry; no row where they differ or one has none."""
+    v = names.select(version_of(F.col("name")).alias("version"))
+    return v.agg(F.count_distinct("version").alias("n"), F.max("version").alias("version"), F.bool_or(F.col("version").isNull()).alias("missing")).filter("n = 1 and not missing").select("version")
+
+
+def running(df: DataFrame, value: str, how: str, by: tuple[str, ...] = (), order: str = "seq") -> DataFrame:
+    """``df`` with ``before``: the last (``how`` = 'last', nulls skipped) or greatest ('max') ``value`` of earlier rows of the same ``by``.
+
+    Rows are cut in ranges of ``order``; each range hands on one value per ``by``, so no task sees
+    more than a range, whatever the number of rows.
+    """
+    n = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = df.agg(F.percentile_approx(order, [i / n for i in range(1, n)], 10 * n)).first()[0] or []
+    place = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col(order))) if bounds else F.lit(0)
+    ranged = df.withColumn("_range", place)
+    total = F.max_by(value, order) if how == "last" else F.max(value)
+    last = ranged.filter(F.col(value).isNotNull()).groupBy(*by, "_range").agg(total.alias("_total"))
+    # a carried value stands for all ranges up to the next one that has its own
+    until = Window.partitionBy(*by).orderBy("_range")
+    runs = last.withColumn("_total", (F.last("_total") if how == "last" else F.max("_total")).over(until.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = runs.select(*by, F.col("_range").alias("_from"), F.lead("_range").over(until).alias("_until"), "_total")
+    steps = runs.select(*by, F.explode(F.expr(f"sequence(_from + 1, coalesce(_until, {n}))")).alias("_range"), F.col("_total").alias("_carry")).filter(f"_range <= {n}")
+    inside = Window.partitionBy(*by, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    mine = F.last(value, True).over(inside) if how == "last" else F.max(value).over(inside)
+    # at most one row for each range and value of ``by``
+    out = ranged.join(steps, [*by, "_range"], "left")
+    return out.withColumn("before", F.coalesce(mine, "_carry") if how == "last" else F.greatest(mine, "_carry")).drop("_range", "_carry")
+
+
 def accepted_versions(events: DataFrame) -> DataFrame:
     """Decoded control events whose version is above all earlier ones of their cache."""
-    earlier = Window.partitionBy("cache").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    known = events.filter("valid").filter(F.col("cache").isin("compiled_rules", "politics"))
-    return known.withColumn("before", F.max("version").over(earlier)).filter("before is null or version > before").select("seq", "cache", "version")
+    known = events.filter("valid").filter(F.col("cache").isin("compiled_rules", "politics")).select("seq", "cache", "version")
+    return running(known, "version", "max", ("cache",)).filter("before is null or version > before").select("seq", "cache", "version")
 
 
 def handler_changes(events: DataFrame, default: str = "flink") -> DataFrame:
     """seq, handler of each event that changes the current handler; unknown names are refused."""
     name = F.lower(F.coalesce(nullif_blank(F.col("handler")), F.lit(default)))
     known = events.filter("valid and cache = 'handler'").select("seq", name.alias("handler")).filter(F.col("handler").isin("flink", "dotnet"))
-    before = F.lag("handler", 1, default).over(Window.orderBy("seq"))
-    return known.withColumn("before", before).filter("handler <> before").select("seq", "handler")
+    return running(known, "handler", "last").filter(F.col("handler") != F.coalesce("before", F.lit(default))).select("seq", "handler")
 
 
 def control_rejects(events: DataFrame) -> DataFrame:
@@ -88,7 +163,7 @@ def control_rejects(events: DataFrame) -> DataFrame:
 
 def as_of(records: DataFrame, changes: DataFrame, value: str, default) -> DataFrame:
     """Each record (seq, ...) with the last change (seq, value) at or before it."""
-    marked = records.select("seq", F.lit(1).alias("is_record"), F.lit(None).cast(changes.schema[value].dataType).alias(value))
-    both = marked.unionByName(changes.select("seq", F.lit(0).alias("is_record"), value))
-    w = Window.orderBy("seq", "is_record").rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn(value, F.coalesce(F.last_value(value, True).over(w), F.lit(default))).filter("is_record = 1").select("seq", value)
+    marked = records.select((F.col("seq") * 2 + 1).alias("seq"), F.lit(None).cast(changes.schema[value].dataType).alias(value), F.lit(True).alias("is_record"))
+    both = marked.unionByName(changes.select((F.col("seq") * 2).alias("seq"), value, F.lit(False).alias("is_record")))
+    found = running(both, value, "last").filter("is_record")
+    return found.select(((F.col("seq") - 1) / 2).cast("long").alias("seq"), F.coalesce("before", F.lit(default)).alias(value))

@@ -12,7 +12,6 @@ from recordgate.functions.text import nullif_blank, rule_key, strip
 from recordgate.operators import flatten
 from recordgate.operators.policy import Policy
 from recordgate.sources.messages import GENDER_FIELD
-from recordgate.sources.staging import staged
 
 # Code tables of the two mapped fields.
 GENDER_CODES = {"MALE": "M", "FEMALE": "F"}
@@ -56,71 +55,97 @@ def status_name(rank: Column) -> Column:
 
 def resolved(decoded: DataFrame, policy: Policy) -> DataFrame:
     """Decoded messages with dataset_code, control_area and the final reason of refusal."""
-    codes = flatten.first_dataset_code(flatten.blocks(decoded))
-    with_code = decoded.join(codes, "seq", "left").join(F.broadcast(policy.area), "dataset_code", "left")
-    has_rules = F.broadcast(policy.rules.select("control_area").distinct().withColumn("has_rules", F.lit(True)))
+    fields = F.from_json("data", "map<string,string>")
+    # a code stands in an object: texts that only look like one have no type OBJECT
+    entries = F.filter(F.map_entries(fields), lambda e: e["value"].startswith("{") & e["value"].contains("dataset_code"))
+    codes = F.transform(entries, lambda e: F.struct(e["key"].alias("block"), nullif_blank(F.from_json(e["value"], "map<string,string>")["dataset_code"]).alias("code")))
+    types = F.from_json("data", "map<string,variant>")
+    real = F.filter(codes, lambda c: c["code"].isNotNull() & F.schema_of_variant(types[c["block"]]).startswith("OBJECT"))
+    first = F.when(F.col("reason").isNull(), F.get(real, F.lit(0))["code"])
+    known = decoded.select("*", F.explode(F.array(first)).alias("dataset_code"))
+    with_code = known.join(policy.small(policy.area), "dataset_code", "left")
+    has_rules = policy.small(policy.rules.select("control_area").distinct().withColumn("has_rules", F.lit(True)))
     found = with_code.join(has_rules, "control_area", "left")
     reason = F.coalesce("reason", F.when(F.col("dataset_code").isNull(), "NO_DATASET_CODE").when(F.col("control_area").isNull(), "NO_CONTROL_AREA").when(F.col("has_rules").isNull(), "NO_RULES"))
     return found.withColumn("reason", reason).drop("has_rules")
 
 
-def scope_values(messages: DataFrame, policy: Policy, max_depth: int = flatten.MAX_DEPTH) -> tuple[DataFrame, DataFrame]:
-    """seq, control_area, scope ('' or an excluded block), field, value, flag: the folded maps of every scope; and the names that main scopes lost.
+def scopes(messages: DataFrame, policy: Policy, max_depth: int = flatten.MAX_DEPTH) -> DataFrame:
+    """seq, control_area, scope ('' or an excluded block), scope_order, scope_dataset, flag, m (folded values), logical (names of an
+    excluded block), lost (names that the main scope lost to excluded blocks): one row per message and scope.
 
-    The main scope loses every name that an excluded block maps at its top level, even where another
-    block shares it. An excluded block is judged by the message's rules; its own area gives the flag.
-    ``max_depth`` is the one that ``decode`` was given; messages that are TOO_DEEP have no scope.
+    An excluded block has all names mapped in it at any depth; the main scope loses each of them, even
+    where another block shares it. An excluded block is judged by the message's rules for its own names; its own
+    area gives the flag. ``max_depth`` is the one that ``decode`` was given; messages that are
+    TOO_DEEP have no scope.
     """
-    long = staged(flatten.mappings(flatten.walk(messages, max_depth)))
-    keys = messages.select("seq", "control_area", "dataset_code")
-    excluded = flatten.blocks(messages).join(keys.select("seq", "control_area"), "seq").join(F.broadcast(policy.exclusion), ["control_area", "block"])
-    excluded = staged(excluded.select("seq", F.col("pos").alias("block_pos"), "block", "dataset_code"))
-    placed = long.withColumn("block_pos", F.get("path", F.lit(0))).join(excluded.select("seq", "block_pos", "block"), ["seq", "block_pos"], "left")
-    taken = placed.filter("block is not null and size(path) = 1").select("seq", "field").distinct()
-    main = flatten.normalized(placed.join(taken, ["seq", "field"], "left_anti")).withColumn("scope", F.lit("")).join(keys.select("seq", "control_area"), "seq")
-    own = flatten.normalized(placed.filter("block is not null and size(path) = 1"), "block").withColumnRenamed("block", "scope").join(keys.select("seq", "control_area"), "seq")
-    flags = F.broadcast(policy.flags)
-    main = main.join(flags, "control_area", "left")
-    own_area = excluded.select("seq", F.col("block").alias("scope"), "dataset_code").join(F.broadcast(policy.area.withColumnRenamed("control_area", "own_area")), "dataset_code", "left").select("seq", "scope", "own_area")
-    own = own.join(own_area, ["seq", "scope"], "left").withColumn("flag_area", F.coalesce("own_area", "control_area")).join(flags.withColumnRenamed("control_area", "flag_area"), "flag_area", "left")
-    columns = ["seq", "control_area", "scope", "field", "value", F.coalesce("filter_flag", F.lit(False)).alias("flag")]
-    # the names a main scope lost are lost to its rules as well
-    return main.select(*columns).unionByName(own.select(*columns)), taken
-
-
-def evaluate(messages: DataFrame, policy: Policy, predicates: dict[str, str], python_rules: dict[str, Callable] | None = None) -> DataFrame:
-    """The long result: seq, scope, field, rule_name, status, raised, error_text.
+    own = [c for c in messages.columns if c not in ("seq", "data")]
+    objects = flatten.walk(messages.drop(*[c for c in own if c not in ("control_area", "dataset_code", "reason")]), max_depth).filter("type = 'OBJECT' or too_deep")
+    mapped = F.filter(F.transform(F.map_entries("m"), lambda e, i: F.struct(i.alias("pos"), e["key"].alias("key"), e["value"].alias("field"))), lambda e: e["key"].startswith("mapping.") & ~F.lower(strip(F.coalesce(e["field"], F.lit("")))).isin("", "none"))
+    values = F.transform(mapped, lambda e: F.struct(F.col("path"), e["pos"].alias("pos"), e["field"].alias("field"), F.try_element_at(F.col("m"), F.substring(e["key"], F.lit(9), F.length(e["key"]))).alias("value")))
+    checked = F.when(F.col("too_deep"), F.raise_error(F.concat(F.lit("message too deep for this walk: seq "), F.col("seq").cast("string")))).otherwise(F.lit(None)).cast("string")
+    block = F.when(F.size("path") == 1, F.struct(F.get("path", F.lit(0)).alias("place"), F.col("name").alias("block"), nullif_blank(F.col("m")["dataset_code"]).alias("dataset_code")))
+    per = objects.select("seq", "control_area", "dataset_code", values.alias("v"), block.alias("b"), checked.alias("checked"))
+    per = per.groupBy("seq").agg(F.first("control_area").alias("control_area"), F.first("dataset_code").alias("dataset_code"), F.array_sort(F.flatten(F.collect_list("v"))).alias("v"), F.array_sort(F.collect_list("b")).alias("blocks"), F.max("checked").alias("checked")).drop("checked")
+    excluded = policy.exclusion.groupBy("control_area").agg(F.collect_list(F.struct("pos", "block")).alias("excluded"))
+    per = per.join(policy.small(excluded), "control_area", "left")
+    # of excluded blocks only those that the message has, in the policy's order
+    order = lambda b: F.get(F.filter("excluded", lambda x: x["block"] == b["block"]), F.lit(0))["pos"]
+    found = F.filter("blocks", lambda b: F.exists(F.coalesce("excluded", F.array().cast("array<struct<pos:int,block:string>>")), lambda x: x["block"] == b["block"]))
+    named = F.transform(found, lambda b: F.struct((order(b) + 1).alias("scope_order"), b["block"].alias("scope"), b["place"].alias("place"), F.coalesce(b["dataset_code"], b["block"]).alias("scope_dataset")))
+    per = per.withColumn("out", F.array_sort(named))
+    inside = lambda x, o: F.get(x["path"], F.lit(0)) == o["place"]
+    lost = F.array_distinct(F.transform(F.filter("v", lambda x: F.exists("out", lambda o: inside(x, o))), lambda x: x["field"]))
+    per = per.select("seq", "control_area", "dataset_code", "v", "out", F.explode(F.array(lost)).alias("lost"))
+    main = F.struct(F.lit(0).alias("scope_order"), F.lit("").alias("scope"), F.lit(-1).alias("place"), F.col("dataset_code").alias("scope_dataset"), F.filter("v", lambda x: ~F.array_contains("lost", x["field"])).alias("mine"))
+    blocks = F.transform("out", lambda o: F.struct(o["scope_order"].alias("scope_order"), o["scope"].alias("scope"), o["place"].alias("place"), o["scope_dataset"].alias("scope_dataset"), F.filter("v", lambda x: inside(x, o)).alias("mine")))
+    rows = per.select("seq", "control_area", "lost", F.explode(F.concat(F.array(main), blocks)).alias("s")).select("seq", "control_area", "s.*", F.when(F.col("s.scope") == "", F.col("lost")).otherwise(F.array().cast("array<string>")).alias("lost"))
+    names = F.array_distinct(F.transform("mine", lambda x: x["field"]))
+    folded = F.map_from_entries(F.transform(names, lambda f: F.struct(f.alias("k"), flatten.fold(F.transform(F.filter("mine", lambda x: x["field"] == f), lambda x: x["value"])).alias("v"))))
+    top = F.transform(F.filter("mine", lambda x: F.size(x["path"]) == 1), lambda x: strip(x["field"]))
+    rows = rows.select("seq", "control_area", "scope", "scope_order", "scope_dataset", "lost", F.explode(F.array(folded)).alias("m"), F.array_distinct(F.concat(names, top)).alias("logical"))
+    # the flag of the block's own area, else of the message's
+    own_area = policy.small(policy.area.select(F.col("dataset_code").alias("scope_dataset"), F.col("control_area").alias("own_area")))
+    rows = rows.join(own_area, "scope_dataset", "left").withColumn("flag_area", F.when(F.col("scope") == "", F.col("control_area")).otherwise(F.coalesce("own_area", "control_area")))
+    rows = rows.join(policy.small(policy.flags.withColumnRenamed("control_area", "flag_area")), "flag_area", "left")
+    return rows.select("seq", "control_area", "scope", "scope_order", "scope_dataset", F.coalesce("filter_flag", F.lit(False)).alias("flag"), "m", "logical", "lost")
+
+
+def evaluate(messages: DataFrame, policy: Policy, predicates: dict[str, str], python_rules: dict[str, Callable] | None = None, scoped: DataFrame | None = None) -> DataFrame:
+    """The long result: seq, scope, scope_order, scope_dataset, field, rule_name, status, raised, error_text.
 
     ``predicates``: rule name to a boolean SQL expression over ``m`` (field to text); true is a
-    defect, null counts as raised and not as a defect. ``python_rules``: rule name to a function of a
-    pandas series of such maps. The named rules of a missing body succeed.
+    defect, null counts as raised and not as a defect (write casts as ``try_cast``: what raises in SQL stops
+    the query). ``python_rules``: rule name to a function of such a map; what it raises marks the
+    record. The named rules of a missing body succeed. No row is shuffled but for the walk's group.
     """
-    values, taken = scope_values(staged(messages), policy)
-    values, taken = staged(values), staged(taken)
-    maps = values.groupBy("seq", "scope", "control_area", "flag").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "value")))).alias("m"))
-    dotted = F.map_keys("m")
-    # flag: every policy field is present, a comma name under its dotted form
-    wanted = policy.rules.groupBy("control_area").agg(F.array_sort(F.collect_set("field")).alias("wanted"))
-    maps = maps.join(F.broadcast(wanted), "control_area")
+    rows = scopes(messages, policy) if scoped is None else scoped
+    known = policy.rules.join(policy.small(_bodies(policy, [*predicates, *(python_rules or {})])), "rule_name", "left").distinct()
+    rules = known.groupBy("control_area").agg(F.collect_list(F.struct("field", "rule_name", "body")).alias("rules"), F.array_sort(F.collect_set("field")).alias("fields"))
     comma = lambda f: F.replace(f, F.lit("."), F.lit(","))
-    lifted = F.map_from_entries(F.transform("wanted", lambda f: F.struct(f.alias("k"), F.when(F.array_contains(dotted, f), F.try_element_at("m", f)).otherwise(F.try_element_at("m", comma(f))).alias("v"))))
+    rows = rows.join(policy.small(rules), "control_area")
+    mine = lambda f: F.when(F.col("scope") == "", ~F.array_contains("lost", f)).otherwise(F.array_contains("logical", f))
+    rows = rows.withColumn("wanted", F.filter("fields", mine)).withColumn("names", F.map_keys("m"))
+    # flag: every policy field of the scope is present, a comma name under its dotted form
+    lifted = F.map_from_entries(F.transform("wanted", lambda f: F.struct(f.alias("k"), F.when(F.array_contains("names", f), F.try_element_at("m", f)).otherwise(F.try_element_at("m", comma(f))).alias("v"))))
     rest = F.map_filter("m", lambda k, v: ~F.array_contains("wanted", k) & ~F.array_contains(F.transform("wanted", comma), k))
-    maps = maps.withColumn("e", F.when(F.col("flag"), F.map_concat(lifted, rest)).otherwise(F.col("m"))).drop("wanted")
-    rules = policy.rules.join(_bodies(policy, [*predicates, *(python_rules or {})]), "rule_name", "left")
-    rows = maps.join(F.broadcast(rules), "control_area")
-    present = F.array_contains(F.map_keys("m"), F.col("field")) | F.array_contains(F.map_keys("m"), comma(F.col("field")))
-    lost = taken.withColumn("lost", F.lit(True)).withColumn("scope", F.lit(""))
-    rows = rows.join(lost, ["seq", "scope", "field"], "left").filter("lost is null").filter(F.col("flag") | present)
-    seen = F.when(F.col("field").isin(GENDER_FIELD, DOCUMENT_FIELD) & F.map_contains_key("e", F.col("field")), F.map_concat(F.map_filter("e", lambda k, v: k != F.col("field")), F.create_map(F.col("field"), code_mapped(F.col("field"), F.try_element_at("e", F.col("field")))))).otherwise(F.col("e"))
-    rows = rows.select("seq", "scope", "field", "rule_name", "body", seen.alias("m"))
-    outcome = F.lit(False)
+    judged_fields = F.filter("rules", lambda r: F.array_contains("wanted", r["field"]) & (F.col("flag") | F.array_contains("names", r["field"]) | F.array_contains("names", comma(r["field"]))))
+    keep = ["seq", "scope", "scope_order", "scope_dataset"]
+    rows = rows.select(*keep, F.explode(F.array(F.when(F.col("flag"), F.map_concat(lifted, rest)).otherwise(F.col("m")))).alias("e"), judged_fields.alias("rules"))
+    rows = rows.select(*keep, "e", F.explode("rules").alias("r")).select(*keep, "e", "r.*")
+    coded = F.col("field").isin(GENDER_FIELD, DOCUMENT_FIELD) & F.map_contains_key("e", F.col("field"))
+    seen = F.when(coded, F.map_concat(F.map_filter("e", lambda k, v: k != F.col("field")), F.create_map(F.col("field"), code_mapped(F.col("field"), F.try_element_at("e", F.col("field")))))).otherwise(F.col("e"))
+    rows = rows.select(*keep, "field", "rule_name", "body", F.explode(F.array(seen)).alias("m"))
+    outcome = F.when(F.col("body").isNull(), F.lit(False))
     for name, predicate in predicates.items():
-        outcome = F.when(F.col("body") == name, F.expr(predicate)).otherwise(outcome)
-    judged = staged(rows).withColumn("outcome", outcome)
-    for name, rule in (python_rules or {}).items():
-        judged = judged.withColumn("outcome", F.when(F.col("body") == name, _arrow(rule)(F.col("m"))).otherwise(F.col("outcome")))
-    judged = judged.select("seq", "scope", "field", "rule_name", F.coalesce("outcome", F.lit(False)).alias("triggered"), F.col("outcome").isNull().alias("raised"))
-    return staged(_with_errors(judged, policy))
+        outcome = outcome.when(F.col("body") == name, F.expr(predicate))
+    judged = rows.withColumn("outcome", outcome)
+    if python_rules:
+        # one Arrow pass over the rows of Python rules; the others go without a map
+        python = F.col("body").isin(*python_rules)
+        judged = judged.withColumn("outcome", F.when(python, _arrow(python_rules)(F.when(python, F.col("body")), F.when(python, F.col("m")))).otherwise(F.col("outcome")))
+    judged = judged.select(*keep, "field", "rule_name", F.coalesce("outcome", F.lit(False)).alias("triggered"), F.col("outcome").isNull().alias("raised"))
+    return _with_errors(judged, policy)
 
 
 def _bodies(policy: Policy, names: list[str]) -> DataFrame:
@@ -131,28 +156,33 @@ def _bodies(policy: Policy, names: list[str]) -> DataFrame:
     return policy.rules.select("rule_name").distinct().withColumn("body", pick)
 
 
-def _arrow(rule: Callable):
+def _arrow(rules: dict[str, Callable]):
     @F.pandas_udf("boolean")
-    def run(m: pd.Series) -> pd.Series:
-        def one(x):
+    def run(body: pd.Series, m: pd.Series) -> pd.Series:
+        def one(name, x):
             try:
-                return bool(rule(dict(x)))
+                return None if name is None else bool(rules[name](dict(x)))
             except Exception:
                 return None  # raised: not triggered, and the record is marked
 
-        return m.map(one).astype("object")
+        return pd.Series([one(n, x) for n, x in zip(body, m, strict=True)], index=m.index, dtype="object")
 
     return run
 
 
 def _with_errors(judged: DataFrame, policy: Policy) -> DataFrame:
+    """Error info by the exact rule name, then with the prefix 'Rule', then without it; info without text and class is skipped."""
     errors = policy.errors.filter(nullif_blank(F.col("error_description")).isNotNull() | F.col("classification").isNotNull())
-    one = errors.withColumn("key", rule_key(F.col("rule_name"))).groupBy("key").agg(F.first("error_description").alias("error_description"), F.first("classification").alias("classification"))
-    rows = judged.withColumn("key", rule_key(F.col("rule_name"))).join(F.broadcast(one), "key", "left")
+    info = errors.groupBy("rule_name").agg(F.min(F.struct("error_description", "classification")).alias("i")).select(F.col("rule_name").alias("known"), "i")
+    names = policy.rules.select("rule_name").distinct()
+    tries = F.array("rule_name", F.concat(F.lit("Rule"), "rule_name"), F.regexp_replace("rule_name", "^Rule", ""))
+    each = names.select("rule_name", F.posexplode(tries).alias("at", "known")).join(policy.small(info), "known")
+    one = each.groupBy("rule_name").agg(F.min_by("i", "at").alias("i")).select("rule_name", "i.*")
+    rows = judged.join(policy.small(one), "rule_name", "left")
     inform = F.upper(strip(F.coalesce("classification", F.lit("")))) == "INFORM"
     status = F.when(~F.col("triggered"), "SUCCESS").when(inform, "WARNING").otherwise("ERROR")
     text = F.when(F.col("triggered"), F.coalesce(nullif_blank(F.col("error_description")), F.concat(F.lit("No error text for rule "), F.col("rule_name"))))
-    return rows.select("seq", "scope", "field", "rule_name", status.alias("status"), "raised", text.alias("error_text"))
+    return rows.select("seq", "scope", "scope_order", "scope_dataset", "field", "rule_name", status.alias("status"), "raised", text.alias("error_text"))
 
 
 def field_status(long: DataFrame) -> DataFrame:
@@ -168,16 +198,6 @@ def record_status(long: DataFrame) -> DataFrame:
     return out.select("seq", status_name(F.col("rank")).alias("all_result"), F.when(F.col("raised"), "RULE_EXCEPTION").otherwise("OK").alias("process_status"))
 
 
-def short_answers(messages: DataFrame, long: DataFrame, now: Column) -> DataFrame:
-    """seq, answer: JSON with the record's result and the status of each field."""
-    fields = field_status(long).groupBy("seq").agg(F.map_from_entries(F.array_sort(F.collect_set(F.struct(F.concat_ws("/", F.nullif("scope", F.lit("")), "field").alias("k"), F.col("status").alias("v"))))).alias("fields"))
-    body = F.struct(
-        F.col("query_id").alias("dfw_query_id"), F.lit("ANSWER").alias("dfw_action_type"), F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("dfw_answer_dttm"),
-        F.col("process_status").alias("PROCESS_STATUS"), F.struct(F.col("all_result").alias("ALL_RESULT"), "fields").alias("details"),
-    )
-    return messages.filter("reason is null").join(record_status(long), "seq").join(fields, "seq").select("seq", "event_id", F.to_json(F.struct(body.alias("data"))).alias("answer"))
-
-
 def detail_buckets(long: DataFrame) -> DataFrame:
     """seq, scope, bucket: sorted 'field: rule=status' text of each scope."""
     rows = field_status(long)

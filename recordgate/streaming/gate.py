@@ -6,30 +6,57 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from recordgate.operators import flatten, validate
+from recordgate.operators import answers as answers_
+from recordgate.operators import delivery, flatten, validate
 from recordgate.operators.policy import Policy
 
 
 def process(messages: DataFrame, policy: Policy, predicates: dict[str, str], now: Column) -> tuple[DataFrame, DataFrame]:
     """(answers, rejects) of a batch of messages."""
-    decoded = validate.resolved(flatten.decode(messages), policy)
+    times = tuple(c for c in ("created_dttm", "readed_dttm") if c in messages.columns)
+    decoded = validate.resolved(flatten.decode(messages, keep=times), policy)
     good = decoded.filter("reason is null")
-    answers = validate.short_answers(good, validate.evaluate(good, policy, predicates), now)
-    rejects = decoded.filter("reason is not null").select("seq", "event_id", "reason")
-    return answers.withColumn("policy_version", F.lit(policy.version)), rejects
+    built = answers_.build(good, validate.evaluate(good, policy, predicates), policy, now)
+    # every rule body but SQL's own errors is isolated; a message without an answer is refused, the others go on
+    failed = built.filter("answer is null").select("seq", "event_id", F.lit("NO_ANSWER").alias("reason"))
+    rejects = decoded.filter("reason is not null").select("seq", "event_id", "reason").unionByName(failed)
+    return built.filter("answer is not null").drop("errors").withColumn("policy_version", F.lit(policy.version)), rejects
 
 
-def start(messages: DataFrame, policy_of_batch, predicates: dict[str, str], out: str, checkpoint: str, now: Column | None = None) -> StreamingQuery:
-    """Answers and rejects of an unbounded ``messages``, one folder per batch, so a replayed batch overwrites itself.
+def start(messages: DataFrame, policy_of_batch, predicates: dict[str, str], out: str, checkpoint: str, now: Column | None = None, handlers=None, every: str | None = None) -> StreamingQuery:
+    """Answers, rejects, replies, audit lines and shadow copies of an unbounded ``messages``, one folder per batch and sink, so a
+    replayed batch overwrites itself (delivery is at least once).
 
-    ``policy_of_batch``: called once a batch, gives the newest complete policy.
+    ``policy_of_batch``: called once a batch, gives the newest complete policy; where it fails or gives
+    none, the last one stays. ``handlers``: called once a batch, gives the changes (seq, handler) known so far;
+    messages of the handler ``external`` are not judged here, their payloads go to ``shadow``.
+    ``every``: interval of batches, such as '5 seconds'; without it, all that is there is taken once.
     """
+    held: dict[str, Policy] = {}
 
     def handle(batch: DataFrame, number: int) -> None:
+        try:
+            policy = policy_of_batch()
+        except Exception:
+            if not held:
+                raise
+            policy = None
+        held["policy"] = policy = policy or held["policy"]
         batch = batch.persist()
-        answers, rejects = process(batch, policy_of_batch(), predicates, now if now is not None else F.current_timestamp())
-        answers.write.mode("overwrite").parquet(f"{out}/answers/batch={number}")
-        rejects.write.mode("overwrite").parquet(f"{out}/rejects/batch={number}")
+        mine, shadow = batch, None
+        if handlers is not None:
+            mine, shadow = delivery.routed(batch, handlers())
+        at = now if now is not None else F.current_timestamp()
+        answered, rejects = process(mine, policy, predicates, at)
+        answered = answered.persist()
+        replies, lost = delivery.replies(answered, mine, at)
+        sinks = {"answers": answered, "rejects": rejects.unionByName(lost), "replies": replies, "audit": delivery.audit_lines(answered, mine, at)}
+        if shadow is not None:
+            sinks["shadow"] = shadow
+        for name, df in sinks.items():
+            df.write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
+        answered.unpersist()
         batch.unpersist()
 
-    return messages.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    writer = messages.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
