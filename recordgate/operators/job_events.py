@@ -79,10 +79,12 @@ def endpoints(events: DataFrame, host: Host) -> DataFrame:
     scheme = url_scheme(p("brokerUrl"))
     by_scheme = F.when(F.lower(scheme) == "ssl", "SSL").when(F.lower(scheme) == "tcp", "TCP").otherwise(F.upper(scheme))
     protocol = F.coalesce(first_text(p("protocol"), p("securityProtocol")), by_scheme, F.when(F.startswith(F.col("event_type"), F.lit("KAFKA_")), host.kafka_protocol), F.when(F.lower(p("tlsEnabled")) == "true", "TLS"), F.lit("TCP"))
-    return events.select(
-        "*", F.when(own, host.ip).otherwise(name).alias("dst"), F.when(own, host.name).otherwise("").alias("dhost"), F.when(own | (name == host.ip), host.mac).otherwise("").alias("dmac"),
+    # exploded, so that the optimizer does not copy the choices into each of their uses
+    chosen = F.struct(
+        F.when(own, host.ip).otherwise(name).alias("dst"), F.when(own, host.name).otherwise("").alias("dhost"), F.when(own | (name == host.ip), host.mac).otherwise("").alias("dmac"),
         F.when(own, host.port).otherwise(F.coalesce(port, F.lit(host.port))).alias("dpt"), F.coalesce(first_text(p("suser"), p("duser"), p("connectionUser"), p("user")), F.lit(host.user)).alias("user"), protocol.alias("protocol"),
     )
+    return events.select("*", F.inline(F.array(chosen)))
 
 
 def _micros(ts: Column) -> Column:

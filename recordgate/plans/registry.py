@@ -371,12 +371,12 @@ def oracle_sql() -> dict[str, str]:
             select seq, cast(case when k % 31 = 15 then 0 else len(regexp_extract_all(t, '"(fullName|balance|clientIdCard)" : ["\\[0-9-]')) end as int) masked from y""",
         "mask_fields": f"""with {_VALUES} select seq, field, case when field = 'DOC.Number' then '***' else {fold} end "value" from lng group by seq, field""",
         "flat_lines": f"""with {_BASE} select seq, '{{"BASE.Name":' || case when k % 11 = 5 then 'null' else '"' || c_name || '"' end || case when k % 13 = 6 then '' else ',"BASE,Segment":"' || c_mktsegment || '"' end
-            || ',"BASE.Balance":' || cast(cast(c_acctbal as double) as varchar) || ',"BASE.Note":' || case when k % 7 = 3 then 'null' else '"x"' end || ',"{GENDER_FIELD}":"' || case k % 3 when 0 then 'MALE' when 1 then 'female' else 'other' end || '"'
+            || ',"BASE.Balance":' || regexp_replace(cast(cast(c_acctbal as decimal(12, 2)) as varchar), '\\.?0+$', '') || ',"BASE.Note":' || case when k % 7 = 3 then 'null' else '"x"' end || ',"{GENDER_FIELD}":"' || case k % 3 when 0 then 'MALE' when 1 then 'female' else 'other' end || '"'
             || coalesce(case when k % 29 <> 14 then ',"DOC.Number":"' || (select min(o_orderkey) from orders where o_custkey = k) || '"' end, '') || ',"ADDR.City":"' || n_name || '"}}' line from ok""",
         "rule_payloads": "select 'Rule' || p_partkey rule_name, case when p_partkey % 13 <> 0 then p_name end predicate, case when p_partkey % 13 <> 0 then cast(strlen(p_name) as bigint) end n_bytes from part where p_partkey % 11 <> 0 and p_partkey % 7 <> 0",
         "payload_stats": "select count(*) n_rules, cast(coalesce(sum(strlen(p_name)), 0) as bigint) n_bytes from part where p_partkey % 11 <> 0 and p_partkey % 7 <> 0 and p_partkey % 13 <> 0",
         "event_lines": f"""with {_EVENTS} select event_id, 'CEF:0|ORG|recordgate|1|' || class || '|' || title || '|1|externalId=' || n || ' suser=' || usr || ' sntdom=DOM src=10.0.0.1 smac=aa:bb shost=node-1 duser=' || usr || ' dntdom=DOM dst=' || dst
-            || ' dmac=' || case when v in (2, 4) then 'aa:bb' else '' end || ' dhost=' || case when v = 4 then 'node-1' else '' end || ' spt=8081 dpt=' || dpt || ' app=' || proto || ' start=' || epoch_ms(ts) || ' end= msg=' || title || '; eventId\\=' || event_id
+            || ' dmac=' || case when v in (2, 4) then 'aa:bb' else '' end || ' dhost=' || case when v = 4 then 'node-1' else '' end || ' spt=8081 dpt=' || dpt || ' app=' || proto || ' start=' || epoch_us(ts) // 1000 || ' end= msg=' || title || '; eventId\\=' || event_id
             || '; clusterId\\=' || case when event_id % 3 = 0 then 'c2' else 'c1' end || '; jobName\\=gate; status\\=' || coalesce(st, 'SUCCESS') || case when event_id % 4 = 0 then '; subtaskIndex\\=' || event_id % 8 else '' end
             || case v when 1 then '; topic\\=in|out' when 3 then '; errorMessage\\=a\\nb' when 4 then '; queue\\=Q1' else '' end || '; dst\\=' || dst || ':' || dpt || ' deviceProcessName=recordgate-1 outcome=' || case when st = 'failed' then 'failure' else 'success' end line from x""",
         "event_documents": f"""with {_EVENTS} select event_id, '{{"eventId":"' || event_id || '","eventTime":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z","eventType":"' || kind || '","eventClass":"' || class || '","eventName":"' || title || '","status":' || coalesce('"' || st || '"', 'null')
