@@ -396,7 +396,7 @@ def train(texts: list[str], labels: list[int]) -> Model:
     return model
 
 
-LEARNED = "toxic int, described array<double>, feature array<int>, decision array<float>, common array<float>, bias double"
+LEARNED = "toxic int, described array<double>, decision binary, common binary, bias double"
 
 
 def _learn_fold(t: pa.Table) -> pa.Table:
@@ -407,16 +407,15 @@ def _learn_fold(t: pa.Table) -> pa.Table:
     one = without_copies(texts)
     rest = one[fold[one] != part]
     model = learn([texts[i] for i in rest], y[rest].tolist())
-    kinds = [pa.int32(), pa.list_(pa.float64()), pa.list_(pa.int32()), pa.list_(pa.float32()), pa.list_(pa.float32()), pa.float64()]
-    names = ["toxic", "described", "feature", "decision", "common", "bias"]
+    kinds = [pa.int32(), pa.list_(pa.float64()), pa.binary(), pa.binary(), pa.float64()]
+    names = ["toxic", "described", "decision", "common", "bias"]
     if part == FOLDS:
-        at = np.flatnonzero((model.decision != 0) | (model.commonness < 1))
-        data = [[None], [None], [at.astype(np.int32)], [model.decision[at]], [model.commonness[at]], [model.bias]]
+        data = [[None], [None], [model.decision.astype(np.float32).tobytes()], [model.commonness.astype(np.float32).tobytes()], [model.bias]]
     else:
         mine = one[fold[one] == part]
         described = model.describe(*_join([texts[i] for i in mine])) if len(mine) else np.zeros((0, 4))
         none = [None] * len(mine)
-        data = [y[mine].tolist(), described.tolist(), none, none, none, none]
+        data = [y[mine].tolist(), described.tolist(), none, none, none]
     give_back()
     return pa.table([pa.array(x, k) for x, k in zip(data, kinds, strict=True)], names)
 
@@ -455,11 +454,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, n_bytes: in
     parts = sample.withColumn("part", F.explode(F.array(*[F.lit(k) for k in range(FOLDS + 1)])))
     model, described, y = Model(np.zeros(1 << BITS, np.float32), np.ones(1 << BITS, np.float32), -1.0), [], []
     for r in parts.groupBy("part").applyInArrow(_learn_fold, LEARNED).collect():
-        if r["feature"] is None:
+        if r["decision"] is None:
             described.append(r["described"])
             y.append(r["toxic"])
         else:
-            model.decision[r["feature"]], model.commonness[r["feature"]], model.bias = r["decision"], r["common"], r["bias"]
+            model = Model(np.frombuffer(r["decision"], np.float32), np.frombuffer(r["common"], np.float32), r["bias"])
     model.curve = calibrate(np.array(described, float).reshape(-1, 4), np.array(y, np.int64))
     return model
 
