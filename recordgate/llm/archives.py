@@ -1,7 +1,8 @@
 """Legacy archive converter: ARC files (versions 1 and 2) to WARC records, and WARC files to rows.
 
 ARC header lines name their own fields: five in version 1, ten in version 2. Contents are cut by the
-length that the line declares, never by searching for the next header. WARC identifiers, dates,
+length that the line declares, never by searching for the next header. A line or head that does
+not parse is a reject of its own (``archive_rejects``) and costs no other record but what it hides. WARC identifiers, dates,
 types and digests are made from the ARC fields, so a second conversion gives the same records.
 Archives are written and read by Spark's own text and binary sources, as gzip files of a bounded
 number of records.
@@ -9,7 +10,6 @@ number of records.
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import re
 import zlib
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordgate.llm.common import shared_dir, table
+from recordgate.llm.common import left_join_by_size, materialise, shared_dir, table
 
 RECORDS_PER_FILE = 4096
 #: Payloads of fewer bytes are never made revisits.
@@ -49,40 +49,56 @@ def _skip_lines(data: bytes, at: int) -> int:
 
 
 def parse_arc(data: bytes) -> Iterator[dict]:
-    """Records of one ARC file; the version block is recognised by its address, the fields by their number."""
+    """Records of one ARC file; the version block is recognised by its address, the fields by their number.
+
+    A line that is no header, or whose declared length goes beyond the file, gives {"at", "error"}.
+    """
     at, version = 0, None
     while (at := _skip_lines(data, at)) < len(data):
-        stop = data.find(b"\n", at)
-        if stop < 0:
-            return
+        begin, stop = at, data.find(b"\n", at)
+        stop = len(data) if stop < 0 else stop
         fields = data[at:stop].rstrip(b"\r").split(b" ")
         at = stop + 1
         # the address may hold spaces; the other fields do not
         width = 10 if (version == 2 and not fields[0].startswith(b"filedesc:")) else 5
         if len(fields) < width or not fields[-1].isdigit():
+            yield {"at": begin, "error": "NO_HEADER_LINE"}
             continue
         length = int(fields[-1])
+        if at + length > len(data):
+            yield {"at": begin, "error": "CUT_OFF"}
+            return
         body, at = data[at : at + length], at + length
         if fields[0].startswith(b"filedesc:"):
-            version = int(body.split(b" ", 1)[0] or b"1")
+            number = body.split(b" ", 1)[0]
+            version = int(number) if number.isdigit() else 1
             continue
-        url = b" ".join(fields[: len(fields) - width + 1]).decode()
-        rest = [x.decode() for x in fields[len(fields) - width + 1 :]]
+        url = b" ".join(fields[: len(fields) - width + 1]).decode(errors="replace")
+        rest = [x.decode(errors="replace") for x in fields[len(fields) - width + 1 :]]
         yield {"version": version or 1, "url": url, "ip": rest[0], "date": rest[1], "mime": rest[2], "status": int(rest[3]) if width == 10 and rest[3].isdigit() else 0, "body": body}
 
 
 def parse_warc(data: bytes) -> Iterator[tuple[dict, bytes]]:
-    """(named fields, block) of each record of one WARC file, by declared lengths."""
+    """(named fields, block) of each record of one WARC file, by declared lengths.
+
+    What is no record head, or has no usable length, gives ({"at", "error"}, b""), and reading goes on at the next head.
+    """
     at = 0
     while (at := _skip_lines(data, at)) < len(data):
         stop = data.find(b"\r\n\r\n", at)
-        if stop < 0 or not data.startswith(b"WARC/", at):
-            return
-        named = dict(line.split(b": ", 1) for line in data[at:stop].split(b"\r\n")[1:] if b": " in line)
-        named = {k.decode().lower(): v.decode() for k, v in named.items()}
-        length = int(named["content-length"])
-        yield named, data[stop + 4 : stop + 4 + length]
-        at = stop + 4 + length
+        named = {}
+        if stop >= 0 and data.startswith(b"WARC/", at):
+            named = dict(line.split(b":", 1) for line in data[at:stop].split(b"\r\n")[1:] if b":" in line)
+            named = {k.decode(errors="replace").strip().lower(): v.decode(errors="replace").strip() for k, v in named.items()}
+        length = named.get("content-length", "")
+        if not length.isdigit() or stop + 4 + int(length) > len(data):
+            yield {"at": at, "error": "NO_RECORD_HEAD" if not named else "CUT_OFF" if length.isdigit() else "NO_LENGTH"}, b""
+            at = data.find(b"\r\nWARC/", at)
+            if at < 0:
+                return
+            continue
+        yield named, data[stop + 4 : stop + 4 + int(length)]
+        at = stop + 4 + int(length)
 
 
 def split_http(block: bytes) -> tuple[bytes, bytes]:
@@ -95,9 +111,11 @@ def _read_arc(batches):
         for content in b.column(0):
             rows = []
             for r in parse_arc(_unzip(content.as_py())):
+                if "error" in r:
+                    continue
                 head, body = split_http(r["body"])
                 page = re.search(rb"\r\nX-Page-Id: (-?\d+)", head)
-                rows.append((int(page[1]) if page else None, r["url"], r["version"], r["date"], r["mime"], r["status"] or int(head[9:12] or 0) if head else r["status"], body, len(body), hashlib.sha1(body).hexdigest()))
+                rows.append((int(page[1]) if page else None, r["url"], r["version"], r["date"], r["mime"], r["status"] or (int(head[9:12]) if head[9:12].isdigit() else 0), body, len(body), hashlib.sha1(body).hexdigest()))
                 if len(rows) == 1024:
                     yield _rows(rows)
                     rows = []
@@ -160,8 +178,9 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
 def assign_types(records: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
     """record_type and refers_to: of equal payloads of at least ``least`` bytes the largest page_id answers, others revisit it; without a page_id, a response."""
     sized = records.filter(F.col("payload_bytes") >= least)
-    answers = sized.groupBy("payload_digest").agg(F.max("page_id").alias("answer"))
-    known = records.join(answers, "payload_digest", "left")
+    # only digests met twice; payloads are shuffled only where these are too many to broadcast
+    answers = sized.groupBy("payload_digest").agg(F.max("page_id").alias("answer"), F.count("*").alias("n")).filter("n > 1").select("payload_digest", "answer")
+    known = left_join_by_size(records, materialise(answers), "payload_digest")
     again = (F.col("payload_bytes") >= least) & (F.col("page_id") < F.col("answer"))
     return known.select(*records.columns, F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("answer")).alias("refers_to"))
 
@@ -202,6 +221,8 @@ def _read_warc(batches):
         for content in b.column(0):
             rows = []
             for named, block in parse_warc(_unzip(content.as_py())):
+                if "error" in named or any(k not in named for k in _NEEDED):
+                    continue
                 head, payload = split_http(block)
                 page = re.search(rb"\r\nX-Page-Id: (-?\d+)", head)
                 refers = named.get("x-refers-to-page")
@@ -212,6 +233,8 @@ def _read_warc(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [()] * len(_BACK), _BACK, strict=True)], schema=_BACK)
 
 
+#: Fields that a record must have to become a row.
+_NEEDED = ("warc-type", "warc-record-id", "warc-target-uri", "warc-payload-digest", "warc-date", "x-payload-length")
 _BACK = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_id", pa.string()), ("warc_date", pa.string())])
 
 
@@ -221,9 +244,19 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content").mapInArrow(_read_warc, schema)
 
 
-def base32_digest(hex_digest: str) -> str:
-    """The usual form of a SHA-1 in WARC files."""
-    return "sha1:" + base64.b32encode(bytes.fromhex(hex_digest)).decode()
+def archive_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """file, at (byte of the unpacked file), reason of what could not be read in the ARC and WARC files below ``path``."""
+
+    def run(batches):
+        for b in batches:
+            for name, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                data = _unzip(content.as_py())
+                found = [n for n, _ in parse_warc(data)] if data.startswith(b"WARC/") else parse_arc(data)
+                bad = [(name, r["at"], r["error"]) for r in found if "error" in r]
+                columns = zip(*bad, strict=True) if bad else [()] * 3
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.string()), strict=True)], ["file", "at", "reason"])
+
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content").mapInArrow(run, "file string, at long, reason string")
 
 
 def convert_pages(pages: DataFrame) -> DataFrame:

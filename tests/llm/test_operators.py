@@ -280,6 +280,57 @@ def test_archives_keep_rows_without_page_id(spark):
     assert len({r.record_id for r in got}) == 5 and all(r.record_id for r in got)
 
 
+def test_malformed_archives(spark, tmp_path):
+    good = b"http://a 1.2.3.4 20240101000000 text/html 5\nhello\n"
+    files = {
+        "a.arc": b"filedesc://x 0.0.0.0 20240101000000 text/plain 8\nx 0 own\n\n" + good + b"no header at all\n" + good + b"http://b\xff 1.2.3.4 20240101000000 text/html 99\ncut",
+        "b.arc": b"", "c.arc": b"\r\n\r\n",
+    }
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    rows = archives.read_arc(spark, str(tmp_path)).collect()
+    assert [(r.url, bytes(r.payload), r.status, r.page_id) for r in rows] == [("http://a", b"hello", 0, None)] * 2
+    assert sorted(r.reason for r in archives.archive_rejects(spark, str(tmp_path)).collect()) == ["CUT_OFF", "NO_HEADER_LINE"]
+    head = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 2\r\n\r\nok\r\n\r\n"
+    found = [n.get("error", n.get("warc-type")) for n, _ in archives.parse_warc(head + b"WARC/1.1\r\nX: y\r\n\r\n\r\n" + head + b"junk")]
+    assert found == ["response", "NO_LENGTH", "response", "NO_RECORD_HEAD"]
+    assert archives.convert_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_base_spans_equal_a_plain_search(spark):
+    """The native spans against Python's regular expressions, match by match."""
+    rng = random.Random(12)
+    bits = ["a@b.c", "x.y@z-1.org.", "@", "1.2.3.4", "256.1.1.1", "1.2.3.4.5", "4111 1111 1111 1111", "4111-1111-1111-1112", "4 1 1 1", "+1 (23) 456-78-90", "+12345", "+1-2-3-4-5-6-7-8-9", "é日", " ", "-", ".", "word", "12", "0"]
+    rows = [(i, "".join(rng.choice(bits) for _ in range(rng.randint(0, 25)))) for i in range(300)]
+
+    def luhn(d):
+        return sum(int(x) if k % 2 == 0 else sum(divmod(2 * int(x), 10)) for k, x in enumerate(reversed(d))) % 10 == 0
+
+    digits = lambda m: re.sub("[^0-9]", "", m)
+    kinds = [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda m: 13 <= len(digits(m)) <= 19 and luhn(digits(m))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(digits(m)) <= 15),
+    ]
+    want = {i: [(k, m.start(), m.end()) for k, p, ok in kinds for m in re.finditer(p, t) if ok(m[0])] for i, t in rows}
+    got = {r.doc_id: [(s.kind, s.start, s.stop) for s in r.base] for r in pii.sanitise(docs(spark, rows)).collect()}
+    assert got == want
+
+
+def test_repeated_rows_disclose_as_one_document(spark):
+    rows = [(1, "note for boss@corp.com about zulutango matters"), (2, "We met zulutango who is boss@corp.com today"), *[(3, "the zulutango of old")] * 9]
+    got = {r.doc_id: r.sanitised for r in pii.sanitise(docs(spark, rows)).collect()}
+    assert got[3] == "the [GENERAL] of old"
+
+
+def test_html_tables(spark):
+    pages = spark.createDataFrame([(1, "u", None), (2, "u", ""), (3, None, "<p>x"), (3, None, "<p>x"), (None, "u", "plain " * 30)], "page_id long, url string, html string")
+    got = html_extract.extract(pages).collect()
+    assert len(got) == 5 and all(r.text is not None for r in got if r.page_id in (1, 2))
+    assert html_extract.extract(pages.filter("false")).count() == 0
+
+
 def test_html():
     page = '<html><head><title>T</title></head><body><nav><a href="/">Home</a></nav><div class="cookie-notice">We use cookies on this site for the good of all.</div><article><h1>Head &amp; more</h1><p>The first of\n the lines is here for you to read and it is long enough.<p>Short.</article><div id="comments"><p>I liked it.</p></div><footer>c</footer>'
     assert html_extract.main_text(page) == "Head & more\nThe first of the lines is here for you to read and it is long enough.\nShort."
