@@ -11,13 +11,16 @@ from recordgate.llm.bpe import op6_byte_bpe
 from recordgate.llm.decontaminate import op9_decontaminate
 from recordgate.llm.html_extract import op7_html_extract
 from recordgate.llm.jaccard_join import op8_jaccard_join
+from recordgate.llm.lexical_scan import LOWER_CASE as _LOWER
+from recordgate.llm.lexical_scan import TERM as _TERM
+from recordgate.llm.lexical_scan import UPPER_CASE as _UPPER
+from recordgate.llm.lexical_scan import op13_lexical_rank
 from recordgate.llm.mtree import op3_top_k
 from recordgate.llm.pii import op1_pii
 from recordgate.llm.substring_bytes import op10_suffix_dedup
 from recordgate.llm.substring_words import op5_substring_dedup
 from recordgate.llm.toxicity import op4_toxicity
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -63,6 +66,17 @@ ORACLES = {
       size as (select item_id, count(*) n_item from b group by item_id),
       shared as (select doc_id, item_id, count(*) n_shared from s join b using (g) group by doc_id, item_id)
       select doc_id, item_id, n_item, n_shared, n_shared / n_item containment from shared join size using (item_id) where 100 * n_shared >= 80 * n_item""",
+    "op13_lexical_rank": f"""
+      with d as (select row_number() over () r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}') w from documents),
+      n as (select r, doc_id, cast(len(w) as bigint) n from d where len(w) > 0),
+      st as (select count(*) n_docs, cast(sum(n) as bigint) n_terms from n),
+      q as (select distinct item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}')) term from benchmark where item_id is not null),
+      tf as (select r, term, count(*) tf from (select r, unnest(w) term from d) where term in (select term from q) group by all),
+      w as (select term, cast(floor(1000 * ln((2 * max(n_docs) + 2) / (2 * count(*) + 1))) as bigint) w from tf, st group by term),
+      s as (select item_id, doc_id, r, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))) as bigint) score
+        from q join tf using (term) join w using (term) join n using (r), st where doc_id is not null group by all)
+      select item_id, cast(rank as int) "rank", doc_id, score
+      from (select *, row_number() over (partition by item_id order by score desc, doc_id) rank from s where score > 0) where rank <= 50""",
 }
 
 
@@ -85,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_jaccard_join": op8_jaccard_join,
         "op9_decontaminate": op9_decontaminate,
         "op10_suffix_dedup": op10_suffix_dedup,
+        "op13_lexical_rank": op13_lexical_rank,
     }
 
 
