@@ -16,6 +16,7 @@ from recordgate.llm.lexical_scan import TERM as _TERM
 from recordgate.llm.lexical_scan import UPPER_CASE as _UPPER
 from recordgate.llm.lexical_scan import op13_lexical_rank
 from recordgate.llm.mtree import op3_top_k
+from recordgate.llm.packing import op12_packing
 from recordgate.llm.pii import op1_pii
 from recordgate.llm.substring_bytes import op10_suffix_dedup
 from recordgate.llm.substring_words import op5_substring_dedup
@@ -99,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_jaccard_join": op8_jaccard_join,
         "op9_decontaminate": op9_decontaminate,
         "op10_suffix_dedup": op10_suffix_dedup,
+        "op12_packing": op12_packing,
         "op13_lexical_rank": op13_lexical_rank,
     }
 
