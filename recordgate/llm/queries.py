@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from recordgate.llm.archives import op2_archives
 from recordgate.llm.bpe import op6_byte_bpe
 from recordgate.llm.decontaminate import op9_decontaminate
+from recordgate.llm.hard_negatives import op11_hard_negatives
 from recordgate.llm.html_extract import op7_html_extract
 from recordgate.llm.jaccard_join import op8_jaccard_join
 from recordgate.llm.lexical_scan import LOWER_CASE as _LOWER
@@ -67,6 +68,15 @@ ORACLES = {
       size as (select item_id, count(*) n_item from b group by item_id),
       shared as (select doc_id, item_id, count(*) n_shared from s join b using (g) group by doc_id, item_id)
       select doc_id, item_id, n_item, n_shared, n_shared / n_item containment from shared join size using (item_id) where 100 * n_shared >= 80 * n_item""",
+    "op11_hard_negatives": """
+      with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end label, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) v from embeddings
+        where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+      s as (select a.vec_id anchor_id, a.label anchor_label, c.vec_id, c.label, cast(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * c.v[i])) as bigint) score
+        from v a, v c where a.vec_id % 100 = 0 and c.vec_id <> a.vec_id),
+      p as (select anchor_id, vec_id positive_id, score positive_score from s where label = anchor_label qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+      n as (select anchor_id, positive_id, row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) rank, vec_id negative_id, positive_score, score negative_score
+        from p join s using (anchor_id) where label <> anchor_label and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score)
+      select anchor_id, positive_id, cast(rank as int) "rank", negative_id, positive_score, negative_score from n where rank <= 5""",
     "op13_lexical_rank": f"""
       with d as (select row_number() over () r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}') w from documents),
       n as (select r, doc_id, cast(len(w) as bigint) n from d where len(w) > 0),
@@ -100,6 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_jaccard_join": op8_jaccard_join,
         "op9_decontaminate": op9_decontaminate,
         "op10_suffix_dedup": op10_suffix_dedup,
+        "op11_hard_negatives": op11_hard_negatives,
         "op12_packing": op12_packing,
         "op13_lexical_rank": op13_lexical_rank,
     }
