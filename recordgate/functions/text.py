@@ -11,8 +11,8 @@ MASK = "***"
 SECRET_KEYS = ("birthdate", "clientSnils", "snils", "inn", "number", "series", "departmentCode")
 INLINE_KEYS = ("birthdate", "clientSnils", "snils", "number", "series", "departmentCode")
 SECRET_NAME_PARTS = ("snils", "birthdate", "passport", "number")
-#: Code pages of message bodies beside UTF-8, UTF-16 and Latin-1, by the id that messages carry.
-CODE_PAGES = {1251: "windows-1251", 1252: "windows-1252", 866: "IBM866", 850: "IBM850"}
+#: Single-byte code pages of message bodies by the id that messages carry; 1208 is UTF-8, 1200 UTF-16, 819 Latin-1.
+CODE_PAGES = (37, 273, 437, 500, 737, 775, 850, 852, 855, 857, 858, 860, 861, 862, 863, 864, 865, 866, 869, 874, 1026, 1140, 1250, 1251, 1252, 1253, 1254, 1255, 1256, 1257, 1258)
 
 
 def strip(x: Column) -> Column:
@@ -54,11 +54,47 @@ def _nest(levels: int) -> str:
     return rf'[\[{{](?:[^\[\]{{}}"]++|{_STRING}{inner})*+(?:[\]}}]|\z)'
 
 
+_SCALAR = r"[-0-9.eE+]+|true|false|null"
+#: Strings, brackets, and what lies between; together they are the whole text.
+_TOKEN = rf'{_STRING}|[\[{{]|[\]}}]|[^"\[\]{{}}]++'
+
+
 def mask_json(payload: Column, keys: list[str] | tuple[str, ...] = SECRET_KEYS) -> Column:
     """Whatever stands under the given keys (any case, any depth, compact or spaced JSON) becomes the mask: scalars, objects
-    and arrays (nine levels), and strings, objects and arrays that the text's end cuts off."""
-    value = rf"(?:{_STRING}|[-0-9.eE+]+|true|false|null|{_nest(8)})"
-    return F.regexp_replace(payload, rf'(?i)"({"|".join(keys)})"\s*+:\s*+{value}', rf'"$1":"{MASK}"')
+    and arrays, also those that the text's end cuts off.
+
+    A pattern masks what nests nine levels at most; a text that has more under a key is folded token by token.
+    """
+    value = rf"(?:{_STRING}|{_SCALAR}|{_nest(8)})"
+    named = rf'(?i)"({"|".join(keys)})"\s*+:\s*+'
+    left = F.regexp_replace(payload, named + value, rf'"$1":"{MASK}"')
+    return F.when(left.rlike(named + r"[\[{]"), _mask_tokens(payload, keys)).otherwise(left)
+
+
+def _mask_tokens(payload: Column, keys: list[str] | tuple[str, ...]) -> Column:
+    """As ``mask_json``, at any depth: one fold over the tokens that counts brackets."""
+    state = lambda out, depth, hidden, key, value: F.struct(out.alias("out"), depth.cast("int").alias("depth"), hidden.cast("int").alias("hidden"), key.alias("key"), value.alias("value"))
+    none, mask = F.lit(-1), F.lit(f'"{MASK}"')
+    secret, after = rf'(?i)"({"|".join(keys)})"', r"^\s*+:\s*+"
+
+    def step(s: Column, t: Column) -> Column:
+        opens, closes, no = t.isin("[", "{"), t.isin("]", "}"), F.lit(False)
+        depth = s["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)
+        inside = state(s["out"], depth, F.when(closes & (depth == s["hidden"]), none).otherwise(s["hidden"]), no, no)
+        hides = state(F.concat(s["out"], mask), depth, F.when(opens, s["depth"]).otherwise(none), no, no)
+        colon = s["key"] & t.rlike(after)
+        scalar = t.rlike(rf"(?i){after}(?:{_SCALAR})")
+        named = state(F.concat(s["out"], F.when(scalar, F.regexp_replace(t, rf"(?i){after}(?:{_SCALAR})", f':"{MASK}"')).otherwise(":")), depth, none, no, ~scalar)
+        plain = state(F.concat(s["out"], t), depth, none, F.startswith(t, F.lit('"')) & F.regexp_like(t, F.lit(f"^{secret}$")), no)
+        return F.when(s["hidden"] >= 0, inside).when(s["value"] & (opens | F.startswith(t, F.lit('"'))), hides).when(colon, named).otherwise(plain)
+
+    start = state(F.lit(""), F.lit(0), none, F.lit(False), F.lit(False))
+    return F.aggregate(F.regexp_extract_all(payload, F.lit(_TOKEN), F.lit(0)), start, step, lambda s: s["out"])
+
+
+def mask_payload(payload: Column, keys: list[str] | tuple[str, ...] = SECRET_KEYS) -> Column:
+    """A payload to show: masked as JSON where it is JSON, else the texts of secret keys (as spelled) and whatever else looks like one."""
+    return F.when(F.try_parse_json(payload).isNotNull(), mask_json(payload, keys)).otherwise(mask_inline(mask_json(payload, keys), [k for k in keys if k in INLINE_KEYS]))
 
 
 def mask_inline(text: Column, keys: list[str] | tuple[str, ...] = INLINE_KEYS) -> Column:
@@ -95,8 +131,11 @@ def json_or_text(x: Column) -> Column:
 
 
 def iso_utc(ts: Column) -> Column:
-    """Instant as UTC text with milliseconds, whatever the session's zone."""
-    return F.date_format(F.to_utc_timestamp(ts, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    """Instant as UTC text with milliseconds, whatever the session's zone and its summer time: no local time comes between."""
+    ms = F.unix_millis(ts)
+    seconds = F.make_dt_interval(secs=F.floor(ms / 1000).cast("decimal(18,6)"))
+    text = (F.expr("timestamp_ntz '1970-01-01 00:00:00'") + seconds).cast("string")
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("."), F.lpad(F.pmod(ms, F.lit(1000)).cast("string"), 3, "0"), F.lit("Z"))
 
 
 def local_name(key: Column) -> Column:
@@ -118,15 +157,27 @@ def version_of(name: Column) -> Column:
     return F.regexp_extract(name, r"_(\d+)$", 1).try_cast("long")
 
 
+def version_text(name: Column) -> Column:
+    """What follows the last underscore of a versioned name, trimmed; a name without it, or with nothing after it, is an error."""
+    found = nullif_blank(F.when(F.contains(name, F.lit("_")), F.substring_index(name, "_", -1)))
+    return F.when(found.isNull(), F.raise_error(F.concat(F.lit("no version in cache name "), F.coalesce(name, F.lit("?")))).cast("string")).otherwise(found)
+
+
+def _single_byte(body: Column, page: int) -> Column:
+    """Bytes of a single-byte code page: each is read as Latin-1, then those that differ are put right."""
+    latin, own = bytes(range(256)).decode("latin-1"), bytes(range(256)).decode(f"cp{page:03d}", "replace")
+    differ = [(a, b) for a, b in zip(latin, own, strict=True) if a != b]
+    return F.translate(F.decode(body, "ISO-8859-1"), "".join(a for a, _ in differ), "".join(b for _, b in differ))
+
+
 def decode_body(body: Column, code_page: Column, supported: bool = True) -> Column:
-    """Body bytes by code page id; ids of no page, 0 and less are UTF-8.
+    """Body bytes by code page id; ids of no page, 0 and less are UTF-8. Bytes that a page leaves open become U+FFFD.
 
-    Pages beyond UTF and Latin-1 need ``spark.sql.legacy.javaCharsets``; with ``supported`` false such
-    bodies are null, for a reject, and never broken text.
+    With ``supported`` false, bodies of single-byte pages other than Latin-1 are null, for a reject.
     """
     out = F.when(code_page == 1200, F.decode(body, "UTF-16")).when(code_page == 819, F.decode(body, "ISO-8859-1"))
-    for page, name in CODE_PAGES.items():
-        out = out.when(code_page == page, F.decode(body, name) if supported else F.lit(None))
+    for page in CODE_PAGES:
+        out = out.when(code_page == page, _single_byte(body, page) if supported else F.lit(None))
     return out.otherwise(F.decode(body, "UTF-8"))
 
 

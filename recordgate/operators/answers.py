@@ -190,21 +190,22 @@ def _detail_results(rows: DataFrame) -> DataFrame:
     return rows.withColumn("detail_results", F.concat(F.lit("{"), F.array_join(every, ","), F.lit("}"))).drop("_d")
 
 
-def build(messages: DataFrame, long: DataFrame, policy: Policy, now: Column) -> DataFrame:
+def build(messages: DataFrame, long: DataFrame, policy: Policy, now: Column, keep: tuple[str, ...] = ()) -> DataFrame:
     """seq, event_id, answer, errors, detail_answer, all_result, process_status: one row per accepted message.
 
     ``messages``: resolved messages; created_dttm and readed_dttm (milliseconds) are used where
     they are columns. A message without any result succeeds. A message whose answer cannot be built
-    has a null ``answer`` and is refused; a null ``detail_answer`` alone stops nothing.
+    has a null ``answer`` and is refused; a null ``detail_answer`` alone stops nothing. Columns of ``keep`` follow.
     """
     for c in ("created_dttm", "readed_dttm"):
         if c not in messages.columns:
             messages = messages.withColumn(c, F.lit(None).cast("long"))
     good = messages.filter("reason is null")
-    excluded = policy.exclusion.groupBy("control_area").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "block"))), lambda x: x["block"]).alias("excluded"))
+    excluded = policy.exclusion.groupBy(*policy.by, "control_area").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "block"))), lambda x: x["block"]).alias("excluded"))
     found, judged = objects(good), results(long)
     kinds = judged.schema["r"].dataType, found.schema["nodes"].dataType
-    rows = good.select("seq", "event_id", "query_id", "envelope", "control_area", "created_dttm", "readed_dttm").join(found, "seq", "left").join(judged, "seq", "left").join(policy.small(excluded), "control_area", "left")
+    own = dict.fromkeys(["seq", "event_id", "query_id", "envelope", "control_area", "created_dttm", "readed_dttm", *policy.by, *keep])
+    rows = good.select(*own).join(found, "seq", "left").join(judged, "seq", "left").join(policy.small(excluded), [*policy.by, "control_area"], "left")
     rows = rows.withColumn("r", F.coalesce("r", F.array().cast(kinds[0]))).withColumn("nodes", F.coalesce("nodes", F.array().cast(kinds[1]))).withColumn("excluded", F.coalesce("excluded", F.array().cast("array<string>")))
     rows = rows.withColumn("all_result", F.coalesce("all_result", F.lit("SUCCESS"))).withColumn("process_status", F.coalesce("process_status", F.lit("OK")))
     rows = _detail_results(error_tree(status_tree(rows)))
@@ -212,4 +213,4 @@ def build(messages: DataFrame, long: DataFrame, policy: Policy, now: Column) ->
     details = F.concat(F.lit('{"ALL_RESULT":'), quoted(F.col("all_result")), F.when(F.col("tree") != "", F.concat(F.lit(","), "tree")).otherwise(""), F.lit(',"errors":'), errors, F.lit("}"))
     answer = F.concat(F.lit('{"data":'), _pairs(*_envelope("ANSWER", now), ("PROCESS_STATUS", quoted(F.col("process_status"))), ("details", details)), F.lit("}"))
     detail = _pairs(("detail_results", F.col("detail_results")), *_envelope("ANSWER_DETAIL", now))
-    return rows.select("seq", "event_id", answer.alias("answer"), errors.alias("errors"), detail.alias("detail_answer"), "all_result", "process_status")
+    return rows.select("seq", "event_id", answer.alias("answer"), errors.alias("errors"), detail.alias("detail_answer"), "all_result", "process_status", *keep)

@@ -14,8 +14,8 @@ EXTERNAL = "dotnet"
 def requests(landing: DataFrame, code_pages: bool = True) -> tuple[DataFrame, DataFrame]:
     """(messages, rejects) of landing rows: seq, msg_id binary, jms_id, text, body binary, ccsid, put_ms, read_ms.
 
-    Text stays as it is, bytes are read by their code page; a row with neither, or of a page that the
-    session cannot read (``code_pages`` false), is refused. seq tells rows apart; a table without one gets it by ``numbered``.
+    Text stays as it is, bytes are read by their code page; a row with neither, or (``code_pages`` false) of a
+    single-byte page other than Latin-1, is refused. Rows that are equal in seq, ids and payload are one message.
     """
     payload = F.when(F.col("text").isNotNull() | F.col("ccsid").isNull(), message_body(F.col("text"), F.col("body"))).otherwise(decode_body(F.col("body"), F.col("ccsid"), code_pages))
     rows = landing.select("seq", "msg_id", "jms_id", payload.alias("payload"), positive_or_null(F.col("put_ms")).alias("created_dttm"), positive_or_null(F.col("read_ms")).alias("readed_dttm"), (F.col("text").isNull() & F.col("body").isNull()).alias("no_body"))
@@ -29,13 +29,30 @@ def correlation(msg_id: Column, jms_id: Column) -> Column:
     return F.coalesce(F.hex(F.substring(F.concat(msg_id, F.lit(b"\0" * 24)), 1, 24)), nullif_blank(jms_id))
 
 
-def replies(answered: DataFrame, messages: DataFrame, now: Column, sender: str = "recordgate", service: str | None = None) -> tuple[DataFrame, DataFrame]:
+def first_deliveries(messages: DataFrame, order: str = "seq") -> DataFrame:
+    """``messages`` without redelivered ones: of equal correlations the first in ``order`` stays; those that nothing tells apart by stay all."""
+    key = correlation(F.col("msg_id"), F.col("jms_id"))
+    # of each correlation one row meets the others: its least place and content
+    content = F.struct(F.col(order), *[F.col(c) for c in messages.columns if c != order])
+    named = messages.select(key.alias("_key"), content.alias("_row"))
+    first = named.filter("_key is not null").groupBy("_key").agg(F.min_by("_row", F.struct(F.col(f"_row.{order}"), F.xxhash64("_row"))).alias("_row"))
+    return first.unionByName(named.filter("_key is null")).select("_row.*").select(messages.columns)
+
+
+def _with_ids(answered: DataFrame, messages: DataFrame | None, *names: str) -> DataFrame:
+    """``answered`` with columns of its messages: its own where it carries them, else joined by seq."""
+    if messages is None:
+        return answered
+    return answered.drop(*names).join(messages.select("seq", *names), "seq")
+
+
+def replies(answered: DataFrame, messages: DataFrame | None, now: Column, sender: str = "recordgate", service: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(seq, correlation_id, body, headers) of answers to send, and rejects (seq, event_id, reason) of those that nothing can match.
 
-    Blank answers are not sent.
+    Blank answers are not sent. Without ``messages``, ``answered`` carries msg_id and jms_id itself.
     """
-    ids = messages.select("seq", correlation(F.col("msg_id"), F.col("jms_id")).alias("correlation_id"))
-    rows = answered.select("seq", "event_id", "answer").filter(nullif_blank(F.col("answer")).isNotNull()).join(ids, "seq")
+    rows = _with_ids(answered, messages, "msg_id", "jms_id").select("seq", "event_id", "answer", correlation(F.col("msg_id"), F.col("jms_id")).alias("correlation_id"))
+    rows = rows.filter(nullif_blank(F.col("answer")).isNotNull())
     pairs = [F.lit("X_From"), F.lit(sender), F.lit("X_CreateDateTime"), iso_utc(now)]
     if service is not None:
         pairs += [F.lit("X_ServiceID"), F.lit(service)]
@@ -43,20 +60,26 @@ def replies(answered: DataFrame, messages: DataFrame, now: Column, sender: str =
     return sent, rows.filter("correlation_id is null").select("seq", "event_id", F.lit("NO_MESSAGE_ID").alias("reason"))
 
 
-def audit_lines(answered: DataFrame, messages: DataFrame, now: Column) -> DataFrame:
-    """event_id, line: JSON of the event, its request, both answers, the time and the status PROCESSED; what is no JSON stands as text."""
-    rows = answered.join(messages.select("seq", "payload"), "seq")
+def audit_lines(answered: DataFrame, messages: DataFrame | None, now: Column) -> DataFrame:
+    """event_id, line: JSON of the event, its request, both answers, the time and the status PROCESSED; what is no JSON stands as text.
+
+    Without ``messages``, ``answered`` carries the payload itself.
+    """
+    rows = _with_ids(answered, messages, "payload")
     parts = [("eventId", quoted(F.col("event_id"))), ("requestJson", json_or_text(F.col("payload"))), ("shortAnswerJson", json_or_text(F.col("answer"))), ("detailAnswerJson", json_or_text(F.col("detail_answer"))), ("actionDttm", quoted(iso_utc(now))), ("status", F.lit('"PROCESSED"'))]
     return rows.select("event_id", F.concat(F.lit("{"), F.concat_ws(",", *[F.concat(F.lit(f'"{k}":'), v) for k, v in parts]), F.lit("}")).alias("line"))
 
 
-def routed(messages: DataFrame, changes: DataFrame, default: str = "flink") -> tuple[DataFrame, DataFrame]:
-    """(messages judged here, shadow: seq and raw payload of those that the external handler has), by the handler as of each message."""
-    handler = as_of(messages, changes, "handler", default)
-    rows = messages.join(handler, "seq")
+def by_handler(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows judged here, shadow: seq and raw payload of those that the external handler has) of messages with their ``handler``."""
     return rows.filter(F.col("handler") != EXTERNAL).drop("handler"), rows.filter((F.col("handler") == EXTERNAL) & nullif_blank(F.col("payload")).isNotNull()).select("seq", "payload")
 
 
+def routed(messages: DataFrame, changes: DataFrame, default: str = "flink") -> tuple[DataFrame, DataFrame]:
+    """(messages judged here, shadow), by the handler as of each message."""
+    return by_handler(as_of(messages, changes, "handler", default))
+
+
 def external_answers(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(event_id, answer, detail_answer) of external bodies (event_id, body), and rejects (event_id, reason).
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -15,8 +18,12 @@ BUNDLE_SCHEMA = "version string, dataset2ControlArea map<string,string>, control
 PARTS = ("area", "rules", "errors", "exclusion", "flags")
 #: Cache payloads by shape: text to text, text lists by name, rules by field and area, error infos, flags.
 CACHE_SHAPES = {"text": "map<string,string>", "lists": "map<string,array<string>>", "rules": "map<string,map<string,array<string>>>", "errors": "map<string,map<string,string>>", "flags": "map<string,boolean>"}
-#: Rows of a policy up to which its tables are broadcast (some 100 MB); a larger one is joined by shuffle.
-BROADCAST_ROWS = 500_000
+#: The caches of a policy by the part that they hold, and the shape of each.
+POLITICS = {"area": ("politics_dataset2control_area", "text"), "rules": ("politics_control_area_rules", "rules"), "errors": ("politics_error_messages", "errors"), "exclusion": ("politics_dataset_exclusion", "lists"), "flags": ("politics_filter_flag", "flags")}
+#: Bytes of text of a policy up to which its tables are broadcast; a larger one is joined by shuffle.
+BROADCAST_BYTES = 64 << 20
+#: Row of a pointer: what one publish of a version has written, all of it or nothing.
+POINTER = "part string, version long, attempt string, published long"
 
 
 @dataclass
@@ -30,18 +37,22 @@ class Policy:
     errors: DataFrame
     exclusion: DataFrame
     flags: DataFrame
-    n_rows: int | None = None
+    n_bytes: int | None = None
+    #: Columns that tell versions apart, in every table and in the messages that are judged; none: one version.
+    by: tuple[str, ...] = ()
 
     def small(self, part: DataFrame) -> DataFrame:
-        """``part`` of this policy (no longer than its tables together), marked for broadcast if its size allows."""
-        if self.n_rows is None:
-            self.n_rows = int(self.sizes().agg(F.sum("n")).first()[0])
-        return F.broadcast(part) if self.n_rows <= BROADCAST_ROWS else part
+        """``part`` of this policy (no larger than its tables together), marked for broadcast if its size allows."""
+        if self.n_bytes is None:
+            self.n_bytes = int(self.sizes().agg(F.sum("n_bytes")).first()[0])
+        return F.broadcast(part) if self.n_bytes <= BROADCAST_BYTES else part
 
-    def sizes(self) -> DataFrame:
+    def sizes(self, bodies: DataFrame | None = None) -> DataFrame:
+        """part, n (rows), n_bytes (of their values) of each part, and of rule ``bodies`` where they are given."""
         out = None
-        for name in ("area", "rules", "errors", "exclusion", "flags"):
-            one = getattr(self, name).agg(F.count("*").alias("n")).select(F.lit(name).alias("part"), "n")
+        for name, df in [*((n, getattr(self, n)) for n in PARTS), *([("bodies", bodies)] if bodies is not None else [])]:
+            width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(16))
+            one = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).cast("long").alias("n_bytes")).select(F.lit(name).alias("part"), "n", "n_bytes")
             out = one if out is None else out.unionByName(one)
         return out
 
@@ -66,10 +77,13 @@ def from_bundle(doc: DataFrame) -> Policy:
 
 
 def read_versioned(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """A policy table partitioned by ``version``: the given one, or the newest."""
+    """A policy table partitioned by ``version``: the given one, or the newest; a version that is not there is an error."""
     df = spark.read.parquet(path)
     wanted = version if version is not None else df.agg(F.max("version")).first()[0]
-    return df.filter(F.col("version") == wanted)
+    found = df.filter(F.col("version") == wanted)
+    if version is not None and found.isEmpty():
+        raise ValueError(f"{path} has no version {version}")
+    return found
 
 
 def complete_versions(pointers: DataFrame, parts: int = 5) -> DataFrame:
@@ -78,18 +92,69 @@ def complete_versions(pointers: DataFrame, parts: int = 5) -> DataFrame:
 
 
 def publish(tables: dict[str, DataFrame], version: int, root: str) -> None:
-    """Writes the parts of a policy under their version, then one pointer row each; a version without all pointers is never read."""
-    for part, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{root}/{part}/version={version}")
+    """Writes the parts of a version to a new folder each, then points to them in one file.
+
+    Nothing that readers see is overwritten: until the pointer is there they find what was published
+    before, a former publish of the same version too, and a publish that fails leaves nothing to be read.
+    """
+    attempt, spark = uuid.uuid4().hex, next(iter(tables.values())).sparkSession
     for part, df in tables.items():
-        df.sparkSession.createDataFrame([(part, version)], "part string, version long").coalesce(1).write.mode("append").parquet(f"{root}/pointers")
+        df.write.parquet(f"{root}/{part}/version={version}/attempt={attempt}")
+    spark.createDataFrame([(part, version, attempt, time.time_ns()) for part in tables], POINTER).coalesce(1).write.mode("append").parquet(f"{root}/pointers")
+
+
+def published(spark: SparkSession, root: str, parts: tuple[str, ...] = PARTS) -> DataFrame:
+    """version, attempt: the last complete publish of each version below ``root``; no row where nothing was published."""
+    try:
+        pointers = spark.read.schema(POINTER).parquet(f"{root}/pointers")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "version long, attempt string")
+    whole = pointers.filter(F.col("part").isin(*parts) & F.col("attempt").isNotNull()).groupBy("version", "attempt").agg(F.count_distinct("part").alias("n"), F.max("published").alias("at")).filter(F.col("n") == len(parts))
+    return whole.groupBy("version").agg(F.max_by("attempt", F.struct("at", "attempt")).alias("attempt"))
 
 
 def newest(spark: SparkSession, root: str, parts: tuple[str, ...] = PARTS) -> Policy | None:
     """The newest complete policy below ``root``; None before the first one."""
-    complete = complete_versions(spark.read.parquet(f"{root}/pointers").filter(F.col("part").isin(*parts)).distinct(), len(parts))
-    version = complete.agg(F.max("version")).first()[0]
-    return None if version is None else Policy(str(version), *[spark.read.parquet(f"{root}/{part}/version={version}") for part in parts])
+    row = published(spark, root, parts).orderBy(F.desc("version")).first()
+    return None if row is None else Policy(str(row["version"]), *[spark.read.parquet(f"{root}/{part}/version={row['version']}/attempt={row['attempt']}") for part in parts])
+
+
+def read_versions(spark: SparkSession, root: str, versions: list[int], parts: tuple[str, ...] = PARTS, by: str = "policy_version") -> list[DataFrame]:
+    """Each part with the rows of all given versions, told apart by ``by``; a version that was not published is an error."""
+    known = {r["version"]: r["attempt"] for r in published(spark, root, parts).filter(F.col("version").isin(versions)).collect()}
+    if missing := sorted(set(versions) - set(known)):
+        raise ValueError(f"{root} has no version {missing[0]}")
+    paths = lambda part: [f"{root}/{part}/version={v}/attempt={known[v]}" for v in versions]
+    return [spark.read.option("basePath", f"{root}/{part}").parquet(*paths(part)).withColumn(by, F.col("version").cast("long")).drop("version", "attempt") for part in parts]
+
+
+def of_versions(spark: SparkSession, root: str, versions: list[int]) -> Policy:
+    """Several published versions in one policy: every message is judged by its own ``policy_version``."""
+    return Policy(",".join(map(str, sorted(versions))), *read_versions(spark, root, versions), by=("policy_version",))
+
+
+def from_caches(caches: DataFrame) -> Policy:
+    """The policy in five versioned caches (name, payload JSON); caches that are missing, or of several versions, are an error."""
+    names = caches.select("name").collect()
+    found = consistent_version(caches.select("name")).first()
+    known = {r["name"].rpartition("_")[0] for r in names if r["name"]}
+    if found is None or known != {cache for cache, _ in POLITICS.values()} or len(names) != len(POLITICS):
+        raise ValueError(f"caches are not those of one policy version: {sorted(str(r['name']) for r in names)}")
+    entries = {}
+    for part, (cache, shape) in POLITICS.items():
+        one = caches.filter(F.col("name") == f"{cache}_{found['version']}").select(F.col("name").alias("cache"), "payload")
+        entries[part] = decode_cache(one, shape).select("entries")
+    text = entries["rules"].select(F.explode("entries").alias("control_area", "m")).select("control_area", F.explode("m").alias("field", "r"))
+    return Policy(
+        str(found["version"]),
+        entries["area"].select(F.explode("entries").alias("dataset_code", "control_area")),
+        text.select("control_area", "field", F.explode("r").alias("rule_name")),
+        entries["errors"].select(F.explode("entries").alias("rule_name", "m")).select("rule_name", F.col("m")["errorDescription"].alias("error_description"), F.col("m")["classification"].alias("classification")),
+        entries["exclusion"].select(F.explode("entries").alias("control_area", "b")).select("control_area", F.posexplode("b").alias("pos", "block")),
+        entries["flags"].select(F.explode("entries").alias("control_area", "filter_flag")),
+    )
 
 
 def decode_cache(payloads: DataFrame, shape: str) -> DataFrame:
@@ -117,24 +182,25 @@ def consistent_version(names: DataFrame) -> DataFrame:
     return v.agg(F.count_distinct("version").alias("n"), F.max("version").alias("version"), F.bool_or(F.col("version").isNull()).alias("missing")).filter("n = 1 and not missing").select("version")
 
 
-def running(df: DataFrame, value: str, how: str, by: tuple[str, ...] = (), order: str = "seq") -> DataFrame:
+def running(df: DataFrame, value: str, how: str, by: tuple[str, ...] = (), order: str = "seq", then: str | None = None) -> DataFrame:
     """``df`` with ``before``: the last (``how`` = 'last', nulls skipped) or greatest ('max') ``value`` of earlier rows of the same ``by``.
 
     Rows are cut in ranges of ``order``; each range hands on one value per ``by``, so no task sees
-    more than a range, whatever the number of rows.
+    more than a range, whatever the number of rows. ``then`` orders rows of one ``order``.
     """
     n = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bounds = df.agg(F.percentile_approx(order, [i / n for i in range(1, n)], 10 * n)).first()[0] or []
     place = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col(order))) if bounds else F.lit(0)
     ranged = df.withColumn("_range", place)
-    total = F.max_by(value, order) if how == "last" else F.max(value)
+    at = F.struct(order, then) if then else F.col(order)
+    total = F.max_by(value, at) if how == "last" else F.max(value)
     last = ranged.filter(F.col(value).isNotNull()).groupBy(*by, "_range").agg(total.alias("_total"))
     # a carried value stands for all ranges up to the next one that has its own
     until = Window.partitionBy(*by).orderBy("_range")
     runs = last.withColumn("_total", (F.last("_total") if how == "last" else F.max("_total")).over(until.rowsBetween(Window.unboundedPreceding, 0)))
     runs = runs.select(*by, F.col("_range").alias("_from"), F.lead("_range").over(until).alias("_until"), "_total")
     steps = runs.select(*by, F.explode(F.expr(f"sequence(_from + 1, coalesce(_until, {n}))")).alias("_range"), F.col("_total").alias("_carry")).filter(f"_range <= {n}")
-    inside = Window.partitionBy(*by, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*by, "_range").orderBy(order, *([then] if then else [])).rowsBetween(Window.unboundedPreceding, -1)
     mine = F.last(value, True).over(inside) if how == "last" else F.max(value).over(inside)
     # at most one row for each range and value of ``by``
     out = ranged.join(steps, [*by, "_range"], "left")
@@ -150,20 +216,50 @@ def accepted_versions(events: DataFrame) -> DataFrame:
 def handler_changes(events: DataFrame, default: str = "flink") -> DataFrame:
     """seq, handler of each event that changes the current handler; unknown names are refused."""
     name = F.lower(F.coalesce(nullif_blank(F.col("handler")), F.lit(default)))
-    known = events.filter("valid and cache = 'handler'").select("seq", name.alias("handler")).filter(F.col("handler").isin("flink", "dotnet"))
+    known = events.filter("valid and lower(cache) = 'handler'").select("seq", name.alias("handler")).filter(F.col("handler").isin("flink", "dotnet"))
     return running(known, "handler", "last").filter(F.col("handler") != F.coalesce("before", F.lit(default))).select("seq", "handler")
 
 
 def control_rejects(events: DataFrame) -> DataFrame:
     """seq, reason of the control events that change nothing because they are unusable."""
     name = F.lower(F.coalesce(nullif_blank(F.col("handler")), F.lit("flink")))
-    reason = F.when(~F.col("valid"), "INVALID_EVENT").when((F.col("cache") == "handler") & ~name.isin("flink", "dotnet"), "UNKNOWN_HANDLER").when(~F.col("cache").isin("compiled_rules", "politics", "handler"), "UNKNOWN_CACHE")
+    reason = F.when(~F.col("valid"), "INVALID_EVENT").when((F.lower("cache") == "handler") & ~name.isin("flink", "dotnet"), "UNKNOWN_HANDLER").when(~F.col("cache").isin("compiled_rules", "politics") & (F.lower("cache") != "handler"), "UNKNOWN_CACHE")
     return events.select("seq", reason.alias("reason")).filter("reason is not null")
 
 
 def as_of(records: DataFrame, changes: DataFrame, value: str, default) -> DataFrame:
-    """Each record (seq, ...) with the last change (seq, value) at or before it."""
-    marked = records.select((F.col("seq") * 2 + 1).alias("seq"), F.lit(None).cast(changes.schema[value].dataType).alias(value), F.lit(True).alias("is_record"))
-    both = marked.unionByName(changes.select((F.col("seq") * 2).alias("seq"), value, F.lit(False).alias("is_record")))
-    found = running(both, value, "last").filter("is_record")
-    return found.select(((F.col("seq") - 1) / 2).cast("long").alias("seq"), F.coalesce("before", F.lit(default)).alias(value))
+    """``records`` (seq, ...) with ``value``: that of the last change (seq, value) at or before each; no row is joined back.
+
+    Equal rows stay as many as they are; a record without seq comes before all changes.
+    """
+    kind = changes.schema[value].dataType
+    own = F.struct(*[F.col(c) for c in records.columns])
+    marked = records.select("seq", F.lit(None).cast(kind).alias(value), F.lit(True).alias("is_record"), own.alias("record"))
+    known = changes.filter("seq is not null").select("seq", value, F.lit(False).alias("is_record"), F.lit(None).cast(marked.schema["record"].dataType).alias("record"))
+    found = running(marked.unionByName(known), value, "last", then="is_record").filter("is_record")
+    return found.select("record.*", F.coalesce("before", F.lit(default)).alias(value))
+
+
+def control_outcomes(events: DataFrame, catalogue: DataFrame, held: DataFrame | None = None, default: str = "flink") -> DataFrame:
+    """seq, cache, version, handler, outcome of each decoded control event.
+
+    ``catalogue`` (cache, version, since): what can be loaded, from which seq on (null: always). ``held``
+    (cache, version, handler): what is in force before the first event. An event whose version is above
+    the one in force is LOADED, or LOAD_FAILED: then the former version stays in force and the next event
+    tries again. Others are STALE, SWITCHED, SAME_HANDLER, or refused as INVALID_EVENT, UNKNOWN_CACHE, UNKNOWN_HANDLER.
+    """
+    rejects = control_rejects(events).withColumnRenamed("reason", "refused")
+    rows = events.join(rejects, "seq", "left").withColumn("cache", F.when(F.lower("cache") == "handler", "handler").otherwise(F.col("cache")))
+    rows = rows.join(catalogue.select("cache", "version", "since", F.lit(True).alias("is_there")), ["cache", "version"], "left")
+    loadable = F.col("refused").isNull() & F.col("cache").isin("compiled_rules", "politics") & F.col("is_there").isNotNull() & (F.col("since").isNull() | (F.col("since") <= F.col("seq")))
+    name = F.lower(F.coalesce(nullif_blank(F.col("handler")), F.lit(default)))
+    rows = rows.select("seq", "cache", "version", "refused", F.when(loadable, F.col("version")).alias("good"), F.when(F.col("refused").isNull() & (F.col("cache") == "handler"), name).alias("handler"))
+    if held is not None:
+        first = held.select(F.lit(None).cast("long").alias("seq"), "cache", "version", F.lit("HELD").alias("refused"), F.when(F.col("cache") != "handler", F.col("version")).alias("good"), "handler")
+        rows = rows.unionByName(first)
+    # a version in force is the greatest that could be loaded: failed events leave no mark
+    rows = running(rows, "good", "max", ("cache",)).withColumnRenamed("before", "in_force")
+    rows = running(rows, "handler", "last", ("cache",)).filter("refused is null or refused <> 'HELD'")
+    switched = F.when(F.col("handler") == F.coalesce("before", F.lit(default)), "SAME_HANDLER").otherwise("SWITCHED")
+    loaded = F.when(F.col("version") <= F.col("in_force"), "STALE").when(F.col("good").isNull(), "LOAD_FAILED").otherwise("LOADED")
+    return rows.select("seq", "cache", "version", "handler", F.coalesce("refused", F.when(F.col("cache") == "handler", switched).otherwise(loaded)).alias("outcome"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from recordgate.functions.text import nullif_blank, rule_key, strip
 from recordgate.operators import flatten
 from recordgate.operators.policy import Policy
+from recordgate.operators.rulebook import RuleSet, bodies_of, isolated
 from recordgate.sources.messages import GENDER_FIELD
 
 # Code tables of the two mapped fields.
@@ -63,32 +64,33 @@ def resolved(decoded: DataFrame, policy: Policy) -> DataFrame:
     real = F.filter(codes, lambda c: c["code"].isNotNull() & F.schema_of_variant(types[c["block"]]).startswith("OBJECT"))
     first = F.when(F.col("reason").isNull(), F.get(real, F.lit(0))["code"])
     known = decoded.select("*", F.explode(F.array(first)).alias("dataset_code"))
-    with_code = known.join(policy.small(policy.area), "dataset_code", "left")
-    has_rules = policy.small(policy.rules.select("control_area").distinct().withColumn("has_rules", F.lit(True)))
-    found = with_code.join(has_rules, "control_area", "left")
+    with_code = known.join(policy.small(policy.area), [*policy.by, "dataset_code"], "left")
+    has_rules = policy.small(policy.rules.select(*policy.by, "control_area").distinct().withColumn("has_rules", F.lit(True)))
+    found = with_code.join(has_rules, [*policy.by, "control_area"], "left")
     reason = F.coalesce("reason", F.when(F.col("dataset_code").isNull(), "NO_DATASET_CODE").when(F.col("control_area").isNull(), "NO_CONTROL_AREA").when(F.col("has_rules").isNull(), "NO_RULES"))
     return found.withColumn("reason", reason).drop("has_rules")
 
 
-def scopes(messages: DataFrame, policy: Policy, max_depth: int = flatten.MAX_DEPTH) -> DataFrame:
+def scopes(messages: DataFrame, policy: Policy, max_depth: int = flatten.MAX_DEPTH, keep: tuple[str, ...] = ()) -> DataFrame:
     """seq, control_area, scope ('' or an excluded block), scope_order, scope_dataset, flag, m (folded values), logical (names of an
     excluded block), lost (names that the main scope lost to excluded blocks): one row per message and scope.
 
     An excluded block has all names mapped in it at any depth; the main scope loses each of them, even
     where another block shares it. An excluded block is judged by the message's rules for its own names; its own
     area gives the flag. ``max_depth`` is the one that ``decode`` was given; messages that are
-    TOO_DEEP have no scope.
+    TOO_DEEP have no scope. The columns that tell the policy's versions apart, and those of ``keep``, are carried along.
     """
     own = [c for c in messages.columns if c not in ("seq", "data")]
-    objects = flatten.walk(messages.drop(*[c for c in own if c not in ("control_area", "dataset_code", "reason")]), max_depth).filter("type = 'OBJECT' or too_deep")
+    keep = tuple(dict.fromkeys([*policy.by, *keep]))
+    objects = flatten.walk(messages.drop(*[c for c in own if c not in ("control_area", "dataset_code", "reason", *keep)]), max_depth).filter("type = 'OBJECT' or too_deep")
     mapped = F.filter(F.transform(F.map_entries("m"), lambda e, i: F.struct(i.alias("pos"), e["key"].alias("key"), e["value"].alias("field"))), lambda e: e["key"].startswith("mapping.") & ~F.lower(strip(F.coalesce(e["field"], F.lit("")))).isin("", "none"))
     values = F.transform(mapped, lambda e: F.struct(F.col("path"), e["pos"].alias("pos"), e["field"].alias("field"), F.try_element_at(F.col("m"), F.substring(e["key"], F.lit(9), F.length(e["key"]))).alias("value")))
     checked = F.when(F.col("too_deep"), F.raise_error(F.concat(F.lit("message too deep for this walk: seq "), F.col("seq").cast("string")))).otherwise(F.lit(None)).cast("string")
     block = F.when(F.size("path") == 1, F.struct(F.get("path", F.lit(0)).alias("place"), F.col("name").alias("block"), nullif_blank(F.col("m")["dataset_code"]).alias("dataset_code")))
-    per = objects.select("seq", "control_area", "dataset_code", values.alias("v"), block.alias("b"), checked.alias("checked"))
-    per = per.groupBy("seq").agg(F.first("control_area").alias("control_area"), F.first("dataset_code").alias("dataset_code"), F.array_sort(F.flatten(F.collect_list("v"))).alias("v"), F.array_sort(F.collect_list("b")).alias("blocks"), F.max("checked").alias("checked")).drop("checked")
-    excluded = policy.exclusion.groupBy("control_area").agg(F.collect_list(F.struct("pos", "block")).alias("excluded"))
-    per = per.join(policy.small(excluded), "control_area", "left")
+    per = objects.select("seq", "control_area", "dataset_code", *keep, values.alias("v"), block.alias("b"), checked.alias("checked"))
+    per = per.groupBy("seq").agg(*[F.first(c).alias(c) for c in ("control_area", "dataset_code", *keep)], F.array_sort(F.flatten(F.collect_list("v"))).alias("v"), F.array_sort(F.collect_list("b")).alias("blocks"), F.max("checked").alias("checked")).drop("checked")
+    excluded = policy.exclusion.groupBy(*policy.by, "control_area").agg(F.collect_list(F.struct("pos", "block")).alias("excluded"))
+    per = per.join(policy.small(excluded), [*policy.by, "control_area"], "left")
     # of excluded blocks only those that the message has, in the policy's order
     order = lambda b: F.get(F.filter("excluded", lambda x: x["block"] == b["block"]), F.lit(0))["pos"]
     found = F.filter("blocks", lambda b: F.exists(F.coalesce("excluded", F.array().cast("array<struct<pos:int,block:string>>")), lambda x: x["block"] == b["block"]))
@@ -96,49 +98,55 @@ def scopes(messages: DataFrame, policy: Policy, max_depth: int = flatten.MAX_DEP
     per = per.withColumn("out", F.array_sort(named))
     inside = lambda x, o: F.get(x["path"], F.lit(0)) == o["place"]
     lost = F.array_distinct(F.transform(F.filter("v", lambda x: F.exists("out", lambda o: inside(x, o))), lambda x: x["field"]))
-    per = per.select("seq", "control_area", "dataset_code", "v", "out", F.explode(F.array(lost)).alias("lost"))
+    per = per.select("seq", "control_area", "dataset_code", *keep, "v", "out", F.explode(F.array(lost)).alias("lost"))
     main = F.struct(F.lit(0).alias("scope_order"), F.lit("").alias("scope"), F.lit(-1).alias("place"), F.col("dataset_code").alias("scope_dataset"), F.filter("v", lambda x: ~F.array_contains("lost", x["field"])).alias("mine"))
     blocks = F.transform("out", lambda o: F.struct(o["scope_order"].alias("scope_order"), o["scope"].alias("scope"), o["place"].alias("place"), o["scope_dataset"].alias("scope_dataset"), F.filter("v", lambda x: inside(x, o)).alias("mine")))
-    rows = per.select("seq", "control_area", "lost", F.explode(F.concat(F.array(main), blocks)).alias("s")).select("seq", "control_area", "s.*", F.when(F.col("s.scope") == "", F.col("lost")).otherwise(F.array().cast("array<string>")).alias("lost"))
+    rows = per.select("seq", "control_area", *keep, "lost", F.explode(F.concat(F.array(main), blocks)).alias("s")).select("seq", "control_area", *keep, "s.*", F.when(F.col("s.scope") == "", F.col("lost")).otherwise(F.array().cast("array<string>")).alias("lost"))
     names = F.array_distinct(F.transform("mine", lambda x: x["field"]))
     folded = F.map_from_entries(F.transform(names, lambda f: F.struct(f.alias("k"), flatten.fold(F.transform(F.filter("mine", lambda x: x["field"] == f), lambda x: x["value"])).alias("v"))))
     top = F.transform(F.filter("mine", lambda x: F.size(x["path"]) == 1), lambda x: strip(x["field"]))
-    rows = rows.select("seq", "control_area", "scope", "scope_order", "scope_dataset", "lost", F.explode(F.array(folded)).alias("m"), F.array_distinct(F.concat(names, top)).alias("logical"))
+    rows = rows.select("seq", "control_area", *keep, "scope", "scope_order", "scope_dataset", "lost", F.explode(F.array(folded)).alias("m"), F.array_distinct(F.concat(names, top)).alias("logical"))
     # the flag of the block's own area, else of the message's
-    own_area = policy.small(policy.area.select(F.col("dataset_code").alias("scope_dataset"), F.col("control_area").alias("own_area")))
-    rows = rows.join(own_area, "scope_dataset", "left").withColumn("flag_area", F.when(F.col("scope") == "", F.col("control_area")).otherwise(F.coalesce("own_area", "control_area")))
-    rows = rows.join(policy.small(policy.flags.withColumnRenamed("control_area", "flag_area")), "flag_area", "left")
-    return rows.select("seq", "control_area", "scope", "scope_order", "scope_dataset", F.coalesce("filter_flag", F.lit(False)).alias("flag"), "m", "logical", "lost")
+    own_area = policy.small(policy.area.select(*policy.by, F.col("dataset_code").alias("scope_dataset"), F.col("control_area").alias("own_area")))
+    rows = rows.join(own_area, [*policy.by, "scope_dataset"], "left").withColumn("flag_area", F.when(F.col("scope") == "", F.col("control_area")).otherwise(F.coalesce("own_area", "control_area")))
+    rows = rows.join(policy.small(policy.flags.withColumnRenamed("control_area", "flag_area")), [*policy.by, "flag_area"], "left")
+    return rows.select("seq", "control_area", *keep, "scope", "scope_order", "scope_dataset", F.coalesce("filter_flag", F.lit(False)).alias("flag"), "m", "logical", "lost")
 
 
-def evaluate(messages: DataFrame, policy: Policy, predicates: dict[str, str], python_rules: dict[str, Callable] | None = None, scoped: DataFrame | None = None) -> DataFrame:
+def evaluate(messages: DataFrame, policy: Policy, predicates: dict[str, str] | RuleSet, python_rules: dict[str, Callable] | None = None, scoped: DataFrame | None = None) -> DataFrame:
     """The long result: seq, scope, scope_order, scope_dataset, field, rule_name, status, raised, error_text.
 
-    ``predicates``: rule name to a boolean SQL expression over ``m`` (field to text); true is a
-    defect, null counts as raised and not as a defect (write casts as ``try_cast``: what raises in SQL stops
-    the query). ``python_rules``: rule name to a function of such a map; what it raises marks the
+    ``predicates``: rule name to a boolean SQL expression over ``m`` (field to text), or a rule set of one or
+    several versions; true is a defect, null or an SQL error counts as raised and not as a defect.
+    ``python_rules``: rule name to a function of such a map; what it raises marks the
     record. The named rules of a missing body succeed. No row is shuffled but for the walk's group.
     """
-    rows = scopes(messages, policy) if scoped is None else scoped
-    known = policy.rules.join(policy.small(_bodies(policy, [*predicates, *(python_rules or {})])), "rule_name", "left").distinct()
-    rules = known.groupBy("control_area").agg(F.collect_list(F.struct("field", "rule_name", "body")).alias("rules"), F.array_sort(F.collect_set("field")).alias("fields"))
+    rule_set = predicates if isinstance(predicates, RuleSet) else None
+    names = [] if rule_set else [*predicates, *(python_rules or {})]
+    versions = tuple(dict.fromkeys([*policy.by, *(rule_set.by if rule_set else ())]))
+    rows = scopes(messages, policy, keep=versions) if scoped is None else scoped
+    known = policy.rules.join(policy.small(_bodies(policy, names)), "rule_name", "left").distinct()
+    rules = known.groupBy(*policy.by, "control_area").agg(F.collect_list(F.struct("field", "rule_name", "body")).alias("rules"), F.array_sort(F.collect_set("field")).alias("fields"))
     comma = lambda f: F.replace(f, F.lit("."), F.lit(","))
-    rows = rows.join(policy.small(rules), "control_area")
+    rows = rows.join(policy.small(rules), [*policy.by, "control_area"])
     mine = lambda f: F.when(F.col("scope") == "", ~F.array_contains("lost", f)).otherwise(F.array_contains("logical", f))
     rows = rows.withColumn("wanted", F.filter("fields", mine)).withColumn("names", F.map_keys("m"))
     # flag: every policy field of the scope is present, a comma name under its dotted form
     lifted = F.map_from_entries(F.transform("wanted", lambda f: F.struct(f.alias("k"), F.when(F.array_contains("names", f), F.try_element_at("m", f)).otherwise(F.try_element_at("m", comma(f))).alias("v"))))
     rest = F.map_filter("m", lambda k, v: ~F.array_contains("wanted", k) & ~F.array_contains(F.transform("wanted", comma), k))
     judged_fields = F.filter("rules", lambda r: F.array_contains("wanted", r["field"]) & (F.col("flag") | F.array_contains("names", r["field"]) | F.array_contains("names", comma(r["field"]))))
-    keep = ["seq", "scope", "scope_order", "scope_dataset"]
+    keep = ["seq", *versions, "scope", "scope_order", "scope_dataset"]
     rows = rows.select(*keep, F.explode(F.array(F.when(F.col("flag"), F.map_concat(lifted, rest)).otherwise(F.col("m")))).alias("e"), judged_fields.alias("rules"))
     rows = rows.select(*keep, "e", F.explode("rules").alias("r")).select(*keep, "e", "r.*")
+    if rule_set:
+        rows = rows.drop("body").join(policy.small(bodies_of(policy.rules, rule_set)).withColumnRenamed("predicate", "body"), [*rule_set.by, "rule_name"], "left")
     coded = F.col("field").isin(GENDER_FIELD, DOCUMENT_FIELD) & F.map_contains_key("e", F.col("field"))
     seen = F.when(coded, F.map_concat(F.map_filter("e", lambda k, v: k != F.col("field")), F.create_map(F.col("field"), code_mapped(F.col("field"), F.try_element_at("e", F.col("field")))))).otherwise(F.col("e"))
     rows = rows.select(*keep, "field", "rule_name", "body", F.explode(F.array(seen)).alias("m"))
+    # the first branch is no predicate: see isolated()
     outcome = F.when(F.col("body").isNull(), F.lit(False))
-    for name, predicate in predicates.items():
-        outcome = outcome.when(F.col("body") == name, F.expr(predicate))
+    for name, predicate in {p: p for p in rule_set.predicates}.items() if rule_set else predicates.items():
+        outcome = outcome.when(F.col("body") == name, isolated(predicate))
     judged = rows.withColumn("outcome", outcome)
     if python_rules:
         # one Arrow pass over the rows of Python rules; the others go without a map
@@ -150,7 +158,7 @@ def evaluate(messages: DataFrame, policy: Policy, predicates: dict[str, str], py
 
 def _bodies(policy: Policy, names: list[str]) -> DataFrame:
     """rule_name to the body it names: exact, then with the prefix 'Rule', then without it."""
-    known = F.array(*[F.lit(n) for n in names])
+    known = F.array(*[F.lit(n) for n in names]).cast("array<string>")
     bare = F.regexp_replace("rule_name", "^Rule", "")
     pick = F.when(F.array_contains(known, F.col("rule_name")), F.col("rule_name")).when(F.array_contains(known, F.concat(F.lit("Rule"), "rule_name")), F.concat(F.lit("Rule"), "rule_name")).when(F.array_contains(known, bare), bare)
     return policy.rules.select("rule_name").distinct().withColumn("body", pick)
@@ -173,12 +181,12 @@ def _arrow(rules: dict[str, Callable]):
 def _with_errors(judged: DataFrame, policy: Policy) -> DataFrame:
     """Error info by the exact rule name, then with the prefix 'Rule', then without it; info without text and class is skipped."""
     errors = policy.errors.filter(nullif_blank(F.col("error_description")).isNotNull() | F.col("classification").isNotNull())
-    info = errors.groupBy("rule_name").agg(F.min(F.struct("error_description", "classification")).alias("i")).select(F.col("rule_name").alias("known"), "i")
-    names = policy.rules.select("rule_name").distinct()
+    info = errors.groupBy(*policy.by, "rule_name").agg(F.min(F.struct("error_description", "classification")).alias("i")).select(*policy.by, F.col("rule_name").alias("known"), "i")
+    names = policy.rules.select(*policy.by, "rule_name").distinct()
     tries = F.array("rule_name", F.concat(F.lit("Rule"), "rule_name"), F.regexp_replace("rule_name", "^Rule", ""))
-    each = names.select("rule_name", F.posexplode(tries).alias("at", "known")).join(policy.small(info), "known")
-    one = each.groupBy("rule_name").agg(F.min_by("i", "at").alias("i")).select("rule_name", "i.*")
-    rows = judged.join(policy.small(one), "rule_name", "left")
+    each = names.select(*policy.by, "rule_name", F.posexplode(tries).alias("at", "known")).join(policy.small(info), [*policy.by, "known"])
+    one = each.groupBy(*policy.by, "rule_name").agg(F.min_by("i", "at").alias("i")).select(*policy.by, "rule_name", "i.*")
+    rows = judged.join(policy.small(one), [*policy.by, "rule_name"], "left")
     inform = F.upper(strip(F.coalesce("classification", F.lit("")))) == "INFORM"
     status = F.when(~F.col("triggered"), "SUCCESS").when(inform, "WARNING").otherwise("ERROR")
     text = F.when(F.col("triggered"), F.coalesce(nullif_blank(F.col("error_description")), F.concat(F.lit("No error text for rule "), F.col("rule_name"))))

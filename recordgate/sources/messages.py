@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 GENDER_FIELD = "ОСНОВНЫЕ СВЕДЕНИЯ.Пол"
-CONTROL_SCHEMA = "version long, cacheName string, handler string"
+CONTROL_SCHEMA = "version string, cacheName string, handler string"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,7 +65,9 @@ def control_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_control(events: DataFrame) -> DataFrame:
-    """seq, cache, version (default -1), handler text, valid."""
+    """seq, cache, version (default -1; a number or the text of one, fractions cut off), handler text, valid."""
     j = F.from_json("value", CONTROL_SCHEMA)
-    out = events.select("seq", j.alias("j")).select("seq", F.regexp_replace(F.coalesce("j.cacheName", F.lit("")), r"^\s+|\s+$", "").alias("cache"), F.coalesce("j.version", F.lit(-1)).cast("long").alias("version"), F.col("j.handler").alias("handler"))
+    number = F.trim(F.col("j.version"))
+    version = F.coalesce(number.try_cast("long"), F.when(number.rlike(r"^[-+]?\d"), number.try_cast("double").try_cast("long")), F.lit(-1).cast("long"))
+    out = events.select("seq", j.alias("j")).select("seq", F.regexp_replace(F.coalesce("j.cacheName", F.lit("")), r"^\s+|\s+$", "").alias("cache"), version.alias("version"), F.col("j.handler").alias("handler"))
     return out.withColumn("valid", (F.col("version") >= 0) & (F.col("cache") != ""))
