@@ -44,7 +44,7 @@ def test_hard_negatives_equal_brute_force(spark, block, monkeypatch):
     rows += [(2000, None, 1), (2001, [1.0, None, 1, 1, 1, 1], 1), (2002, [math.nan] * 6, 1), (2003, [1.0] * 6, None), (2100, [math.inf] * 6, 0), (None, [1.0] * 6, 1)]
     rows += [(2200, [0.0] * 6, 1), (2300, [2.0], 1), (2301, [2.0, 1.0], 0), (2302, [], 2), (2400, [-3.0] * 6, 2), (2500, [3e5, 1, 2, 3, 4, 5.0], 0), (2501, [-3e5, 1, 2, 3, 4, 5.0], 1), (2502, [2.9e5, 1, 2, 3, 4, 5.0], 1), (2503, [3e5, 1, 2, 3, 4, 5.0], 0)]
     rows += rows[:5]  # repeated rows
-    df = spark.createDataFrame([(*r, "x", "y") for r in rows], VECTORS).repartition(3)
+    df = spark.createDataFrame([(i, v and [x if x is None else float(x) for x in v], label, "x", "y") for i, v, label in rows], VECTORS).repartition(3)
     got = {tuple(r) for r in hard_negatives.hard_negatives(df, F.col("vec_id") % 100 == 0, block=block).collect()}
     assert got == mined(rows)
     assert len(got) > 100
