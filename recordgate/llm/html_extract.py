@@ -1,20 +1,23 @@
 """Main text of web pages by two-pass block rules.
 
-Pass one cuts a page into blocks and classifies each by link density, stop-word density and length,
-and by the container that holds it. Pass two lets ambiguous short blocks inherit the label of their
-nearest decided neighbours.
+Pass one cuts a page into blocks and labels each by its link density, stop-word density and length.
+What holds a block only shifts the thresholds: none are left in an article, they are lower in a container that
+names itself content and higher in one whose name is doubtful. Menus, footers, forms, comments and
+the like, known by their tags or by names that say nothing else, are left out. Pass two lets
+ambiguous blocks inherit the label of their nearest decided neighbours.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordgate.llm.common import table
+from recordgate.llm.common import small_batches, table, tidy
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)"
@@ -31,11 +34,16 @@ _BAD_TAG = frozenset("nav footer aside form menu dialog head".split())
 _GOOD_TAG = frozenset(("article", "main"))
 _NAMED = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
-_BAD_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|popup|modal|nav\w*|menu|breadcrumbs?|sidebar|side|aside|widget|related|recommend\w*|share|sharing|social|footer|header|masthead|topbar|toolbar|comments?|comment-\w+|respond|reply|replies|discussion|disqus|newsletter|subscribe|signup|login|search|form|pagination|pager|tags?|complementary|navigation|contentinfo)(?:$|[\s_-])",
-    re.I,
+#: Words that name what is no article, those of reader comments, and words that say nothing of their own beside them.
+_JUNK = frozenset(
+    """ad ads advert adverts advertisement advertising advertorial sponsor sponsored sponsors promo promos promotion promotions banner banners cookie cookies consent gdpr notice notices alert alerts popup modal
+    nav navbar navigation menu menus breadcrumb breadcrumbs sidebar side aside widget widgets related recommend recommended recommendations share sharing social footer header masthead topbar toolbar newsletter subscribe
+    signup login search form forms pagination pager tag tags complementary contentinfo""".split()
 )
-_GOOD_NAME = re.compile(r"(?:^|[\s_-])(?:article|post|entry|story|content|main|body|text)(?:$|[\s_-])", re.I)
+_COMMENT = frozenset("comment comments respond reply replies discussion disqus".split())
+_NEUTRAL = frozenset("box boxes list lists area bar block blocks wrap wrapper container inner outer item items top bottom left right site page main global links link posts post articles buttons icons icon section body content text group panel row col column slot unit big small primary secondary id the form thread meta author title count js hidden".split())
+_CONTENT = frozenset("article post entry story content main body text".split())
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 _SPACE = re.compile(r"\s+")
 
 #: Frequent function words of English, German, French and Spanish.
@@ -48,12 +56,19 @@ STOP_WORDS = frozenset(
 STOP_HIGH, STOP_LOW = 0.30, 0.12
 LINKS_HIGH = 0.33
 SHORT, LONG = 40, 140
+#: What holds a block.
+ARTICLE, CONTENT, PLAIN, DOUBTFUL, JUNK, OUT = 2, 1, 0, -1, -2, -3
+#: By what holds it: density from which a long block is text, density from which it may be, length from which it is long.
+THRESHOLDS = {ARTICLE: (0.0, 0.0, SHORT - 1), CONTENT: (0.20, STOP_LOW, SHORT - 1), PLAIN: (STOP_HIGH, STOP_LOW, LONG), DOUBTFUL: (STOP_HIGH, STOP_HIGH, LONG)}
+#: Bytes of html whose texts are given on together.
+CHUNK = 4 << 20
 
 
 def blocks(page: str) -> list[tuple[str, float, int, bool]]:
-    """(text, link density, hint of the containers: 1 good, -1 bad, 0 none, heading) in page order."""
+    """(text, link density, what holds it, heading) in page order."""
     out: list[tuple[str, float, int, bool]] = []
     stack: list[tuple[str, int]] = []
+    open_: Counter[str] = Counter()
     text: list[str] = []
     linked, anchor, hint, heading = 0, 0, 0, False
 
@@ -90,52 +105,81 @@ def blocks(page: str) -> list[tuple[str, float, int, bool]]:
             anchor = 0
             heading = not m["close"] and tag[0] == "h" and tag[1:].isdigit()
             if tag in _CONTAINER:
-                if m["close"]:
-                    for i in range(len(stack) - 1, -1, -1):
-                        if stack[i][0] == tag:
-                            del stack[i:]
-                            break
-                else:
+                if not m["close"]:
                     stack.append((tag, _judge(tag, m["attrs"], hint)))
+                    open_[tag] += 1
+                elif open_[tag]:  # else nothing is closed, however much is open
+                    last = None
+                    while last != tag:
+                        last = stack.pop()[0]
+                        open_[last] -= 1
                 hint = stack[-1][1] if stack else 0
     add(page[at:])
     flush()
     return out
 
 
+def _named(name: str) -> int:
+    """What a class, id or role says: junk only if it says nothing else."""
+    parts = [x.lower() for x in _PARTS.findall(name)]
+    comment, junk = any(x in _COMMENT for x in parts), any(x in _JUNK for x in parts)
+    if comment or junk:
+        if all(x in _JUNK or x in _COMMENT or x in _NEUTRAL or x.isdigit() for x in parts):
+            return OUT if comment else JUNK
+        return DOUBTFUL
+    return CONTENT if any(x in _CONTENT for x in parts) else PLAIN
+
+
 def _judge(tag: str, attrs: str, outer: int) -> int:
-    """Hint of a container: bad ones stay bad inside; a header belongs to the article that holds it."""
-    if outer < 0 or tag in _BAD_TAG or (tag == "header" and outer <= 0):
-        return -1
-    if attrs:
-        if _HIDDEN.search(attrs):
-            return -1
-        names = " ".join(x.strip("\"'") for x in _NAMED.findall(attrs))
-        if names and _BAD_NAME.search(names) and not (tag in _GOOD_TAG and _GOOD_NAME.search(names)):
-            return -1
-        if names and _GOOD_NAME.search(names):
-            return 1
-    return 1 if tag in _GOOD_TAG else outer
-
-
-def first_pass(block: tuple[str, float, int, bool], in_article: bool) -> str:
+    """What a container is. What its tag or comments rule out stays out; an article within what only its name rules out is one."""
+    if outer == OUT or tag in _BAD_TAG or (attrs and _HIDDEN.search(attrs)):
+        return OUT
+    if tag in ("html", "body"):  # their names are those of the page
+        return outer
+    said = [_named(x) for v in _NAMED.findall(attrs or "") for x in v.strip("\"'").split()]
+    names = min(said, default=PLAIN)
+    if names <= JUNK:
+        return names
+    if tag in _GOOD_TAG:
+        return ARTICLE
+    if outer == JUNK or (tag == "header" and outer <= PLAIN):
+        return JUNK
+    # what an article holds is of it; a header belongs to the article that holds it
+    return outer if outer == ARTICLE else names or max(said, default=PLAIN) or outer
+
+
+def density(text: str) -> float:
+    """Share of stop words."""
+    words = text.lower().split()
+    return sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / max(1, len(words))
+
+
+def first_pass(block: tuple[str, float, int, bool]) -> str:
     """good, bad, near (probably text) or short (undecided)."""
     text, links, hint, heading = block
-    if hint < 0 or links > LINKS_HIGH:
+    if hint < DOUBTFUL or links > LINKS_HIGH:
         return "bad"
-    if hint > 0 and not heading and len(text) >= SHORT:
-        return "good"
     if heading or len(text) < SHORT:
         return "short"
-    if in_article and hint == 0:  # outside the article of a page that has one
-        return "bad"
-    words = text.lower().split()
-    density = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
-    if density >= STOP_HIGH:
-        return "good" if len(text) > LONG else "near"
-    if density >= STOP_LOW:
-        return "near"
-    return "bad"
+    high, low, long = THRESHOLDS[hint]
+    dense = density(text)
+    if dense >= high:
+        return "good" if len(text) > long else "near"
+    return "near" if dense >= low else "bad"
+
+
+def _runs(found: list[tuple[str, float, int, bool]], labels: list[str]) -> list[str]:
+    """Neighbouring dense blocks that are short each are text if they are long together: paragraphs need no long one beside them."""
+    out, at = list(labels), 0
+    while at < len(labels):
+        stop, size = at, 0
+        while stop < len(labels) and labels[stop] == "near" and density(found[stop][0]) >= STOP_HIGH:
+            size += len(found[stop][0])
+            stop += 1
+        if size > LONG:
+            out[at:stop] = ["good"] * (stop - at)
+        at = max(stop, at + 1)
+    return out
 
 
 def _neighbours(decided: list[str | None]) -> list[tuple[str | None, str | None]]:
@@ -153,8 +197,10 @@ def _neighbours(decided: list[str | None]) -> list[tuple[str | None, str | None]
 
 def main_text(page: str) -> str:
     found = blocks(page)
-    in_article = any(b[2] > 0 for b in found)
-    labels = [first_pass(b, in_article) for b in found]
+    labels = _runs(found, [first_pass(b) for b in found])
+    if any(b[2] == ARTICLE and x == "good" for b, x in zip(found, labels, strict=True)):
+        # outside the article of a page that has one
+        labels = ["bad" if b[2] < CONTENT else x for b, x in zip(found, labels, strict=True)]
     # blocks of an article look for neighbours in it, the others anywhere
     inner = _neighbours([x if x in ("good", "bad") and b[2] > 0 else None for b, x in zip(found, labels, strict=True)])
     outer = _neighbours([x if x in ("good", "bad") else None for x in labels])
@@ -163,9 +209,9 @@ def main_text(page: str) -> str:
         left, right = (inner if b[2] > 0 else outer)[i]
         if label in ("good", "bad"):
             final.append(label)
-        elif b[2] > 0:
+        elif b[2] == ARTICLE:
             final.append("good" if "good" in (left, right) or not (left or right) else "bad")
-        elif label == "near":
+        elif label == "near" or b[2] == CONTENT:
             final.append("good" if "good" in (left, right) else "bad")
         elif b[3]:  # a heading belongs to what follows it
             final.append("good" if right == "good" else "bad")
@@ -175,9 +221,17 @@ def main_text(page: str) -> str:
 
 
 def _run(batches):
+    """Texts of some megabytes of html at a time, whatever the batch holds."""
     for b in batches:
-        texts = [main_text(x or "") for x in b.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(texts, pa.string())], ["page_id", "url", "text"])
+        lo, size, texts = 0, 0, []
+        for hi in range(1, b.num_rows + 1):
+            page = b.column(1)[hi - 1].as_py() or ""
+            texts.append(main_text(page))
+            size += len(page)
+            if size >= CHUNK or hi == b.num_rows:
+                part = b.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(texts, pa.string())], ["page_id", "url", "text"])
+                lo, size, texts = hi, 0, []
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", url_col: str = "url") -> DataFrame:
@@ -186,8 +240,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", u
     Null or empty html gives an empty text; null ids and urls stay null; repeated rows are extracted
     alike; an empty table gives an empty result; other columns are not read.
     """
+    small_batches(pages.sparkSession)
     source = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(html_col).cast("string").alias("html"), F.col(url_col).cast("string").alias("url"))
-    return source.mapInArrow(_run, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))
+    return source.mapInArrow(tidy(_run), "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))
 
 
 def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
