@@ -49,12 +49,10 @@ def merged_errors(r: Column) -> Column:
 
 
 def objects(messages: DataFrame, max_depth: int = flatten.MAX_DEPTH) -> DataFrame:
-    """seq, nodes: every object and array of a message with its mapped fields (place, local name, logical name, key)."""
-    entries = F.transform(F.map_entries("m"), lambda e, i: F.struct(i.alias("pos"), local_name(e["key"]).alias("local"), e["value"].alias("logical"), e["key"].alias("key")))
-    fields = F.filter(entries, lambda e: e["key"].startswith("mapping.") & (e["local"] != ""))
-    node = F.struct("path", "name", "type", F.col("m")["dataset_code"].alias("dataset_code"), F.col("m")["elemId"].alias("elem_id"), F.coalesce(fields, F.array().cast("array<struct<pos:int,local:string,logical:string,key:string>>")).alias("fields"))
-    found = flatten.walk(messages.select("seq", "data", "reason"), max_depth).filter("size(path) > 0")
-    return found.select("seq", node.alias("n")).groupBy("seq").agg(F.array_sort(F.collect_list("n")).alias("nodes"))
+    """``messages`` with nodes: every object and array below ``data`` with its mapped fields of a local name, in document order."""
+    rows = messages if "nodes" in messages.columns else flatten.message_nodes(messages, max_depth)
+    inner = F.filter("nodes", lambda n: F.size(n["path"]) > 0)
+    return rows.withColumn("nodes", F.transform(inner, lambda n: n.withField("fields", F.filter(n["fields"], lambda f: f["local"] != ""))))
 
 
 def _starts(path: Column, head: Column) -> Column:
@@ -204,8 +202,8 @@ def build(messages: DataFrame, long: DataFrame, policy: Policy, now: Column, kee
     excluded = policy.exclusion.groupBy(*policy.by, "control_area").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "block"))), lambda x: x["block"]).alias("excluded"))
     found, judged = objects(good), results(long)
     kinds = judged.schema["r"].dataType, found.schema["nodes"].dataType
-    own = dict.fromkeys(["seq", "event_id", "query_id", "envelope", "control_area", "created_dttm", "readed_dttm", *policy.by, *keep])
-    rows = good.select(*own).join(found, "seq", "left").join(judged, "seq", "left").join(policy.small(excluded), [*policy.by, "control_area"], "left")
+    own = dict.fromkeys(["seq", "event_id", "query_id", "envelope", "control_area", "created_dttm", "readed_dttm", "nodes", *policy.by, *keep])
+    rows = found.select(*own).join(judged, "seq", "left").join(policy.small(excluded), [*policy.by, "control_area"], "left")
     rows = rows.withColumn("r", F.coalesce("r", F.array().cast(kinds[0]))).withColumn("nodes", F.coalesce("nodes", F.array().cast(kinds[1]))).withColumn("excluded", F.coalesce("excluded", F.array().cast("array<string>")))
     rows = rows.withColumn("all_result", F.coalesce("all_result", F.lit("SUCCESS"))).withColumn("process_status", F.coalesce("process_status", F.lit("OK")))
     rows = _detail_results(error_tree(status_tree(rows)))

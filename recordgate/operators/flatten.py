@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordgate.functions.text import event_id, null_like_json, nullif_blank, quoted, strip
+from recordgate.functions.text import event_id, local_name, null_like_json, nullif_blank, quoted, strip
 
 #: Fields of the envelope that answers repeat, beside the query id.
 ENVELOPE = ("dfw_hostname", "dfw_user_login", "dfw_dataset_code", "dfw_readed_from_mq_dttm")
@@ -65,6 +65,24 @@ def walk(decoded: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     return rows.selectExpr(*[f"`{c}`" for c in keep], "n.*", "size(n.path) as depth", "open as too_deep")
 
 
+def message_nodes(messages: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+    """One row per message: its columns but ``data``, and nodes (path, name, type, dataset_code, elem_id, fields) in document order.
+
+    fields: the mapped fields of an object (place, local name, logical name, key, value). Everything that
+    is made of a message starts here, so it is parsed, walked and shuffled once; the message's own
+    columns travel as one value, by which all uses share one exchange. A message too deep for this walk is an error.
+    """
+    own = [c for c in messages.columns if c not in ("seq", "data")]
+    entries = F.transform(F.map_entries("m"), lambda e, i: F.struct(i.alias("pos"), local_name(e["key"]).alias("local"), e["value"].alias("logical"), e["key"].alias("key")))
+    fields = F.transform(F.filter(entries, lambda e: e["key"].startswith("mapping.")), lambda e: e.withField("value", F.try_element_at("m", F.substring(e["key"], F.lit(9), F.length(e["key"])))))
+    none = F.array().cast("array<struct<pos:int,local:string,logical:string,key:string,value:string>>")
+    node = F.struct("path", "name", "type", F.col("m")["dataset_code"].alias("dataset_code"), F.col("m")["elemId"].alias("elem_id"), F.coalesce(fields, none).alias("fields"))
+    found = walk(messages.select("seq", "data", "reason", F.struct(*own).alias("own")), max_depth).select("seq", "own", node.alias("n"), "too_deep")
+    per = found.groupBy("seq").agg(F.first("own").alias("own"), F.array_sort(F.collect_list("n")).alias("nodes"), F.bool_or("too_deep").alias("too_deep"))
+    whole = F.when(F.col("too_deep"), F.raise_error(F.concat(F.lit("message too deep for this walk: seq "), F.col("seq").cast("string"))).cast(per.schema["nodes"].dataType)).otherwise(F.col("nodes"))
+    return per.select("seq", "own.*", F.explode(F.array(whole)).alias("nodes"))
+
+
 def mappings(objects: DataFrame) -> DataFrame:
     """Long table of mapped values: seq, block, path, pos, field (logical name, as given), value (text or null).
 

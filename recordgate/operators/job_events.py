@@ -145,3 +145,8 @@ def event_documents(events: DataFrame) -> DataFrame:
 def append_lines(lines: DataFrame, path: str) -> None:
     """Adds lines (event_id, line) to text files, in order of id within each."""
     lines.sortWithinPartitions("event_id").select("line").write.mode("append").text(path)
+
+
+def write_lines(lines: DataFrame, path: str, batch: int) -> None:
+    """The lines of a batch as text files of its own, in order of id: a batch that is written again replaces what it wrote."""
+    lines.sortWithinPartitions("event_id").select("line").write.mode("overwrite").text(f"{path}/batch={batch}")

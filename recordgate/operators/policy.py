@@ -165,10 +165,10 @@ def decode_cache(payloads: DataFrame, shape: str) -> DataFrame:
 
 
 def rule_payloads(rules: DataFrame) -> DataFrame:
-    """rule_name, predicate, n_bytes: base64 bodies decoded, in order of name; blank names and bodies are left out, undecodable ones null."""
+    """rule_name, predicate, n_bytes: base64 bodies decoded, in order of name; blank names and bodies are left out, undecodable ones null (``rulebook.checked`` refuses them)."""
     body = F.try_to_binary("body", F.lit("base64"))
     kept = rules.filter(nullif_blank(F.col("rule_name")).isNotNull() & nullif_blank(F.col("body")).isNotNull())
-    return kept.select("rule_name", F.decode(body, "UTF-8").alias("predicate"), F.octet_length(body).cast("long").alias("n_bytes"))
+    return kept.select("rule_name", F.decode(body, "UTF-8").alias("predicate"), F.octet_length(body).cast("long").alias("n_bytes")).orderBy("rule_name")
 
 
 def payload_stats(rules: DataFrame) -> DataFrame:

@@ -80,15 +80,13 @@ def scopes(messages: DataFrame, policy: Policy, max_depth: int = flatten.MAX_DEP
     area gives the flag. ``max_depth`` is the one that ``decode`` was given; messages that are
     TOO_DEEP have no scope. The columns that tell the policy's versions apart, and those of ``keep``, are carried along.
     """
-    own = [c for c in messages.columns if c not in ("seq", "data")]
     keep = tuple(dict.fromkeys([*policy.by, *keep]))
-    objects = flatten.walk(messages.drop(*[c for c in own if c not in ("control_area", "dataset_code", "reason", *keep)]), max_depth).filter("type = 'OBJECT' or too_deep")
-    mapped = F.filter(F.transform(F.map_entries("m"), lambda e, i: F.struct(i.alias("pos"), e["key"].alias("key"), e["value"].alias("field"))), lambda e: e["key"].startswith("mapping.") & ~F.lower(strip(F.coalesce(e["field"], F.lit("")))).isin("", "none"))
-    values = F.transform(mapped, lambda e: F.struct(F.col("path"), e["pos"].alias("pos"), e["field"].alias("field"), F.try_element_at(F.col("m"), F.substring(e["key"], F.lit(9), F.length(e["key"]))).alias("value")))
-    checked = F.when(F.col("too_deep"), F.raise_error(F.concat(F.lit("message too deep for this walk: seq "), F.col("seq").cast("string")))).otherwise(F.lit(None)).cast("string")
-    block = F.when(F.size("path") == 1, F.struct(F.get("path", F.lit(0)).alias("place"), F.col("name").alias("block"), nullif_blank(F.col("m")["dataset_code"]).alias("dataset_code")))
-    per = objects.select("seq", "control_area", "dataset_code", *keep, values.alias("v"), block.alias("b"), checked.alias("checked"))
-    per = per.groupBy("seq").agg(*[F.first(c).alias(c) for c in ("control_area", "dataset_code", *keep)], F.array_sort(F.flatten(F.collect_list("v"))).alias("v"), F.array_sort(F.collect_list("b")).alias("blocks"), F.max("checked").alias("checked")).drop("checked")
+    per = messages if "nodes" in messages.columns else flatten.message_nodes(messages, max_depth)
+    objects = F.filter("nodes", lambda n: n["type"] == "OBJECT")
+    named = lambda n: F.filter(n["fields"], lambda f: ~F.lower(strip(F.coalesce(f["logical"], F.lit("")))).isin("", "none"))
+    values = F.flatten(F.transform(objects, lambda n: F.transform(named(n), lambda f: F.struct(n["path"].alias("path"), f["pos"].alias("pos"), f["logical"].alias("field"), f["value"].alias("value")))))
+    blocks = F.transform(F.filter(objects, lambda n: F.size(n["path"]) == 1), lambda n: F.struct(F.get(n["path"], F.lit(0)).alias("place"), n["name"].alias("block"), nullif_blank(n["dataset_code"]).alias("dataset_code")))
+    per = per.select("seq", "control_area", "dataset_code", *keep, F.explode(F.array(F.struct(values.alias("v"), blocks.alias("blocks")))).alias("x")).select("seq", "control_area", "dataset_code", *keep, "x.*")
     excluded = policy.exclusion.groupBy(*policy.by, "control_area").agg(F.collect_list(F.struct("pos", "block")).alias("excluded"))
     per = per.join(policy.small(excluded), [*policy.by, "control_area"], "left")
     # of excluded blocks only those that the message has, in the policy's order

@@ -108,13 +108,13 @@ NOW = "2024-01-01 00:00:00"
 
 
 def _built(spark, sf):
-    good, rules = _resolved(spark, sf).filter("reason is null"), load_policy(spark)
+    good, rules = flatten.message_nodes(_resolved(spark, sf).filter("reason is null")), load_policy(spark)
     return answers.build(good, validate.evaluate(good, rules, PREDICATES), rules, F.lit(NOW).cast("timestamp"))
 
 
 def _replies(spark, sf):
-    data = F.from_json("answer", "struct<data:struct<dfw_query_id:string,PROCESS_STATUS:string,details:struct<ALL_RESULT:string>>>")
-    return _built(spark, sf).select("event_id", data.alias("j")).select("event_id", F.col("j.data.dfw_query_id").alias("query_id"), F.col("j.data.PROCESS_STATUS").alias("process_status"), F.col("j.data.details.ALL_RESULT").alias("all_result"))
+    good, rules = flatten.message_nodes(_resolved(spark, sf).filter("reason is null")), load_policy(spark)
+    return answers.build(good, validate.evaluate(good, rules, PREDICATES), rules, F.lit(NOW).cast("timestamp"), ("query_id",)).select("event_id", "query_id", "process_status", "all_result")
 
 
 def _reply_out(spark, sf):

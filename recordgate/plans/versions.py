@@ -141,7 +141,7 @@ def _array_answers(spark, sf):
     """Details of the answers: array items with their statuses; results found by logical, comma, local and full-key names."""
     held = _one_area(spark, {"L.A": "R1", "L,B": "R2", "c": "R3", "mapping.d": "R4", "DOC.Number": "R5"}, ["D"])
     predicates = {"R1": "m['L.A'] = 'F'", "R2": "m['L.B'] = 'bad'", "R3": "m['L.C'] = 'bad'", "R4": "m['L.D'] = 'bad'", "R5": "coalesce(m['DOC.Number'] like '%;%', false)"}
-    good = validate.resolved(flatten.decode(_array_messages(spark, sf)), held).filter("reason is null")
+    good = flatten.message_nodes(validate.resolved(flatten.decode(_array_messages(spark, sf)), held).filter("reason is null"))
     built = answers.build(good, validate.evaluate(good, held, predicates), held, F.lit(NOW).cast("timestamp"))
     return built.select("seq", F.get_json_object("answer", "$.data.details").alias("details"))
 

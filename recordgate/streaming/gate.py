@@ -37,7 +37,7 @@ def judged(messages: DataFrame, policy: Policy, predicates: dict[str, str] | Rul
     versions = tuple(dict.fromkeys([*policy.by, *(predicates.by if isinstance(predicates, RuleSet) else ())]))
     whole = messages.select(F.struct(F.col("seq").alias("seq"), F.xxhash64(*_IDS).alias("at")).alias("seq"), *_IDS, *times, *versions).dropDuplicates(["seq", *_IDS])
     decoded = staged("decoded", validate.resolved(flatten.decode(whole, keep=(*_IDS, *times, *versions)), policy))
-    good = decoded.filter("reason is null")
+    good = staged("nodes", flatten.message_nodes(decoded.filter("reason is null")))
     built = staged("built", answers_.build(good, validate.evaluate(good, policy, predicates), policy, now, (*_IDS, *versions)))
     # a message without an answer is refused, the others go on
     failed = built.filter("answer is null").select("seq", "event_id", F.lit("NO_ANSWER").alias("reason"))
