@@ -31,21 +31,19 @@ CHUNK, STRIP, CHUNK_NUMBERS = 8192, 1024, 8 << 20
 FIRST = 64
 #: Angles are right to about 3e-8; bounds are widened by more.
 _SLACK = 1e-7
-#: Squared norms from which two vectors' product may leave 64 bits.
+#: Scaled components from which on a vector is left out: 64 bits do not hold them.
 _MOST = float(1 << 62)
 _FOUND = "asked int, vec_id long, score long"
 
 
 def integer_vectors(df: DataFrame, id_col: str, label_col: str, vec_col: str, scale: int) -> DataFrame:
     """vec_id, label, v (floor(scale * x)) of the rows that take part."""
-    x = F.transform(F.col(vec_col), lambda e: F.floor(e.cast("double") * scale))
-    bad = F.exists(F.col(vec_col), lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf")))
+    bad = F.exists(F.col(vec_col), lambda e: e.isNull() | F.isnan(e) | (F.abs(e.cast("double") * scale) >= _MOST))
     good = df.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & F.col(vec_col).isNotNull()).filter(~bad)
-    norm = F.aggregate(F.col(vec_col), F.lit(0.0), lambda a, e: a + F.pow(F.floor(e.cast("double") * scale).cast("double"), 2))
-    return good.filter(norm < _MOST).select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("long").alias("label"), x.alias("v"))
+    return good.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("long").alias("label"), F.transform(F.col(vec_col), lambda e: F.floor(e.cast("double") * scale)).alias("v"))
 
 
-def _matrix(column: pa.ListArray, dim: int) -> np.ndarray:
+def integer_matrix(column: pa.ListArray, dim: int) -> np.ndarray:
     """Rows of 64-bit integers; missing components are zero."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     size = np.diff(column.offsets.to_numpy())
@@ -67,9 +65,17 @@ def _directions(v: np.ndarray) -> np.ndarray:
     return v / np.where(n > 0, n, 1)[:, None]
 
 
-def products(x: np.ndarray, a: np.ndarray, exact_in_doubles: bool) -> np.ndarray:
-    """Integer inner products; doubles hold them where no sum reaches 2**53."""
-    return (x.astype(np.float64) @ a.astype(np.float64).T).astype(np.int64) if exact_in_doubles else x @ a.T
+def products(x: np.ndarray, a: np.ndarray, x_norm: np.ndarray, a_norm: np.ndarray) -> np.ndarray:
+    """Integer inner products: in doubles where no sum reaches 2**53, in 64 bits below 2**62, else in whole numbers of any size; the nearest that 64 bits hold."""
+    most = float(a_norm.max(initial=0))
+    if most * x_norm.max(initial=0) < 2.0**52:
+        return (x.astype(np.float64) @ a.astype(np.float64).T).astype(np.int64)
+    out = x @ a.T
+    large = np.flatnonzero(x_norm * most >= 2.0**62)
+    if len(large):
+        limit = np.iinfo(np.int64)
+        out[large] = np.clip(x[large].astype(object) @ a.T.astype(object), limit.min, limit.max).astype(np.int64)
+    return out
 
 
 class Block:
@@ -116,12 +122,9 @@ def _walk(shared, k: int, dim: int):
         block, of, low, high, same_label = shared.value
         floor = low.copy()
         held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-        most = block.norm.max(initial=0)
-
         def take(ids: np.ndarray, labels: np.ndarray, x: np.ndarray) -> None:
             nonlocal held
             norm, unit = _norms(x), _directions(x)
-            exact = most * norm.max(initial=0) < 2**52
             for lo, hi, centre, widest in block.clusters:
                 mine = np.arange(*np.searchsorted(of, [lo, hi]))
                 if not len(mine):
@@ -135,7 +138,7 @@ def _walk(shared, k: int, dim: int):
                     if not len(mine):
                         break  # certified: nothing further down can count for any member
                     anchors = np.unique(of[mine])
-                    scores = products(x[strip], block.v[anchors], exact)[:, np.searchsorted(anchors, of[mine])]
+                    scores = products(x[strip], block.v[anchors], norm[strip], block.norm[anchors])[:, np.searchsorted(anchors, of[mine])]
                     alike = labels[strip][:, None] == block.labels[of[mine]][None]
                     good = (scores >= floor[mine]) & (scores <= high[mine]) & (alike == same_label) & (ids[strip][:, None] != block.ids[of[mine]][None])
                     row, column = np.nonzero(good)
@@ -151,7 +154,7 @@ def _walk(shared, k: int, dim: int):
         for batch in batches:
             for lo in range(0, batch.num_rows, rows):
                 part = batch.slice(lo, rows)
-                waiting.append((part.column(0).to_numpy(), part.column(1).to_numpy(), _matrix(part.column(2), dim)))
+                waiting.append((part.column(0).to_numpy(), part.column(1).to_numpy(), integer_matrix(part.column(2), dim)))
                 n += part.num_rows
                 if n >= rows:
                     take(*[np.concatenate(z) for z in zip(*waiting, strict=True)])
@@ -200,8 +203,8 @@ def hard_negatives(data: DataFrame, is_anchor: Column, positives: int = 5, negat
     positives are its first other rows of its label; each positive has its first rows of another label
     with low * positive <= 100 * score <= high * positive (percent). ``is_anchor`` is a condition on vec_id and label.
 
-    Rows with a null id, label, vector or component, or a non-finite one, take no part, nor those of a norm from
-    2**31 on, whose products may leave 64 bits. Missing components of shorter vectors are zero. A row
+    Rows with a null id, label, vector or component, or a non-finite one, take no part, nor those with a scaled component
+    from 2**62 on. A product that 64 bits do not hold is the nearest that they do. Missing components of shorter vectors are zero. A row
     equal to another in id, label and vector counts once; an anchor's own id is never among its
     results. Empty tables give no row. Other columns are not read.
     """

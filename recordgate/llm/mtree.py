@@ -21,25 +21,33 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from recordgate.llm.common import materialise, table
+from recordgate.llm.hard_negatives import integer_matrix, products
 
 #: Vectors of a shard and of a page; routing vectors are a sample of at most MOST_ROUTES rows.
 SHARD, PAGE, MOST_ROUTES = 4096, 128, 4096
 #: Queries that one task searches together.
 QUERY_BLOCK = 512
+#: Distances are right to about 2e-8 of the greatest norm; bounds are widened by more.
 _SLACK = 1e-6
+#: Scaled components from which on a vector is left out: 64 bits do not hold them.
+_MOST = float(1 << 62)
+
+
+def squared_norm(v) -> F.Column:
+    return F.aggregate(v, F.lit(0.0), lambda a, e: a + F.pow(e.cast("double"), 2))
 
 
 def clean_vectors(df: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
-    """vec_id, v (array<long>: floor(scale * x)); vectors with null or non-finite components are left out."""
+    """vec_id, v (array<long>: floor(scale * x)); vectors with null or non-finite components, or scaled ones from 2**62 on, are left out."""
     x = F.col(vec_col)
-    bad = F.exists(x, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf")))
+    bad = F.exists(x, lambda e: e.isNull() | F.isnan(e) | (F.abs(e.cast("double") * scale) >= _MOST))
+    scaled = F.transform(x, lambda e: F.floor(e.cast("double") * scale))
     good = df.filter(F.col(id_col).isNotNull() & x.isNotNull() & (F.size(x) > 0)).filter(~bad)
-    return good.select(F.col(id_col).cast("long").alias("vec_id"), F.transform(x, lambda e: F.floor(e.cast("double") * scale)).alias("v"))
+    return good.select(F.col(id_col).cast("long").alias("vec_id"), scaled.alias("v"))
 
 
-def _matrix(column) -> np.ndarray:
-    flat = column.flatten() if isinstance(column, pa.ListArray) else column.combine_chunks().flatten()
-    return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+def _matrix(column, dim: int) -> np.ndarray:
+    return integer_matrix(column, dim).astype(np.float64)
 
 
 def _lift(v: np.ndarray, top: float) -> np.ndarray:
@@ -51,14 +59,17 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum((a**2).sum(1)[:, None] + (b**2).sum(1)[None] - 2 * a @ b.T, 0))
 
 
-def _route(routes: np.ndarray, top: float, of_query: bool):
+def _route(routes: np.ndarray, names: np.ndarray, top: float, of_query: bool):
+    """The nearest route of each vector, by name, and its distance."""
+    dim = routes.shape[1] - 1
+
     def run(batches):
         for b in batches:
-            v = _matrix(b.column(1))
+            v = _matrix(b.column(1), dim)
             lifted = np.concatenate([v, np.zeros((len(v), 1))], 1) if of_query else _lift(v, top)
             far = _distances(lifted, routes) if len(v) else np.zeros((0, len(routes)))
             near = far.argmin(1) if len(v) else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(near, pa.int64()), pa.array(far[np.arange(len(v)), near], pa.float64())], ["vec_id", "v", "route", "far"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(names[near], pa.int64()), pa.array(far[np.arange(len(v)), near], pa.float64())], ["vec_id", "v", "route", "far"])
 
     return run
 
@@ -67,7 +78,8 @@ def _pages(routes: np.ndarray, top: float):
     """Pages of one shard: vectors in the order of a few routing vectors, cut into pages of bounded size."""
 
     def build(t: pa.Table) -> pa.Table:
-        ids, v = t.column("vec_id").to_numpy(), _matrix(t.column("v"))
+        ids, whole = t.column("vec_id").to_numpy(), integer_matrix(t.column("v"), routes.shape[1] - 1)
+        v = whole.astype(np.float64)
         parent = routes[t.column("route")[0].as_py()]
         lifted = _lift(v, top)
         parts, pages = [np.arange(len(ids))], []
@@ -90,7 +102,7 @@ def _pages(routes: np.ndarray, top: float):
             router = lifted[page].mean(0)
             far = _distances(lifted[page], router[None])[:, 0]
             page, far = page[np.argsort(far)], np.sort(far)
-            rows.append((t.column("shard")[0].as_py(), n, router.tobytes(), float(far[-1]), float(np.linalg.norm(router - parent)), ids[page].tobytes(), v[page].astype(np.int32).tobytes(), far.tobytes()))
+            rows.append((t.column("shard")[0].as_py(), n, router.tobytes(), float(far[-1]), float(np.linalg.norm(router - parent)), ids[page].tobytes(), whole[page].tobytes(), far.tobytes()))
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _NODE, strict=True)], schema=_NODE)
 
     return build
@@ -110,19 +122,25 @@ def _search(routes: np.ndarray, top: float, k: int):
         dim = len(np.frombuffer(nodes["router"].iloc[0])) - 1
         routers = np.stack([np.frombuffer(x) for x in nodes["router"]])
         ids = [np.frombuffer(x, np.int64) for x in nodes["ids"]]
-        vectors = [np.frombuffer(x, np.int32).reshape(-1, dim).astype(np.float64) for x in nodes["vectors"]]
+        vectors = [np.frombuffer(x, np.int64).reshape(-1, dim) for x in nodes["vectors"]]
+        doubles = [x.astype(np.float64) for x in vectors]
+        norms = [np.sqrt((x**2).sum(1)) for x in doubles]
         to_router = [np.frombuffer(x) for x in nodes["to_router"]]
         radius, to_parent = nodes["radius"].to_numpy(), nodes["to_parent"].to_numpy()
         parent = routes[int(str(nodes["shard"].iloc[0]).split("/")[0])]
         for qid, q, floor in zip(queries["vec_id"], queries["v"], queries["floor"], strict=True):
-            q = np.asarray(q, np.float64)
+            whole = np.zeros(dim, np.int64)
+            whole[: len(q)] = q
+            q = whole.astype(np.float64)
             lifted = np.append(q, 0.0)
-            norm = float(q @ q) + top
-            best_score, best_id = np.zeros(0), np.zeros(0, np.int64)
-            least = -np.inf if floor is None or np.isnan(floor) else float(floor)
+            square = float(q @ q)
+            norm, length = square + top, np.sqrt([square])
+            slack = _SLACK * max(1.0, np.sqrt(norm))
+            best_score, best_id = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            least = None if floor is None or np.isnan(floor) else int(floor)
 
-            def reach(least=least, norm=norm):
-                return np.sqrt(max(norm - 2 * least, 0)) + _SLACK if least > -np.inf else np.inf
+            def reach(least=least, norm=norm, slack=slack):
+                return np.sqrt(max(norm - 2.0 * least, 0)) + slack if least is not None else np.inf
 
             from_parent = np.linalg.norm(lifted - parent)
             # stored distances first: no distance is computed for a page that they exclude
@@ -135,16 +153,18 @@ def _search(routes: np.ndarray, top: float, k: int):
                     break
                 p = open_[j]
                 near = np.flatnonzero(abs(to_page[j] - to_router[p]) <= limit)
-                score = vectors[p][near] @ q
+                # doubles hold a product where no sum reaches 2**53
+                small = length[0] * norms[p].max(initial=0) < 2.0**52
+                score = (doubles[p][near] @ q).astype(np.int64) if small else products(vectors[p][near], whole[None], norms[p][near], length)[:, 0]
                 who = ids[p][near]
-                good = (score >= least) & (who != qid)
+                good = who != qid if least is None else (score >= least) & (who != qid)
                 best_score, best_id = np.concatenate([best_score, score[good]]), np.concatenate([best_id, who[good]])
                 if len(best_score) > k:
                     order = np.lexsort((best_id, -best_score))[:k]
                     best_score, best_id = best_score[order], best_id[order]
                 if len(best_score) >= k:
-                    least = max(least, best_score.min())
-            out.append((np.full(len(best_id), qid), best_id, best_score.astype(np.int64)))
+                    least = int(best_score.min()) if least is None else max(least, int(best_score.min()))
+            out.append((np.full(len(best_id), qid), best_id, best_score))
         columns = [np.concatenate(c) for c in zip(*out, strict=True)]
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns, strict=True))).astype("int64")
 
@@ -162,66 +182,65 @@ _FOUND = "query_id long, vec_id long, score long"
 def top_k(data: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 64, shard: int = SHARD) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` greatest inner products of each query, ties to smaller ids.
 
-    A query is never its own candidate. Null vectors, and those with null or non-finite components,
-    take no part; vectors of another length than the first routing vector's are no candidates and
-    ask nothing. Repeated queries ask once. Empty tables give empty results.
+    A query is never its own candidate. Null and empty vectors, those with null or non-finite components, and those
+    with a scaled component from 2**62 on take no part; a product that 64 bits do not hold is the nearest that
+    they do; missing components of shorter vectors are zero. Repeated queries ask once. Empty tables give empty results. Other columns are not read.
     """
     spark = data.sparkSession
     vectors = materialise(clean_vectors(data, id_col, vec_col, scale))
-    shape = vectors.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1).collect()
-    if not shape:
+    dim, n, top = vectors.agg(F.max(F.size("v")), F.count("*"), F.max(squared_norm(F.col("v")))).first()
+    if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    dim, n = shape[0]
-    vectors = vectors.filter(F.size("v") == dim)
-    asked = clean_vectors(queries, id_col, vec_col, scale).filter(F.size("v") == dim).dropDuplicates(["vec_id", "v"])
-    norm = F.aggregate("v", F.lit(0).cast("long"), lambda a, e: a + e * e)
-    top = float(vectors.agg(F.max(norm)).first()[0])
+    asked = clean_vectors(queries, id_col, vec_col, scale).withColumn("v", F.slice("v", 1, dim)).dropDuplicates(["vec_id", "v"])
+    top = float(top) * (1 + 1e-12)
     n_routes = max(1, min(MOST_ROUTES, n // shard))
     sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(n_routes).collect()
-    routes = np.unique(_lift(np.array([r["v"] for r in sample], np.float64), top), axis=0)
-    routed = materialise(vectors.mapInArrow(_route(routes, top, False), "vec_id long, v array<long>, route long, far double"))
+    first = np.zeros((len(sample), dim), np.int64)
+    for i, r in enumerate(sample):
+        first[i, : len(r["v"])] = r["v"]
+    routes = np.unique(_lift(first.astype(np.float64), top), axis=0)
+    kinds = "vec_id long, v array<long>, route long, far double"
+    routed = materialise(vectors.mapInArrow(_route(routes, np.arange(len(routes)), top, False), kinds))
     shards = routed.groupBy("route").agg(F.count("*").alias("n"), F.max("far").alias("radius")).collect()  # at most MOST_ROUTES rows
-    salts = {r["route"]: -(-r["n"] // max(shard, n // MOST_ROUTES)) for r in shards}
-    salt_of = F.create_map(*[F.lit(x) for kv in salts.items() for x in kv])
-    salted = routed.withColumn("shard", F.concat_ws("/", "route", F.pmod(F.xxhash64("vec_id"), salt_of[F.col("route")])))
-    nodes = materialise(salted.groupBy("shard").applyInArrow(_pages(routes, top), NODE))
-    homes = asked.mapInArrow(_route(routes[[r["route"] for r in shards]], top, True), "vec_id long, v array<long>, route long, far double")
-    names = F.array(*[F.lit(r["route"]) for r in shards])
-    homes = materialise(homes.withColumn("route", names[F.col("route").cast("int")]))
+    names = np.array([r["route"] for r in shards], np.int64)
+    salts = F.broadcast(spark.createDataFrame([(r["route"], -(-r["n"] // max(shard, n // MOST_ROUTES))) for r in shards], "route long, salts int"))
+    salted = routed.join(salts, "route").withColumn("shard", F.concat_ws("/", "route", F.pmod(F.xxhash64("vec_id"), F.col("salts"))))
+    nodes = materialise(salted.select("vec_id", "v", "route", "shard").groupBy("shard").applyInArrow(_pages(routes, top), NODE))
+    homes = materialise(asked.mapInArrow(_route(routes[names], names, top, True), kinds))
 
     def search(wanted: DataFrame) -> DataFrame:
         """``wanted``: vec_id, v, floor, route. Blocks of queries meet the shards of their route."""
         blocks = max(1, -(-asked_count // QUERY_BLOCK))
-        all_salts = F.explode(F.sequence(F.lit(0), salt_of[F.col("route")] - 1))
-        left = wanted.withColumn("salt", all_salts).select("vec_id", "v", "floor", F.concat_ws("/", "route", "salt").alias("shard"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block"))
-        left = materialise(left)
+        left = wanted.join(salts, "route").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+        left = materialise(left.select("vec_id", "v", "floor", F.concat_ws("/", "route", "salt").alias("shard"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block")))
         pairs = left.select(F.col("shard").alias("of"), F.col("block").alias("block_of")).distinct()
         met = nodes.join(pairs, F.col("shard") == F.col("of")).select(*nodes.columns, F.col("block_of").alias("block"))
         return met.groupBy("shard", "block").cogroup(left.groupBy("shard", "block")).applyInPandas(_search(routes, top, k), _FOUND)
 
     asked_count = homes.count()
     first = materialise(_best(search(homes.select("vec_id", "v", F.lit(None).cast("double").alias("floor"), "route")), k))
-    floors = first.groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("n")).filter(F.col("n") >= k).select(F.col("query_id").alias("vec_id"), F.col("least").cast("double").alias("floor"))
-    at = np.array([routes[r["route"]] for r in shards])
-    rest = homes.join(floors, "vec_id", "left").mapInArrow(_others(at, [r["route"] for r in shards], [r["radius"] for r in shards], top), "vec_id long, v array<long>, floor double, route long")
+    # a floor that a double cannot hold is rounded down
+    floors = first.groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("n")).filter(F.col("n") >= k).select(F.col("query_id").alias("vec_id"), F.when(F.abs("least") < 1 << 53, F.col("least").cast("double")).otherwise(F.col("least").cast("double") - F.abs("least").cast("double") * 1e-15).alias("floor"))
+    rest = homes.join(floors, "vec_id", "left").mapInArrow(_others(routes[names], names, [r["radius"] for r in shards], top), "vec_id long, v array<long>, floor double, route long")
     second = search(rest)
     return _best(first.select("query_id", "vec_id", "score").unionByName(second), k)
 
 
 def _others(at: np.ndarray, names: list[int], radius: list[float], top: float):
     """The routes, other than a query's own, whose covering radius may hold a score as high as its floor."""
-    radius_, names_ = np.array(radius), np.array(names)
+    radius_, names_, dim = np.array(radius), np.array(names), at.shape[1] - 1
 
     def run(batches):
         for b in batches:
             ids, v = b.column(b.schema.get_field_index("vec_id")), b.column(b.schema.get_field_index("v"))
             floor, own = b.column(b.schema.get_field_index("floor")), b.column(b.schema.get_field_index("route")).to_numpy()
-            q = _matrix(v)
+            q = _matrix(v, dim)
             least = np.nan_to_num(floor.to_numpy(zero_copy_only=False).astype(float), nan=-np.inf)
             lifted = np.concatenate([q, np.zeros((len(q), 1))], 1)
-            bound = np.maximum(_distances(lifted, at) - radius_, 0)
-            highest = ((q**2).sum(1)[:, None] + top - bound**2) / 2
-            row, which = np.nonzero((highest + 1e-3 >= least[:, None]) & (own[:, None] != names_[None]))
+            norm = (q**2).sum(1)[:, None] + top
+            bound = np.maximum(_distances(lifted, at) - radius_ - _SLACK * np.sqrt(norm), 0)
+            highest = (norm - bound**2) / 2
+            row, which = np.nonzero((highest + 1e-3 + 1e-12 * norm >= least[:, None]) & (own[:, None] != names_[None]))
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), v.take(pa.array(row)), floor.take(pa.array(row)), pa.array(names_[which], pa.int64())], ["vec_id", "v", "floor", "route"])
 
     return run

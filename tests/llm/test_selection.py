@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from recordgate.llm import hard_negatives, lexical_scan, packing
+from recordgate.llm import hard_negatives, lexical_scan, mtree, packing
 from recordgate.llm.common import public_path
 
 # --- hard negatives -----------------------------------------------------------------------------
@@ -53,13 +53,30 @@ def test_hard_negatives_equal_brute_force(spark, block, monkeypatch):
 def test_hard_negatives_of_nothing_and_of_huge_vectors(spark):
     none = spark.createDataFrame([], VECTORS)
     assert hard_negatives.hard_negatives(none, F.col("vec_id") % 100 == 0).count() == 0
-    huge = spark.createDataFrame([(100, [3e38], 1, "", ""), (1, [1e30], 1, "", ""), (2, [1.0], 0, "", "")], VECTORS)
+    huge = spark.createDataFrame([(100, [3e38], 1, "", ""), (1, [1e30], 1, "", ""), (2, [1.0], 0, "", ""), (200, [1.0], 1, "", "")], VECTORS)
     assert hard_negatives.hard_negatives(huge, F.col("vec_id") % 100 == 0).count() == 0
 
 
 def test_products_beyond_doubles_are_exact():
-    x, a = np.array([[2**30, 3]], np.int64), np.array([[2**30 - 1, 5]], np.int64)
-    assert hard_negatives.products(x, a, False)[0, 0] == 2**30 * (2**30 - 1) + 15
+    x, a = np.array([[2**30, 3], [2**40, 1], [-(2**40), 0]], np.int64), np.array([[2**30 - 1, 5], [2**20, 7]], np.int64)
+    got = hard_negatives.products(x, a, hard_negatives._norms(x), hard_negatives._norms(a))
+    want = [[2**30 * (2**30 - 1) + 15, 2**50 + 21], [(1 << 63) - 1, 2**60 + 7], [-(1 << 63), -(2**60)]]
+    assert got.tolist() == want
+
+
+def test_top_k_of_large_short_and_repeated_vectors(spark):
+    rng = random.Random(6)
+    rows = [(i, [rng.uniform(-1, 1) * 10 ** rng.choice([0, 3, 7]) for _ in range(rng.choice([4, 4, 4, 2]))]) for i in range(300)]
+    rows += [(400 + i, rows[1][1]) for i in range(9)] + [(500, [3e8, 1, 2, 3]), (501, [3e8, 1, 2, 4]), (502, [-3e8, 1, 2, 4]), (503, [0, 0, 0, 0]), (520, []), (540, None), (560, [math.nan, 1]), (580, [1e30, 1]), (None, [1.0])]
+    df = spark.createDataFrame([(i, v and [float(x) for x in v], 1, "s") for i, v in rows], "vec_id long, embedding array<double>, score int, rank string").repartition(3)
+    ok = [(i, [math.floor(64 * float(x)) for x in v]) for i, v in rows if v and i is not None and i not in (560, 580)]
+    want = set()
+    for i, v in ok:
+        if i % 20 == 0:
+            best = sorted((-min((1 << 63) - 1, max(-(1 << 63), sum(x * y for x, y in zip(v, w, strict=False)))), j) for j, w in ok if j != i)[:5]
+            want |= {(i, rank, j, -s) for rank, (s, j) in enumerate(best, 1)}
+    assert {tuple(r) for r in mtree.top_k(df, df.filter("vec_id % 20 = 0"), 5, shard=40).collect()} == want
+    assert mtree.top_k(df.filter("false"), df, 5).count() == 0
 
 
 # --- packing ------------------------------------------------------------------------------------
