@@ -139,6 +139,12 @@ def profile_values(decoded: DataFrame) -> DataFrame:
     return valid.select("seq", "path", "pos", strip(name).alias("field"), json.alias("json")).groupBy("seq", "field").agg(F.min_by("json", F.struct("path", "pos")).alias("json"), F.min(F.struct("path", "pos")).alias("at"))
 
 
+def profile_texts(decoded: DataFrame) -> DataFrame:
+    """seq, field, value: the flat profile of the same sections as text (``flat_profile`` takes every object of the walk)."""
+    text = F.when(F.col("json") != "null", F.get_json_object(F.concat(F.lit('{"a":'), "json", F.lit("}")), "$.a"))
+    return profile_values(decoded).select("seq", "field", text.alias("value"))
+
+
 def profile_lines(decoded: DataFrame) -> DataFrame:
     """seq, line: one flat JSON object for each message with a profile, fields in document order."""
     in_order = F.array_sort(F.collect_list(F.struct("at", "field", "json")))

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from recordgate.functions import text
 from recordgate.operators import answers, delivery, flatten, policy, rulebook, validate
-from recordgate.plans.registry import _BASE, _CONTROL, NOW, _control
+from recordgate.plans.registry import _BASE, _CONTROL, NOW, _control, _decoded
 from recordgate.sources import messages as src
+from recordgate.sources.messages import GENDER_FIELD
 
 #: Code pages of ``charset_decode``, by customer.
 PAGES = (1251, 1252, 866, 850, 819, 1140)
@@ -156,6 +157,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "charset_decode": _charsets,
         "first_deliveries": _deliveries,
         "array_answers": _array_answers,
+        "profile_texts": lambda s, d: flatten.profile_texts(_decoded(s, d)),
     }
 
 
@@ -193,6 +195,14 @@ def oracle_sql() -> dict[str, str]:
             select seq, rule_name, case when hit then 'ERROR' else 'SUCCESS' end status, raised from r""",
         "charset_decode": f"select c_custkey seq, chr([{pages}][c_custkey % {len(PAGES)} + 1][c_custkey // {len(PAGES)} % 255 + 2]) payload from customer",
         "first_deliveries": "select event_id seq, case when user_id % 7 <> 0 then cast(user_id as varchar) end jms_id, event_type payload from (select *, row_number() over (partition by user_id order by event_id) r from events) where r = 1 or user_id % 7 = 0",
+        "profile_texts": f"""with {_BASE}, f as (
+            select seq, 'BASE.Name' field, case when k % 11 <> 5 then c_name end "value" from ok
+            union all select seq, 'BASE,Segment', c_mktsegment from ok where k % 13 <> 6
+            union all select seq, 'BASE.Balance', regexp_replace(cast(cast(c_acctbal as decimal(12, 2)) as varchar), '\\.?0+$', '') from ok
+            union all select seq, 'BASE.Note', case when k % 7 <> 3 then 'x' end from ok
+            union all select seq, '{GENDER_FIELD}', case k % 3 when 0 then 'MALE' when 1 then 'female' else 'other' end from ok
+            union all select seq, 'DOC.Number', cast(o_orderkey as varchar) from ok join top on o_custkey = k and r = 1 where k % 29 <> 14
+            union all select seq, 'ADDR.City', n_name from ok) select seq, field, "value" from f""",
         "array_answers": """with card as (select l_orderkey, count(*) n, string_agg('{"number":"' || case when n > 1 then 'ERROR' else 'SUCCESS' end || '","elemId":"E' || l_linenumber || '"}', ',' order by l_linenumber) cards, string_agg('{"number":["R5 fails"]}', ',') errors
               from (select *, count(*) over (partition by l_orderkey) n from lineitem) group by l_orderkey),
             o as (select *, o_orderstatus = 'F' r1, o_orderkey % 3 = 0 r2, o_orderkey % 4 = 0 r3, o_orderkey % 5 = 0 r4, coalesce(n, 0) > 1 r5 from orders left join card on l_orderkey = o_orderkey)
