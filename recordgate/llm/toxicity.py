@@ -1,8 +1,7 @@
 """Toxicity: a support vector machine on a gap-weighted subsequence kernel of sentences, with Nyström landmarks.
 
 The kernel compares two sentences by the subsequences of four symbols that words of both hold
-within a span of six, each weighted down by its gaps and by how common it is, so inserted or
-dropped letters cost weight and not the match. Its explicit features are hashed to 2**20 numbers,
+within a span of six, each weighted X explicit features are hashed to 2**20 numbers,
 which makes every kernel value, and after training the whole decision function, a sum over one
 fixed table. A sentence ends at a full stop, question or exclamation mark or line end, or after
 ``WIDTH`` words.
@@ -39,6 +38,8 @@ ROUNDS, WITNESSES, RANDOM_CLEAN = 4, 3, 3000
 FOLDS = 3
 DECAY = 0.75
 SPAN, LENGTH = 6, 4
+#: Pieces of at most so many letters make one word where so many stand in a row; symbols of a word in which a filler is sought.
+PIECE, PIECES, FILLED = 2, 3, 7
 #: Words of a sentence; bytes of a word that count (longer words are cut into overlapping units of this size).
 WIDTH, UNIT = 3, 24
 #: Weight of a feature that no document of the sample holds (a rare one weighs 1).
@@ -73,12 +74,46 @@ def symbols(buf: np.ndarray) -> np.ndarray:
     return out
 
 
+def _spelled(buf: np.ndarray, starts: np.ndarray, stops: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words, where those that are spelled out in pieces on one line are one."""
+    if not len(starts):
+        return starts, stops, doc
+    letters, lines = (np.concatenate([[0], np.cumsum(x)]) for x in ((buf & 0xC0) != 0x80, buf == 0x0A))
+    piece = letters[stops] - letters[starts] <= PIECE
+    follows = np.zeros(len(starts), bool)
+    follows[1:] = piece[1:] & piece[:-1] & (doc[1:] == doc[:-1]) & (lines[starts[1:]] == lines[stops[:-1]])
+    first = np.flatnonzero(~follows)
+    size = np.diff(np.append(first, len(starts)))
+    joined = np.repeat(size >= PIECES, size)
+    end = np.where(joined, np.repeat(stops[first + size - 1], size), stops)
+    keep = ~follows | ~joined
+    return starts[keep], end[keep], doc[keep]
+
+
+def _plain(who: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of words without what draws them out: repeats of a symbol beyond the second fall with the second, and a filler at every other place falls."""
+    if len(s) < 3:
+        return who, s
+    first = np.flatnonzero(np.append(True, (s[1:] != s[:-1]) | (who[1:] != who[:-1])))
+    size = np.diff(np.append(first, len(s)))
+    keep = np.repeat(size < 3, size)
+    keep[first] = True
+    who, s = who[keep], s[keep]
+    if len(s) < FILLED:
+        return who, s
+    count = np.bincount(who)[who]
+    three = np.flatnonzero((s[:-4] == s[2:-2]) & (s[:-4] == s[4:]) & (s[1:-3] != s[:-4]) & (s[3:-1] != s[:-4]) & (who[:-4] == who[4:]) & (count[:-4] >= FILLED))
+    keep = np.ones(len(s), bool)
+    keep[np.concatenate([three, three + 2, three + 4])] = False
+    return who[keep], s[keep]
+
+
 class Corpus:
     """Distinct words of a chunk of documents, and where they stand: sentence and document of each word."""
 
     def __init__(self, buf: np.ndarray, offsets: np.ndarray):
         self.n_docs = len(offsets) - 1
-        starts, stops, doc = words(buf, offsets)
+        starts, stops, doc = _spelled(buf, *words(buf, offsets))
         # sentences
         new = np.ones(len(starts), bool)
         if len(starts):
@@ -110,7 +145,7 @@ def _flat(symbol: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np
     size = stops - starts
     at = np.arange(size.sum()) + np.repeat(starts - (np.cumsum(size) - size), size)
     who, s = np.repeat(np.arange(len(starts)), size), symbol[at]
-    who, s = who[s > 0], s[s > 0]
+    who, s = _plain(who[s > 0], s[s > 0])
     count = np.bincount(who, minlength=len(starts))
     wide = count + 2 + SPAN - 1
     begin = np.cumsum(wide) - wide
