@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recordgate.functions import text
-from recordgate.operators import delivery, flatten, policy, rulebook, validate
+from recordgate.operators import delivery, flatten, job_events, policy, rulebook, validate
 from recordgate.sources import messages as src
 from recordgate.streaming import gate
 
@@ -378,3 +378,17 @@ def test_versions_of_control_events(spark):
     assert [r.v for r in names] == ["12", "v1"]
     with pytest.raises(Exception, match="no version in cache name x"):
         spark.createDataFrame([("x",)], "n string").select(text.version_text(F.col("n"))).collect()
+
+
+def test_profile_texts_take_sections_only(spark):
+    data = {"data": {"mapping.r": "Root", "r": "1", "b": {"n": 7, "t": True, "none": "none", "mapping.n": "N", "mapping.t": "T", "mapping.none": "E", "deep": {"x": "1", "mapping.x": "Deep"}}, "documents": {"clientIdCard": [{"y": "2", "mapping.y": "Card"}], "other": [{"z": "3", "mapping.z": "Other"}]}}}
+    rows = spark.createDataFrame([(1, b"\1", None, json.dumps(data))], "seq long, msg_id binary, jms_id string, payload string")
+    got = {r.field: r.value for r in flatten.profile_texts(flatten.decode(rows)).collect()}
+    assert got == {"N": "7", "T": "true", "E": None, "Card": "2"}
+
+
+def test_event_lines_of_a_batch_are_written_once(spark, tmp_path):
+    lines = spark.createDataFrame([(2, "b"), (1, "a")], "event_id long, line string").coalesce(1)
+    for batch in (1, 2, 2):
+        job_events.write_lines(lines, str(tmp_path / "events"), batch)
+    assert [r.value for r in spark.read.text(str(tmp_path / "events")).orderBy("batch", "value").collect()] == ["a", "b", "a", "b"]
