@@ -45,6 +45,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.filter(F.col(column) < 0.5).select(docs.columns) if model.learned else docs
 
 
+def _hashed(docs: DataFrame, column: str):
+    """A column that rows can be ordered by: what Spark does not hash is taken as JSON."""
+    kind = docs.schema[column].dataType.simpleString()
+    return F.to_json(F.struct(F.col(f"`{column}`"))) if "map<" in kind or "variant" in kind else F.col(f"`{column}`")
+
+
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the least key of each group of near duplicates; of rows of one key that stay, one."""
     keyed, key = _with_key(docs)
@@ -52,7 +58,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     kept = anti_join_by_size(keyed, materialise(others), key)
     alone, alike = kept.filter(F.col(key) < 1 << 62), kept.filter(F.col(key) >= 1 << 62)
     place = _own_name()
-    first = alike.withColumn(place, F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(*docs.columns)))).filter(F.col(place) == 1)
+    first = alike.withColumn(place, F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(*[_hashed(docs, c) for c in docs.columns])))).filter(F.col(place) == 1)
     return alone.unionByName(first.drop(place)).select(docs.columns)
 
 
