@@ -59,22 +59,44 @@ def _valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
+#: Steps that one fold takes: folds copy what they have, so a text of many matches is folded in blocks.
+BLOCK = 256
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _folded(items: Column, first: Column, block: Callable[[Column, Column], Column]) -> Column:
+    """Array of what ``block`` (of the field ``at`` that the last one gave, and of at most BLOCK items) gives for each block in turn."""
+    blocks = F.ceil(F.size(items) / BLOCK).cast("int")
+
+    def step(done: Column, i: Column) -> Column:
+        at = F.coalesce(F.get(done, F.size(done) - 1)["at"], F.lit(0))
+        return F.concat(done, F.array(block(at, F.slice(items, i * BLOCK + 1, F.lit(BLOCK)))))
+
+    return F.when(blocks > 0, F.aggregate(F.sequence(F.lit(0), F.greatest(blocks - 1, F.lit(0))), first, step)).otherwise(first)
+
+
 def _matches(text: Column, pattern: str, keep: Callable[[Column], Column]) -> Column:
     """Array of (value, start): the matches that ``keep`` accepts, with starts from the lengths of what lies between.
 
-    Texts between and matches are zipped before the fold, so each is made once and not once per match.
+    Texts between and matches are zipped before the folds, so each is made once and not once per match.
     """
     between = F.split(text, pattern, -1)
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     steps = F.zip_with(between, matches, lambda b, m: F.struct(F.length(b).alias("skip"), m.alias("value")))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<value:string,start:int>>").alias("out"))
+    none = F.array().cast("array<struct<value:string,start:int>>")
 
     def step(acc: Column, s: Column) -> Column:
         start = acc["at"] + s["skip"]
         found = F.concat(acc["out"], F.array(F.struct(s["value"].alias("value"), start.alias("start"))))
         return F.struct((start + F.coalesce(F.length(s["value"]), F.lit(0))).alias("at"), F.when(s["value"].isNotNull() & keep(s["value"]), found).otherwise(acc["out"]).alias("out"))
 
-    return F.aggregate(steps, zero, step, lambda acc: acc["out"])
+    block = lambda at, items: F.aggregate(items, F.struct(at.alias("at"), none.alias("out")), step)
+    start = F.array().cast("array<struct<at:int,out:array<struct<value:string,start:int>>>>")
+    return _once(steps, lambda all_: F.flatten(F.transform(_folded(all_, start, block), lambda x: x["out"])))
 
 
 def _spans(text: Column, kind: str, pattern: str, rank: int) -> Column:
@@ -150,17 +172,33 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def _sanitised(text: Column, spans: Column) -> Column:
+    """The text with its spans replaced, in order of place; a block of spans reads its own part of the text."""
     by_place = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    none = F.array().cast("array<string>")
 
-    def step(acc: Column, s: Column) -> Column:
-        label = F.when(s["kind"] == "term", "").otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-        piece = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
-        # a span inside what is already replaced adds no label
-        return F.when(s["start"] < acc["at"], F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), acc["out"].alias("out"))).otherwise(F.struct(s["stop"].alias("at"), F.concat(acc["out"], piece, label).alias("out")))
+    def block(begin: Column, items: Column) -> Column:
+        def step(part: Column) -> Callable[[Column, Column], Column]:
+            def one(acc: Column, s: Column) -> Column:
+                label = F.when(s["kind"] == "term", "").otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
+                piece = F.substring(part, acc["at"] - begin + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+                # a span inside what is already replaced adds no label
+                inside = F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), acc["out"].alias("out"))
+                return F.when(s["start"] < acc["at"], inside).otherwise(F.struct(s["stop"].alias("at"), F.concat(acc["out"], F.array(F.concat(piece, label))).alias("out")))
+
+            return one
+
+        end = F.array_max(F.transform(items, lambda s: s["stop"]))
+        part = F.substring(text, begin + 1, F.greatest(end - begin, F.lit(0)))
+        return _once(part, lambda p: F.aggregate(items, F.struct(begin.alias("at"), none.alias("out")), step(p)))
+
+    start = F.array().cast("array<struct<at:int,out:array<string>>>")
+
+    def whole(done: Column) -> Column:
+        at = F.get(done, F.size(done) - 1)["at"]
+        rest = F.substring(text, at + 1, F.greatest(F.length(text) - at, F.lit(0)))
+        return F.concat(F.array_join(F.flatten(F.transform(done, lambda x: x["out"])), ""), rest)
 
-    done = F.aggregate(by_place, zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.greatest(F.length(text) - acc["at"], F.lit(0)))))
-    return F.when(F.size(spans) == 0, text).otherwise(done)
+    return F.when(F.size(spans) == 0, text).otherwise(_once(by_place, lambda all_: _once(_folded(all_, start, block), whole)))
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

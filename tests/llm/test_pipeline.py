@@ -114,3 +114,10 @@ def test_model_of_the_stage_knows_no_held_out_label(spark, tables):
     at, rows = tables
     sample = toxicity.training_sample(docs(spark, rows), spark.read.parquet(f"{at}/labels.parquet"))
     assert 150 < sample.count() < 230
+
+
+def test_groups_of_rows_with_columns_that_cannot_be_hashed(spark, tables):
+    at, _ = tables
+    rows = [(1, "a b c d e f", {"k": 1}), (1, "a b c d e f", {"k": 2}), (2, "x y z u v w", None)]
+    found = corpus_pipeline.keep_one_of_each_group(spark, spark.createDataFrame(rows, "doc_id long, text string, extra map<string,int>"), at)
+    assert sorted(r.doc_id for r in found.collect()) == [1, 2]
