@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 _LIBC = ctypes.CDLL(None)
 _staged: dict[str, list[str]] = {}
+_tables: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,9 +41,8 @@ def shared_dir(spark: SparkSession) -> str:
 def remove_staged(spark: SparkSession) -> int:
     """Removes all intermediate tables of this application (results that read them must be written before); their number."""
     paths = _staged.pop(spark.sparkContext.applicationId, [])
-    for t in spark.catalog.listTables():
-        if t.name.startswith("staged_"):
-            spark.sql(f"drop table if exists {t.name}")
+    for name in _tables.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"drop table if exists {name}")
     jvm = spark.sparkContext._jvm
     for x in paths:
         at = jvm.org.apache.hadoop.fs.Path(x)
@@ -63,6 +63,7 @@ def materialise_by(df: DataFrame, key: str, buckets: int) -> DataFrame:
     The table is registered in the session's catalog under a name of its own.
     """
     spark, name = df.sparkSession, f"staged_{uuid.uuid4().hex}"
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(name)
     df.write.format("parquet").option("compression", "zstd").option("path", shared_dir(spark)).bucketBy(buckets, key).saveAsTable(name)
     return spark.table(name)
 
