@@ -25,8 +25,8 @@ from recordgate.llm.hard_negatives import integer_matrix, products
 
 #: Vectors of a shard and of a page; routing vectors are a sample of at most MOST_ROUTES rows.
 SHARD, PAGE, MOST_ROUTES = 4096, 128, 4096
-#: Queries that one task searches together.
-QUERY_BLOCK = 512
+#: Queries that one task searches together; pages of a query's list that are opened at once, after one, two and four of them.
+QUERY_BLOCK, OPENED = 512, 8
 #: Distances are right to about 2e-8 of the greatest norm; bounds are widened by more.
 _SLACK = 1e-6
 #: Scaled components from which on a vector is left out: 64 bits do not hold them.
@@ -121,11 +121,13 @@ def _search(routes: np.ndarray, top: float, k: int):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
         dim = len(np.frombuffer(nodes["router"].iloc[0])) - 1
         routers = np.stack([np.frombuffer(x) for x in nodes["router"]])
-        ids = [np.frombuffer(x, np.int64) for x in nodes["ids"]]
-        vectors = [np.frombuffer(x, np.int64).reshape(-1, dim) for x in nodes["vectors"]]
-        doubles = [x.astype(np.float64) for x in vectors]
-        norms = [np.sqrt((x**2).sum(1)) for x in doubles]
-        to_router = [np.frombuffer(x) for x in nodes["to_router"]]
+        ids, vectors, to_router = (np.frombuffer(b"".join(nodes[c]), k) for c, k in (("ids", np.int64), ("vectors", np.int64), ("to_router", np.float64)))
+        vectors = vectors.reshape(-1, dim)
+        doubles = vectors.astype(np.float64)
+        norms = np.sqrt((doubles**2).sum(1))
+        longest = norms.max(initial=0)
+        size = np.array([len(x) // 8 for x in nodes["ids"]])
+        rows_of = np.split(np.arange(len(ids)), np.cumsum(size)[:-1])
         radius, to_parent = nodes["radius"].to_numpy(), nodes["to_parent"].to_numpy()
         parent = routes[int(str(nodes["shard"].iloc[0]).split("/")[0])]
         for qid, q, floor in zip(queries["vec_id"], queries["v"], queries["floor"], strict=True):
@@ -147,18 +149,22 @@ def _search(routes: np.ndarray, top: float, k: int):
             open_ = np.flatnonzero(abs(from_parent - to_parent) - radius <= reach(least))
             to_page = np.linalg.norm(routers[open_] - lifted, axis=1)
             bound = np.maximum(to_page - radius[open_], 0)
-            for j in np.argsort(bound, kind="stable"):
+            # doubles hold a product where no sum reaches 2**53
+            small = length[0] * longest < 2.0**52
+            listed, at, some = np.argsort(bound, kind="stable"), 0, 1
+            while at < len(listed):
                 limit = reach(least)
-                if bound[j] > limit:
+                opened = listed[at : at + some]
+                opened = opened[bound[opened] <= limit]
+                if not len(opened):
                     break
-                p = open_[j]
-                near = np.flatnonzero(abs(to_page[j] - to_router[p]) <= limit)
-                # doubles hold a product where no sum reaches 2**53
-                small = length[0] * norms[p].max(initial=0) < 2.0**52
-                score = (doubles[p][near] @ q).astype(np.int64) if small else products(vectors[p][near], whole[None], norms[p][near], length)[:, 0]
-                who = ids[p][near]
-                good = who != qid if least is None else (score >= least) & (who != qid)
-                best_score, best_id = np.concatenate([best_score, score[good]]), np.concatenate([best_id, who[good]])
+                at, some = at + some, min(2 * some, OPENED)
+                pages = open_[opened]
+                near = np.concatenate([rows_of[p] for p in pages])
+                near = near[abs(np.repeat(to_page[opened], size[pages]) - to_router[near]) <= limit]
+                score = (doubles[near] @ q).astype(np.int64) if small else products(vectors[near], whole[None], norms[near], length)[:, 0]
+                good = ids[near] != qid if least is None else (score >= least) & (ids[near] != qid)
+                best_score, best_id = np.concatenate([best_score, score[good]]), np.concatenate([best_id, ids[near[good]]])
                 if len(best_score) > k:
                     order = np.lexsort((best_id, -best_score))[:k]
                     best_score, best_id = best_score[order], best_id[order]
