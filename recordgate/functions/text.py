@@ -17,7 +17,7 @@ CODE_PAGES = (37, 273, 437, 500, 737, 775, 850, 852, 855, 857, 858, 860, 861, 86
 
 def strip(x: Column) -> Column:
     """Trim all white space, not spaces only."""
-    return F.regexp_replace(x, r"^\s+|\s+$", "")
+    return F.btrim(x, F.lit(" \t\n\x0b\f\r"))
 
 
 def nullif_blank(x: Column) -> Column:
@@ -122,7 +122,8 @@ def preview(text: Column, most: int) -> Column:
 def quoted(x: Column) -> Column:
     """A JSON string (null: null)."""
     text = F.to_json(F.array(x))
-    return F.when(x.isNotNull(), F.substring(text, F.lit(2), F.length(text) - 2))
+    # most texts have nothing to escape
+    return F.when(x.rlike(r'["\\\x00-\x1f]'), F.substring(text, F.lit(2), F.length(text) - 2)).otherwise(F.concat(F.lit('"'), x, F.lit('"')))
 
 
 def json_or_text(x: Column) -> Column:

@@ -73,18 +73,20 @@ def endpoints(events: DataFrame, host: Host) -> DataFrame:
     """``events`` with dst (ip, dns name, mac, port), user and protocol chosen from the payload, else from ``host``."""
     p = lambda k: F.try_element_at("payload", F.lit(k))
     number = lambda k: p(k).try_cast("int")
-    name = first_text(p("dst"), p("host"), url_host(p("brokerUrl")), server_host(p("bootstrap")))
-    port = first_positive(number("dpt"), number("port"), url_port(p("brokerUrl")), server_port(p("bootstrap")))
+    # each choice is exploded, so that the optimizer does not copy it into each of its uses
+    stage = lambda rows, **named: rows.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in named.items()]))))
+    rows = stage(events, _broker=p("brokerUrl"), _bootstrap=strip(F.split_part(p("bootstrap"), F.lit(","), F.lit(1))))
+    rows = stage(rows, _host=url_host(F.col("_broker")), _scheme=url_scheme(F.col("_broker")), _server=server_host(F.col("_bootstrap")))
+    rows = stage(rows, _name=first_text(p("dst"), p("host"), F.col("_host"), F.col("_server")), _port=first_positive(number("dpt"), number("port"), url_port(F.col("_broker")), server_port(F.col("_bootstrap"))))
+    name, port, scheme = F.col("_name"), F.col("_port"), F.col("_scheme")
     own = name.isNull()
-    scheme = url_scheme(p("brokerUrl"))
     by_scheme = F.when(F.lower(scheme) == "ssl", "SSL").when(F.lower(scheme) == "tcp", "TCP").otherwise(F.upper(scheme))
     protocol = F.coalesce(first_text(p("protocol"), p("securityProtocol")), by_scheme, F.when(F.startswith(F.col("event_type"), F.lit("KAFKA_")), host.kafka_protocol), F.when(F.lower(p("tlsEnabled")) == "true", "TLS"), F.lit("TCP"))
-    # exploded, so that the optimizer does not copy the choices into each of their uses
     chosen = F.struct(
         F.when(own, host.ip).otherwise(name).alias("dst"), F.when(own, host.name).otherwise("").alias("dhost"), F.when(own | (name == host.ip), host.mac).otherwise("").alias("dmac"),
         F.when(own, host.port).otherwise(F.coalesce(port, F.lit(host.port))).alias("dpt"), F.coalesce(first_text(p("suser"), p("duser"), p("connectionUser"), p("user")), F.lit(host.user)).alias("user"), protocol.alias("protocol"),
     )
-    return events.select("*", F.inline(F.array(chosen)))
+    return rows.select(*events.columns, F.inline(F.array(chosen)))
 
 
 def _micros(ts: Column) -> Column:
@@ -94,13 +96,26 @@ def _micros(ts: Column) -> Column:
 def numbered(events: DataFrame) -> DataFrame:
     """``events`` with external_id: 1, 2, ... by time and id. Each range of times is numbered on its own, after the sizes of those before it."""
     n = 4 * int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = events.agg(F.percentile_approx(_micros(F.col("event_time")), [i / n for i in range(1, n)], 10 * n)).first()[0] or []
-    place = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < _micros(F.col("event_time")))) if bounds else F.lit(0)
-    ranged = events.withColumn("_range", place)
-    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    # at most ``n`` rows
-    return ranged.join(F.broadcast(before), "_range").withColumn("external_id", F.col("_before") + F.row_number().over(Window.partitionBy("_range").orderBy("event_time", "event_id"))).drop("_range", "_before")
+    bounds = sorted(set(events.agg(F.percentile_approx(_micros(F.col("event_time")), [i / n for i in range(1, n)], 10 * n)).first()[0] or []))
+    ranged = events.withColumn("_range", _place(_micros(F.col("event_time")), bounds))
+    # at most ``n`` sizes; they come as values, because a join of the ranges with a table of themselves does not run above some MB
+    sizes = dict(ranged.groupBy("_range").agg(F.count("*")).collect())
+    before = [0]
+    for i in range(len(bounds)):
+        before.append(before[-1] + sizes.get(i, 0))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy("event_time", "event_id"))
+    return ranged.withColumn("external_id", F.get(F.lit(before).cast("array<long>"), F.col("_range")) + place).drop("_range")
+
+
+def _place(value: Column, bounds: list[int]) -> Column:
+    """How many of the sorted ``bounds`` lie below ``value`` (null: none), by blocks of bounds and then within one."""
+    if not bounds:
+        return F.lit(0)
+    step = max(1, round(len(bounds) ** 0.5))
+    array = lambda x: F.lit(x).cast("array<long>")
+    below = lambda x: F.size(F.filter(x, lambda b: F.coalesce(b < value, F.lit(False))))
+    first = below(array(bounds[step - 1 :: step])) * step
+    return first + below(F.slice(array(bounds), first + 1, F.lit(step)))
 
 
 def event_lines(events: DataFrame, host: Host) -> DataFrame:

@@ -392,3 +392,19 @@ def test_event_lines_of_a_batch_are_written_once(spark, tmp_path):
     for batch in (1, 2, 2):
         job_events.write_lines(lines, str(tmp_path / "events"), batch)
     assert [r.value for r in spark.read.text(str(tmp_path / "events")).orderBy("batch", "value").collect()] == ["a", "b", "a", "b"]
+
+
+def test_events_are_numbered_without_a_join(spark):
+    """A join of the ranges with their own sizes failed on millions of events."""
+    events = spark.range(300).selectExpr("id event_id", "case when id % 50 <> 7 then timestamp_ntz '2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, (id * 7919 % 40)) end event_time")
+    numbered = job_events.numbered(events)
+    assert "Join" not in numbered._jdf.queryExecution().optimizedPlan().toString()
+    rows = sorted(numbered.collect(), key=lambda r: (str(r.event_time or ""), r.event_id))
+    assert [r.external_id for r in rows] == list(range(1, 301))
+    assert job_events.numbered(events.filter("false")).collect() == []
+
+
+def test_places_among_bounds(spark):
+    for bounds in ([], [5], [1, 3, 5, 7, 9, 11, 13], list(range(0, 40, 2))):
+        got = spark.range(-2, 45).select("id", job_events._place(F.col("id"), bounds).alias("p")).collect()
+        assert [r.p for r in got] == [sum(b < r.id for b in bounds) for r in got]
