@@ -299,3 +299,19 @@ def test_event_sink_appends(spark, tmp_path):
     for _ in range(2):
         job_events.append_lines(lines, str(tmp_path / "events"))
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "events")).collect()) == ["a", "a", "b", "b"]
+
+
+@pytest.mark.parametrize("query", ["normalized_map", "normalized_map_spaced", "flat_profile", "mask_fields"])
+def test_balances_that_round_to_zero_equal_sql(spark, tmp_path, query):
+    """The message holds a decimal amount, which has no negative zero."""
+    duckdb = pytest.importorskip("duckdb")
+    db, sf = duckdb.connect(), "/root/testdata/sf0.001"
+    for name in ("customer", "nation", "region", "orders"):
+        table = spark.read.parquet(f"{sf}/{name}.parquet")
+        if name == "customer":
+            table = table.withColumn("c_acctbal", F.expr("case c_custkey % 5 when 0 then -0.0D when 1 then -0.004D when 2 then 0.0D else c_acctbal end"))
+        table.coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+        db.sql(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    want = sorted(db.sql(f'select seq, field, "value" from ({registry.oracle_sql()[query]})').fetchall(), key=str)
+    got = sorted((tuple(r) for r in registry.queries()[query](spark, str(tmp_path)).select("seq", "field", "value").collect()), key=str)
+    assert got == want and (1, "BASE.Balance", "0.0") in got
