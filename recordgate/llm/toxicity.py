@@ -42,6 +42,10 @@ SPAN, LENGTH = 6, 4
 PIECE, PIECES, FILLED = 2, 3, 7
 #: Words of a sentence; bytes of a word that count (longer words are cut into overlapping units of this size).
 WIDTH, UNIT = 3, 24
+#: Sentences that training multiplies at once, and entries of their words' features: a task's memory is not to grow with these products.
+PART, ENTRIES = 1000, 20_000
+#: Words that are hashed at once.
+WORDS = 100_000
 #: Weight of a feature that no document of the sample holds (a rare one weighs 1).
 UNSEEN = 0.25
 BITS = 20
@@ -74,12 +78,20 @@ def symbols(buf: np.ndarray) -> np.ndarray:
     return out
 
 
+def _running(marks: np.ndarray) -> np.ndarray:
+    """Marks before each place, and in all: four bytes a place, for a task holds the whole sample."""
+    out = np.zeros(len(marks) + 1, np.int32)
+    np.cumsum(marks, out=out[1:])
+    return out
+
+
 def _spelled(buf: np.ndarray, starts: np.ndarray, stops: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words, where those that are spelled out in pieces on one line are one."""
     if not len(starts):
         return starts, stops, doc
-    letters, lines = (np.concatenate([[0], np.cumsum(x)]) for x in ((buf & 0xC0) != 0x80, buf == 0x0A))
+    letters = _running((buf & 0xC0) != 0x80)
     piece = letters[stops] - letters[starts] <= PIECE
+    lines = _running(buf == 0x0A)
     follows = np.zeros(len(starts), bool)
     follows[1:] = piece[1:] & piece[:-1] & (doc[1:] == doc[:-1]) & (lines[starts[1:]] == lines[stops[:-1]])
     first = np.flatnonzero(~follows)
@@ -117,8 +129,9 @@ class Corpus:
         # sentences
         new = np.ones(len(starts), bool)
         if len(starts):
-            lines = np.concatenate([[0], np.cumsum(buf == 0x0A)])
+            lines = _running(buf == 0x0A)
             new[1:] = (doc[1:] != doc[:-1]) | _ENDS[buf[stops[:-1] - 1]] | (lines[starts[1:]] != lines[stops[:-1]])
+            del lines
             first = np.flatnonzero(new)
             place = np.arange(len(starts)) - np.repeat(first, np.diff(np.append(first, len(starts))))
             new |= place % WIDTH == 0
@@ -131,7 +144,12 @@ class Corpus:
         starts = np.repeat(starts, count) + step * (UNIT - 8)
         stops = np.minimum(np.repeat(stops, count), starts + UNIT)
         self.sentence = np.repeat(sentence, count)
-        _, one, self.word = np.unique(word_hashes(LOWER[buf], starts, stops), return_index=True, return_inverse=True)
+        low = LOWER[buf]
+        hashed = [word_hashes(low, starts[lo : lo + WORDS], stops[lo : lo + WORDS]) for lo in range(0, max(1, len(starts)), WORDS)]
+        del low, doc, new, size, count, step
+        _, one, self.word = np.unique(np.concatenate(hashed), return_index=True, return_inverse=True)
+        self.word = self.word.astype(np.int32)
+        del hashed
         self.flat, self.begin = _flat(symbols(buf), starts[one], stops[one])
         self.first = np.flatnonzero(np.diff(self.sentence, prepend=-1))
 
@@ -226,7 +244,7 @@ def describe(doc: np.ndarray, margin: np.ndarray, n: int) -> np.ndarray:
 
 def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, passes: int = 12) -> np.ndarray:
     """Linear SVM (hinge loss) by dual coordinate descent; the last column of ``x`` is constant."""
-    q = (x**2).sum(1) + 1e-9
+    q = np.concatenate([(x[lo : lo + PART] ** 2).sum(1) for lo in range(0, len(x), PART)]) + 1e-9
     alpha, w = np.zeros(len(x)), np.zeros(x.shape[1])
     rng = np.random.Generator(np.random.PCG64(7))
     for _ in range(passes):
@@ -300,16 +318,17 @@ class _Sentences:
         first = np.searchsorted(known, self.first)
         across = np.ascontiguousarray(rows.T)
         of_word = np.zeros((len(self.word), len(rows)), np.float32)
-        step = 500
-        for lo in range(0, len(self.word), step):
-            hi = min(lo + step, len(self.word))
+        step, lo = 500, 0
+        while lo < len(self.word):
+            hi = max(lo + 1, int(np.searchsorted(first, first[lo] + ENTRIES, "right")) - 1)
             a, b = first[lo], first[hi]
-            if a == b:
-                continue
-            part = across[place[a:b]] * weight[a:b, None]
-            size = np.diff(first[lo : hi + 1])
-            held = np.flatnonzero(size)
-            of_word[lo + held] = np.add.reduceat(part, (first[lo:hi] - a)[held], axis=0)
+            if a < b:
+                part = across[place[a:b]]
+                part *= weight[a:b, None]
+                size = np.diff(first[lo : hi + 1])
+                held = np.flatnonzero(size)
+                of_word[lo + held] = np.add.reduceat(part, (first[lo:hi] - a)[held], axis=0)
+            lo = hi
         out = np.empty((len(self.which), len(rows)), np.float32)
         stop = np.append(self.begin[1:], len(self.back))
         for lo in range(0, len(self.which), step):
@@ -338,6 +357,7 @@ def learn(texts: list[str], labels: list[int]) -> Model:
     """The decision function (no curve yet) from documents in memory, the bounded sample."""
     y = np.array(labels, np.int64)
     corpus = Corpus(*_join(texts))
+    give_back()
     nothing = Model(np.zeros(1 << BITS, np.float32), np.zeros(1 << BITS, np.float32), -1.0)
     if not len(corpus.begin) or len(np.unique(y)) < 2:
         return nothing
@@ -369,10 +389,14 @@ def learn(texts: list[str], labels: list[int]) -> Model:
         good = values > 1e-4
         half = vectors[:, good] / np.sqrt(values[good])  # Nyström: k(x, L) K_LL^(-1/2)
         which = np.concatenate([positive, negative])
-        x = _Sentences(corpus, which, commonness, length).kernel(occurs, rows) @ half
-        x = np.concatenate([x, np.full((len(x), 1), 0.5)], 1)
+        kernel = _Sentences(corpus, which, commonness, length).kernel(occurs, rows)
+        x = np.full((len(which), half.shape[1] + 1), 0.5)
+        for lo in range(0, len(which), PART):
+            x[lo : lo + PART, :-1] = kernel[lo : lo + PART] @ half
+        del kernel
         sign = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
         w = _svm(x, sign, np.where(sign > 0, 4.0, 1.0))
+        del x
         decision = np.zeros(1 << BITS, np.float32)
         decision[occurs] = (half @ w[:-1]).astype(np.float32) @ rows
         model = Model(decision * commonness, commonness, float(0.5 * w[-1]))
@@ -407,15 +431,18 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 def without_copies(texts: list[str]) -> np.ndarray:
     """Indices of one document of each group whose four least shingle hashes agree: exact copies and most near ones."""
-    buf, offsets = _join(texts)
-    owner, value = shingle_sets(buf, offsets)
-    value = mix(value)
-    order = np.lexsort((value, owner))
-    value = value[order]
-    first = np.searchsorted(owner[order], np.arange(len(texts) + 1))
     seen: dict[bytes, int] = {}
-    for i in range(len(texts)):
-        seen.setdefault(value[first[i] : min(first[i] + 4, first[i + 1])].tobytes(), i)
+    lo, stop = 0, np.cumsum([0, *map(len, texts)])
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(stop, stop[lo] + CHUNK, "right")) - 1)
+        owner, value = shingle_sets(*_join(texts[lo:hi]))
+        value = mix(value)
+        order = np.lexsort((value, owner))
+        value = value[order]
+        first = np.searchsorted(owner[order], np.arange(hi - lo + 1))
+        for i in range(hi - lo):
+            seen.setdefault(value[first[i] : min(first[i] + 4, first[i + 1])].tobytes(), lo + i)
+        lo = hi
     return np.array(sorted(seen.values()), np.int64)
 
 
@@ -440,6 +467,7 @@ def _learn_fold(t: pa.Table) -> pa.Table:
     texts, y = t.column("text").take(order).to_pylist(), t.column("toxic").to_numpy()[order].astype(np.int64)
     fold = np.abs(t.column("place").to_numpy()[order]) % FOLDS
     one = without_copies(texts)
+    give_back()
     rest = one[fold[one] != part]
     model = learn([texts[i] for i in rest], y[rest].tolist())
     kinds = [pa.int32(), pa.list_(pa.float64()), pa.binary(), pa.binary(), pa.float64()]

@@ -78,3 +78,21 @@ def test_disguised_insults_are_found_and_clean_texts_left_alone():
             words.insert(len(words) // 2, form(rng.choice(["gromblax", "pitifulon", "zwurqe", "мерзкун"])))
             found += _scores(model, [" ".join(words)])[0] >= 0.5
         assert found >= 27, name
+
+
+def test_training_holds_little_more_than_its_sample():
+    import tracemalloc
+
+    draw = random.Random(5)
+    names = ["".join(draw.choice("abcdefghij") for _ in range(draw.randrange(3, 9))) for _ in range(2000)]
+    texts = [" ".join(draw.choice(names) for _ in range(250)) + "." for _ in range(2000)]
+    size, peak = sum(map(len, texts)), {}
+    for name, run in (("copies", lambda: toxicity.without_copies(texts)), ("corpus", lambda: toxicity._spelled(buf, *found))):
+        buf, offsets = toxicity._join(texts)
+        found = toxicity.words(buf, offsets)
+        tracemalloc.start()
+        out = run()
+        peak[name] = tracemalloc.get_traced_memory()[1] / size
+        tracemalloc.stop()
+        assert name != "copies" or out.tolist() == list(range(len(texts)))
+    assert peak["copies"] < 12 and peak["corpus"] < 20
