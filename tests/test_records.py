@@ -327,3 +327,38 @@ def test_profile_texts_walk_a_message_once(spark):
     plan = shown.getvalue().split("== Analyzed Logical Plan ==")[1].split("== Optimized Logical Plan ==")[0]
     # three levels of the walk and the choice of its sections
     assert plan.count("Generate inline(") == 4 and "Join" not in plan
+
+
+def test_texts_that_are_not_asked_for_are_not_made(spark):
+    import contextlib
+    import io
+
+    for part, absent in (("answer", "_each"), ("detail_answer", "_tops"), (None, "_tops")):
+        shown = io.StringIO()
+        with contextlib.redirect_stdout(shown):
+            registry._built(spark, "/root/testdata/sf0.001", *([part] if part else [])).explain()
+        assert absent not in shown.getvalue()
+
+
+def test_nodes_are_walked_in_their_row(spark):
+    import contextlib
+    import io
+
+    empty = spark.createDataFrame([], "seq long, msg_id binary, jms_id string, payload string")
+    shown = io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        flatten.message_nodes(flatten.decode(empty)).explain()
+    assert "Exchange" not in shown.getvalue()
+
+
+def test_strings_that_look_like_objects_are_not_opened(spark):
+    """As they stand, after an escaped bracket, and after a quote; without any such string types are told by the first character."""
+    inner = '{\\"dataset_code\\":\\"D.Base.B\\",\\"mapping.x\\":\\"X\\"}'
+    real = '"b":{"dataset_code":"D.Base.A","l":[1,[{"mapping.y":"Y","y":2}],"z"],"mapping.n":"N"}'
+    payloads = [f'{{"data":{{{before}{real}}}}}' for before in (f'"a":"{inner}",', '"a":"' + inner.replace("{", "\\u007b", 1) + '",', '"a":"\\"{",', '"a":"[1]",', "")]
+    got = validate.resolved(flatten.decode(message(spark, *payloads)), registry.load_policy(spark)).orderBy("seq")
+    assert [r.dataset_code for r in got.collect()] == ["D.Base.A"] * 5
+    nodes = {r.seq: [(n.name, n.type, len(n.path), [f.logical for f in n.fields]) for n in r.nodes] for r in flatten.message_nodes(got).collect()}
+    assert nodes == {i: [("", "OBJECT", 0, []), ("b", "OBJECT", 1, ["N"]), ("l", "ARRAY", 2, []), ("", "ARRAY", 3, []), ("", "OBJECT", 4, ["Y"])] for i in range(5)}
+    walked = flatten.walk(flatten.decode(message(spark, *payloads))).groupBy("seq").count().collect()
+    assert {r["count"] for r in walked} == {5}
