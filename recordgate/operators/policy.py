@@ -5,9 +5,11 @@ from __future__ import annotations
 import time
 import uuid
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -22,6 +24,8 @@ CACHE_SHAPES = {"text": "map<string,string>", "lists": "map<string,array<string>
 POLITICS = {"area": ("politics_dataset2control_area", "text"), "rules": ("politics_control_area_rules", "rules"), "errors": ("politics_error_messages", "errors"), "exclusion": ("politics_dataset_exclusion", "lists"), "flags": ("politics_filter_flag", "flags")}
 #: Bytes of text of a policy up to which its tables are broadcast; a larger one is joined by shuffle.
 BROADCAST_BYTES = 64 << 20
+#: Changes up to which each record is compared with all of them in place of a sort.
+FEW_CHANGES = 1000
 #: Row of a pointer: what one publish of a version has written, all of it or nothing.
 POINTER = "part string, version long, attempt string, published long"
 
@@ -182,29 +186,40 @@ def consistent_version(names: DataFrame) -> DataFrame:
     return v.agg(F.count_distinct("version").alias("n"), F.max("version").alias("version"), F.bool_or(F.col("version").isNull()).alias("missing")).filter("n = 1 and not missing").select("version")
 
 
+def ranges(df: DataFrame, order: str = "seq") -> list:
+    """Bounds that cut the rows in ranges of ``order`` of about equal numbers; empty where there is no row."""
+    n = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.agg(F.percentile_approx(order, [i / n for i in range(1, n)], 10 * n)).first()[0] or []
+
+
 def running(df: DataFrame, value: str, how: str, by: tuple[str, ...] = (), order: str = "seq", then: str | None = None) -> DataFrame:
     """``df`` with ``before``: the last (``how`` = 'last', nulls skipped) or greatest ('max') ``value`` of earlier rows of the same ``by``.
 
     Rows are cut in ranges of ``order``; each range hands on one value per ``by``, so no task sees
     more than a range, whatever the number of rows. ``then`` orders rows of one ``order``.
     """
-    n = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = df.agg(F.percentile_approx(order, [i / n for i in range(1, n)], 10 * n)).first()[0] or []
+    return running_values(df, {"before": (value, how)}, ranges(df, order), by, order, then)
+
+
+def running_values(df: DataFrame, asked: dict[str, tuple[str, str]], bounds: list, by: tuple[str, ...] = (), order: str = "seq", then: str | None = None) -> DataFrame:
+    """As ``running``, for several values in one pass: ``asked`` is the name of each result, its value and how; ``bounds`` are those of ``ranges``."""
     place = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col(order))) if bounds else F.lit(0)
     ranged = df.withColumn("_range", place)
     at = F.struct(order, then) if then else F.col(order)
-    total = F.max_by(value, at) if how == "last" else F.max(value)
-    last = ranged.filter(F.col(value).isNotNull()).groupBy(*by, "_range").agg(total.alias("_total"))
+    total = lambda value, how: F.max(value) if how == "max" else F.max_by(value, F.when(F.col(value).isNotNull(), at))
+    some = reduce(or_, [F.col(value).isNotNull() for value, _ in asked.values()])
+    last = ranged.filter(some).groupBy(*by, "_range").agg(*[total(*v).alias(f"_carry_{name}") for name, v in asked.items()])
     # a carried value stands for all ranges up to the next one that has its own
     until = Window.partitionBy(*by).orderBy("_range")
-    runs = last.withColumn("_total", (F.last("_total") if how == "last" else F.max("_total")).over(until.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = runs.select(*by, F.col("_range").alias("_from"), F.lead("_range").over(until).alias("_until"), "_total")
-    steps = runs.select(*by, F.explode(F.expr(f"sequence(_from + 1, coalesce(_until, {n}))")).alias("_range"), F.col("_total").alias("_carry")).filter(f"_range <= {n}")
+    so_far = until.rowsBetween(Window.unboundedPreceding, 0)
+    carried = [(F.max(f"_carry_{name}") if how == "max" else F.last(f"_carry_{name}", True)).over(so_far).alias(f"_carry_{name}") for name, (_, how) in asked.items()]
+    runs = last.select(*by, F.col("_range").alias("_from"), F.lead("_range").over(until).alias("_until"), *carried)
+    steps = runs.select(*by, F.explode(F.expr(f"sequence(_from + 1, coalesce(_until, {len(bounds) + 1}))")).alias("_range"), *[f"_carry_{name}" for name in asked]).filter(f"_range <= {len(bounds)}")
     inside = Window.partitionBy(*by, "_range").orderBy(order, *([then] if then else [])).rowsBetween(Window.unboundedPreceding, -1)
-    mine = F.last(value, True).over(inside) if how == "last" else F.max(value).over(inside)
     # at most one row for each range and value of ``by``
     out = ranged.join(steps, [*by, "_range"], "left")
-    return out.withColumn("before", F.coalesce(mine, "_carry") if how == "last" else F.greatest(mine, "_carry")).drop("_range", "_carry")
+    mine = lambda name, value, how: F.greatest(F.max(value).over(inside), f"_carry_{name}") if how == "max" else F.coalesce(F.last(value, True).over(inside), f"_carry_{name}")
+    return out.select(*df.columns, *[mine(name, *v).alias(name) for name, v in asked.items()])
 
 
 def accepted_versions(events: DataFrame) -> DataFrame:
@@ -220,11 +235,15 @@ def handler_changes(events: DataFrame, default: str = "flink") -> DataFrame:
     return running(known, "handler", "last").filter(F.col("handler") != F.coalesce("before", F.lit(default))).select("seq", "handler")
 
 
+def _refusal() -> Column:
+    """Why a decoded control event is unusable; null if it is not."""
+    name = F.lower(F.coalesce(nullif_blank(F.col("handler")), F.lit("flink")))
+    return F.when(~F.col("valid"), "INVALID_EVENT").when((F.lower("cache") == "handler") & ~name.isin("flink", "dotnet"), "UNKNOWN_HANDLER").when(~F.col("cache").isin("compiled_rules", "politics") & (F.lower("cache") != "handler"), "UNKNOWN_CACHE")
+
+
 def control_rejects(events: DataFrame) -> DataFrame:
     """seq, reason of the control events that change nothing because they are unusable."""
-    name = F.lower(F.coalesce(nullif_blank(F.col("handler")), F.lit("flink")))
-    reason = F.when(~F.col("valid"), "INVALID_EVENT").when((F.lower("cache") == "handler") & ~name.isin("flink", "dotnet"), "UNKNOWN_HANDLER").when(~F.col("cache").isin("compiled_rules", "politics") & (F.lower("cache") != "handler"), "UNKNOWN_CACHE")
-    return events.select("seq", reason.alias("reason")).filter("reason is not null")
+    return events.select("seq", _refusal().alias("reason")).filter("reason is not null")
 
 
 def as_of(records: DataFrame, changes: DataFrame, value: str, default) -> DataFrame:
@@ -240,16 +259,34 @@ def as_of(records: DataFrame, changes: DataFrame, value: str, default) -> DataFr
     return found.select("record.*", F.coalesce("before", F.lit(default)).alias(value))
 
 
-def control_outcomes(events: DataFrame, catalogue: DataFrame, held: DataFrame | None = None, default: str = "flink") -> DataFrame:
+def as_of_few(records: DataFrame, changes: DataFrame, value: str, default) -> DataFrame:
+    """As ``as_of``, for ``changes`` that are at hand (``kept``), because they are counted first.
+
+    Up to ``FEW_CHANGES`` are broadcast with the span that each is in force for, so no record is sorted or shuffled; more go by ranges.
+    """
+    known = changes.filter(F.col("seq").isNotNull() & F.col(value).isNotNull()).select("seq", value)
+    if known.limit(FEW_CHANGES + 1).count() > FEW_CHANGES:
+        return as_of(records, known, value, default)
+    spans = known.select(F.col("seq").alias("_from"), F.lead("seq").over(Window.orderBy("seq")).alias("_until"), F.col(value).alias("_value"))
+    found = records.join(F.broadcast(spans), (F.col("seq") >= F.col("_from")) & (F.col("_until").isNull() | (F.col("seq") < F.col("_until"))), "left")
+    return found.select(*records.columns, F.coalesce("_value", F.lit(default)).alias(value))
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """A small table that many parts of a plan read, made once: below ``spark.checkpoint.dir``, or in the executors where that is unset."""
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
+
+
+def control_outcomes(events: DataFrame, catalogue: DataFrame, held: DataFrame | None = None, default: str = "flink", bounds: list | None = None) -> DataFrame:
     """seq, cache, version, handler, outcome of each decoded control event.
 
     ``catalogue`` (cache, version, since): what can be loaded, from which seq on (null: always). ``held``
     (cache, version, handler): what is in force before the first event. An event whose version is above
     the one in force is LOADED, or LOAD_FAILED: then the former version stays in force and the next event
     tries again. Others are STALE, SWITCHED, SAME_HANDLER, or refused as INVALID_EVENT, UNKNOWN_CACHE, UNKNOWN_HANDLER.
+    ``bounds``: the ``ranges`` of the events, where they can be had without decoding them.
     """
-    rejects = control_rejects(events).withColumnRenamed("reason", "refused")
-    rows = events.join(rejects, "seq", "left").withColumn("cache", F.when(F.lower("cache") == "handler", "handler").otherwise(F.col("cache")))
+    rows = events.withColumn("refused", _refusal()).withColumn("cache", F.when(F.lower("cache") == "handler", "handler").otherwise(F.col("cache")))
     rows = rows.join(catalogue.select("cache", "version", "since", F.lit(True).alias("is_there")), ["cache", "version"], "left")
     loadable = F.col("refused").isNull() & F.col("cache").isin("compiled_rules", "politics") & F.col("is_there").isNotNull() & (F.col("since").isNull() | (F.col("since") <= F.col("seq")))
     name = F.lower(F.coalesce(nullif_blank(F.col("handler")), F.lit(default)))
@@ -258,8 +295,7 @@ def control_outcomes(events: DataFrame, catalogue: DataFrame, held: DataFrame |
         first = held.select(F.lit(None).cast("long").alias("seq"), "cache", "version", F.lit("HELD").alias("refused"), F.when(F.col("cache") != "handler", F.col("version")).alias("good"), "handler")
         rows = rows.unionByName(first)
     # a version in force is the greatest that could be loaded: failed events leave no mark
-    rows = running(rows, "good", "max", ("cache",)).withColumnRenamed("before", "in_force")
-    rows = running(rows, "handler", "last", ("cache",)).filter("refused is null or refused <> 'HELD'")
+    rows = running_values(rows, {"in_force": ("good", "max"), "before": ("handler", "last")}, ranges(events) if bounds is None else bounds, ("cache",)).filter("refused is null or refused <> 'HELD'")
     switched = F.when(F.col("handler") == F.coalesce("before", F.lit(default)), "SAME_HANDLER").otherwise("SWITCHED")
     loaded = F.when(F.col("version") <= F.col("in_force"), "STALE").when(F.col("good").isNull(), "LOAD_FAILED").otherwise("LOADED")
     return rows.select("seq", "cache", "version", "handler", F.coalesce("refused", F.when(F.col("cache") == "handler", switched).otherwise(loaded)).alias("outcome"))

@@ -27,20 +27,29 @@ def _catalogue(spark, sf):
     return e.select(caches, "version", F.when(F.col("version") % 5 == 4, F.lit(600)).cast("long").alias("since"))
 
 
+def _bounds(spark, sf) -> list:
+    return policy.ranges(src.control_events(spark, sf).select("seq"))
+
+
 def _outcomes(spark, sf):
-    return policy.control_outcomes(_control(spark, sf), _catalogue(spark, sf)).select("seq", "cache", "version", "outcome")
-
-
-def _versioned(spark, sf) -> tuple[DataFrame, policy.Policy, rulebook.RuleSet]:
-    """(messages with the versions in force at their seq, policies and rule sets of all versions)."""
-    loaded = _outcomes(spark, sf).filter("outcome = 'LOADED'")
-    of = lambda cache, name: loaded.filter(F.col("cache") == cache).select("seq", F.col("version").alias(name))
-    rows = policy.as_of(src.derived_messages(spark, sf), of("politics", "policy_version"), "policy_version", -1)
-    rows = policy.as_of(rows, of("compiled_rules", "rules_version"), "rules_version", -1)
-    first = spark.range(1).select(F.lit(-1).cast("long").alias("v"))
-    v = F.col("policy_version")
-    p = of("politics", "v").select("v").unionByName(first).withColumnRenamed("v", "policy_version")
-    held = policy.Policy(
+    return policy.control_outcomes(_control(spark, sf), _catalogue(spark, sf), bounds=_bounds(spark, sf)).select("seq", "cache", "version", "outcome")
+
+
+def _loads(spark, sf, cache: str, name: str) -> DataFrame:
+    """seq and version (``name``) of each load of a cache, each version above the last: few rows, made once of all events."""
+    outcomes = policy.control_outcomes(_control(spark, sf).filter(F.col("cache") == cache), _catalogue(spark, sf), bounds=_bounds(spark, sf))
+    return policy.kept(outcomes.filter("outcome = 'LOADED'").select("seq", F.col("version").alias(name)))
+
+
+def _with_none(spark, loads: DataFrame, name: str) -> DataFrame:
+    """The versions of ``loads`` and -1, which is in force before the first."""
+    return loads.select(name).unionByName(spark.range(1).select(F.lit(-1).cast("long").alias(name)))
+
+
+def _policies(spark, loads: DataFrame) -> policy.Policy:
+    """The policies of all versions."""
+    v, p = F.col("policy_version"), _with_none(spark, loads, "policy_version")
+    return policy.Policy(
         "all",
         p.select("policy_version", F.explode(F.create_map(F.lit("D.Base.A"), F.lit("AREA"), F.when(v % 2 == 0, F.lit("D.Base.B")).otherwise(F.lit("D.Other")), F.lit("AREA"))).alias("dataset_code", "control_area")),
         p.select("policy_version", F.lit("AREA").alias("control_area"), F.explode(F.create_map(F.lit("BASE.Balance"), F.lit("Rule1"), F.when(v % 3 == 0, F.lit("BASE.Name")).otherwise(F.lit("BASE.Other")), F.lit("2"))).alias("field", "rule_name")),
@@ -49,24 +58,32 @@ def _versioned(spark, sf) -> tuple[DataFrame, policy.Policy, rulebook.RuleSet]:
         p.select("policy_version", F.lit("AREA").alias("control_area"), F.lit(False).alias("filter_flag")),
         by=("policy_version",),
     )
-    r = of("compiled_rules", "v").select("v").unionByName(first).withColumnRenamed("v", "rules_version")
+
+
+def _rule_bodies(spark, loads: DataFrame) -> rulebook.RuleSet:
+    """The rule sets of all versions."""
+    r = _with_none(spark, loads, "rules_version")
     low = F.when(F.col("rules_version") % 5 == 0, F.lit("cast(m['BASE.Balance'] as int) < 0")).otherwise(F.concat(F.lit("try_cast(m['BASE.Balance'] as double) < 1000 * "), F.pmod("rules_version", F.lit(7)).cast("string")))
     bodies = r.select("rules_version", F.explode(F.create_map(F.lit("Rule1"), low, F.lit("Rule2"), F.lit("m['BASE.Name'] is null"))).alias("rule_name", "predicate"))
-    return rows, held, rulebook.RuleSet(bodies, [x["predicate"] for x in bodies.select("predicate").distinct().collect()], ("rules_version",))
+    return rulebook.RuleSet(bodies, [x["predicate"] for x in bodies.select("predicate").distinct().collect()], ("rules_version",))
 
 
 def _asof_eval(spark, sf):
     """Every accepted message under the versions in force at its seq, in one plan."""
-    rows, held, rules = _versioned(spark, sf)
     keep = ("policy_version", "rules_version")
+    politics, compiled = _loads(spark, sf, "politics", keep[0]), _loads(spark, sf, "compiled_rules", keep[1])
+    rows = policy.as_of_few(src.derived_messages(spark, sf), politics, keep[0], -1)
+    rows = policy.as_of_few(rows, compiled, keep[1], -1)
+    held, rules = _policies(spark, politics), _rule_bodies(spark, compiled)
     good = validate.resolved(flatten.decode(rows, keep=keep), held)
     found = validate.evaluate(good.filter("reason is null"), held, rules, keep=keep)
     return found.select("seq", *keep, "field", "rule_name", "status", "raised", "error_text")
 
 
 def _asof_reasons(spark, sf):
-    rows, held, _ = _versioned(spark, sf)
-    return validate.resolved(flatten.decode(rows, keep=("policy_version",)), held).select("seq", "policy_version", "reason")
+    politics = _loads(spark, sf, "politics", "policy_version")
+    rows = policy.as_of_few(src.derived_messages(spark, sf), politics, "policy_version", -1)
+    return validate.resolved(flatten.decode(rows, keep=("policy_version",)), _policies(spark, politics)).select("seq", "policy_version", "reason")
 
 
 # --- rule sets ----------------------------------------------------------------------------------

@@ -66,7 +66,8 @@ def control_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decode_control(events: DataFrame) -> DataFrame:
     """seq, cache, version (default -1; a number or the text of one, fractions cut off), handler text, valid."""
-    j = F.from_json("value", CONTROL_SCHEMA)
+    # exploded, so that the optimizer does not copy the parse into each filter and column that reads it
+    j = F.explode(F.array(F.from_json("value", CONTROL_SCHEMA)))
     number = F.trim(F.col("j.version"))
     version = F.coalesce(number.try_cast("long"), F.when(number.rlike(r"^[-+]?\d"), number.try_cast("double").try_cast("long")), F.lit(-1).cast("long"))
     out = events.select("seq", j.alias("j")).select("seq", F.regexp_replace(F.coalesce("j.cacheName", F.lit("")), r"^\s+|\s+$", "").alias("cache"), version.alias("version"), F.col("j.handler").alias("handler"))

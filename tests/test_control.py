@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from recordgate.functions import text
 from recordgate.operators import delivery, flatten, job_events, policy, rulebook, validate
+from recordgate.plans import versions
 from recordgate.sources import messages as src
 from recordgate.streaming import gate
 
@@ -168,6 +169,40 @@ def test_as_of_keeps_large_ids_and_equal_rows(spark):
     assert got == [("a", big + 1, 1), ("b", big + 3, 3), ("b", big + 3, 3), ("c", (1 << 63) - 1, 3), ("d", None, 0), ("e", 5, 0)]
 
 
+def test_few_changes_give_what_many_give(spark, monkeypatch):
+    records = spark.createDataFrame([(i // 2, str(i)) for i in range(60)] + [(None, "n"), (7, "7"), ((1 << 63) - 1, "big")], "seq long, x string")
+    changes = spark.createDataFrame([(5, 1), (9, None), (12, 2), (13, 3), (None, 9), (1 << 53, 4)], "seq long, v int")
+    want = sorted((r.x, r.seq or -1, r.v) for r in policy.as_of(records, changes, "v", 0).collect())
+    few = policy.as_of_few(records, changes, "v", 0)
+    assert few.columns == ["seq", "x", "v"] and sorted((r.x, r.seq or -1, r.v) for r in few.collect()) == want
+    assert "Exchange hash" not in few._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(policy, "FEW_CHANGES", 3)
+    assert sorted((r.x, r.seq or -1, r.v) for r in policy.as_of_few(records, changes, "v", 0).collect()) == want
+    assert {r.v for r in policy.as_of_few(records, changes.filter("false"), "v", 0).collect()} == {0}
+
+
+def test_several_running_values_equal_one_each(spark):
+    import random
+
+    rng = random.Random(5)
+    rows = [(i, rng.choice("ab"), rng.choice([None, None, rng.randrange(9)]), rng.choice([None, None, rng.choice("xyz")])) for i in range(300)]
+    df = spark.createDataFrame(rows, "seq long, k string, v long, w string").repartition(5)
+    got = {r.seq: (r.top, r.held) for r in policy.running_values(df, {"top": ("v", "max"), "held": ("w", "last")}, policy.ranges(df), ("k",)).collect()}
+    top = {r.seq: r.before for r in policy.running(df, "v", "max", ("k",)).collect()}
+    held = {r.seq: r.before for r in policy.running(df, "w", "last", ("k",)).collect()}
+    assert got == {i: (top[i], held[i]) for i in top} and len(got) == 300
+
+
+def test_asof_reasons_read_messages_and_events_once(spark, monkeypatch):
+    messages, sf = src.derived_messages, "/root/testdata/sf0.001"
+    # whatever runs over the messages while the plan is made would raise
+    monkeypatch.setattr(versions.src, "derived_messages", lambda s, d: messages(s, d).filter(F.raise_error(F.lit("messages were read")).isNull()))
+    versions._asof_reasons(spark, sf)
+    monkeypatch.undo()
+    plan = versions._asof_reasons(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [c_custkey") == 1 and "event_type" not in plan
+
+
 def test_records_are_judged_by_their_own_version(spark, tmp_path):
     store = str(tmp_path)
     publish_policy(spark, "Rule1", 1, store)
