@@ -35,10 +35,12 @@ def _outcomes(spark, sf):
     return policy.control_outcomes(_control(spark, sf), _catalogue(spark, sf), bounds=_bounds(spark, sf)).select("seq", "cache", "version", "outcome")
 
 
-def _loads(spark, sf, cache: str, name: str) -> DataFrame:
-    """seq and version (``name``) of each load of a cache, each version above the last: few rows, made once of all events."""
-    outcomes = policy.control_outcomes(_control(spark, sf).filter(F.col("cache") == cache), _catalogue(spark, sf), bounds=_bounds(spark, sf))
-    return policy.kept(outcomes.filter("outcome = 'LOADED'").select("seq", F.col("version").alias(name)))
+def _loads(spark, sf, **names: str) -> list[DataFrame]:
+    """Of each cache in ``names`` the seq and version (named as given) of its loads, each version above the last: few rows, made once of all events."""
+    events = _control(spark, sf).filter(F.col("cache").isin(*names))
+    loaded = policy.control_outcomes(events, _catalogue(spark, sf), bounds=_bounds(spark, sf)).filter("outcome = 'LOADED'")
+    loaded = policy.kept(loaded.select("cache", "seq", "version"))
+    return [loaded.filter(F.col("cache") == cache).select("seq", F.col("version").alias(name)) for cache, name in names.items()]
 
 
 def _with_none(spark, loads: DataFrame, name: str) -> DataFrame:
@@ -71,7 +73,7 @@ def _rule_bodies(spark, loads: DataFrame) -> rulebook.RuleSet:
 def _asof_eval(spark, sf):
     """Every accepted message under the versions in force at its seq, in one plan."""
     keep = ("policy_version", "rules_version")
-    politics, compiled = _loads(spark, sf, "politics", keep[0]), _loads(spark, sf, "compiled_rules", keep[1])
+    politics, compiled = _loads(spark, sf, politics=keep[0], compiled_rules=keep[1])
     rows = policy.as_of_few(src.derived_messages(spark, sf), politics, keep[0], -1)
     rows = policy.as_of_few(rows, compiled, keep[1], -1)
     held, rules = _policies(spark, politics), _rule_bodies(spark, compiled)
@@ -81,7 +83,7 @@ def _asof_eval(spark, sf):
 
 
 def _asof_reasons(spark, sf):
-    politics = _loads(spark, sf, "politics", "policy_version")
+    (politics,) = _loads(spark, sf, politics="policy_version")
     rows = policy.as_of_few(src.derived_messages(spark, sf), politics, "policy_version", -1)
     return validate.resolved(flatten.decode(rows, keep=("policy_version",)), _policies(spark, politics)).select("seq", "policy_version", "reason")
 
