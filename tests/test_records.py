@@ -362,3 +362,29 @@ def test_strings_that_look_like_objects_are_not_opened(spark):
     assert nodes == {i: [("", "OBJECT", 0, []), ("b", "OBJECT", 1, ["N"]), ("l", "ARRAY", 2, []), ("", "ARRAY", 3, []), ("", "OBJECT", 4, ["Y"])] for i in range(5)}
     walked = flatten.walk(flatten.decode(message(spark, *payloads))).groupBy("seq").count().collect()
     assert {r["count"] for r in walked} == {5}
+
+
+def test_array_answers_walk_a_message_once(spark):
+    import contextlib
+    import io
+
+    from recordgate.plans import versions
+
+    shown = io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        versions.queries()["array_answers"](spark, "/root/testdata/sf0.001").explain()
+    assert shown.getvalue().count("message too deep for this walk") == 1
+
+
+@pytest.mark.parametrize("excluding", [False, True])
+def test_results_made_in_the_row_are_those_of_the_long_table(spark, excluding):
+    """Coded fields, flags, several rules a field, rules that raise or have no body; with and without excluded blocks."""
+    import dataclasses
+
+    whole = registry.load_policy(spark)
+    held = whole if excluding else dataclasses.replace(whole, exclusion=whole.exclusion.filter("false"))
+    good = flatten.message_nodes(validate.resolved(flatten.decode(src.derived_messages(spark, "/root/testdata/sf0.001")), held).filter("reason is null"))
+    now, predicates = F.lit(registry.NOW).cast("timestamp"), {**registry.PREDICATES, "Rule1002": "if(m['BASE.Segment'] = 'BUILDING', cast(m['BASE.Name'] as int) > 0, cast(m['BASE.Balance'] as double) < 0)"}
+    want = answers_.build(good, validate.evaluate(good, held, predicates), held, now).collect()
+    got = answers_.build(answers_.with_results(good, held, predicates), None, held, now).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want)) and {r.process_status for r in got} == {"OK", "RULE_EXCEPTION"}
